@@ -100,7 +100,7 @@ class WorkCalendar:
             return F.when(day.isNotNull(), F.lit(0))
         first, before, masks = self._months()
         slot = self._slot(day, first, len(masks))
-        upto = F.shiftleft(F.lit(2).cast("bigint"), F.dayofmonth(day)) - F.lit(1).cast("bigint")
+        upto = F.call_function("shiftleft", F.lit(2).cast("bigint"), F.dayofmonth(day)) - F.lit(1).cast("bigint")
         mask = F.get(F.lit(masks), slot).cast("bigint")
         return F.get(F.lit(before), slot) + F.bit_count(mask.bitwiseAND(upto))
 
@@ -110,7 +110,7 @@ class WorkCalendar:
             return F.weekday(d) < 5
         first, _, masks = self._months()
         mask = F.get(F.lit(masks), self._slot(d, first, len(masks))).cast("bigint")
-        bit = F.shiftleft(F.lit(1).cast("bigint"), F.dayofmonth(d))
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.dayofmonth(d))
         return (F.weekday(d) < 5) & (mask.bitwiseAND(bit) == 0)
 
     def index(self, day: Column | str) -> Column:
