@@ -5,16 +5,24 @@ current day if it still fits; otherwise the day closes and the item opens the
 next working day. If the queue has drained, the day jumps to the item's own
 eligible day. An item larger than the capacity gets a day to itself.
 
-The chain is sequential, but it need not run in one task. Items with the same
-eligible day form a block, and blocks are cut into chunks of bounded size.
-Inside a chunk the eligible day is constant, so the only thing the past
-contributes is how full the current day is on entry. For each chunk one task
-computes the *transfer*: for every entry fill, how many days are opened and
-how full the last one ends. As the fill is a whole number of pages, this is a
-step function with at most capacity + 1 steps, and chains that start at
-different items soon meet, so it is usually a handful of rows. Walking the
-chunks' transfers in order is then cheap (a few rows per chunk, streamed), and
-gives the entry state of every chunk; a last parallel pass deals out the days.
+The chain is sequential, but it need not run in one task:
+
+* The totals per (lane, eligible day) give an upper bound on the day by which
+  the queue has drained: a day closed by an overflow holds at least capacity
+  minus the largest item, plus one. Where the bound lies before the next
+  eligible day, the queue provably starts afresh, so the lane is cut there.
+  Neighbouring segments are packed up to a bounded number of items, and each
+  pack is folded in one task.
+* A segment that stays overloaded for more than that bound is cut into chunks
+  of one eligible day each, large days into several. Inside a chunk the
+  eligible day is constant, so the only thing the past contributes is how full
+  the current day is on entry. One task per chunk computes the *transfer*: for
+  every entry fill, how many days are opened and how full the last one ends.
+  The fill is a whole number of pages, so this step function has at most
+  capacity + 1 steps, and chains that start at different items soon meet, so
+  it is usually a handful of rows. Walking the transfers in order is cheap (a
+  few numbers per chunk, streamed) and gives every chunk its entry state; a
+  last parallel pass deals out the days.
 """
 
 from __future__ import annotations
@@ -25,7 +33,9 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -34,11 +44,14 @@ from millrace.functions.calendar import WorkCalendar
 from millrace.operators.joins import all_of
 from millrace.session import materialise
 
-# Items one task folds; a chunk holds at most about this many.
+# Items one task folds; a pack or chunk holds at most about twice as many.
 CHUNK_ITEMS = 1_000_000
 _CHUNK = "__chunk"
+_SEGMENT = "__segment"
+_PACK = "__pack"
 _ELIGIBLE = "__w"
-_SEQ = "__seq"
+_AT = "__at"
+_RANK = "__rank"
 
 
 def _openers(pages: np.ndarray, capacity: int) -> np.ndarray:
@@ -119,17 +132,54 @@ def _deal(pages: np.ndarray, capacity: int, used: int) -> np.ndarray:
     """Day offset of each item for an entry fill (0 = the entry day)."""
     n = len(pages)
     nxt = _openers(pages, capacity)
-    total = np.cumsum(pages)
-    start = 0 if used == 0 else int(np.searchsorted(total, capacity - used, side="right"))
-    marks = np.zeros(n, dtype=np.int64)
-    if used == 0 and n:
+    if used == 0:
         start = int(nxt[0])
+    else:
+        start = int(np.searchsorted(np.cumsum(pages), capacity - used, side="right"))
+    marks = np.zeros(n, dtype=np.int64)
     while start < n:
         marks[start] = 1
         start = int(nxt[start])
     return np.cumsum(marks)
 
 
+def _fold(eligible: np.ndarray, pages: np.ndarray, capacity: int, at: int | None, used: int) -> np.ndarray:
+    """Working-day number of each item; one step per opened day, not per item."""
+    n = len(pages)
+    total = np.concatenate([[0], np.cumsum(pages)])
+    real = np.minimum.accumulate(np.where(pages > 0, np.arange(n), n)[::-1])[::-1]
+    out = np.empty(n, dtype=np.int64)
+    starts = np.flatnonzero(np.diff(eligible, prepend=eligible[0] - 1))
+    for first, end in zip(starts, np.append(starts[1:], n)):
+        if at is None or eligible[first] > at:
+            at, used = int(eligible[first]), 0
+        i = int(first)
+        while i < end:
+            stop = int(np.searchsorted(total, total[i] + capacity - used, side="right")) - 1
+            stop = max(stop, i) if used > 0 else max(stop, int(real[i]) + 1)
+            stop = min(stop, int(end))
+            out[i:stop] = at
+            used += int(total[stop] - total[i])
+            i = stop
+            if i < end:
+                at, used = at + 1, 0
+    return out
+
+
+def _sorted(table: pa.Table, cols: Sequence[str]) -> pa.Table:
+    keys = [(c, "ascending") for c in cols]
+    return table.take(pc.sort_indices(table, sort_keys=keys, null_placement="at_start"))
+
+
+def _numbers(table: pa.Table, col: str) -> np.ndarray:
+    return table.column(col).to_numpy().astype(np.int64)
+
+
+def _with_result(table: pa.Table, at: np.ndarray, rank: np.ndarray, names: Sequence[str]) -> pa.Table:
+    kept = table.select(list(names))
+    return kept.append_column(_AT, pa.array(at, pa.int32())).append_column(_RANK, pa.array(rank, pa.int64()))
+
+
 def assign_days(
     df: DataFrame,
     calendar: WorkCalendar,
@@ -150,48 +200,141 @@ def assign_days(
     result of :func:`last_state` of an earlier run (lane columns, ``last_day``,
     ``used_pages``, ``last_rank``); new items then continue that day and rank.
     """
-    lane = list(lane)
-    spark = df.sparkSession
+    lane, names = list(lane), list(df.columns)
     base = df.withColumn(_ELIGIBLE, calendar.index(calendar.next_workday(eligible)).cast("int"))
-    start = _entry(state, lane, calendar)
-    if start is not None:
+    entry = None
+    if state is not None:
+        entry = state.select(
+            *[F.col(c).alias(f"__l_{c}") for c in lane],
+            calendar.index("last_day").cast("int").alias("__day0"),
+            F.col("used_pages").cast("bigint").alias("__used0"),
+            F.col("last_rank").cast("bigint").alias("__rank0"),
+        )
         # An item that became eligible before the last used day joins that day.
-        known = start.select(*[F.col(c).alias(f"__l_{c}") for c in lane], F.col("__day0"))
-        base = _lane_join(base, known, lane).withColumn(
-            _ELIGIBLE, F.greatest(F.col(_ELIGIBLE), F.col("__day0"))
-        ).drop("__day0")
-    # The state clamp changes the leading order column, so ranks are taken after it.
-    keys = [*lane, _ELIGIBLE]
-    # Written once: the items are read three times, twice with few columns.
-    items = materialise(_chunks(base, keys, order, chunk_items), "items")
-    by_chunk = [*keys, _CHUNK]
+        clamped = _lane_join(base, entry, lane)
+        base = clamped.withColumn(_ELIGIBLE, F.greatest(_ELIGIBLE, "__day0")).drop("__day0", "__used0", "__rank0")
+    packs = _packs(base, entry, lane, pages, capacity, chunk_items)
+    known = packs.select(
+        *[F.col(c).alias(f"__p_{c}") for c in [*lane, _ELIGIBLE]], _SEGMENT, _PACK, "__heavy", "__base", "__day0", "__used0"
+    )
+    on = all_of([F.col(c).eqNullSafe(F.col(f"__p_{c}")) for c in [*lane, _ELIGIBLE]])
+    items = base.join(known, on, "inner").drop(*[f"__p_{c}" for c in [*lane, _ELIGIBLE]])
+    done = _fold_packs(items.filter(~F.col("__heavy")), lane, order, names, pages, capacity)
+    if packs.filter("__heavy").limit(1).count():
+        heavy = items.filter("__heavy")
+        done = done.unionByName(_deal_chunks(heavy, lane, order, names, pages, capacity, chunk_items))
+    # Working-day numbers back to dates: the calendar is one small table.
+    days = F.broadcast(_workdays(df.sparkSession, calendar))
+    return done.join(days, F.col(_AT) == F.col("__cal_w"), "left").select(
+        *names, F.col("__cal_day").alias(day), F.col(_RANK).alias(rank)
+    )
+
+
+def _lane_join(df: DataFrame, known: DataFrame, lane: Sequence[str]) -> DataFrame:
+    if not lane:
+        return df.crossJoin(F.broadcast(known))
+    cond = all_of([F.col(c).eqNullSafe(F.col(f"__l_{c}")) for c in lane])
+    return df.join(known, cond, "left").drop(*[f"__l_{c}" for c in lane])
+
+
+def _packs(base: DataFrame, entry: DataFrame | None, lane: list[str], pages: str, capacity: int, chunk_items: int) -> DataFrame:
+    """One row per (lane, eligible day): its segment, pack and first rank.
+
+    Works on daily totals, so the windows see at most one row per calendar day
+    of a lane.
+    """
+    p = F.col(pages)
+    totals = base.groupBy(*lane, _ELIGIBLE).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(p).cast("bigint").alias("pages"),
+        F.max(F.when(p <= capacity, p)).alias("largest"),
+        F.count_if(p > capacity).alias("oversize"),
+    )
+    if entry is None:
+        null = F.lit(None)
+        totals = totals.withColumns({"__day0": null.cast("int"), "__used0": null.cast("bigint"), "__rank0": null.cast("bigint")})
+    else:
+        totals = _lane_join(totals, entry, lane)
+    whole = Window.partitionBy(*lane)
+    by_day = whole.orderBy(_ELIGIBLE)
+    upto = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    least = F.greatest(F.lit(capacity + 1) - F.coalesce(F.max("largest").over(whole), F.lit(0)), F.lit(1)).cast("bigint")
+    first = F.row_number().over(by_day) == 1
+    carried = F.when(first, F.coalesce("__used0", F.lit(0))).otherwise(F.lit(0))
+    load = F.col("pages") + F.col("oversize") * 2 * F.col("__least") + carried
+    work = (
+        totals.withColumn("__least", least)
+        .withColumn("__load", load)
+        .withColumn("__sum", F.sum("__load").over(upto))
+        .withColumn("__peak", F.max(F.col(_ELIGIBLE) * F.col("__least") - (F.col("__sum") - F.col("__load"))).over(upto))
+        .withColumn("__until", F.call_function("div", F.col("__peak") + F.col("__sum"), F.col("__least")))
+    )
+    fresh = F.coalesce(F.col(_ELIGIBLE) > F.lag("__until").over(by_day), F.lit(True))
+    marked = work.withColumn(_SEGMENT, F.sum(fresh.cast("int")).over(upto)).withColumn("__before", F.sum("n").over(upto) - F.col("n"))
+    in_segment = Window.partitionBy(*lane, _SEGMENT)
+    sized = marked.withColumn("__size", F.sum("n").over(in_segment)).withColumn("__start", F.min("__before").over(in_segment))
+    heavy = F.col("__size") > chunk_items
+    packed = sized.withColumn("__heavy", heavy).withColumn(
+        _PACK, F.when(heavy, F.lit(-1).cast("bigint")).otherwise(F.call_function("div", F.col("__start"), F.lit(chunk_items).cast("bigint")))
+    )
+    group = Window.partitionBy(*lane, "__heavy", F.when(heavy, F.col(_SEGMENT)).otherwise(F.col(_PACK)))
+    # Only the first group of a lane continues the saved day.
+    leads = F.min("__before").over(group) == 0
+    return packed.withColumns(
+        {
+            "__base": F.min("__before").over(group) + F.coalesce("__rank0", F.lit(0)),
+            "__day0": F.when(leads, F.col("__day0")),
+            "__used0": F.when(leads, F.coalesce("__used0", F.lit(0))).otherwise(F.lit(0)),
+        }
+    )
+
 
-    # 1. transfer of every chunk, plus its number of items for the ranks
-    key_fields = [items.schema[c] for c in by_chunk]
+def _result_schema(df: DataFrame, names: Sequence[str]) -> T.StructType:
+    fields = [df.schema[n] for n in names]
+    return T.StructType([*fields, T.StructField(_AT, T.IntegerType()), T.StructField(_RANK, T.LongType())])
+
+
+def _fold_packs(items: DataFrame, lane: list[str], order: Sequence[str], names: list[str], pages: str, capacity: int) -> DataFrame:
+    by = [_ELIGIBLE, *order]
+
+    def fold(table: pa.Table) -> pa.Table:
+        table = _sorted(table, by)
+        day0 = table.column("__day0")[0].as_py()
+        used0 = table.column("__used0")[0].as_py()
+        at = _fold(_numbers(table, _ELIGIBLE), _numbers(table, pages), capacity, day0, used0)
+        rank = np.arange(1, table.num_rows + 1) + table.column("__base")[0].as_py()
+        return _with_result(table, at, rank, names)
+
+    return items.groupBy(*lane, _PACK).applyInArrow(fold, _result_schema(items, names))
+
+
+def _deal_chunks(
+    items: DataFrame, lane: list[str], order: Sequence[str], names: list[str], pages: str, capacity: int, chunk_items: int
+) -> DataFrame:
+    """Overloaded segments: transfers per chunk, entry states, final pass."""
+    keys = [*lane, _SEGMENT, _ELIGIBLE]
+    chunks = _chunks(items, keys, order, chunk_items)
+    by_chunk = [*keys, _CHUNK]
+    key_fields = [chunks.schema[c] for c in by_chunk]
+    extra = ["__base", "__day0", "__used0"]
     transfer_schema = T.StructType(
         [
             *key_fields,
+            *[chunks.schema[c] for c in extra],
             T.StructField("items", T.LongType()),
             T.StructField("steps", T.ArrayType(T.ArrayType(T.LongType()))),
         ]
     )
 
-    def summarise(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(_SEQ)
-        steps = [list(r) for r in _transfer(pdf["__pages"].to_numpy(np.int64), capacity)]
-        return pd.DataFrame([[*key, len(pdf), steps]], columns=[*by_chunk, "items", "steps"])
-
-    slim = items.select(*by_chunk, _SEQ, F.col(pages).cast("bigint").alias("__pages"))
-    transfers = slim.groupBy(*by_chunk).applyInPandas(summarise, transfer_schema)
+    def summarise(table: pa.Table) -> pa.Table:
+        table = _sorted(table, order)
+        steps = [[int(v) for v in row] for row in _transfer(_numbers(table, pages), capacity)]
+        one = table.slice(0, 1).select([*by_chunk, *extra])
+        one = one.append_column("items", pa.array([table.num_rows], pa.int64()))
+        return one.append_column("steps", pa.array([steps], pa.list_(pa.list_(pa.int64()))))
 
-    # 2. entry state of every chunk: stream the chunks of a lane in order
-    if start is not None:
-        known = start.select(*[F.col(c).alias(f"__l_{c}") for c in lane], "__day0", "__used0", "__rank0")
-        transfers = _lane_join(transfers, known, lane)
-    else:
-        transfers = transfers.withColumns(
-            {"__day0": F.lit(None).cast("int"), "__used0": F.lit(0).cast("bigint"), "__rank0": F.lit(0).cast("bigint")}
-        )
+    slim = chunks.select(*dict.fromkeys([*by_chunk, *extra, *order, pages]))
+    transfers = slim.groupBy(*by_chunk).applyInArrow(summarise, transfer_schema)
     entry_schema = T.StructType(
         [
             *key_fields,
@@ -200,115 +343,62 @@ def assign_days(
             T.StructField("__before", T.LongType()),
         ]
     )
-    lane_count = len(lane)
+    width, lead = len(by_chunk), len(lane) + 1
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, at, used, before = None, None, 0, 0
+        current, at, used, before = None, 0, 0, 0
         for pdf in batches:
             out = []
             for row in pdf.itertuples(index=False, name=None):
-                key = tuple(None if pd.isna(v) else v for v in row[:lane_count])
-                w = row[lane_count]
-                items_n, steps = row[len(by_chunk)], row[len(by_chunk) + 1]
-                if key != current or at is None:
-                    current = key
-                    day0, used0, rank0 = row[-3:]
-                    at = int(w) if day0 is None or pd.isna(day0) else int(day0)
-                    used, before = (0, 0) if day0 is None or pd.isna(day0) else (int(used0), int(rank0))
+                key = tuple(None if pd.isna(v) else v for v in row[:lead])
+                w, (base, day0, used0, n, steps) = int(row[lead]), row[width:]
+                if key != current:
+                    current, before = key, int(base)
+                    at, used = (w, 0) if pd.isna(day0) else (int(day0), int(used0))
                 if w > at:
-                    at, used = int(w), 0
-                out.append([*row[: len(by_chunk)], at, used, before])
+                    at, used = w, 0
+                out.append([*row[:width], at, used, before])
                 opened, used = _step(steps, used)
-                at, before = at + opened, before + int(items_n)
+                at, before = at + opened, before + int(n)
             yield pd.DataFrame(out, columns=entry_schema.names)
 
-    # One row per chunk; lanes spread over tasks, rows streamed in batches.
-    # (repartition, not coalesce: the transfers themselves must stay parallel).
-    ordered = transfers.repartition(*lane) if lane else transfers.repartition(1)
-    ordered = ordered.sortWithinPartitions(*by_chunk)
-    entries = ordered.mapInPandas(walk, entry_schema)
-
-    # 3. deal out the days of every chunk
-    e = entries.select(
+    # One row per chunk; segments spread over tasks, rows streamed in batches.
+    spread = transfers.repartition(*lane, _SEGMENT).sortWithinPartitions(*by_chunk)
+    entries = spread.mapInPandas(walk, entry_schema).select(
         *[F.col(c).alias(f"__e_{c}") for c in by_chunk], "__day", "__used", "__before"
     )
-    joined = slim.join(e, all_of([F.col(c).eqNullSafe(F.col(f"__e_{c}")) for c in by_chunk]), "inner")
-    dealt_schema = T.StructType(
-        [
-            *key_fields,
-            T.StructField(_SEQ, T.LongType()),
-            T.StructField("__at", T.IntegerType()),
-            T.StructField("__rank", T.LongType()),
-        ]
-    )
+    on = all_of([F.col(c).eqNullSafe(F.col(f"__e_{c}")) for c in by_chunk])
+    ready = chunks.join(entries, on, "inner")
 
-    def deal(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(_SEQ)
-        offset = _deal(pdf["__pages"].to_numpy(np.int64), capacity, int(pdf["__used"].iat[0]))
-        out = pd.DataFrame({_SEQ: pdf[_SEQ], "__at": (offset + int(pdf["__day"].iat[0])).astype("int32")})
-        out["__rank"] = np.arange(1, len(pdf) + 1) + int(pdf["__before"].iat[0])
-        for name, value in zip(by_chunk, key):
-            out[name] = value
-        return out[[*by_chunk, _SEQ, "__at", "__rank"]]
-
-    dealt = joined.groupBy(*by_chunk).applyInPandas(deal, dealt_schema)
-    dealt = dealt.select(
-        *[F.col(c).alias(f"__e_{c}") for c in by_chunk], F.col(_SEQ).alias("__e_seq"), "__at", "__rank"
-    )
-    on = [F.col(c).eqNullSafe(F.col(f"__e_{c}")) for c in by_chunk] + [F.col(_SEQ) == F.col("__e_seq")]
-    back = items.join(dealt, all_of(on), "inner")
-    # Working-day numbers back to dates: the calendar is one small table.
-    days = F.broadcast(_workdays(spark, calendar))
-    return (
-        back.join(days, F.col("__at") == F.col("__cal_w"), "left")
-        .select(*df.columns, F.col("__cal_day").alias(day), F.col("__rank").alias(rank))
-    )
+    def deal(table: pa.Table) -> pa.Table:
+        table = _sorted(table, order)
+        day, used, before = (table.column(c)[0].as_py() for c in ("__day", "__used", "__before"))
+        at = _deal(_numbers(table, pages), capacity, used) + day
+        return _with_result(table, at, np.arange(1, table.num_rows + 1) + before, names)
 
+    return ready.groupBy(*by_chunk).applyInArrow(deal, _result_schema(items, names))
 
-def _lane_join(df: DataFrame, known: DataFrame, lane: Sequence[str]) -> DataFrame:
-    if not lane:
-        return df.crossJoin(F.broadcast(known))
-    cond = all_of([F.col(c).eqNullSafe(F.col(f"__l_{c}")) for c in lane])
-    return df.join(known, cond, "left").drop(*[f"__l_{c}" for c in lane])
 
+def _chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_items: int) -> DataFrame:
+    """Number the chunks of every (lane, segment, eligible day).
 
-def _entry(state: DataFrame | None, lane: Sequence[str], calendar: WorkCalendar) -> DataFrame | None:
-    if state is None:
-        return None
-    return state.select(
-        *lane,
-        calendar.index("last_day").cast("int").alias("__day0"),
-        F.col("used_pages").cast("bigint").alias("__used0"),
-        F.col("last_rank").cast("bigint").alias("__rank0"),
-    )
+    Range partitioning on the full order cuts every day into contiguous runs
+    that fit one task. The cut is written out, because its boundaries come from
+    a sample and both passes must see the same ones.
+    """
+    cols = [F.col(c).asc_nulls_first() for c in order]
+    pieces = max(2, math.ceil(df.count() / chunk_items) * 2)
+    ranged = df.repartitionByRange(pieces, *[F.col(k).asc_nulls_first() for k in keys], *cols)
+    return materialise(ranged.withColumn(_CHUNK, F.spark_partition_id()), "chunks")
 
 
-def _workdays(spark, calendar: WorkCalendar, first=dt.date(1970, 1, 1), last=dt.date(2100, 12, 31)) -> DataFrame:
+def _workdays(
+    spark: SparkSession, calendar: WorkCalendar, first: dt.date = dt.date(1970, 1, 1), last: dt.date = dt.date(2100, 12, 31)
+) -> DataFrame:
     frame = calendar.frame(spark, first, last).filter("is_workday")
     return frame.select(F.col("workday_index").cast("int").alias("__cal_w"), F.col("day").alias("__cal_day"))
 
 
-def _chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_items: int) -> DataFrame:
-    """Number the chunks of every (lane, eligible day) and the items in them.
-
-    Small blocks are one chunk. Where a block exceeds ``chunk_items`` the whole
-    table is range partitioned on the full order, so every block is cut into
-    contiguous runs that fit one task.
-    """
-    cols = [F.col(c).asc_nulls_first() for c in order]
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("largest"), F.sum("n").alias("n"))
-    largest, rows = sizes.first()
-    if largest is None or largest <= chunk_items:
-        numbered = df.withColumn(_CHUNK, F.lit(0))
-    else:
-        pieces = max(2, math.ceil(rows / chunk_items) * 2)
-        ranged = df.repartitionByRange(pieces, *[F.col(k).asc_nulls_first() for k in keys], *cols)
-        numbered = materialise(ranged.withColumn(_CHUNK, F.spark_partition_id()), "chunks")
-    # A chunk is bounded, so this window sorts at most one chunk per group.
-    within = Window.partitionBy(*keys, _CHUNK).orderBy(*cols)
-    return numbered.withColumn(_SEQ, F.row_number().over(within).cast("bigint"))
-
-
 def last_state(assigned: DataFrame, *, pages: str, lane: Sequence[str] = (), day: str = "assigned_day", rank: str = "rank") -> DataFrame:
     """State to resume from: last used day, pages used on it and last rank."""
     per_day = assigned.groupBy(*lane, day).agg(F.sum(pages).cast("bigint").alias("p"), F.max(rank).alias("r"))
