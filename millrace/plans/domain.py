@@ -136,7 +136,7 @@ AS_OF_SQL = f"DATE '{AS_OF}'"
     m AS (SELECT order_key, line, part_key, cost, flag, ship AS entrusted,
         CASE WHEN flag <> 'A' THEN ship + INTERVAL 1 DAY END AS printed,
         CASE WHEN flag = 'N' AND line > 2 THEN ship + INTERVAL 2 DAY END AS ready,
-        CASE WHEN flag = 'N' AND line > 4 THEN ship + INTERVAL 3 DAY END AS handed_over FROM lines WHERE ship >= TIMESTAMP '2001-06-01'),
+        CASE WHEN flag = 'N' AND line > 4 THEN ship + INTERVAL 3 DAY END AS handed_over FROM lines),
     w AS (SELECT *, {WD("entrusted", AS_OF_SQL)} AS we, {WD("printed", AS_OF_SQL)} AS wp, {WD("handed_over", AS_OF_SQL)} AS wh FROM m),
     s AS (SELECT *, CASE WHEN printed IS NULL AND we >= 2 THEN 1 WHEN ready IS NULL AND wp >= 2 THEN 2
         WHEN handed_over IS NULL AND wp >= 2 THEN 3 WHEN wh >= 1 THEN 4 END AS k FROM w),
@@ -147,9 +147,8 @@ AS_OF_SQL = f"DATE '{AS_OF}'"
 )
 def stuck_stage(spark: SparkSession, folder: str) -> DataFrame:
     """Stage, priority and days over the limit of pieces stuck at the supplier."""
-    recent = lines(spark, folder).filter(F.col("ship") >= F.lit(dt.datetime(2001, 6, 1)))
     flag, line = F.col("flag"), F.col("line")
-    tracked = recent.select(
+    tracked = lines(spark, folder).select(
         F.col("ship").alias("entrusted"),
         F.when(flag != "A", dates.plus_days("ship", 1)).alias("printed"),
         F.when((flag == "N") & (line > 2), dates.plus_days("ship", 2)).alias("ready"),
@@ -553,11 +552,13 @@ def taxid_mismatch(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "k28_missing_attachment",
-    f"""WITH {LINES_SQL} SELECT supp_key, count(*) AS items FROM lines WHERE reported IS NOT NULL AND flag IN ('A', 'R') AND accepted IS NOT NULL AND line % 3 = 0 GROUP BY 1""",
+    f"""WITH {LINES_SQL} SELECT supp_key, count(*) AS items FROM lines WHERE accepted IS NOT NULL AND flag IN ('A', 'R') AND attempt IS NULL GROUP BY 1""",
 )
 def missing_attachment(spark: SparkSession, folder: str) -> DataFrame:
-    df = lines(spark, folder).withColumn("scan", F.when(F.col("line") % 3 != 0, F.col("ship")))
-    out = reports.missing_attachment(df, completed="reported", state="flag", states=["A", "R"], missing="scan", present=["accepted"])
+    """Accepted pieces without an attempt record although they were shipped."""
+    out = reports.missing_attachment(
+        lines(spark, folder), completed="accepted", state="flag", states=["A", "R"], missing="attempt", present=["ship"]
+    )
     return out.groupBy("supp_key").agg(F.count(F.lit(1)).alias("items"))
 
 
