@@ -1,10 +1,10 @@
 """Working-day calendar compiled to plain column arithmetic.
 
 A working-day count is the difference of two running indexes. The weekday part
-of the index has a closed form; holidays are kept per month as a bit mask plus
-a running count, so one lookup needs two small array reads and a bit count.
-There is no join and no Python in the plan, and days outside the holiday list
-are simply days without holidays.
+of the index has a closed form; the holidays so far are read from a small array
+with one entry per day between the first and the last holiday. There is no join
+and no Python in the plan, and days outside the holiday list are simply days
+without holidays.
 """
 
 from __future__ import annotations
@@ -50,6 +50,10 @@ def national_holidays(first_year: int, last_year: int) -> list[dt.date]:
     return sorted(days)
 
 
+# Day number of 1970-01-01 counted from 0001-01-01.
+_EPOCH = dt.date(1970, 1, 1).toordinal() - 1
+
+
 def _as_date(col: Column | str) -> Column:
     return (F.col(col) if isinstance(col, str) else col).cast("date")
 
@@ -70,83 +74,86 @@ class WorkCalendar:
     def national(cls, first_year: int, last_year: int) -> WorkCalendar:
         return cls(national_holidays(first_year, last_year))
 
-    # -- driver-side helpers, bounded by the length of the holiday list -------
-
-    def _months(self) -> tuple[int, list[int], list[int]]:
-        """First month number, holidays before each month, day mask per month."""
-        numbers = [d.year * 12 + d.month - 1 for d in self._weekday_holidays]
-        first, last = min(numbers), max(numbers)
-        masks = [0] * (last - first + 3)
-        for number, day in zip(numbers, self._weekday_holidays):
-            masks[number - first + 1] |= 1 << day.day
-        before, running = [], 0
-        for mask in masks:
-            before.append(running)
-            running += mask.bit_count()
-        return first - 1, before, masks
+    # -- driver-side helpers, bounded by the span of the holiday list ----------
 
     def _is_work(self, day: dt.date) -> bool:
         return day.weekday() < 5 and day not in self._weekday_holidays
 
-    # -- column expressions ---------------------------------------------------
+    def _spans(self) -> tuple[int, list[int], list[int]]:
+        """First day number, then per day: weekday holidays so far, days to wait.
 
-    def _slot(self, day: Column, first: int, size: int) -> Column:
-        number = F.year(day) * 12 + F.month(day) - F.lit(1 + first)
-        return F.greatest(F.lit(0), F.least(number, F.lit(size - 1)))
-
-    def _holidays_until(self, day: Column) -> Column:
-        """Weekday holidays on or before ``day``."""
+        Entry 0 is the day before the first holiday; clamping a day to the
+        table therefore counts none before it and all after it.
+        """
         if not self._weekday_holidays:
-            return F.when(day.isNotNull(), F.lit(0))
-        first, before, masks = self._months()
-        slot = self._slot(day, first, len(masks))
-        upto = F.call_function("shiftleft", F.lit(2).cast("bigint"), F.dayofmonth(day)) - F.lit(1).cast("bigint")
-        mask = F.get(F.lit(masks), slot).cast("bigint")
-        return F.get(F.lit(before), slot) + F.bit_count(mask.bitwiseAND(upto))
+            return 0, [0], [0]
+        days = [d.toordinal() - 1 for d in self._weekday_holidays]
+        first, closed = min(days) - 1, set(days)
+        counts, waits, running = [], [], 0
+        for number in range(first, max(days) + 1):
+            running += number in closed
+            counts.append(running)
+            probe = dt.date.fromordinal(number + 1)
+            wait = 0
+            while not self._is_work(probe + dt.timedelta(days=wait)):
+                wait += 1
+            waits.append(wait)
+        # After the table only weekends remain.
+        return first, [*counts, running], [*waits, 0]
 
-    def is_workday(self, day: Column | str) -> Column:
-        d = _as_date(day)
-        if not self._weekday_holidays:
-            return F.weekday(d) < 5
-        first, _, masks = self._months()
-        mask = F.get(F.lit(masks), self._slot(d, first, len(masks))).cast("bigint")
-        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.dayofmonth(d))
-        return (F.weekday(d) < 5) & (mask.bitwiseAND(bit) == 0)
+    # -- column expressions ---------------------------------------------------
+    #
+    # Each expression names its input only a few times and has no branches, so
+    # generated code stays small and common parts are computed once.
+
+    def _number(self, day: Column) -> Column:
+        """Days since 0001-01-01, a Monday."""
+        return F.unix_date(day) + F.lit(_EPOCH)
+
+    def _lookup(self, number: Column, first: int, table: list[int]) -> Column:
+        slot = F.greatest(F.least(number - F.lit(first), F.lit(len(table) - 1)), F.lit(0))
+        # One text literal instead of thousands of number literals; the optimiser
+        # folds it into a constant array.
+        folded = F.split(F.lit(",".join(map(str, table))), ",").cast("array<int>")
+        return F.get(folded, slot)
+
+    def _index(self, number: Column) -> Column:
+        first, counts, _ = self._spans()
+        weeks = F.call_function("div", number, F.lit(7)).cast("int")
+        in_week = F.get(F.lit([1, 2, 3, 4, 5, 5, 5]), F.pmod(number, F.lit(7)))
+        return weeks * 5 + in_week - self._lookup(number, first, counts)
 
     def index(self, day: Column | str) -> Column:
         """Running number of working days up to and including ``day``."""
-        d = _as_date(day)
-        # Days since a Monday; the date arithmetic keeps this an integer.
-        offset = F.datediff(d, F.lit(dt.date(1900, 1, 1)))
-        weeks = F.floor(offset / F.lit(7)).cast("int")
-        in_week = F.least(F.pmod(offset, F.lit(7)) + 1, F.lit(5))
-        return weeks * 5 + in_week - self._holidays_until(d)
+        return self._index(self._number(_as_date(day)))
+
+    def is_workday(self, day: Column | str) -> Column:
+        number = self._number(_as_date(day))
+        return self._index(number) > self._index(number - 1)
 
     def days_between(self, start: Column | str, end: Column | str) -> Column:
-        """Working days in ``(start, end]``; 0 if end precedes start, NULL on NULL."""
-        s, e = _as_date(start), _as_date(end)
-        return (
-            F.when(s.isNull() | e.isNull(), F.lit(None).cast("int"))
-            .when(e <= s, F.lit(0))
-            .otherwise((self.index(e) - self.index(s)).cast("int"))
-        )
+        """Working days in ``(start, end]``; 0 if end precedes start, NULL on NULL.
+
+        The index never falls, so an end on or before the start gives a
+        difference of at most zero.
+        """
+        return self.span(self.index(start), self.index(end))
+
+    @staticmethod
+    def span(start_index: Column, end_index: Column) -> Column:
+        """:meth:`days_between` from indexes computed before."""
+        days = end_index - start_index
+        return days * (days > 0).cast("int")
 
     def next_workday(self, day: Column | str) -> Column:
         """First working day on or after ``day``."""
         d = _as_date(day)
-        monday = F.date_add(d, F.when(F.weekday(d) >= 5, F.lit(7) - F.weekday(d)).otherwise(F.lit(0)))
-        if not self._weekday_holidays:
-            return monday
-        # Entry k holds the jump from the k-th weekday holiday to the next
-        # working day; entry 0 is never read for a holiday.
-        jumps = [0]
-        for holiday in self._weekday_holidays:
-            probe = holiday
-            while not self._is_work(probe):
-                probe += dt.timedelta(days=1)
-            jumps.append((probe - holiday).days)
-        jump = F.get(F.lit(jumps), self._holidays_until(monday).cast("int"))
-        return F.when(self.is_workday(monday), monday).otherwise(F.date_add(monday, jump.cast("int")))
+        number = self._number(d)
+        first, counts, waits = self._spans()
+        # Inside the table the wait is looked up, outside only weekends count.
+        weekend = F.get(F.lit([0, 0, 0, 0, 0, 2, 1]), F.pmod(number, F.lit(7)))
+        inside = (number >= first) & (number < first + len(counts) - 1)
+        return F.date_add(d, F.when(inside, self._lookup(number, first, waits)).otherwise(weekend))
 
     # -- as data --------------------------------------------------------------
 

@@ -7,7 +7,8 @@ eligible day. An item larger than the capacity gets a day to itself.
 
 The chain is sequential, but it need not run in one task:
 
-* The totals per (lane, eligible day) give an upper bound on the day by which
+* A lane that fits one task is folded there. For the few longer ones the totals
+  per (lane, eligible day) give an upper bound on the day by which
   the queue has drained: a day closed by an overflow holds at least capacity
   minus the largest item, plus one. Where the bound lies before the next
   eligible day, the queue provably starts afresh, so the lane is cut there.
@@ -42,6 +43,7 @@ from pyspark.sql.window import Window
 
 from millrace.functions.calendar import WorkCalendar
 from millrace.operators.joins import all_of
+from millrace.operators.ordered import split_hot
 from millrace.session import materialise
 
 # Items one task folds; a pack or chunk holds at most about twice as many.
@@ -213,21 +215,45 @@ def assign_days(
         # An item that became eligible before the last used day joins that day.
         clamped = _lane_join(base, entry, lane)
         base = clamped.withColumn(_ELIGIBLE, F.greatest(_ELIGIBLE, "__day0")).drop("__day0", "__used0", "__rank0")
+    # Lanes that fit one task need no plan; the long ones are few.
+    short, long, _ = split_hot(base, lane, chunk_items)
+    done = _fold_lanes(short, entry, lane, order, names, pages, capacity)
+    if long is not None:
+        done = done.unionByName(_assign_long(long, entry, lane, order, names, pages, capacity, chunk_items))
+    # Working-day numbers back to dates: the calendar is one small table.
+    days = F.broadcast(_workdays(df.sparkSession, calendar))
+    return done.join(days, F.col(_AT) == F.col("__cal_w"), "left").select(
+        *names, F.col("__cal_day").alias(day), F.col(_RANK).alias(rank)
+    )
+
+
+def _assign_long(
+    base: DataFrame, entry: DataFrame | None, lane: list[str], order: Sequence[str], names: list[str], pages: str, capacity: int, chunk_items: int
+) -> DataFrame:
     packs = _packs(base, entry, lane, pages, capacity, chunk_items)
     known = packs.select(
         *[F.col(c).alias(f"__p_{c}") for c in [*lane, _ELIGIBLE]], _SEGMENT, _PACK, "__heavy", "__base", "__day0", "__used0"
     )
     on = all_of([F.col(c).eqNullSafe(F.col(f"__p_{c}")) for c in [*lane, _ELIGIBLE]])
     items = base.join(known, on, "inner").drop(*[f"__p_{c}" for c in [*lane, _ELIGIBLE]])
-    done = _fold_packs(items.filter(~F.col("__heavy")), lane, order, names, pages, capacity)
+    done = _fold_packs(items.filter(~F.col("__heavy")), [*lane, _PACK], order, names, pages, capacity)
     if packs.filter("__heavy").limit(1).count():
         heavy = items.filter("__heavy")
         done = done.unionByName(_deal_chunks(heavy, lane, order, names, pages, capacity, chunk_items))
-    # Working-day numbers back to dates: the calendar is one small table.
-    days = F.broadcast(_workdays(df.sparkSession, calendar))
-    return done.join(days, F.col(_AT) == F.col("__cal_w"), "left").select(
-        *names, F.col("__cal_day").alias(day), F.col(_RANK).alias(rank)
-    )
+    return done
+
+
+def _fold_lanes(
+    base: DataFrame, entry: DataFrame | None, lane: list[str], order: Sequence[str], names: list[str], pages: str, capacity: int
+) -> DataFrame:
+    """Lanes of bounded size, one task each, from the saved state if any."""
+    if entry is None:
+        null = F.lit(None)
+        ready = base.withColumns({"__day0": null.cast("int"), "__used0": F.lit(0).cast("bigint"), "__base": F.lit(0).cast("bigint")})
+    else:
+        ready = _lane_join(base, entry, lane).withColumn("__base", F.coalesce("__rank0", F.lit(0)))
+        ready = ready.withColumn("__used0", F.coalesce("__used0", F.lit(0)))
+    return _fold_packs(ready, lane, order, names, pages, capacity)
 
 
 def _lane_join(df: DataFrame, known: DataFrame, lane: Sequence[str]) -> DataFrame:
@@ -294,7 +320,7 @@ def _result_schema(df: DataFrame, names: Sequence[str]) -> T.StructType:
     return T.StructType([*fields, T.StructField(_AT, T.IntegerType()), T.StructField(_RANK, T.LongType())])
 
 
-def _fold_packs(items: DataFrame, lane: list[str], order: Sequence[str], names: list[str], pages: str, capacity: int) -> DataFrame:
+def _fold_packs(items: DataFrame, group: list[str], order: Sequence[str], names: list[str], pages: str, capacity: int) -> DataFrame:
     by = [_ELIGIBLE, *order]
 
     def fold(table: pa.Table) -> pa.Table:
@@ -305,7 +331,7 @@ def _fold_packs(items: DataFrame, lane: list[str], order: Sequence[str], names:
         rank = np.arange(1, table.num_rows + 1) + table.column("__base")[0].as_py()
         return _with_result(table, at, rank, names)
 
-    return items.groupBy(*lane, _PACK).applyInArrow(fold, _result_schema(items, names))
+    return items.groupBy(*group).applyInArrow(fold, _result_schema(items, names))
 
 
 def _deal_chunks(

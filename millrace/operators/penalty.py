@@ -37,10 +37,20 @@ def delivery_start(accepted: str, handed_over: str, discard_state: str | None =
     return F.when(both & (F.col(discard_state) == keep), F.col(accepted)).otherwise(soonest)
 
 
-def delivery_days(
-    calendar: WorkCalendar, accepted: str, handed_over: str, attempt: str, discard_state: str | None = None
-) -> Column:
-    return calendar.days_between(delivery_start(accepted, handed_over, discard_state), attempt)
+def with_delivery_days(
+    df: DataFrame,
+    calendar: WorkCalendar,
+    *,
+    accepted: str,
+    handed_over: str,
+    attempt: str,
+    discard_state: str | None = None,
+    start: str = "start",
+    days: str = "days",
+) -> DataFrame:
+    """Add the start and the working days of the delivery."""
+    started = df.withColumn(start, delivery_start(accepted, handed_over, discard_state))
+    return started.withColumn(days, calendar.days_between(start, attempt))
 
 
 def within(days: Column | str, allowed: Column | str) -> Column:
@@ -204,8 +214,24 @@ def packet_kind(final: str = "fine_recapito_stato") -> Column:
     return F.when(F.col(final).isin(presets.PACKET_CLOSED), "plico").otherwise("no_plico")
 
 
-def reporting_days(calendar: WorkCalendar, cols: Mapping[str, str] | None = None) -> Column:
-    """Days between attempt and report, in one of three spans.
+# Use case name of each reporting case.
+USE_CASES = {
+    1: "consegna_mancata_consegna_irreperibilita",
+    2: "giacenza_890_chiusura_post_rend_RECAG012",
+    3: "giacenza_890_chiusura_pre_rend_RECAG012",
+    4: "giacenza_890_chiusura_senza_RECAG012",
+    5: "giacenza_AR_RS",
+    6: "giacenza_AR_RS",
+    7: "giacenza_890_chiusura_post_rend_RECAG012",
+    8: "compiuta_giacenza_890_pre_rend_RECAG012",
+    9: "anomalia_compiuta_giacenza_890_senza_RECAG012",
+}
+
+
+def with_reporting_delay(
+    df: DataFrame, calendar: WorkCalendar, cols: Mapping[str, str] | None = None, spent: str = "spent"
+) -> DataFrame:
+    """Add the days between attempt and report, in one of three spans.
 
     Stored items certified after the storage notice was reported: attempt to
     notice plus certification to report. Completed storage certified before
@@ -215,71 +241,96 @@ def reporting_days(calendar: WorkCalendar, cols: Mapping[str, str] | None = None
     """
     names = {**REPORTING_COLUMNS, **(cols or {})}
     c = {k: F.col(v) for k, v in names.items()}
-    split = c["final"].isin(presets.STORAGE_890_CLOSED) & (c["certified"] > c["notice_reported"])
-    to_later = (c["final"] == "RECAG008C") & (c["certified"] <= c["notice_reported"])
-    later = F.greatest(c["final_reported"], c["notice_reported"])
-
-    def spans(days) -> Column:
-        return first_match(
-            [
-                (split, days(c["attempt"], c["notice_reported"]) + days(c["certified"], c["final_reported"])),
-                (to_later, days(c["attempt"], later)),
-            ],
-            days(c["attempt"], c["final_reported"]),
-        )
-
-    working = (packet_kind(names["final"]) == "no_plico") & (c["in_workdays"] == 1)
-    return F.when(working, spans(calendar.days_between)).otherwise(spans(lambda a, b: F.datediff(b, a)))
-
+    # Working-day indexes and tests once per row; all spans are differences.
+    dated = ("attempt", "notice_reported", "certified", "final_reported")
+    prepared = df.withColumns(
+        {
+            **{f"__w_{d}": calendar.index(names[d]) for d in dated},
+            "__packet": packet_kind(names["final"]) == "plico",
+            "__split": c["final"].isin(presets.STORAGE_890_CLOSED) & (c["certified"] > c["notice_reported"]),
+            "__to_later": (c["final"] == "RECAG008C") & (c["certified"] <= c["notice_reported"]),
+        }
+    )
+    w = {d: F.col(f"__w_{d}") for d in dated}
+    split, to_later = F.col("__split"), F.col("__to_later")
+    until = F.when(to_later, F.greatest(c["final_reported"], c["notice_reported"])).otherwise(c["final_reported"])
+    w_until = F.when(to_later, F.greatest(w["final_reported"], w["notice_reported"])).otherwise(w["final_reported"])
+    calendar_days = F.when(
+        split, F.datediff(c["notice_reported"], c["attempt"]) + F.datediff(c["final_reported"], c["certified"])
+    ).otherwise(F.datediff(until, c["attempt"]))
+    working_days = F.when(
+        split, calendar.span(w["attempt"], w["notice_reported"]) + calendar.span(w["certified"], w["final_reported"])
+    ).otherwise(calendar.span(w["attempt"], w_until))
+    in_working = ~F.col("__packet") & (c["in_workdays"] == 1)
+    out = prepared.withColumn(spent, F.when(in_working, working_days).otherwise(calendar_days))
+    return out.drop(*[f"__w_{d}" for d in dated], "__packet", "__split", "__to_later")
+
+
+def with_reporting_lateness(
+    df: DataFrame,
+    calendar: WorkCalendar,
+    cols: Mapping[str, str] | None = None,
+    *,
+    spent: str = "spent",
+    late: str = "report_late",
+    use_case: str = "use_case",
+) -> DataFrame:
+    """Add days beyond the allowance of the first matching case, and its name.
 
-def _reporting_cases(cols: Mapping[str, str] | None) -> list[tuple[Column, str, str]]:
-    """Ordered cases: (condition, kind of allowance, use case)."""
-    names = {**REPORTING_COLUMNS, **(cols or {})}
-    c = {k: F.col(v) for k, v in names.items()}
-    packet = packet_kind(names["final"]) == "plico"
-    loose = ~packet
-    stored = c["final"].isin(presets.STORAGE_890_CLOSED)
-    after = c["certified"] > c["notice_reported"]
-    before = c["certified"] <= c["notice_reported"]
-    no_notice = c["notice_reported"].isNull()
-    held = c["final"].isin(presets.STORAGE_AR_RS_CLOSED)
-    full_term = c["final"] == "RECAG008C"
-    # Use case names.
-    return [
-        (c["final"].isin(presets.DIRECT_CLOSED) & loose, "lot", "consegna_mancata_consegna_irreperibilita"),
-        (stored & after & packet, "packet+notice", "giacenza_890_chiusura_post_rend_RECAG012"),
-        (stored & ~full_term & before & loose, "span+lot", "giacenza_890_chiusura_pre_rend_RECAG012"),
-        (stored & no_notice & loose, "span+lot", "giacenza_890_chiusura_senza_RECAG012"),
-        (held & packet, "calendar+packet", "giacenza_AR_RS"),
-        (held & loose, "span+lot", "giacenza_AR_RS"),
-        (stored & after & loose, "notice+lot", "giacenza_890_chiusura_post_rend_RECAG012"),
-        (full_term & before & packet, "calendar+packet", "compiuta_giacenza_890_pre_rend_RECAG012"),
-        (full_term & no_notice & packet, "calendar+packet", "anomalia_compiuta_giacenza_890_senza_RECAG012"),
-    ]
-
-
-def reporting_lateness(calendar: WorkCalendar, spent: str, cols: Mapping[str, str] | None = None) -> Column:
-    """Reporting days beyond the allowance of the first matching case, >= 0."""
+    The nine cases look at the outcome code, whether a packet is needed and
+    how certification and storage notice follow each other. An unmeasured or
+    negative delay counts as none.
+    """
     names = {**REPORTING_COLUMNS, **(cols or {})}
     c = {k: F.col(v) for k, v in names.items()}
-    calendar_span = F.datediff(c["final_day"], c["attempt"])
-    working_span = calendar.days_between(c["attempt"], c["final_day"])
-    # The working-day form applies only where the flag is true.
-    span = F.when(c["in_workdays"].cast("boolean"), working_span).otherwise(calendar_span)
-    allowed = {
-        "lot": c["allowance"],
-        "packet+notice": F.lit(presets.PACKET_DAYS + presets.STORAGE_NOTICE_DAYS),
-        "span+lot": span + c["allowance"],
-        "calendar+packet": calendar_span + F.lit(presets.PACKET_DAYS),
-        "notice+lot": F.lit(presets.STORAGE_NOTICE_DAYS) + c["allowance"],
-    }
-    late = first_match([(cond, F.col(spent) - allowed[kind]) for cond, kind, _ in _reporting_cases(cols)])
-    # greatest skips NULL: an unmeasured delay counts as no delay.
-    return F.greatest(late.cast("int"), F.lit(0))
-
-
-def reporting_use_case(cols: Mapping[str, str] | None = None) -> Column:
-    return first_match([(cond, name) for cond, _, name in _reporting_cases(cols)])
+    packet, kase = F.col("__packet"), F.col("__case")
+    prepared = df.withColumns(
+        {
+            "__packet": packet_kind(names["final"]) == "plico",
+            "__stored": c["final"].isin(presets.STORAGE_890_CLOSED),
+            "__held": c["final"].isin(presets.STORAGE_AR_RS_CLOSED),
+            "__full": c["final"] == "RECAG008C",
+            "__after": c["certified"] > c["notice_reported"],
+            "__calendar": F.datediff(c["final_day"], c["attempt"]),
+            "__working": calendar.days_between(c["attempt"], c["final_day"]),
+        }
+    )
+    stored, full, after = F.col("__stored"), F.col("__full"), F.col("__after")
+    before, no_notice = ~after, c["notice_reported"].isNull()
+    numbered = prepared.withColumn(
+        "__case",
+        first_match(
+            [
+                (c["final"].isin(presets.DIRECT_CLOSED) & ~packet, 1),
+                (stored & after & packet, 2),
+                (stored & ~full & before & ~packet, 3),
+                (stored & no_notice & ~packet, 4),
+                (F.col("__held") & packet, 5),
+                (F.col("__held") & ~packet, 6),
+                (stored & after & ~packet, 7),
+                (full & before & packet, 8),
+                (full & no_notice & packet, 9),
+            ]
+        ),
+    )
+    span = F.when(c["in_workdays"].cast("boolean"), F.col("__working")).otherwise(F.col("__calendar"))
+    allowed = first_match(
+        [
+            (kase == 1, c["allowance"]),
+            (kase == 2, F.lit(presets.PACKET_DAYS + presets.STORAGE_NOTICE_DAYS)),
+            (kase.isin(3, 4, 6), span + c["allowance"]),
+            (kase.isin(5, 8, 9), F.col("__calendar") + presets.PACKET_DAYS),
+            (kase == 7, c["allowance"] + presets.STORAGE_NOTICE_DAYS),
+        ]
+    )
+    result = numbered.withColumns(
+        {
+            # greatest skips NULL.
+            late: F.greatest((F.col(spent) - allowed).cast("int"), F.lit(0)),
+            use_case: first_match([(kase == number, name) for number, name in USE_CASES.items()]),
+        }
+    )
+    return result.drop("__packet", "__stored", "__held", "__full", "__after", "__calendar", "__working", "__case")
 
 
 # -- older tender: lateness in hours, shares with a quota ----------------------

@@ -67,19 +67,22 @@ def stuck_stage(
     waiting = {
         start: calendar.days_between(cols[start], as_of) for start in dict.fromkeys(s for _, _, s, _, _ in stages)
     }
-    df = df.withColumns({f"__d_{start}": days for start, days in waiting.items()})
-    tests = [
-        (F.col(cols[missing]).isNull() & (F.col(f"__d_{start}") >= allowed), label, start, allowed, priority)
-        for label, missing, start, allowed, priority in stages
-    ]
+    timed = df.withColumns({f"__d_{start}": days for start, days in waiting.items()})
+    rules = []
+    for label, missing, start, allowed, priority in stages:
+        days = F.col(f"__d_{start}")
+        found = F.struct(
+            F.lit(label).alias("stage"),
+            F.lit(priority).alias("priority"),
+            days.alias("waiting_days"),
+            (days - allowed).alias("excess_days"),
+        )
+        rules.append((F.col(cols[missing]).isNull() & (days >= allowed), F.when(days > allowed, F.array(found))))
+    # Exploding at most one stage per item drops the others without a filter
+    # that would repeat the day counts below the projection.
     return (
-        df.withColumn("stage", first_match([(t, label) for t, label, *_ in tests]))
-        .filter(F.col("stage").isNotNull())
-        .withColumn("priority", first_match([(F.col("stage") == label, p) for _, label, _, _, p in tests]))
-        .withColumn("waiting_days", first_match([(F.col("stage") == label, F.col(f"__d_{s}")) for _, label, s, _, _ in tests]))
-        .withColumn("excess_days", F.col("waiting_days") - first_match([(F.col("stage") == label, a) for _, label, _, a, _ in tests]))
-        .filter(F.col("excess_days") > 0)
-        .drop(*[f"__d_{start}" for start in waiting])
+        timed.withColumn("__s", F.explode(first_match(rules)))
+        .select(*df.columns, "__s.*")
     )
 
 

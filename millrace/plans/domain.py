@@ -779,7 +779,8 @@ def area_coverage(spark: SparkSession, folder: str) -> DataFrame:
 def item_table(spark: SparkSession, folder: str) -> DataFrame:
     df = lines(spark, folder)
     line, flag = F.col("line"), F.col("flag")
-    stem = first_match([(flag == "A", F.concat(F.lit("RECAG00"), line.cast("string")))], F.concat(F.lit("RECRN00"), line.cast("string")))
+    df = df.withColumn("stem", F.concat(F.when(flag == "A", "RECAG00").otherwise("RECRN00"), line.cast("string")))
+    stem = F.col("stem")
     scanned = F.when(F.col("part_key") % 4 > 0, F.concat(stem, F.lit("B")))
     final = F.when(F.col("attempt").isNotNull(), F.concat(stem, F.lit("C")))
     certified = F.when(F.col("supp_key") % 9 > 0, F.concat(stem, F.lit("A")))

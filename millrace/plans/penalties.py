@@ -84,8 +84,8 @@ START_SQL = "CASE WHEN accepted IS NULL THEN ship + INTERVAL 1 DAY ELSE least(ac
     SELECT supp_key, {WD("start", "attempt")} AS days, count(*) AS items FROM s GROUP BY 1, 2""",
 )
 def delivery_time(spark: SparkSession, folder: str) -> DataFrame:
-    days = penalty.delivery_days(CALENDAR, "accepted", "ship", "attempt").alias("days")
-    return lines(spark, folder).select("supp_key", days).groupBy("supp_key", "days").agg(F.count(F.lit(1)).alias("items"))
+    timed = penalty.with_delivery_days(lines(spark, folder), CALENDAR, accepted="accepted", handed_over="ship", attempt="attempt")
+    return timed.groupBy("supp_key", "days").agg(F.count(F.lit(1)).alias("items"))
 
 
 # Offered days on the stand-in: (lots, product, zones, days).
@@ -137,10 +137,9 @@ def timed_pieces(spark: SparkSession, folder: str) -> DataFrame:
     """Pieces with delivery days, offers, verdicts and lateness."""
     where = {"lot": "lot", "product": "product", "zone": "zone"}
     return (
-        pieces(spark, folder)
+        penalty.with_delivery_days(pieces(spark, folder), CALENDAR, accepted="accepted", handed_over="ship", attempt="attempt")
         .withColumns(
             {
-                "days": penalty.delivery_days(CALENDAR, "accepted", "ship", "attempt"),
                 "standard": penalty.offer_days(STANDARD, relaxed=RELAXED, **where),
                 "improved": penalty.offer_days(IMPROVED, relaxed=RELAXED, **where),
             }
@@ -362,8 +361,8 @@ spent AS (SELECT *, CASE WHEN NOT packet AND working = 1 THEN {_spans(WD)} ELSE
     SELECT final, spent, count(*) AS items FROM spent GROUP BY ALL""",
 )
 def reporting_delay(spark: SparkSession, folder: str) -> DataFrame:
-    spent = penalty.reporting_days(CALENDAR, REPORT_COLS).alias("spent")
-    return reported_pieces(spark, folder).select("final", spent).groupBy("final", "spent").agg(F.count(F.lit(1)).alias("items"))
+    delayed = penalty.with_reporting_delay(reported_pieces(spark, folder), CALENDAR, REPORT_COLS)
+    return delayed.groupBy("final", "spent").agg(F.count(F.lit(1)).alias("items"))
 
 
 _DIRECT = "('RECRS001C','RECRS002C','RECRS002F','RECRN001C','RECRN002C','RECRN002F','RECAG001C','RECAG002C','RECAG003C','RECAG003F','RECRI003C','RECRI004C','RECRSI003C','RECRSI004C')"
@@ -390,8 +389,8 @@ late_report AS (
 
 
 def late_reports(spark: SparkSession, folder: str) -> DataFrame:
-    spent = reported_pieces(spark, folder).withColumn("spent", penalty.reporting_days(CALENDAR, REPORT_COLS))
-    return spent.withColumn("report_late", penalty.reporting_lateness(CALENDAR, "spent", REPORT_COLS))
+    spent = penalty.with_reporting_delay(reported_pieces(spark, folder), CALENDAR, REPORT_COLS)
+    return penalty.with_reporting_lateness(spent, CALENDAR, REPORT_COLS)
 
 
 @query(
@@ -404,8 +403,7 @@ def late_reports(spark: SparkSession, folder: str) -> DataFrame:
       report_late, count(*) AS items FROM late_report GROUP BY ALL""",
 )
 def reporting_lateness(spark: SparkSession, folder: str) -> DataFrame:
-    labelled = late_reports(spark, folder).withColumn("use_case", penalty.reporting_use_case(REPORT_COLS))
-    return labelled.groupBy("use_case", "report_late").agg(F.count(F.lit(1)).alias("items"))
+    return late_reports(spark, folder).groupBy("use_case", "report_late").agg(F.count(F.lit(1)).alias("items"))
 
 
 @query(

@@ -16,6 +16,9 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The JIT skips methods above 8000 bytes; beyond that size separate
+    # per-operator code is faster than one fused method.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
