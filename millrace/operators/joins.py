@@ -17,6 +17,8 @@ from millrace.operators.ordered import HOT_ROWS, Running, running
 
 # A rule or interval table above this many rows is joined by shuffle instead.
 BROADCAST_ROWS = 100_000
+# Spans of one key a probe may compare one by one.
+SPANS_PER_KEY = 64
 
 
 def all_of(conditions: Sequence[Column]) -> Column:
@@ -78,7 +80,8 @@ def not_in(df: DataFrame, key: str, other: DataFrame, other_key: str, null_aware
 
 def only_in(df: DataFrame, key: str, other: DataFrame, other_key: str) -> DataFrame:
     """``key IN (SELECT other_key ...)`` as a semi join."""
-    keys = other.select(F.col(other_key).alias("__k"))
+    # Distinct combines map-side, so a key repeated very often stays cheap.
+    keys = other.select(F.col(other_key).alias("__k")).filter(F.col("__k").isNotNull()).distinct()
     return df.join(keys, df[key] == F.col("__k"), "left_semi")
 
 
@@ -117,42 +120,38 @@ def rule_join(
     rule end), both ends included. Among the matches the rule with the most
     filled wildcard columns wins, then the smallest ``rule_id``.
 
-    A fact row must not meet its rules one by one: with a wildcard in the
-    table that is a nested loop. Instead every distinct combination of the
-    categorical columns that occurs in the data is resolved once against the
-    rules, giving an ordered rule list per combination; facts then equi-join
-    that list and pick the first rule whose dates fit.
+    A join condition with OR would compare every fact with every rule and
+    repeat facts that match several. Instead the rules become one list per
+    equality key, sorted from best to worst; facts equi-join that list (the
+    rule table is small, so it is broadcast below a checked size) and take the
+    first entry that fits. Facts are read once and stay one row each.
     """
-    cats = [*equal, *wildcard]
-    combos = df.select(*cats).distinct()
     tagged = rules.select(*[F.col(c).alias(f"__r_{c}") for c in rules.columns])
-    cond = all_of(
-        [F.col(f) == F.col(f"__r_{r}") for f, r in equal.items()]
-        + [(F.col(f) == F.col(f"__r_{r}")) | F.col(f"__r_{r}").isNull() for f, r in wildcard.items()]
-    )
     filled = [F.when(F.col(f"__r_{r}").isNotNull(), 1).otherwise(0) for r in wildcard.values()]
     score = reduce(lambda a, b: a + b, filled, F.lit(0))
-    entry = [(-score).alias("s"), F.col(f"__r_{rule_id}").alias("id")]
+    entry = [(-score).alias("__score"), F.col(f"__r_{rule_id}").alias("__id")]
+    entry += [F.col(f"__r_{r}").alias(f"__w_{r}") for r in wildcard.values()]
     if between:
-        entry += [F.col(f"__r_{between[1]}").alias("lo"), F.col(f"__r_{between[2]}").alias("hi")]
+        entry += [F.col(f"__r_{between[1]}").alias("__lo"), F.col(f"__r_{between[2]}").alias("__hi")]
     entry += [F.col(f"__r_{v}").alias(v) for v in values]
-    lists = (
-        combos.join(hinted(tagged), cond, "inner")
-        .groupBy(*cats)
-        .agg(F.array_sort(F.collect_list(F.struct(*entry))).alias("__rules"))
-        .select(*[F.col(c).alias(f"__c_{c}") for c in cats], "__rules")
+    lists = tagged.groupBy(*[f"__r_{r}" for r in equal.values()]).agg(
+        F.array_sort(F.collect_list(F.struct(*entry))).alias("__rules")
     )
-    joined = df.join(lists, all_of([F.col(c).eqNullSafe(F.col(f"__c_{c}")) for c in cats]), "left")
-    if between:
-        t = F.col(between[0])
-        fits = F.filter("__rules", lambda r: (t >= r["lo"]) & (t <= r["hi"]))
-    else:
-        fits = F.col("__rules")
-    best = F.get(fits, F.lit(0))
+    cond = all_of([F.col(f) == F.col(f"__r_{r}") for f, r in equal.items()])
+    joined = df.join(hinted(lists) if is_small(tagged) else lists, cond, "left")
+
+    def fits(rule: Column) -> Column:
+        tests = [rule[f"__w_{r}"].isNull() | (rule[f"__w_{r}"] == F.col(f)) for f, r in wildcard.items()]
+        if between:
+            t = F.col(between[0])
+            tests.append((t >= rule["__lo"]) & (t <= rule["__hi"]))
+        return all_of(tests)
+
+    best = F.get(F.filter("__rules", fits), F.lit(0))
     return (
         joined.withColumn("__best", best)
         .withColumns({v: F.col(f"__best.{v}") for v in values})
-        .drop("__best", "__rules", *[f"__c_{c}" for c in cats])
+        .drop("__best", "__rules", *[f"__r_{r}" for r in equal.values()])
     )
 
 
@@ -203,6 +202,11 @@ def _blocks(level: int, start: Column, stop: Column) -> Column:
     return F.when(start < stop, made.cast("array<struct<level:int,block:bigint>>")).otherwise(none)
 
 
+def _widest(df: DataFrame, keys: Sequence[str]) -> int:
+    """Most rows any key has."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+
+
 def interval_join(
     points: DataFrame,
     spans: DataFrame,
@@ -215,8 +219,8 @@ def interval_join(
 ) -> DataFrame:
     """Inner join of ``points`` with the spans valid at ``at``: start <= at < end.
 
-    A small span table is broadcast and filtered on the fly. A large one is cut
-    into disjoint time blocks of a few fixed widths; a point looks up the one
+    A small span table with few spans per key is broadcast and filtered on the
+    fly. Any other is cut into disjoint time blocks of a few fixed widths; a point looks up the one
     block per width that holds it. That turns the range condition into an
     equality, so a key with many points and many spans never compares all
     pairs: a row pair meets once, in the block that both share.
@@ -227,7 +231,7 @@ def interval_join(
     inside = (F.col(at) >= F.col(f"__s_{start}")) & (F.col(at) < F.col(f"__s_{end}"))
     shared = [c for c in span_cols if c not in points.columns]
     keep = [*[F.col(c) for c in points.columns], *[F.col(f"__s_{c}").alias(c) for c in shared]]
-    if is_small(tagged, broadcast_rows):
+    if is_small(tagged, broadcast_rows) and _widest(tagged, [f"__s_{s}" for s in on.values()]) <= SPANS_PER_KEY:
         return points.join(F.broadcast(tagged), all_of(cond) & inside, "inner").select(*keep)
     # Whole seconds decide the block; the exact condition settles the rest.
     lo = F.unix_seconds(F.col(f"__s_{start}").cast("timestamp"))

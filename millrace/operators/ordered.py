@@ -102,10 +102,16 @@ def _matches(keys: Sequence[dict], group: Sequence[str]) -> Column:
 
 
 def split_hot(df: DataFrame, group: Sequence[str], hot_rows: int) -> tuple[DataFrame, DataFrame | None, int]:
-    """(ordinary rows, hot rows or None, number of hot rows)."""
+    """(ordinary rows, hot rows or None, number of hot rows).
+
+    With hot groups the frame is written out first: the ordinary part, the
+    sample that finds the piece boundaries and the pieces all read it, and what
+    leads up to it should not run again for each.
+    """
     keys = hot_groups(df, group, hot_rows)
     if not keys:
         return df, None, 0
+    df = materialise(df, "grouped")
     total = sum(k["__n"] for k in keys)
     if not group:
         return df.filter(F.lit(False)), df, total

@@ -26,11 +26,13 @@ def card_to_long(
     bands: Sequence[tuple[int, int, int]] = presets.WEIGHT_BANDS,
     suffixes: Sequence[str] = BAND_SUFFIXES,
     fields: Mapping[str, str] | None = None,
+    amounts: Sequence[str] = ("costo_plico", "costo_foglio", "costo_demat"),
 ) -> DataFrame:
     """Wide rate card (one row per postcode) to one row per product and band.
 
     Columns are named ``<product>_<suffix>``. ``fields`` maps output names to
-    the suffixes of the per-product columns.
+    the suffixes of the per-product columns; those in ``amounts`` and all band
+    prices are decimal-comma texts and become whole cents.
     """
     names = fields or {
         "recapitista": "Recapitista",
@@ -44,10 +46,20 @@ def card_to_long(
     def source(product: str, suffix: str) -> Column:
         return F.col(f"`{present[f'{product}_{suffix}']}`").cast("string")
 
+    # Amounts become cents before the rows are multiplied, once per card cell.
+    priced = card.withColumns(
+        {
+            f"__{p}_{s}": decimal_comma_cents(source(p, s))
+            for p in products
+            for s in [*[v for k, v in names.items() if k in amounts], *suffixes]
+        }
+    )
     rows = []
     for product in products:
-        per_product = [source(product, s).alias(n) for n, s in names.items()]
-        base = source(product, suffixes[0])
+        per_product = [
+            (F.col(f"__{product}_{s}") if n in amounts else source(product, s)).alias(n) for n, s in names.items()
+        ]
+        base = F.col(f"__{product}_{suffixes[0]}")
         for (_, low, high), suffix in zip(bands, suffixes):
             rows.append(
                 F.struct(
@@ -55,11 +67,11 @@ def card_to_long(
                     *per_product,
                     F.lit(low).alias("min"),
                     F.lit(high).alias("max"),
-                    source(product, suffix).alias("costo"),
+                    F.col(f"__{product}_{suffix}").alias("costo"),
                     base.alias("costo_base_20gr"),
                 )
             )
-    long = card.select(postcode(key).alias(key), F.explode(F.array(*rows)).alias("r"))
+    long = priced.select(postcode(key).alias(key), F.explode(F.array(*rows)).alias("r"))
     return long.select(key, "r.*").withColumn("recapitista", F.trim("recapitista"))
 
 
@@ -72,9 +84,8 @@ def price_zones(
     country: str = "countryIt",
     start: str,
     end: str,
-    amounts: Sequence[str] = ("costo_plico", "costo_foglio", "costo_demat", "costo", "costo_base_20gr"),
 ) -> DataFrame:
-    """Replace zones by countries, rename products abroad, amounts to cents."""
+    """Replace zones by countries and rename the products sold abroad."""
     z = zones.select(F.col(zone).alias("__zone"), F.col(country).alias("__country"))
     joined = long.join(z, F.col(key) == F.col("__zone"), "left")
     abroad = F.col("__country").isNotNull()
@@ -85,7 +96,6 @@ def price_zones(
         joined.withColumn("geokey", F.coalesce("__country", key))
         .withColumn("product", renamed)
         .filter(F.col("product").isNotNull())
-        .withColumns({a: decimal_comma_cents(a) for a in amounts})
         .withColumns({"startDate": F.lit(start), "endDate": F.lit(end)})
         .drop("__zone", "__country", key)
     )
@@ -172,7 +182,7 @@ def reconcile(expected: DataFrame, found: DataFrame, on: Mapping[str, str]) -> t
         part = F.col(f) == F.col(f"__e_{e}")
         cond = part if cond is None else cond & part
     matched = found.join(left, cond, "left_semi")
-    right = found.select(*[F.col(f).alias(f"__f_{f}") for f in on.values()])
+    right = found.select(*[F.col(f).alias(f"__f_{f}") for f in on.values()]).distinct()
     anti = None
     for e, f in on.items():
         part = F.col(e) == F.col(f"__f_{f}")

@@ -123,7 +123,7 @@ def full_outer(spark: SparkSession, folder: str) -> DataFrame:
 )
 def left_anti(spark: SparkSession, folder: str) -> DataFrame:
     """Orders without any returned line."""
-    returned = load(spark, folder, "lineitem").filter(F.col("l_returnflag") == "R").select(F.col("l_orderkey").alias("o_orderkey"))
+    returned = load(spark, folder, "lineitem").filter(F.col("l_returnflag") == "R").select(F.col("l_orderkey").alias("o_orderkey")).distinct()
     return load(spark, folder, "orders").select("o_orderkey", "o_orderstatus").join(returned, "o_orderkey", "left_anti")
 
 
