@@ -97,14 +97,22 @@ def rekey_to_root(df: DataFrame, parents: DataFrame, *, key: str, child: str, ro
     ).agg(*[F.sum(m).alias(m) for m in measures])
 
 
-def overlapping_clusters(df: DataFrame, clusters: Mapping[str, Column], aggs: Sequence[Column], out: str = "cluster") -> DataFrame:
+def overlapping_clusters(
+    df: DataFrame, clusters: Mapping[str, Column], measures: Mapping[str, Column], out: str = "cluster"
+) -> DataFrame:
     """Counts per cluster where a row may belong to several clusters.
 
-    Each row is exploded into the clusters it belongs to, so the input is read
-    once however many clusters there are.
+    Every (cluster, measure) pair is one conditional count of a single ungrouped
+    aggregate, so the input is read once, no row is multiplied and each map
+    task sends one row. The wide result is then turned into one row per cluster.
     """
-    member = F.array_compact(F.array(*[F.when(cond, F.lit(name)) for name, cond in clusters.items()]))
-    return df.withColumn(out, F.explode(member)).groupBy(out).agg(*aggs)
+    counts = [F.count_if(c & m).alias(f"{i}_{name}") for i, c in enumerate(clusters.values()) for name, m in measures.items()]
+    wide = df.agg(*counts)
+    rows = [
+        F.struct(F.lit(label).alias(out), *[F.col(f"{i}_{name}").alias(name) for name in measures])
+        for i, label in enumerate(clusters)
+    ]
+    return wide.select(F.inline(F.array(*rows)))
 
 
 def population_flags(events: DataFrame, key: Sequence[str], kind: str, populations: Mapping[str, Sequence[str]]) -> DataFrame:

@@ -124,10 +124,10 @@ def _transfer(pages: np.ndarray, capacity: int) -> list[tuple[int, int, int, int
     return rows
 
 
-def _step(rows: Sequence, used: int) -> tuple[int, int]:
-    starts = [r[0] for r in rows]
-    row = rows[int(np.searchsorted(starts, used, side="right")) - 1]
-    return int(row[1]), int(row[2]) + (used if row[3] else 0)
+def _step(rows: Sequence[tuple[int, int, int, int]], used: int) -> tuple[int, int]:
+    """(days opened, fill at the end) for an entry fill."""
+    _, opened, fill, slope = [row for row in rows if row[0] <= used][-1]
+    return opened, fill + (used if slope else 0)
 
 
 def _deal(pages: np.ndarray, capacity: int, used: int) -> np.ndarray:
@@ -347,17 +347,18 @@ def _deal_chunks(
         [
             *key_fields,
             *[chunks.schema[c] for c in extra],
-            T.StructField("items", T.LongType()),
-            T.StructField("steps", T.ArrayType(T.ArrayType(T.LongType()))),
+            *[T.StructField(c, T.LongType()) for c in ("items", "from_fill", "opened", "end_fill", "slope")],
         ]
     )
 
     def summarise(table: pa.Table) -> pa.Table:
         table = _sorted(table, order)
-        steps = [[int(v) for v in row] for row in _transfer(_numbers(table, pages), capacity)]
-        one = table.slice(0, 1).select([*by_chunk, *extra])
-        one = one.append_column("items", pa.array([table.num_rows], pa.int64()))
-        return one.append_column("steps", pa.array([steps], pa.list_(pa.list_(pa.int64()))))
+        steps = np.array(_transfer(_numbers(table, pages), capacity), dtype=np.int64)
+        out = table.select([*by_chunk, *extra]).take(pa.array(np.zeros(len(steps), dtype=np.int64)))
+        out = out.append_column("items", pa.array(np.full(len(steps), table.num_rows), pa.int64()))
+        for i, name in enumerate(("from_fill", "opened", "end_fill", "slope")):
+            out = out.append_column(name, pa.array(steps[:, i], pa.int64()))
+        return out
 
     slim = chunks.select(*dict.fromkeys([*by_chunk, *extra, *order, pages]))
     transfers = slim.groupBy(*by_chunk).applyInArrow(summarise, transfer_schema)
@@ -372,24 +373,32 @@ def _deal_chunks(
     width, lead = len(by_chunk), len(lane) + 1
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, at, used, before = None, 0, 0, 0
+        # Rows come chunk by chunk, steps by rising fill; the last step at or
+        # below the entry fill is the one that applies.
+        segment, chunk, at, used, before = None, None, 0, 0, 0
+        step, items_n = None, 0
         for pdf in batches:
             out = []
             for row in pdf.itertuples(index=False, name=None):
-                key = tuple(None if pd.isna(v) else v for v in row[:lead])
-                w, (base, day0, used0, n, steps) = int(row[lead]), row[width:]
-                if key != current:
-                    current, before = key, int(base)
-                    at, used = (w, 0) if pd.isna(day0) else (int(day0), int(used0))
-                if w > at:
-                    at, used = w, 0
-                out.append([*row[:width], at, used, before])
-                opened, used = _step(steps, used)
-                at, before = at + opened, before + int(n)
+                key = tuple(None if pd.isna(v) else v for v in row[:width])
+                base, day0, used0, n, low, opened, fill, slope = row[width:]
+                if key != chunk:
+                    if chunk is not None:
+                        at, before = at + step[0], before + items_n
+                        used = step[1] + (used if step[2] else 0)
+                    if key[:lead] != segment:
+                        segment, before = key[:lead], int(base)
+                        at, used = (int(key[lead]), 0) if pd.isna(day0) else (int(day0), int(used0))
+                    if key[lead] > at:
+                        at, used = int(key[lead]), 0
+                    chunk, items_n = key, int(n)
+                    out.append([*key, at, used, before])
+                if low <= used:
+                    step = (int(opened), int(fill), int(slope))
             yield pd.DataFrame(out, columns=entry_schema.names)
 
-    # One row per chunk; segments spread over tasks, rows streamed in batches.
-    spread = transfers.repartition(*lane, _SEGMENT).sortWithinPartitions(*by_chunk)
+    # A few rows per chunk; segments spread over tasks, rows streamed in batches.
+    spread = transfers.repartition(*lane, _SEGMENT).sortWithinPartitions(*by_chunk, "from_fill")
     entries = spread.mapInPandas(walk, entry_schema).select(
         *[F.col(c).alias(f"__e_{c}") for c in by_chunk], "__day", "__used", "__before"
     )

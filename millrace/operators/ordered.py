@@ -30,6 +30,8 @@ from millrace.session import materialise
 
 # Rows one task may sort for a single group before the group counts as hot.
 HOT_ROWS = 5_000_000
+# Pieces of one cut; beyond it the pieces grow, and their sorts spill to disk.
+MAX_PIECES = 20_000
 _PIECE = "__piece"
 _POS = "__pos"
 _CARRY = "__carry_"
@@ -132,7 +134,7 @@ def range_pieces(df: DataFrame, group: Sequence[str], order: Sequence[Column], r
     written out because the piece boundaries come from a sample and must be
     the same for every later use.
     """
-    pieces = max(2, math.ceil(rows / piece_rows) * 2)
+    pieces = min(max(2, math.ceil(rows / piece_rows) * 2), MAX_PIECES)
     ranged = df.repartitionByRange(pieces, *[F.col(g).asc_nulls_first() for g in group], *order)
     return materialise(ranged.withColumn(_PIECE, F.spark_partition_id()), "pieces")
 

@@ -203,9 +203,7 @@ def overlapping_clusters(spark: SparkSession, folder: str) -> DataFrame:
     status = F.col("o_orderstatus")
     year = dates.in_period("o_orderdate", (dt.date(1998, 1, 1), dt.date(1999, 1, 1)))
     clusters = {"Digitale": (status == "O") & ~refused, "Analogica": (status == "F") & ~refused, "Rifiutate": refused, "Totale": F.lit(True)}
-    return ag.overlapping_clusters(
-        load(spark, folder, "orders"), clusters, [F.count(F.lit(1)).alias("items"), F.count_if(year).alias("in_year")]
-    )
+    return ag.overlapping_clusters(load(spark, folder, "orders"), clusters, {"items": F.lit(True), "in_year": year})
 
 
 @query(

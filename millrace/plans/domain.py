@@ -238,10 +238,10 @@ def nested_event_log(spark: SparkSession, folder: str) -> DataFrame:
     )
     # The log arrives nested, a few events per stored row.
     nested = load(spark, folder, "lineitem").select(
-        F.concat(F.lit("pn-cons-000~"), F.col("l_orderkey").cast("string")).alias("requestid"),
+        F.concat(F.lit("item-000~"), F.col("l_orderkey").cast("string")).alias("requestid"),
         F.array(F.struct(event.alias("paperprogrstatus"))).alias("eventslist"),
     )
-    log = ev.explode_events(nested, "requestid", "eventslist", "pn-cons-000~")
+    log = ev.explode_events(nested, "requestid", "eventslist", "item-000~")
     counts = log.groupBy("requestid").agg(
         F.count(F.lit(1)).alias("events"),
         F.count_if(F.col("statuscode") == "R").alias("returned"),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import dates, money, presets, rules, text
-from millrace.operators.aggregates import freshness
+from millrace.operators.aggregates import freshness, overlapping_clusters
 from millrace.plans.registry import query
 from millrace.plans.standin import LINES_SQL, lines, load
 
@@ -172,8 +172,8 @@ def rolling_periods(spark: SparkSession, folder: str) -> DataFrame:
         "until": dates.until_month_start(as_of, dt.date(1996, 1, 1)),
     }
     orders = load(spark, folder, "orders").select("o_orderdate").filter(dates.in_period("o_orderdate", periods["until"]))
-    member = F.array_compact(F.array(*[F.when(dates.in_period("o_orderdate", p), F.lit(name)) for name, p in periods.items()]))
-    return orders.select(F.explode(member).alias("period")).groupBy("period").agg(F.count(F.lit(1)).alias("items"))
+    tests = {name: dates.in_period("o_orderdate", p) for name, p in periods.items()}
+    return overlapping_clusters(orders, tests, {"items": F.lit(True)}, out="period")
 
 
 @query(

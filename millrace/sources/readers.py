@@ -65,8 +65,8 @@ INGESTION_FEEDS = {
         " OR (dynamodb.newimage.pk.s LIKE 'CO#%' AND (dynamodb.newimage.sk.s LIKE 'TOS#%'"
         " OR dynamodb.newimage.sk.s LIKE 'DATAPRIVACY#%'))",
     ),
-    "radd": (None, None),
-    "flusso_asseverazione": (None, None),
+    "registry": (None, None),
+    "asseveration": (None, None),
 }
 
 
