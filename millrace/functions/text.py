@@ -54,10 +54,10 @@ def no_digits(col: Column | str) -> Column:
     return _c(col).rlike("^[^0-9]+$")
 
 
-def postcode(col: Column | str) -> Column:
-    """Zero-pad numeric postcodes to five characters, leave zone names alone."""
+def postcode(col: Column | str, zone: str = "ZONE") -> Column:
+    """Zero-pad postcodes to five characters, leave zone names alone."""
     c = _c(col).cast("string")
-    return F.when(digits_only(c), F.lpad(c, 5, "0")).otherwise(c)
+    return F.when(c.startswith(zone), c).otherwise(F.lpad(c, 5, "0"))
 
 
 def sheet_text(col: Column | str) -> Column:

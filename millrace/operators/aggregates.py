@@ -23,9 +23,9 @@ def conditional_counts(df: DataFrame, keys: Sequence[str | Column], conditions:
     return df.groupBy(*keys).agg(*aggs)
 
 
-def shares(df: DataFrame, counts: Mapping[str, str], total: str) -> DataFrame:
+def shares(df: DataFrame, counts: Mapping[str, str], total: str, digits: int | None = None) -> DataFrame:
     """Add ``{output: count column}`` shares of the total (NULL for total 0)."""
-    return df.withColumns({out: safe_ratio(F.col(c), F.col(total)) for out, c in counts.items()})
+    return df.withColumns({out: rounded(safe_ratio(F.col(c), F.col(total)), digits) for out, c in counts.items()})
 
 
 def pivot_with_total(
@@ -48,8 +48,16 @@ def grouping_sets(df: DataFrame, sets: Sequence[Sequence[str]], cols: Sequence[s
     return df.groupingSets([list(s) for s in sets], *cols).agg(*aggs)
 
 
+def rounded(col: Column, digits: int | None) -> Column:
+    return col if digits is None else F.round(col, digits)
+
+
 def histogram(
-    df: DataFrame, keys: Sequence[str], value: str, classes: Sequence[tuple[int, int]] = presets.TEN_DAY_CLASSES
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    classes: Sequence[tuple[int, int]] = presets.TEN_DAY_CLASSES,
+    digits: int | None = None,
 ) -> DataFrame:
     """Counts and percentages per closed class, open above the last one."""
     v = F.col(value)
@@ -60,14 +68,15 @@ def histogram(
         F.sum(v).alias("sum_value"),
         *[F.count_if(t).alias(f"count_{name}") for name, t in tests.items()],
     )
-    return counts.withColumns({f"pct_{name}": F.col(f"count_{name}") * 100.0 / F.col("n") for name in tests})
+    return counts.withColumns(
+        {f"pct_{name}": rounded(F.col(f"count_{name}") * 100.0 / F.col("n"), digits) for name in tests}
+    )
 
 
-def mean_duration(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+def mean_duration(df: DataFrame, keys: Sequence[str], value: str, digits: int | None = None) -> DataFrame:
     """Sum, count and sum / count of a duration per key."""
-    return df.groupBy(*keys).agg(F.sum(value).alias("total"), F.count(value).alias("n")).withColumn(
-        "mean", safe_ratio(F.col("total"), F.col("n"))
-    )
+    sums = df.groupBy(*keys).agg(F.sum(value).alias("total"), F.count(value).alias("n"))
+    return sums.withColumn("mean", rounded(safe_ratio(F.col("total"), F.col("n")), digits))
 
 
 def freshness(df: DataFrame, time: str) -> DataFrame:
