@@ -94,7 +94,11 @@ def key_list(df: DataFrame, key: str, keys: DataFrame, keys_col: str) -> DataFra
 def full_outer(
     left: DataFrame, right: DataFrame, keys: Sequence[str], left_cols: dict[str, str], right_cols: dict[str, str]
 ) -> DataFrame:
-    """Full outer join with coalesced keys; ``{output: column}`` per side."""
+    """Full outer join with coalesced keys; ``{output: column}`` per side.
+
+    Give it sides with one row per key (aggregate first): a full join of
+    repeated keys multiplies rows and cannot be split by adaptive execution.
+    """
     a = left.select(*[F.col(k).alias(f"__l_{k}") for k in keys], *[F.col(c).alias(o) for o, c in left_cols.items()])
     b = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[F.col(c).alias(o) for o, c in right_cols.items()])
     joined = a.join(b, all_of([F.col(f"__l_{k}") == F.col(f"__r_{k}") for k in keys]), "full")
@@ -313,8 +317,3 @@ def consecutive(
     )
     cond = all_of([F.col(k) == F.col(f"__n_{k}") for k in key] + [F.col(number) + 1 == F.col("__n_number")])
     return df.join(nxt, cond, how).drop("__n_number", *[f"__n_{k}" for k in key])
-
-
-def with_total(df: DataFrame, out: str = "total") -> DataFrame:
-    """Add the row count of the whole table to every row (one-row cross join)."""
-    return df.crossJoin(F.broadcast(df.agg(F.count(F.lit(1)).alias(out))))

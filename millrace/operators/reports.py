@@ -20,15 +20,15 @@ def latest_contract(contracts: DataFrame, *, key: str, updated: str, tie: Sequen
     return top_row(contracts.filter(active & F.col(key).isNotNull()), [key], [updated, *tie])
 
 
-def limit_breaches(df: DataFrame, limits: Mapping[str, int], *, kind: str, pages: str) -> DataFrame:
-    """Items with more pages than their kind allows."""
-    return df.filter(any_of([(F.col(kind) == k) & (F.col(pages) > n) for k, n in limits.items()]))
-
-
 # Page limits by physical communication type.
 PAGE_LIMITS = {"REGISTERED_LETTER_890": 18, "AR_REGISTERED_LETTER": 100}
 
 
+def limit_breaches(df: DataFrame, limits: Mapping[str, int] = PAGE_LIMITS, *, kind: str, pages: str) -> DataFrame:
+    """Items with more pages than their kind allows."""
+    return df.filter(any_of([(F.col(kind) == k) & (F.col(pages) > n) for k, n in limits.items()]))
+
+
 def mismatch_count(
     facts: DataFrame, contracts: DataFrame, *, fact_key: str, contract_key: str, actual: str, expected: str,
     by: Sequence[str], period: tuple[dt.date, dt.date], time: str,

@@ -8,10 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import dates, presets
-from millrace.functions.rules import code_text, first_match
-from millrace.functions.text import attempt_number
-from millrace.operators import aggregates, capacity, events as ev, joins, quality, rates, reports, stages
-from millrace.operators.ordered import top_row
+from millrace.functions.rules import first_match
+from millrace.operators import aggregates, capacity, events as ev, quality, rates, reports, stages
 from millrace.plans.penalties import AS_OF
 from millrace.plans.registry import query
 from millrace.plans.standin import (

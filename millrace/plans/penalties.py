@@ -11,7 +11,7 @@ from millrace.functions import dates, money
 from millrace.functions.rules import first_match
 from millrace.operators import joins, penalty
 from millrace.plans.registry import query
-from millrace.plans.standin import CAL_SQL, CALENDAR, LINES_SQL, PIECES_SQL, lines, load, pieces, workdays_sql
+from millrace.plans.standin import CAL_SQL, CALENDAR, LINES_SQL, PIECE_KEY, PIECES_SQL, lines, load, pieces, workdays_sql
 
 WD = workdays_sql
 
@@ -167,8 +167,10 @@ def service_level(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def charged_pieces(spark: SparkSession, folder: str, group=("lot", "product"), **terms) -> DataFrame:
+    # Only what the ranking and the reports need: with hot groups it is written.
+    cols = [*PIECE_KEY, "lot", "product", "reported", "days", "late", "in_standard", "in_improved"]
     return penalty.delivery_penalty(
-        timed_pieces(spark, folder),
+        timed_pieces(spark, folder).select(*cols),
         group=list(group),
         tie=["reported", "order_key", "line", "part_key", "supp_key", "cost", "ship"],
         late="late",
@@ -417,8 +419,9 @@ def reporting_lateness(spark: SparkSession, folder: str) -> DataFrame:
       CAST(sum((fee + 1) // 2) AS BIGINT) AS weighted_cents FROM f GROUP BY 1, 2""",
 )
 def reporting_penalty(spark: SparkSession, folder: str) -> DataFrame:
+    cols = [*PIECE_KEY, "lot", "product", "reported", "report_late"]
     charged = penalty.reporting_penalty(
-        late_reports(spark, folder),
+        late_reports(spark, folder).select(*cols),
         group=["lot", "product"],
         tie=["reported", "order_key", "line", "part_key", "supp_key", "cost", "ship"],
         late="report_late",

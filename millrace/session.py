@@ -44,9 +44,7 @@ def scratch_root(spark: SparkSession) -> str:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    root = os.path.join(tempfile.gettempdir(), "millrace-scratch")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return os.path.join(tempfile.gettempdir(), "millrace-scratch")
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

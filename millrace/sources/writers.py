@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 
@@ -43,8 +42,3 @@ def export_csv(df: DataFrame, path: str, sep: str = ";", single_file: bool = Fal
     """
     out = df.repartition(1) if single_file else df
     out.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
-
-
-def persisted(df: DataFrame) -> DataFrame:
-    """Keep a frame that several actions share, spilling to disk."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -105,6 +105,12 @@ def test_capacity_never_exceeded(spark):
     assert sum(r["items"] for r in load) == 500
 
 
+def test_empty_input(spark):
+    df = frame(spark, make(3, 2, 1)).limit(0)
+    got = capacity.assign_days(df, CAL, eligible="eligible", order=["key"], pages="pages", capacity=10)
+    assert got.count() == 0 and got.columns == ["eligible", "key", "pages", "assigned_day", "rank"]
+
+
 def test_transfer_equals_fold_for_every_fill():
     rng = np.random.default_rng(3)
     for _ in range(60):
