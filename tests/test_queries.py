@@ -4,11 +4,11 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from millrace.plans.registry import ORACLES as SQL
+from millrace.plans.registry import QUERIES
 from tests.oracle import compare, connect
 
-QUERIES, SQL = queries(), oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con(folder):
