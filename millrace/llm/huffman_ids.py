@@ -137,8 +137,8 @@ def id_counts(ids: DataFrame, column: str = "ids") -> DataFrame:
 
     def run(batches):
         total = np.zeros(0, np.int64)
-        for batch in batches:
-            got = np.bincount(np.frombuffer(b"".join(x or b"" for x in batch.column(0).to_pylist()), "<u4"))
+        for _, ids in slices(batches, column):
+            got = np.bincount(np.frombuffer(b"".join(ids), "<u4"))
             if len(got) > len(total):
                 total, got = got.astype(np.int64), total
             total[: len(got)] += got
@@ -165,8 +165,8 @@ def write_ids(ids: DataFrame, path: str) -> None:
     spark.createDataFrame([(bytearray(lengths.tobytes()),)], "lengths binary").coalesce(1).write.parquet(f"{path}/codes")
 
     def code(batches):
-        for batch in batches:
-            flat = np.frombuffer(b"".join(batch.column("ids").to_pylist()), "<u4")
+        for batch, ids in slices(batches, "ids"):
+            flat = np.frombuffer(b"".join(ids), "<u4")
             n = np.asarray(batch.column("n_tokens"))
             data, bounds, inside = pack_bits(flat, n, codes, lengths)
             first = np.cumsum(n) - n

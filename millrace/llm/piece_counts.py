@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,8 @@ from millrace.llm.batches import slices, written
 
 #: Text bytes whose documents share one list of pre-tokens.
 GROUP_BYTES = 16 << 20
+#: Documents per bucket of pre-tokens.
+BUCKET_ROWS = 50_000
 
 _SPACED = re.compile(rb" +[^ ]+| +$")
 _MODELS: dict[str, sentencepiece.SentencePieceProcessor] = {}
@@ -38,12 +41,21 @@ def pre_tokens(text: bytes) -> list[bytes]:
     return found if b"" not in found else [w[1:] for w in _SPACED.findall(b" " + text)]
 
 
-def _groups(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Documents by group: distinct pre-tokens, and the frequency of each in each document."""
+def _groups(df: DataFrame, id_col: str, text_col: str, buckets: int) -> DataFrame:
+    """Documents by group, as two kinds of rows.
+
+    With a bucket: the group's distinct pre-tokens whose hash falls there, in a
+    row. Without: the frequencies of the numbered pre-tokens in each document.
+    """
+    blank = {"bucket": pa.int32(), "words": pa.binary(), "doc_ids": pa.list_(pa.int64()), "n_bytes": pa.list_(pa.int64()), "sizes": pa.binary(), "places": pa.binary(), "times": pa.binary()}
+
+    def rows_of(group: int, n: int, **given):
+        return pa.RecordBatch.from_arrays([pa.array([group] * n, pa.int64()), *(pa.array(given.get(k, [None] * n), t) for k, t in blank.items())], ["group", *blank])
 
     def run(batches):
         task, n = TaskContext.get().partitionId(), 0
         for rows, texts in slices(batches, "text", GROUP_BYTES):
+            group = (task << 32) + n
             numbers: dict[bytes, int] = {}
             number, sizes, places, times = numbers.setdefault, [], [], []
             for text in texts:
@@ -52,67 +64,103 @@ def _groups(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 sizes.append(len(at))
                 places.append(at)
                 times.append(many)
-            at, many = np.concatenate(places), np.concatenate(times)
+            words = list(numbers)
+            bucket = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
+            order = np.argsort(bucket, kind="stable")
+            place = np.empty(len(words), np.int32)
+            place[order] = np.arange(len(words))
+            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            listed = [words[i] for i in order.tolist()]
+            used = np.flatnonzero(np.diff(cuts)).tolist()
+            packed = [_pack(listed[cuts[b] : cuts[b + 1]]) for b in used]
+            yield rows_of(group, len(used), bucket=used, words=packed)
+            at, many = place[np.concatenate(places)], np.concatenate(times)
             # Planes of bytes: the upper ones are nearly constant and take hardly any room.
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([(task << 32) + n], pa.int64()),
-                    pa.array([rows.column("doc_id").to_pylist()], pa.list_(pa.int64())),
-                    pa.array([[None if t is None else len(t) for t in texts]], pa.list_(pa.int64())),
-                    pa.array([list(numbers)], pa.list_(pa.binary())),
-                    pa.array([np.array(sizes, "<i4").tobytes()], pa.binary()),
-                    pa.array([at.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()], pa.binary()),
-                    pa.array([many.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()], pa.binary()),
-                ],
-                ["group", "doc_ids", "n_bytes", "words", "sizes", "places", "times"],
-            )
+            yield rows_of(
+                group, 1,
+                doc_ids=[rows.column("doc_id").to_pylist()],
+                n_bytes=[list(map(len, texts))],
+                sizes=[np.array(sizes, "<i4").tobytes()],
+                places=[at.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()],
+                times=[many.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()],
+            )
             n += 1
 
     slim = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return slim.mapInArrow(run, "group bigint, doc_ids array<bigint>, n_bytes array<bigint>, words array<binary>, sizes binary, places binary, times binary")
+    return slim.mapInArrow(run, "group bigint, bucket int, words binary, doc_ids array<bigint>, n_bytes array<bigint>, sizes binary, places binary, times binary")
+
+
+def _pack(words: list[bytes]) -> bytes:
+    lengths = np.fromiter(map(len, words), "<u4", len(words))
+    return np.uint32(len(words)).tobytes() + lengths.tobytes() + b"".join(words)
+
+
+def _unpack(data: bytes) -> list[bytes]:
+    n = int(np.frombuffer(data, "<u4", 1)[0])
+    ends = np.cumsum(np.frombuffer(data, "<u4", n, 4), dtype=np.int64) + 4 + 4 * n
+    cuts = [4 + 4 * n, *ends.tolist()]
+    return [data[b:e] for b, e in zip(cuts, cuts[1:])]
 
 
-def pieces_per_word(words: DataFrame, model: str) -> DataFrame:
-    """(word, n): pieces of each distinct pre-token; the model runs once per row."""
+def _pieces_of(model: str, words: list[bytes]) -> list[int]:
+    """Pieces of each pre-token. An empty one is a single space at the end, which encode() would take for no text."""
+    one = _model(model)
+    space = int(one.piece_to_id("▁") != one.unk_id())
+    texts = [w.decode() for w in words]
+    return [len(ids) if text else space for text, ids in zip(texts, one.encode(texts, num_threads=1))]
+
+
+def pieces_per_bucket(groups: DataFrame, model: str, buckets: int) -> DataFrame:
+    """(group, bucket, pieces): the join of the groups' pre-tokens with the pieces of the distinct ones.
+
+    All pre-tokens of a bucket meet in one task, which runs the model once for
+    each; a frequent pre-token is there once per group.
+    """
 
     def run(batches):
-        space = 1 if _model(model).piece_to_id("▁") != _model(model).unk_id() else 0
+        known, now = {}, None
         for batch in batches:
-            texts = [w.decode() for w in batch.column(0).to_pylist()]
-            # An empty pre-token is a single space at the end, which encode() would take for no text.
-            n = [len(ids) if text else space for text, ids in zip(texts, _model(model).encode(texts, num_threads=1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int32())], ["word", "n"])
+            for group, bucket, data in zip(*(batch.column(k).to_pylist() for k in ("group", "bucket", "words"))):
+                if bucket != now:
+                    known, now = {}, bucket
+                words = _unpack(data)
+                new = [w for w in words if w not in known]
+                known.update(zip(new, _pieces_of(model, new)))
+                pieces = np.fromiter(map(known.__getitem__, words), "<u4", len(words))
+                yield pa.RecordBatch.from_arrays([pa.array([group], pa.int64()), pa.array([bucket], pa.int32()), pa.array([pieces.view(np.uint8).reshape(-1, 4).T.tobytes()], pa.binary())], ["group", "bucket", "pieces"])
+
+    listed = groups.where("bucket is not null").select("group", "bucket", "words")
+    return listed.repartition(buckets, "bucket").sortWithinPartitions("bucket", "group").mapInArrow(run, "group bigint, bucket int, pieces binary")
+
 
-    return words.mapInArrow(run, "word binary, n int")
+def _planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<i4").ravel()
 
 
 def piece_counts(df: DataFrame, model: str, limit: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) for every row.
 
     Pre-tokens are listed once per group of documents, counted once each over
-    the whole table, and joined back to the lists, so a frequent pre-token is
-    one row per group. No ids are kept. Null text is empty: 0 bytes, 0 tokens.
-    Null and repeated doc_ids stay rows of their own; other columns are not read.
+    the whole table, and joined back to the lists. No ids are kept. Null text is
+    empty: 0 bytes, 0 tokens. Null and repeated doc_ids stay rows of their own;
+    other columns are not read.
     """
-    groups = written(_groups(df, id_col, text_col), "pre-tokens")
-    listed = groups.select("group", F.posexplode("words").alias("place", "word"))
-    counted = pieces_per_word(listed.select("word").distinct(), model)
-    per_group = listed.join(counted, "word").groupBy("group").agg(F.collect_list(F.struct("place", "n")).alias("pieces"))
-    joined = groups.drop("words").join(per_group, "group", "left")
+    # About as many buckets as tasks that shuffle, and more where the table has many rows.
+    buckets = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.count() // BUCKET_ROWS)
+    groups = written(_groups(df, id_col, text_col, buckets), "pre-tokens")
+    pieces = pieces_per_bucket(groups, model, buckets).groupBy("group").agg(F.collect_list(F.struct("bucket", "pieces")).alias("found"))
+    joined = groups.where("bucket is null").drop("bucket", "words").join(pieces, "group", "left")
 
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                row = {k: batch.column(k)[i] for k in batch.schema.names}
-                sizes = np.frombuffer(row["sizes"].as_py(), "<i4").astype(np.int64)
-                at, times = (np.ascontiguousarray(np.frombuffer(row[k].as_py(), np.uint8).reshape(4, -1).T).view("<i4").ravel() for k in ("places", "times"))
-                n = np.zeros(int(at.max(initial=-1)) + 1, np.int64)
-                if len(at):
-                    pieces = row["pieces"].values
-                    n[np.asarray(pieces.field("place"))] = np.asarray(pieces.field("n"))
+                row = {k: batch.column(k)[i].as_py() for k in batch.schema.names}
+                sizes = np.frombuffer(row["sizes"], "<i4").astype(np.int64)
+                at, times = _planes(row["places"]), _planes(row["times"]).astype(np.int64)
+                n = np.concatenate([np.zeros(0, np.int64), *(_planes(x["pieces"]) for x in sorted(row["found"] or [], key=lambda x: x["bucket"]))])
                 sums = np.concatenate([[0], np.cumsum(n[at] * times)])
                 ends = np.cumsum(sizes)
                 tokens = sums[ends] - sums[ends - sizes]
-                yield pa.RecordBatch.from_arrays([row["doc_ids"].values, row["n_bytes"].values, pa.array(tokens), pa.array(tokens > limit)], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
+                yield pa.RecordBatch.from_arrays([pa.array(row["doc_ids"], pa.int64()), pa.array(row["n_bytes"], pa.int64()), pa.array(tokens), pa.array(tokens > limit)], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     return joined.mapInArrow(run, "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean")

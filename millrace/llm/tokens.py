@@ -18,7 +18,7 @@ from tokenizers import Tokenizer, pre_tokenizers
 from millrace.llm.batches import ragged
 
 #: Words kept by a worker; the table starts anew beyond it.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 700_000
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _ODD_SPACE = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
