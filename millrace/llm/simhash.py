@@ -9,6 +9,7 @@ as soon as every counter has passed r.
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 import numpy as np
@@ -80,7 +81,9 @@ def fingerprints(df: DataFrame, size: int, id_col: str = "doc_id", text_col: str
 
 
 def within_radius(prints: np.ndarray, radius: int, asked: int = 256) -> list[tuple[int, int]]:
-    """Links (root, member) that join the fingerprints at ``radius`` or fewer differing bits of one another.
+    """Links that join the fingerprints at ``radius`` or fewer differing bits; each link is such a pair.
+
+    ``prints``: a row of one or more 64-bit words per fingerprint.
 
     Bit-sliced: plane p has bit p of all fingerprints, 64 to a word. A counter
     of k bits per pair starts at 2**k - 1 - radius, so its carry out says that
@@ -88,10 +91,11 @@ def within_radius(prints: np.ndarray, radius: int, asked: int = 256) -> list[tup
     """
     n = len(prints)
     wide = -(-n // 64) * 64
-    bits = np.unpackbits(prints.astype(">u8").view(np.uint8).reshape(n, 8), axis=1)
-    padded = np.zeros((wide, BITS), np.uint8)
+    bits = np.unpackbits(np.ascontiguousarray(prints.reshape(n, -1)).view(np.uint8), axis=1)
+    count = bits.shape[1]
+    padded = np.zeros((wide, count), np.uint8)
     padded[:n] = bits
-    planes = np.packbits(np.ascontiguousarray(padded.T), axis=1, bitorder="little").view(np.uint64).reshape(BITS, -1)
+    planes = np.packbits(np.ascontiguousarray(padded.T), axis=1, bitorder="little").view(np.uint64).reshape(count, -1)
     real = np.packbits(np.arange(wide) < n, bitorder="little").view(np.uint64)
     size = max(1, radius.bit_length())
     begin = (1 << size) - 1 - radius
@@ -100,7 +104,7 @@ def within_radius(prints: np.ndarray, radius: int, asked: int = 256) -> list[tup
         rows = np.arange(low, min(n, low + asked))
         counters = [np.full((len(rows), planes.shape[1]), np.uint64(0xFFFFFFFFFFFFFFFF if begin >> i & 1 else 0)) for i in range(size)]
         over = np.zeros_like(counters[0]) | ~real
-        for p in range(BITS):
+        for p in range(count):
             carry = planes[p] ^ (np.uint64(0) - bits[rows, p].astype(np.uint64))[:, None]
             for counter in counters:
                 carry, counter[:] = carry & counter, carry ^ counter
@@ -120,11 +124,12 @@ def within_radius(prints: np.ndarray, radius: int, asked: int = 256) -> list[tup
         left &= ~(1 << root)
         stack = [root]
         while stack:
-            new = near.get(stack.pop(), 0) & left
+            from_ = stack.pop()
+            new = near.get(from_, 0) & left
             left &= ~new
             while new:
                 low = new & -new
-                links.append((root, low.bit_length() - 1))
+                links.append((from_, low.bit_length() - 1))
                 stack.append(links[-1][1])
                 new ^= low
     return links
@@ -228,3 +233,154 @@ def near_duplicates(df: DataFrame, size: int = 3, radius: int = 2, id_col: str =
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = rooted.select("print", "root").join(least, "root").select("print", "component_id")
     return docs.join(classes, "print").select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+# Similar documents: more bits, so that the distance tells the similarity of the shingles.
+
+#: 64-bit words of a wide fingerprint; tables of sampled bits in which similar ones meet, bits of a key at least.
+WORDS, SIMILAR_TABLES, KEY_BITS = 4, 30, 12
+#: Prints aimed at per key; more bits are taken where there are more prints.
+PER_KEY = 64
+_MIX = [0, 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7]
+
+
+def _differing(similarity: float, deviations: float) -> int:
+    """Bits of a wide print that texts of a Jaccard similarity differ in, plus so many standard deviations."""
+    bits = WORDS * BITS
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return round(bits * share + deviations * math.sqrt(bits * share * (1 - share)))
+
+
+def wide_prints(df: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, same, print as bytes) of the rows with words; ``same`` is a hash of the text."""
+
+    def run(batches):
+        for rows, texts in slices(batches, "text"):
+            hashes = [shingle_hashes(t, size) for t in texts]
+            some = np.flatnonzero([len(h) > 0 for h in hashes])
+            if not len(some):
+                continue
+            hashes = [hashes[i] for i in some.tolist()]
+            words = []
+            with np.errstate(over="ignore"):
+                for c in _MIX[:WORDS]:
+                    if c:
+                        mixed = [((h ^ np.uint64(c)) * np.uint64(0xBF58476D1CE4E5B9)) for h in hashes]
+                        words.append(majority_bits([(h ^ (h >> np.uint64(31))) * np.uint64(0x94D049BB133111EB) for h in mixed]))
+                    else:
+                        words.append(majority_bits(hashes))
+            prints = np.column_stack(words).astype("<u8")
+            at = pa.array(some)
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id").take(at), rows.column("same").take(at), pa.array([p.tobytes() for p in prints], pa.binary())], ["doc_id", "same", "print"])
+
+    slim = df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("same"), F.col(text_col).alias("text"))
+    return slim.mapInArrow(run, "doc_id bigint, same bigint, print binary")
+
+
+def _candidates(nodes: DataFrame, radius: int, key_bits: int, tables: int, seed: int) -> DataFrame:
+    """Links (a, b, distance) of prints that agree in a table's sampled bits and differ in ``radius`` bits at most.
+
+    A key of very many prints is compared in overlapping pieces in an order of
+    further sampled bits, another order in every table.
+    """
+    rng = np.random.default_rng(seed)
+    chosen = np.array([rng.permutation(WORDS * BITS) for _ in range(tables)])
+
+    def place(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            bits = np.unpackbits(np.frombuffer(b"".join(batch.column("print").to_pylist()), np.uint8).reshape(batch.num_rows, -1), axis=1)
+            for t in range(tables):
+                key = bits[:, chosen[t, :key_bits]].astype(np.int64) @ (1 << np.arange(key_bits))
+                rest = bits[:, chosen[t, key_bits : key_bits + 32]].astype(np.int64) @ (1 << np.arange(32))
+                yield pa.RecordBatch.from_arrays([pa.array(key * tables + t), pa.array(rest), batch.column("node"), batch.column("print")], ["key", "rest", "node", "print"])
+
+    def compare(batches):
+        def links(keys, nodes_, prints):
+            cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
+            begin, found = 0, []
+            for i, end in enumerate(cuts[1:], 1):
+                if i + 1 < len(cuts) and cuts[i + 1] - begin <= BLOCK:
+                    continue
+                for low in range(begin, max(begin + 1, end - BUCKET // 2), BUCKET // 2):
+                    part = slice(low, min(low + BUCKET, end))
+                    raw = np.frombuffer(b"".join(prints[part]), "<u8").reshape(-1, WORDS)
+                    for a, b in within_radius(raw, radius):
+                        found.append((nodes_[part][a], nodes_[part][b], int(np.bitwise_count(raw[a] ^ raw[b]).sum())))
+                begin = end
+            found = [(min(a, b), max(a, b), d) for a, b, d in found if a != b]
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in range(3)], ["a", "b", "distance"])
+
+        held = ([], [], [])
+        for batch in batches:
+            for h, c in zip(held, ("key", "node", "print")):
+                h.extend(batch.column(c).to_pylist())
+            # Up to the last key, which may go on; a key that fills many batches is cut, with an overlap.
+            end = next((i for i in range(len(held[0]) - 1, -1, -1) if held[0][i] != held[0][-1]), -1) + 1
+            if end or len(held[0]) >= 4 * BUCKET:
+                end, keep = (end, end) if end else (len(held[0]), len(held[0]) - BUCKET // 2)
+                yield links(np.array(held[0][:end]), held[1][:end], held[2][:end])
+                held = tuple(h[keep:] for h in held)
+        if held[0]:
+            yield links(np.array(held[0]), held[1], held[2])
+
+    placed = nodes.select("node", "print").mapInArrow(place, "key bigint, rest bigint, node bigint, print binary")
+    dealt = placed.repartition("key").sortWithinPartitions("key", "rest", "node")
+    return dealt.select("key", "node", "print").mapInArrow(compare, "a bigint, b bigint, distance bigint").groupBy("a", "b").agg(F.min("distance").alias("distance"))
+
+
+def _verified(df: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
+    """The pairs (a, b, ca, cb) whose sets of shingles have the Jaccard similarity or more."""
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes, "node").select("node", "doc_id", "same")
+    texts = df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("text"))
+    texts = texts.join(ends, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("same")))
+
+    def shingles(batches):
+        for rows, data in slices(batches, "text"):
+            sets = [np.unique(shingle_hashes(t, size)).view(np.int64) for t in data]
+            yield pa.RecordBatch.from_arrays([rows.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "set"])
+
+    sets = texts.select("node", "text").mapInArrow(shingles, "node bigint, set array<bigint>").dropDuplicates(["node"])
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b")
+    shared = F.size(F.array_intersect("sa", "sb"))
+    return both.where(shared >= similarity * (F.size("sa") + F.size("sb") - shared)).select("a", "b", "ca", "cb")
+
+
+def similar_groups(df: DataFrame, size: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", tables: int = SIMILAR_TABLES, seed: int = 2) -> DataFrame:
+    """(doc_id, same, root) of the rows with words: the group of documents linked by a Jaccard similarity of their shingles.
+
+    Wide prints within the distance that the similarity would give are compared
+    bit-sliced. Those well inside it are links; of the others, one pair per two
+    groups is checked on the sets of shingles themselves.
+    """
+    docs = written(wide_prints(df, size, id_col, text_col), "wide-prints")
+    nodes = written(docs.withColumn("node", F.monotonically_increasing_id()).groupBy("print").agg(F.min(F.struct("node", "doc_id", "same")).alias("m")).select("print", "m.*"), "wide-nodes")
+    key_bits = max(KEY_BITS, math.ceil(math.log2(max(1, nodes.count() / PER_KEY))))
+    far, near = _differing(similarity, 2.5), _differing(similarity, -2)
+    links = written(_candidates(nodes, far, key_bits, tables, seed), "candidates")
+    sure = components(links.where(F.col("distance") <= near).select("a", "b"))
+    rooted = written(nodes.select("node").join(sure, "node", "left").select("node", F.coalesce("root", "node").alias("root")), "sure-groups")
+    open_ = links.where(F.col("distance") > near)
+    open_ = open_.join(rooted.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a").join(rooted.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b").where("ra <> rb")
+    open_ = open_.groupBy(F.least("ra", "rb").alias("ca"), F.greatest("ra", "rb").alias("cb")).agg(F.min(F.struct("distance", "a", "b")).alias("m")).select("m.a", "m.b", "ca", "cb")
+    proven = _verified(df, nodes, written(open_, "open-pairs"), size, similarity, id_col, text_col)
+    joined = components(proven.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    final = rooted.join(joined.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    return docs.join(nodes.select("print", "node"), "print").join(final, "node").select("doc_id", "same", "root")
+
+
+def drop_similar(df: DataFrame, size: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` with one document of each similar group, the one with the smallest id (null ids last).
+
+    Rows without words are all kept. Of rows alike in id and text one is kept.
+    """
+    groups = written(similar_groups(df, size, similarity, id_col, text_col), "similar")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "same"))
+    kept = groups.groupBy("root").agg(first.alias("m")).select(F.col("m.doc_id").alias("__id"), F.col("m.same").alias("__same"))
+    marked = df.withColumn("__hash", F.xxhash64(text_col))
+    wordless = ~F.coalesce(F.regexp_like(F.col(text_col), F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
+    with_words = marked.where(~wordless).join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__same")), "left_semi")
+    if not groups.groupBy("doc_id", "same").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        with_words = with_words.dropDuplicates([id_col, "__hash"])
+    return with_words.drop("__hash").unionByName(df.where(wordless))

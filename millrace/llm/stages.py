@@ -1,10 +1,45 @@
-"""Stages of the corpus pipeline."""
+"""Stages of the corpus pipeline: (name, function of (spark, docs, sf_dir)).
+
+All but the last return the columns of ``documents``; each works on every row
+that its predecessor kept.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from millrace.llm.best_fit import pack_documents
+from millrace.llm.mixing import mix, word_count
+from millrace.llm.quality_rules import keep_good
+from millrace.llm.simhash import drop_similar
+from millrace.llm.substrings import remove_repeats
+
+
+def quality(spark, docs, folder):
+    """Documents that fail the base rule or the cascade go."""
+    return keep_good(docs)
+
+
+def near_dedup(spark, docs, folder):
+    """One document of each group with similarity 0.8 or more on five-word shingles stays, the smallest id."""
+    return drop_similar(docs, 5, 0.8)
+
+
+def substring_dedup(spark, docs, folder):
+    """Words of 50-word windows that an earlier document has go; ``n_chars`` follows the text."""
+    return remove_repeats(docs, 50).withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def mixing(spark, docs, folder):
+    """Documents as often as the mix takes them: rows repeat, those taken 0 times go.
+
+    Rows alike in id and text share their number of uses, rounded.
+    """
+    keyed = docs.withColumn("__key", F.xxhash64("doc_id", "text"))
+    taken, _ = mix(keyed, F.array("source"), word_count(F.col("text")), passing=("__key",))
+    times = taken.groupBy("__key").agg(F.round(F.avg("times")).cast("int").alias("__times")).where("__times > 0")
+    return keyed.join(times, "__key").withColumn("__use", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*docs.columns)
 
 
 def packing(spark, docs, folder):
@@ -12,4 +47,10 @@ def packing(spark, docs, folder):
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), 0, 2048)
 
 
-STAGES = [("best-fit packing", packing)]
+STAGES = [
+    ("quality rules", quality),
+    ("SimHash near-dedup", near_dedup),
+    ("substring dedup", substring_dedup),
+    ("mixing sources", mixing),
+    ("best-fit packing", packing),
+]
