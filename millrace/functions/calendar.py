@@ -29,6 +29,8 @@ FIXED_HOLIDAYS = [
     (12, 25),
     (12, 26),
 ]
+# Holidays added later: (month, day, first year).
+ADDED_HOLIDAYS = [(10, 4, 2026)]
 
 
 def easter(year: int) -> dt.date:
@@ -46,6 +48,7 @@ def national_holidays(first_year: int, last_year: int) -> list[dt.date]:
     days: list[dt.date] = []
     for year in range(first_year, last_year + 1):
         days += [dt.date(year, month, day) for month, day in FIXED_HOLIDAYS]
+        days += [dt.date(year, month, day) for month, day, since in ADDED_HOLIDAYS if year >= since]
         days += [easter(year), easter(year) + dt.timedelta(days=1)]
     return sorted(days)
 
@@ -155,6 +158,34 @@ class WorkCalendar:
         inside = (number >= first) & (number < first + len(counts) - 1)
         return F.date_add(d, F.when(inside, self._lookup(number, first, waits)).otherwise(weekend))
 
+    def nth_workday(self, index: Column | str) -> Column:
+        """The working day with a running number; the inverse of :meth:`index`, without a horizon.
+
+        Beside the holiday list a number is five per week. Inside it the days
+        before the number is reached are found in the table of the holidays.
+        """
+        n = F.col(index) if isinstance(index, str) else index
+        zero = F.lit(0)
+        if not self._weekday_holidays:
+            return self._weekday_of(n)
+        # Each holiday at or before the day found pushes it on by one weekday.
+        keys = [self._weekday_number(d) - i for i, d in enumerate(self._weekday_holidays)]
+        table = F.split(F.lit(",".join(map(str, keys))), ",").cast("array<int>")
+        passed = F.aggregate(table, zero, lambda so_far, key: so_far + (key <= n).cast("int"))
+        return self._weekday_of(n + passed)
+
+    @staticmethod
+    def _weekday_number(day: dt.date) -> int:
+        """Running number of weekdays up to and including a weekday, without holidays."""
+        number = day.toordinal() - 1
+        return number // 7 * 5 + number % 7 + 1
+
+    @staticmethod
+    def _weekday_of(n: Column) -> Column:
+        """The weekday with a running number of weekdays."""
+        weeks = F.call_function("div", n - 1, F.lit(5))
+        return F.date_from_unix_date((weeks * 7 + F.pmod(n - 1, F.lit(5)) - F.lit(_EPOCH)).cast("int"))
+
     # -- as data --------------------------------------------------------------
 
     def frame(self, spark: SparkSession, first: dt.date, last: dt.date) -> DataFrame:

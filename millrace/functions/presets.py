@@ -152,6 +152,23 @@ IMPROVED_OFFER = [
     (["27"], "AR", ["AM"], 3),
     (["30"], "AR", ["AM", "CP", "EU"], 3),
 ]
+# No improved offer, so an item in time by any measure meets it:
+# (lots, product, zones). Lateness then follows the standard offer.
+NO_IMPROVED_OFFER = [
+    (["3", "4", "6", "8", "12", "18", "20"], "890", ["EU"]),
+    (["11", "99"], "890", ["AM", "CP", "EU"]),
+    (["22", "25"], "RS", ["CP", "EU"]),
+    (["97"], "RS", ["AM", "CP", "EU"]),
+    (["27"], "AR", ["CP", "EU"]),
+    (["98"], "AR", ["AM", "CP", "EU"]),
+    (["21"], "RIS", ["ZONE_1", "ZONE_2", "ZONE_3"]),
+    (["26"], "RIR", ["ZONE_1", "ZONE_2", "ZONE_3"]),
+]
+# Offers relaxed under conditions on any columns, before all
+# others: (conditions, date column, first day, last day, days).
+CONDITIONED_OFFER = [
+    ({"carrier": ["Poste"], "sender": ["135100c9-d464-4abf-a9b1-a10f5d7903b7"]}, "entrusted", "2023-12-01", "2024-01-31", 45),
+]
 # Offers relaxed for a time: (lots, region or None, date column,
 # first day, last day, days), both ends included, before the tables above.
 RELAXED_OFFER = [

@@ -13,9 +13,9 @@ def _c(col: Column | str) -> Column:
 
 
 def decimal_comma_cents(col: Column | str) -> Column:
-    """``"12,34"`` to 1234; NULL if the text is not a number."""
-    number = F.regexp_replace(_c(col).cast("string"), ",", ".").try_cast("decimal(10,2)")
-    return (number * 100).cast("int")
+    """``"12,34"`` to 1234; NULL if the text is not a number of up to 16 digits before the comma."""
+    number = F.regexp_replace(_c(col).cast("string"), ",", ".").try_cast("decimal(18,2)")
+    return (number * 100).cast("bigint")
 
 
 def parse_day_or_minute(col: Column | str, clock: str) -> Column:

@@ -28,7 +28,6 @@ The chain is sequential, but it need not run in one task:
 
 from __future__ import annotations
 
-import datetime as dt
 import math
 from collections.abc import Iterator, Sequence
 
@@ -36,7 +35,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -52,6 +51,7 @@ _CHUNK = "__chunk"
 _SEGMENT = "__segment"
 _PACK = "__pack"
 _ELIGIBLE = "__w"
+_PAGES = "__pages"
 _AT = "__at"
 _RANK = "__rank"
 
@@ -195,17 +195,30 @@ def assign_days(
     day: str = "assigned_day",
     rank: str = "rank",
     chunk_items: int = CHUNK_ITEMS,
+    null_pages: int | None = 0,
 ) -> DataFrame:
     """Add the assigned working day and the rank of every item.
 
     ``order`` must identify an item within its eligible day. ``state`` is the
     result of :func:`last_state` of an earlier run (lane columns, ``last_day``,
     ``used_pages``, ``last_rank``); new items then continue that day and rank.
+    A lane without a state row starts afresh, so an empty state is like none;
+    two rows for one lane fail the job.
+
+    Items without an eligible day stay, without day and rank. Items without
+    pages are taken as ``null_pages`` (0 by default) where that is a number and
+    fail the job where it is None.
     """
     lane, names = list(lane), list(df.columns)
-    base = df.withColumn(_ELIGIBLE, calendar.index(calendar.next_workday(eligible)).cast("int"))
+    p = F.col(pages).cast("bigint")
+    counted = F.coalesce(p, F.lit(null_pages).cast("bigint")) if null_pages is not None else F.coalesce(p, F.raise_error(F.lit(f"an item has no {pages}")).cast("bigint"))
+    every = df.withColumn(_ELIGIBLE, calendar.index(calendar.next_workday(eligible)).cast("int"))
+    undated = every.filter(F.col(_ELIGIBLE).isNull()).select(*names, F.lit(None).cast("date").alias(day), F.lit(None).cast("bigint").alias(rank))
+    base = every.filter(F.col(_ELIGIBLE).isNotNull()).withColumn(_PAGES, counted)
+    pages = _PAGES
     entry = None
     if state is not None:
+        state = _one_per_lane(state, lane)
         entry = state.select(
             *[F.col(c).alias(f"__l_{c}") for c in lane],
             calendar.index("last_day").cast("int").alias("__day0"),
@@ -220,11 +233,16 @@ def assign_days(
     done = _fold_lanes(short, entry, lane, order, names, pages, capacity)
     if long is not None:
         done = done.unionByName(_assign_long(long, entry, lane, order, names, pages, capacity, chunk_items))
-    # Working-day numbers back to dates: the calendar is one small table.
-    days = F.broadcast(_workdays(df.sparkSession, calendar))
-    return done.join(days, F.col(_AT) == F.col("__cal_w"), "left").select(
-        *names, F.col("__cal_day").alias(day), F.col(_RANK).alias(rank)
-    )
+    # Working-day numbers back to dates by arithmetic: no calendar table, no last year.
+    return done.select(*names, calendar.nth_workday(_AT).alias(day), F.col(_RANK).alias(rank)).unionByName(undated)
+
+
+def _one_per_lane(state: DataFrame, lane: Sequence[str]) -> DataFrame:
+    """The state rows; a lane with several fails when they are read."""
+    wanted = ["last_day", "used_pages", "last_rank"]
+    grouped = state.groupBy(*lane).agg(F.count(F.lit(1)).alias("__n"), *[F.first(c).alias(c) for c in wanted]).filter("__n > 0")
+    several = F.raise_error(F.lit("several state rows for one lane"))
+    return grouped.select(*lane, *[F.when(F.col("__n") == 1, F.col(c)).otherwise(several.cast(state.schema[c].dataType)).alias(c) for c in wanted])
 
 
 def _assign_long(
@@ -258,7 +276,8 @@ def _fold_lanes(
 
 def _lane_join(df: DataFrame, known: DataFrame, lane: Sequence[str]) -> DataFrame:
     if not lane:
-        return df.crossJoin(F.broadcast(known))
+        # One row at most; none leaves the items as they are.
+        return df.join(F.broadcast(known), F.lit(True), "left")
     cond = all_of([F.col(c).eqNullSafe(F.col(f"__l_{c}")) for c in lane])
     return df.join(known, cond, "left").drop(*[f"__l_{c}" for c in lane])
 
@@ -427,13 +446,6 @@ def _chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_item
     return materialise(ranged.withColumn(_CHUNK, F.spark_partition_id()), "chunks")
 
 
-def _workdays(
-    spark: SparkSession, calendar: WorkCalendar, first: dt.date = dt.date(1970, 1, 1), last: dt.date = dt.date(2100, 12, 31)
-) -> DataFrame:
-    frame = calendar.frame(spark, first, last).filter("is_workday")
-    return frame.select(F.col("workday_index").cast("int").alias("__cal_w"), F.col("day").alias("__cal_day"))
-
-
 def last_state(assigned: DataFrame, *, pages: str, lane: Sequence[str] = (), day: str = "assigned_day", rank: str = "rank") -> DataFrame:
     """State to resume from: last used day, pages used on it and last rank."""
     per_day = assigned.groupBy(*lane, day).agg(F.sum(pages).cast("bigint").alias("p"), F.max(rank).alias("r"))

@@ -7,6 +7,7 @@ weighted share is rounded once more, as the contracts prescribe.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,10 +54,22 @@ def with_delivery_days(
     return started.withColumn(days, calendar.days_between(start, attempt))
 
 
-def within(days: Column | str, allowed: Column | str) -> Column:
-    """Service level met; NULL without a measure, false without a limit."""
+def within(days: Column | str, allowed: Column | str, unlimited: Column | None = None) -> Column:
+    """Service level met; NULL without a measure, false without a limit.
+
+    ``unlimited`` marks items whose offer sets no limit: any measure meets it.
+    """
     d, limit = _c(days), _c(allowed)
-    return F.when(d.isNotNull(), F.coalesce(d <= limit, F.lit(False)))
+    met = F.coalesce(d <= limit, F.lit(False))
+    if unlimited is not None:
+        met = met | (limit.isNull() & F.coalesce(unlimited, F.lit(False)))
+    return F.when(d.isNotNull(), met)
+
+
+def no_offer(table: Sequence[tuple[Sequence[str], str, Sequence[str]]], *, lot: str, product: str, zone: str) -> Column:
+    """Whether lot, product and zone are listed as without an offer."""
+    tests = [F.col(lot).isin(list(lots)) & (F.col(product) == only) & F.col(zone).isin(list(zones)) for lots, only, zones in table]
+    return F.coalesce(reduce(lambda a, b: a | b, tests, F.lit(False)), F.lit(False))
 
 
 def lateness(days: Column | str, standard: Column | str, improved: Column | str | None = None) -> Column:
@@ -75,9 +88,21 @@ def offer_days(
     relaxed: Sequence[tuple] = (),
     region: str | None = None,
     date_cols: Mapping[str, str] | None = None,
+    conditioned: Sequence[tuple[Mapping[str, Sequence[str]], str, str, str, int]] = (),
+    columns: Mapping[str, str] | None = None,
 ) -> Column:
-    """Offered days by lot, product and zone, with dated relaxations first."""
+    """Offered days by lot, product and zone, with dated relaxations first.
+
+    ``conditioned`` relaxations come before all others and may test any column;
+    ``columns`` and ``date_cols`` give the names of the columns they mean.
+    """
     rules = []
+    for tests, date_col, first, last, days in conditioned:
+        when = F.col((date_cols or {}).get(date_col, date_col))
+        test = when.between(F.lit(first).cast("timestamp"), F.lit(last).cast("timestamp"))
+        for name, values in tests.items():
+            test = test & F.col((columns or {}).get(name, name)).isin(list(values))
+        rules.append((test, days))
     for lots, only_region, date_col, first, last, days in relaxed:
         test = F.col(lot).isin(list(lots))
         if only_region is not None:

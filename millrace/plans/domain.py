@@ -46,9 +46,9 @@ entrusted AS (
 )"""
 
 
-def assigned(spark: SparkSession, folder: str, lane=("supp_key",), limit: int = CAPACITY) -> DataFrame:
+def assigned(spark: SparkSession, folder: str, lane=("supp_key",), limit: int = CAPACITY, **size) -> DataFrame:
     return capacity.assign_days(
-        entrusted(spark, folder), CALENDAR, eligible="entry_day", order=TIE, pages="pages", capacity=limit, lane=list(lane)
+        entrusted(spark, folder), CALENDAR, eligible="entry_day", order=TIE, pages="pages", capacity=limit, lane=list(lane), **size
     )
 
 
@@ -79,12 +79,53 @@ def daily_capacity(spark: SparkSession, folder: str) -> DataFrame:
     return assigned(spark, folder).select("supp_key", "order_key", "line", "part_key", "cost", "pages", "rank", "assigned_day")
 
 
-@query("k14_daily_capacity_single_lane")
+def _one_lane_sql(limit: int) -> str:
+    """Load per day of one queue: the recursion jumps from a day's first item to the next day's by prefix sums."""
+    return f"""WITH RECURSIVE {CAL_SQL}, {ENTRUSTED_SQL},
+    wd AS (SELECT d, idx FROM cal WHERE is_work),
+    queue AS MATERIALIZED (
+      SELECT row_number() OVER o AS rank, CAST(w AS BIGINT) AS w, CAST(sum(pages) OVER o AS BIGINT) AS upto, CAST(sum(pages) OVER o - pages AS BIGINT) AS base
+      FROM (SELECT e.*, f.idx AS w FROM entrusted e JOIN
+        (SELECT c.d AS day, min(wd.idx) AS idx FROM cal c JOIN wd ON wd.d >= c.d AND wd.d < c.d + 15 GROUP BY 1) f ON f.day = e.entry_day)
+      WINDOW o AS (ORDER BY w, {TIE_SQL} ROWS UNBOUNDED PRECEDING)),
+    ends AS MATERIALIZED (
+      SELECT q.rank, q.base, CASE WHEN n.rank IS NOT NULL THEN greatest(n.rank, q.rank + 1) END AS full_at FROM (SELECT *, base + {limit} AS room FROM queue) q ASOF LEFT JOIN queue n ON q.room < n.upto),
+    later AS MATERIALIZED (
+      SELECT c.slot, n.rank AS next, n.w FROM (SELECT DISTINCT CAST(idx AS BIGINT) AS slot FROM wd) c
+      ASOF LEFT JOIN (SELECT min(rank) AS rank, w FROM queue GROUP BY w) n ON c.slot < n.w),
+    lists AS MATERIALIZED (
+      SELECT (SELECT list(coalesce(full_at, 1000000000000) ORDER BY rank) FROM ends) AS full_at, (SELECT min(slot) FROM later) AS origin,
+        (SELECT list(coalesce(next, 1000000000000) ORDER BY slot) FROM later) AS next, (SELECT list(w ORDER BY slot) FROM later) AS w),
+    days AS (
+      SELECT CAST(1 AS BIGINT) AS first, (SELECT w FROM queue WHERE rank = 1) AS slot
+      UNION ALL
+      SELECT least(full_at[first], next[slot - origin + 1]), CASE WHEN next[slot - origin + 1] <= full_at[first] THEN w[slot - origin + 1] ELSE slot + 1 END
+      FROM days, lists WHERE least(full_at[first], next[slot - origin + 1]) < 1000000000000),
+    opened AS (SELECT days.first, days.slot, ends.base FROM days JOIN ends ON ends.rank = days.first)
+    SELECT strftime(wd.d, '%Y-%m-%d') AS assigned_day,
+      CAST(lead(base, 1, (SELECT max(upto) FROM queue)) OVER (ORDER BY first) - base AS BIGINT) AS pages,
+      lead(first, 1, (SELECT count(*) + 1 FROM queue)) OVER (ORDER BY first) - first AS items
+    FROM opened JOIN wd ON wd.idx = opened.slot"""
+
+
+@query("k14_daily_capacity_single_lane", _one_lane_sql(CAPACITY * 20))
 def daily_capacity_single_lane(spark: SparkSession, folder: str) -> DataFrame:
     """The same with one queue for everything; load per assigned day."""
     return capacity.daily_load(assigned(spark, folder, (), CAPACITY * 20), pages="pages")
 
 
+@query("k14_daily_capacity_in_packs", _one_lane_sql(CAPACITY * 200))
+def daily_capacity_in_packs(spark: SparkSession, folder: str) -> DataFrame:
+    """One queue that drains often, cut into packs where it does."""
+    return capacity.daily_load(assigned(spark, folder, (), CAPACITY * 200, chunk_items=500), pages="pages")
+
+
+@query("k14_daily_capacity_in_chunks", _one_lane_sql(CAPACITY * 5))
+def daily_capacity_in_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    """One overloaded queue, cut into chunks inside days."""
+    return capacity.daily_load(assigned(spark, folder, (), CAPACITY * 5, chunk_items=2000), pages="pages")
+
+
 @query(
     "k15_print_lateness",
     f"""WITH {ASSIGNED_SQL},

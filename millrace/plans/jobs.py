@@ -87,8 +87,10 @@ def carrier_penalty(base: DataFrame, relaxations: DataFrame, calendar: WorkCalen
     """
     where = dict(
         lot="lotto", product="prodotto", zone="area", relaxed=presets.RELAXED_OFFER, region="regione",
-        date_cols={"accepted": ACCEPTED, "handed_over": HANDED_OVER},
+        date_cols={"accepted": ACCEPTED, "handed_over": HANDED_OVER, "entrusted": "affido_consolidatore_data"},
+        conditioned=presets.CONDITIONED_OFFER, columns={"carrier": "recapitista", "sender": "senderpaid"},
     )
+    unlimited = penalty.no_offer(presets.NO_IMPROVED_OFFER, lot="lotto", product="prodotto", zone="area")
     timed = penalty.with_delivery_days(
         base, calendar, accepted=ACCEPTED, handed_over=HANDED_OVER, attempt="tentativo_recapito_data",
         discard_state="scarto_consolidatore_stato", start="__start", days="tempo_recapito",
@@ -101,7 +103,7 @@ def carrier_penalty(base: DataFrame, relaxations: DataFrame, calendar: WorkCalen
     ).withColumns(
         {
             "sla_standard": penalty.within("tempo_recapito", "giorni_offerta_standard"),
-            "sla_migliorativa": penalty.within("tempo_recapito", "giorni_offerta_migliorativa"),
+            "sla_migliorativa": penalty.within("tempo_recapito", "giorni_offerta_migliorativa", unlimited),
             "ritardo_recapito": penalty.lateness("tempo_recapito", "giorni_offerta_standard", "giorni_offerta_migliorativa"),
         }
     )
@@ -146,11 +148,11 @@ def sender_analogue(invoiced: DataFrame, timeline: DataFrame, gold: DataFrame, c
         "iun",
         F.col("timestamp").cast("timestamp").alias("analog_feedback_tms"),
         attempt_number("timelineelementid").alias("attempt"),
-        F.substring("timelineelementid", 22, 50).alias("req_id"),
+        F.expr("substring(timelineelementid, 22)").alias("req_id"),
     )
     last = top_row(feedback, ["iun"], ["attempt", "analog_feedback_tms", "req_id"])
     items = gold.filter(F.col("pcretry_rank") == 1).select(
-        F.substring("requestid", 25, 50).alias("__req"), "requestid", "lotto", "prodotto", carrier().alias("recapitista"),
+        F.expr("substring(requestid, 25)").alias("__req"), "requestid", "lotto", "prodotto", carrier().alias("recapitista"),
         "prezzo_ente", "costo_recapitista", "costo_consolidatore",
     ).distinct()
     joined = invoiced.join(last, "iun").join(items, F.col("req_id") == F.col("__req"), "left").drop("__req", "attempt")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,7 +30,30 @@ def build_session(app: str = "millrace", master: str | None = None, **conf: str)
         builder = builder.master(master)
     for key, value in {**DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers once per application.
+
+    Arrow and pandas operators are imported by name in the workers, which know
+    the driver's import path only where they share its machine and folder.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_millrace_shipped", False):
+        return
+    folder = os.path.dirname(os.path.abspath(__file__))
+    packed = os.path.join(tempfile.mkdtemp(prefix="millrace-"), "millrace.zip")
+    with zipfile.ZipFile(packed, "w") as out:
+        for base, _, names in os.walk(folder):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(base, name)
+                    out.write(path, os.path.join("millrace", os.path.relpath(path, folder)))
+    context.addPyFile(packed)
+    context._millrace_shipped = True
 
 
 def scratch_root(spark: SparkSession) -> str:

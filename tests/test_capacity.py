@@ -124,3 +124,26 @@ def test_transfer_equals_fold_for_every_fill():
             end = pages[at == at[-1]].sum() + (used if at[-1] == 0 else 0)
             assert capacity._step(steps, used) == (at[-1], end), (pages, used)
             assert (capacity._deal(pages, limit, used) == at).all()
+
+
+def test_missing_pages_days_and_state(spark):
+    schema = "eligible date, key int, pages int"
+    day = dt.date(2024, 5, 2)
+    df = spark.createDataFrame([(dt.date(2024, 4, 30), 1, 100), (day, 2, 40), (day, 3, None), (day, 4, 90), (None, 5, 10)], schema)
+    how = dict(eligible="eligible", order=["key"], pages="pages", capacity=100)
+    plain = capacity.assign_days(df, CAL, **how)
+    got = {r["key"]: (r["assigned_day"], r["rank"], r["pages"]) for r in plain.collect()}
+    assert got[3] == (day, 3, None) and got[4] == (dt.date(2024, 5, 3), 4, 90) and got[5] == (None, None, 10)
+    with pytest.raises(Exception, match="has no pages"):
+        capacity.assign_days(df, CAL, null_pages=None, **how).collect()
+    state = capacity.last_state(plain.filter("rank is not null"), pages="pages")
+    empty = capacity.assign_days(df, CAL, state=state.limit(0), **how)
+    assert {r["key"]: (r["assigned_day"], r["rank"], r["pages"]) for r in empty.collect()} == got
+    with pytest.raises(Exception, match="several state rows"):
+        capacity.assign_days(df, CAL, state=state.union(state), **how).collect()
+
+
+def test_no_last_day(spark):
+    rows = [(dt.date(2100, 12, 30), i, 100) for i in range(5)]
+    got = capacity.assign_days(frame(spark, rows), CAL, eligible="eligible", order=["key"], pages="pages", capacity=100)
+    assert max(result(got).values()) == dt.date(2101, 1, 5)

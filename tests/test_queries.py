@@ -17,8 +17,7 @@ def con(folder):
 
 def test_every_sql_twin_has_a_query():
     assert set(SQL) <= set(QUERIES)
-    # Queries without a twin are tested against brute force elsewhere.
-    assert set(QUERIES) - set(SQL) == {"k14_daily_capacity_single_lane"}
+    assert set(QUERIES) == set(SQL)
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
