@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,25 +65,26 @@ def _groups(df: DataFrame, id_col: str, text_col: str, buckets: int) -> DataFram
                 sizes.append(len(at))
                 places.append(at)
                 times.append(many)
-            words = list(numbers)
+            # Sorted words and rising numbers lie close together, which leaves little to write and shuffle.
+            words = sorted(numbers)
             bucket = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
             order = np.argsort(bucket, kind="stable")
-            place = np.empty(len(words), np.int32)
-            place[order] = np.arange(len(words))
+            place = np.empty(len(words), np.int64)
+            place[np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))[order]] = np.arange(len(words))
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
             listed = [words[i] for i in order.tolist()]
             used = np.flatnonzero(np.diff(cuts)).tolist()
-            packed = [_pack(listed[cuts[b] : cuts[b + 1]]) for b in used]
-            yield rows_of(group, len(used), bucket=used, words=packed)
-            at, many = place[np.concatenate(places)], np.concatenate(times)
-            # Planes of bytes: the upper ones are nearly constant and take hardly any room.
+            yield rows_of(group, len(used), bucket=used, words=[_pack(listed[cuts[b] : cuts[b + 1]]) for b in used])
+            text = np.repeat(np.arange(len(texts)), sizes)
+            at = text * len(words) + place[np.concatenate(places)]
+            order = np.argsort(at)
             yield rows_of(
                 group, 1,
                 doc_ids=[rows.column("doc_id").to_pylist()],
                 n_bytes=[list(map(len, texts))],
-                sizes=[np.array(sizes, "<i4").tobytes()],
-                places=[at.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()],
-                times=[many.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()],
+                sizes=[_pack_numbers(np.array(sizes))],
+                places=[_pack_numbers(np.diff(at[order], prepend=0))],
+                times=[_pack_numbers(np.concatenate(times)[order])],
             )
             n += 1
 
@@ -90,16 +92,26 @@ def _groups(df: DataFrame, id_col: str, text_col: str, buckets: int) -> DataFram
     return slim.mapInArrow(run, "group bigint, bucket int, words binary, doc_ids array<bigint>, n_bytes array<bigint>, sizes binary, places binary, times binary")
 
 
+def _pack_numbers(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 on, by planes of bytes, compressed."""
+    return zstandard.ZstdCompressor(level=3).compress(values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def _unpack_numbers(data: bytes) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(raw.reshape(8, -1).T).view("<i8").ravel()
+
+
 def _pack(words: list[bytes]) -> bytes:
-    lengths = np.fromiter(map(len, words), "<u4", len(words))
-    return np.uint32(len(words)).tobytes() + lengths.tobytes() + b"".join(words)
+    lengths = _pack_numbers(np.fromiter(map(len, words), np.int64, len(words)))
+    return len(lengths).to_bytes(4, "little") + lengths + zstandard.ZstdCompressor(level=3).compress(b"".join(words))
 
 
 def _unpack(data: bytes) -> list[bytes]:
-    n = int(np.frombuffer(data, "<u4", 1)[0])
-    ends = np.cumsum(np.frombuffer(data, "<u4", n, 4), dtype=np.int64) + 4 + 4 * n
-    cuts = [4 + 4 * n, *ends.tolist()]
-    return [data[b:e] for b, e in zip(cuts, cuts[1:])]
+    end = 4 + int.from_bytes(data[:4], "little")
+    cuts = [0, *np.cumsum(_unpack_numbers(data[4:end])).tolist()]
+    joined = zstandard.ZstdDecompressor().decompress(data[end:])
+    return [joined[b:e] for b, e in zip(cuts, cuts[1:])]
 
 
 def _pieces_of(model: str, words: list[bytes]) -> list[int]:
@@ -126,17 +138,13 @@ def pieces_per_bucket(groups: DataFrame, model: str, buckets: int) -> DataFrame:
                 words = _unpack(data)
                 new = [w for w in words if w not in known]
                 known.update(zip(new, _pieces_of(model, new)))
-                pieces = np.fromiter(map(known.__getitem__, words), "<u4", len(words))
-                yield pa.RecordBatch.from_arrays([pa.array([group], pa.int64()), pa.array([bucket], pa.int32()), pa.array([pieces.view(np.uint8).reshape(-1, 4).T.tobytes()], pa.binary())], ["group", "bucket", "pieces"])
+                pieces = _pack_numbers(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
+                yield pa.RecordBatch.from_arrays([pa.array([group], pa.int64()), pa.array([bucket], pa.int32()), pa.array([pieces], pa.binary())], ["group", "bucket", "pieces"])
 
     listed = groups.where("bucket is not null").select("group", "bucket", "words")
     return listed.repartition(buckets, "bucket").sortWithinPartitions("bucket", "group").mapInArrow(run, "group bigint, bucket int, pieces binary")
 
 
-def _planes(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<i4").ravel()
-
-
 def piece_counts(df: DataFrame, model: str, limit: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) for every row.
 
@@ -155,9 +163,9 @@ def piece_counts(df: DataFrame, model: str, limit: int, id_col: str = "doc_id",
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {k: batch.column(k)[i].as_py() for k in batch.schema.names}
-                sizes = np.frombuffer(row["sizes"], "<i4").astype(np.int64)
-                at, times = _planes(row["places"]), _planes(row["times"]).astype(np.int64)
-                n = np.concatenate([np.zeros(0, np.int64), *(_planes(x["pieces"]) for x in sorted(row["found"] or [], key=lambda x: x["bucket"]))])
+                sizes, at, times = (_unpack_numbers(row[k]) for k in ("sizes", "places", "times"))
+                n = np.concatenate([np.zeros(0, np.int64), *(_unpack_numbers(x["pieces"]) for x in sorted(row["found"] or [], key=lambda x: x["bucket"]))])
+                at = np.cumsum(at) % max(1, len(n))
                 sums = np.concatenate([[0], np.cumsum(n[at] * times)])
                 ends = np.cumsum(sizes)
                 tokens = sums[ends] - sums[ends - sizes]
