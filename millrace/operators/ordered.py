@@ -30,8 +30,6 @@ from millrace.session import materialise
 
 # Rows one task may sort for a single group before the group counts as hot.
 HOT_ROWS = 5_000_000
-# Pieces of one cut; beyond it the pieces grow, and their sorts spill to disk.
-MAX_PIECES = 20_000
 _PIECE = "__piece"
 _POS = "__pos"
 _CARRY = "__carry_"
@@ -86,21 +84,9 @@ def _frame(spec: WindowSpec, exclusive: bool) -> WindowSpec:
     return spec.rowsBetween(Window.unboundedPreceding, -1 if exclusive else Window.currentRow)
 
 
-def hot_groups(df: DataFrame, group: Sequence[str], hot_rows: int) -> list[dict]:
-    """Keys of the groups with more than ``hot_rows`` rows, with their counts.
-
-    At most ``rows / hot_rows`` keys can qualify, so the collected list is
-    bounded by the chosen limit and not by the number of groups.
-    """
-    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_rows)
-    return [row.asDict() for row in counts.collect()]
-
-
-def _matches(keys: Sequence[dict], group: Sequence[str]) -> Column:
-    if not group:
-        return F.lit(True)
-    one = [reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.lit(k[g])) for g in group]) for k in keys]
-    return reduce(lambda a, b: a | b, one)
+def hot_groups(df: DataFrame, group: Sequence[str], hot_rows: int) -> DataFrame:
+    """Keys of the groups with more than ``hot_rows`` rows, with their counts."""
+    return df.groupBy(*group).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_rows)
 
 
 def split_hot(df: DataFrame, group: Sequence[str], hot_rows: int) -> tuple[DataFrame, DataFrame | None, int]:
@@ -108,23 +94,19 @@ def split_hot(df: DataFrame, group: Sequence[str], hot_rows: int) -> tuple[DataF
 
     With hot groups the frame is written out first: the ordinary part, the
     sample that finds the piece boundaries and the pieces all read it, and what
-    leads up to it should not run again for each.
+    leads up to it should not run again for each. The hot keys stay a table;
+    only their number comes to the driver, and the optimiser picks the join.
     """
-    keys = hot_groups(df, group, hot_rows)
-    if not keys:
+    # The count reads the group columns only.
+    total = hot_groups(df.select(*group), group, hot_rows).agg(F.sum("__n")).first()[0]
+    if not total:
         return df, None, 0
     df = materialise(df, "grouped")
-    total = sum(k["__n"] for k in keys)
     if not group:
         return df.filter(F.lit(False)), df, total
-    if len(keys) <= 64:
-        test = _matches(keys, group)
-        return df.filter(~test), df.filter(test), total
-    schema = df.select(*group).schema
-    small = df.sparkSession.createDataFrame([tuple(k[g] for g in group) for k in keys], schema)
-    small = F.broadcast(small.select([F.col(g).alias(f"__k_{g}") for g in group]))
+    keys = materialise(hot_groups(df, group, hot_rows).select([F.col(g).alias(f"__k_{g}") for g in group]), "hot-keys")
     on = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"__k_{g}")) for g in group])
-    return df.join(small, on, "left_anti"), df.join(small, on, "left_semi"), total
+    return df.join(keys, on, "left_anti"), df.join(keys, on, "left_semi"), total
 
 
 def range_pieces(df: DataFrame, group: Sequence[str], order: Sequence[Column], rows: int, piece_rows: int) -> DataFrame:
@@ -134,7 +116,7 @@ def range_pieces(df: DataFrame, group: Sequence[str], order: Sequence[Column], r
     written out because the piece boundaries come from a sample and must be
     the same for every later use.
     """
-    pieces = min(max(2, math.ceil(rows / piece_rows) * 2), MAX_PIECES)
+    pieces = max(2, math.ceil(rows / piece_rows) * 2)
     ranged = df.repartitionByRange(pieces, *[F.col(g).asc_nulls_first() for g in group], *order)
     return materialise(ranged.withColumn(_PIECE, F.spark_partition_id()), "pieces")
 
@@ -312,17 +294,19 @@ def ranked_share(
     return plain(ordinary).unionByName(dealt) if group else dealt
 
 
-def top_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], keep: str = "last") -> DataFrame:
-    """One whole row per key: the greatest (or smallest) by ``order``.
+def top_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], keep: str = "last", columns: Sequence[str] | None = None) -> DataFrame:
+    """One row per key: the greatest (or smallest) by ``order``.
 
-    A struct maximum combines map-side, so a hot key costs one row per map
-    task instead of a sort of the whole group. NULL order values count as the
-    smallest.
+    ``columns`` names what is wanted besides the keys (all by default); other
+    columns are dropped before anything is shuffled, except inside ``order``. A
+    struct maximum combines map-side, so a hot key sends one row per map task;
+    structs with texts have no fixed width, so both sides of the exchange sort
+    by key. NULL order values count as the smallest.
     """
-    cols = [c for c in df.columns if c not in keys]
+    wanted = [c for c in df.columns if c not in keys] if columns is None else [c for c in columns if c not in keys]
     parts = [F.col(o) if isinstance(o, str) else o for o in order]
     by = F.struct(*[p.alias(f"o{i}") for i, p in enumerate(parts)])
-    payload = F.struct(*cols) if cols else F.struct(F.lit(0).alias("none"))
+    payload = F.struct(*wanted) if wanted else F.struct(F.lit(0).alias("none"))
     pick = F.max_by if keep == "last" else F.min_by
     best = df.groupBy(*keys).agg(pick(payload, by).alias("__best"))
-    return best.select(*keys, *[F.col(f"__best.`{c}`").alias(c) for c in cols]).select(*df.columns)
+    return best.select(*keys, *[F.col(f"__best.`{c}`").alias(c) for c in wanted]).select(*[c for c in df.columns if c in keys or c in wanted])

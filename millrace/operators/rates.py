@@ -169,9 +169,9 @@ def citizen_cost(
     return F.when(F.coalesce(none, F.lit(False)), F.lit(0)).otherwise(full).cast("bigint")
 
 
-def latest_notice(df: DataFrame, keys: Sequence[str], sent: str, tie: Sequence[str]) -> DataFrame:
-    """Most recent notification per payment notice."""
-    return top_row(df, keys, [sent, *tie])
+def latest_notice(df: DataFrame, keys: Sequence[str], sent: str, tie: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
+    """Most recent notification per payment notice, with the wanted ``columns`` (all by default)."""
+    return top_row(df, keys, [sent, *tie], columns=columns)
 
 
 def reconcile(expected: DataFrame, found: DataFrame, on: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:

@@ -493,7 +493,7 @@ charged AS (
 
 
 def charged_notices(spark: SparkSession, folder: str) -> DataFrame:
-    latest = rates.latest_notice(notices(spark, folder), ["creditortaxid", "noticecode"], "o_orderdate", ["o_orderkey"])
+    latest = rates.latest_notice(notices(spark, folder), ["creditortaxid", "noticecode"], "o_orderdate", ["o_orderkey"], ["o_orderkey", "o_orderstatus", "o_orderpriority", "applycost"])
     details = load(spark, folder, "lineitem").select(
         "l_orderkey", F.concat(F.lit('{"analogCost": '), F.col("l_quantity").cast("int"), F.lit("}")).alias("details")
     )
