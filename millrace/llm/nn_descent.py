@@ -84,9 +84,9 @@ def _best(nodes: np.ndarray, units: np.ndarray, least: np.ndarray, known: list,
     cosine = units @ units.T
     cosine[nodes[:, None] == nodes[None, :]] = -2
     if known is not None:
-        for i, own in enumerate(known):
-            if own:
-                cosine[i, np.isin(nodes, own)] = -2
+        wide = max(1, max(len(k or ()) for k in known))
+        own = np.array([[*(k or ()), *[-1] * (wide - len(k or ()))] for k in known])
+        cosine[(own[:, :, None] == nodes[None, None, :]).any(1)] = -2
     cosine[cosine <= least[:, None]] = -2
     take = min(most, len(nodes) - 1)
     if take < 1:
@@ -150,12 +150,17 @@ def _flat(lists: DataFrame) -> DataFrame:
     return lists.select("node", F.explode("list").alias("x")).select("node", F.col("x.other").alias("other"), F.col("x.cosine").alias("cosine"))
 
 
-def _joined_neighbours(nodes: DataFrame, lists: DataFrame, most: int) -> DataFrame:
-    """Better neighbours found among the neighbours, either way, of every vector."""
+def _joined_neighbours(nodes: DataFrame, lists: DataFrame, most: int, enough: float) -> DataFrame:
+    """Better neighbours found among the neighbours, either way, of every vector.
+
+    A list that is full of cosines from ``enough`` on is saturated and gets no more here.
+    """
     edges = _flat(lists).select("node", "other")
     around = edges.select(F.col("node").alias("centre"), F.col("other").alias("node")).union(edges.select(F.col("other").alias("centre"), "node")).distinct()
+    last = F.element_at("list", -1)["cosine"]
+    last = F.when(last >= enough, F.lit(2.0)).otherwise(last)
     known = nodes.select("node", "half").join(lists, "node", "left")
-    known = known.select("node", "half", F.col("list.other").alias("known"), F.when(F.size("list") >= most, F.element_at("list", -1)["cosine"]).otherwise(F.lit(-1.5)).cast("float").alias("least"))
+    known = known.select("node", "half", F.col("list.other").alias("known"), F.when(F.size("list") >= most, last).otherwise(F.lit(-1.5)).cast("float").alias("least"))
     members = around.join(known, "node")
 
     def compare(batches):
@@ -172,15 +177,13 @@ def _joined_neighbours(nodes: DataFrame, lists: DataFrame, most: int) -> DataFra
     return members.select("centre", "node", "half", "known", "least").repartition("centre").sortWithinPartitions("centre", "node").mapInArrow(compare, PAIRS)
 
 
-def neighbour_graph(nodes: DataFrame, dim: int, count: int, tables: int = TABLES, most: int = NEIGHBOURS, seed: int = 9, rounds: int = 8) -> DataFrame:
-    """Written lists (node, list) after refining until fewer than one in a hundred lists gains an entry."""
+def neighbour_graph(nodes: DataFrame, dim: int, count: int, enough: float, tables: int = TABLES, most: int = NEIGHBOURS, seed: int = 9, rounds: int = 8) -> DataFrame:
+    """Written lists (node, list), refined until a round gains no neighbour with a cosine from ``enough`` on."""
     lists = written(_lists(_start(nodes, dim, count, tables, seed, most), most), "neighbours")
     for _ in range(rounds):
-        better = written(_joined_neighbours(nodes, lists, most), "better")
-        gains = better.select("node").distinct().count()
-        if gains:
-            lists = written(_lists(_flat(lists).unionByName(better), most), "neighbours")
-        if gains * 100 <= count:
+        better = written(_joined_neighbours(nodes, lists, most, enough), "better")
+        lists = written(_lists(_flat(lists).unionByName(better), most), "neighbours")
+        if better.where(F.col("cosine") >= enough).isEmpty():
             break
     return lists
 
@@ -301,7 +304,7 @@ def embedding_near_duplicates(df: DataFrame, threshold: float = 0.95, id_col: st
     nodes = written(grouped.mapInArrow(half, "unit binary, node bigint, copies bigint, least bigint, half binary"), "vector-nodes")
     count, tables = nodes.count(), TABLES
     for attempt in range(WIDENINGS + 1):
-        lists = neighbour_graph(nodes, usual["size"] // 8, count, tables)
+        lists = neighbour_graph(nodes, usual["size"] // 8, count, threshold - SLACK, tables)
         found = linked(nodes, lists, threshold, NEIGHBOURS)
         if attempt == WIDENINGS or audited_recall(nodes, found, threshold) >= RECALL:
             break
