@@ -26,11 +26,11 @@ def enrich_dimension(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "j2_inner_multiway",
     """SELECT n_name AS nation, p_brand AS brand, count(*) AS items FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN supplier ON s_suppkey = l_suppkey
-    JOIN nation ON n_nationkey = s_nationkey JOIN part ON p_partkey = l_partkey WHERE o_orderstatus = 'F' GROUP BY 1, 2""",
+    JOIN nation ON n_nationkey = s_nationkey JOIN part ON p_partkey = l_partkey GROUP BY 1, 2""",
 )
 def inner_multiway(spark: SparkSession, folder: str) -> DataFrame:
     li = load(spark, folder, "lineitem").select("l_orderkey", "l_suppkey", "l_partkey")
-    orders = load(spark, folder, "orders").filter(F.col("o_orderstatus") == "F").select(F.col("o_orderkey").alias("l_orderkey"))
+    orders = load(spark, folder, "orders").select(F.col("o_orderkey").alias("l_orderkey"))
     supplier = load(spark, folder, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("n_nationkey"))
     part = load(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("brand"))
     nation = load(spark, folder, "nation").select("n_nationkey", F.col("n_name").alias("nation"))
@@ -108,12 +108,12 @@ def consecutive_retries(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "j7_full_outer",
-    """WITH c AS (SELECT c_nationkey AS k, count(*) AS customers FROM customer WHERE c_acctbal > 9000 GROUP BY 1), s AS (SELECT s_nationkey AS k, count(*) AS suppliers FROM supplier WHERE s_acctbal > 5000 GROUP BY 1)
+    """WITH c AS (SELECT c_nationkey AS k, count(*) AS customers FROM customer GROUP BY 1), s AS (SELECT s_nationkey AS k, count(*) AS suppliers FROM supplier GROUP BY 1)
     SELECT CAST(coalesce(c.k, s.k) AS BIGINT) AS nation, customers, suppliers FROM c FULL JOIN s ON c.k = s.k""",
 )
 def full_outer(spark: SparkSession, folder: str) -> DataFrame:
-    customers = load(spark, folder, "customer").filter("c_acctbal > 9000").groupBy(F.col("c_nationkey").alias("nation")).agg(F.count(F.lit(1)).alias("n"))
-    suppliers = load(spark, folder, "supplier").filter("s_acctbal > 5000").groupBy(F.col("s_nationkey").alias("nation")).agg(F.count(F.lit(1)).alias("n"))
+    customers = load(spark, folder, "customer").groupBy(F.col("c_nationkey").alias("nation")).agg(F.count(F.lit(1)).alias("n"))
+    suppliers = load(spark, folder, "supplier").groupBy(F.col("s_nationkey").alias("nation")).agg(F.count(F.lit(1)).alias("n"))
     return joins.full_outer(customers, suppliers, ["nation"], {"customers": "n"}, {"suppliers": "n"})
 
 

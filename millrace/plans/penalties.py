@@ -465,7 +465,7 @@ def penalty_summary_by_report(spark: SparkSession, folder: str) -> DataFrame:
     "k11_reporting_hours",
     f"""WITH {LINES_SQL}, b AS (
       SELECT *, CAST(attempt AS DATE) + (CASE WHEN supp_key % 7 = 0 THEN 31 WHEN flag = 'R' THEN 16 ELSE 4 END) AS boundary
-      FROM lines WHERE state = 'F'),
+      FROM lines),
     h AS (SELECT *, CASE WHEN CAST(reported AS DATE) >= boundary
             THEN (epoch(reported) - epoch(CAST(boundary AS TIMESTAMP))) // 3600 END AS hours FROM b),
     s AS (SELECT supp_key, count(attempt) AS outcomes, count(hours) AS violations, coalesce(sum(hours), 0) AS delay FROM h GROUP BY 1)
@@ -477,7 +477,7 @@ def penalty_summary_by_report(spark: SparkSession, folder: str) -> DataFrame:
 def reporting_hours(spark: SparkSession, folder: str) -> DataFrame:
     """Older terms: hours after a day boundary, violation quota of 2.1 percent."""
     rules = [(F.col("supp_key") % 7 == 0, 31), (F.col("flag") == "R", 16)]
-    timed = lines(spark, folder).filter(F.col("state") == "F").withColumns(
+    timed = lines(spark, folder).withColumns(
         {
             "hours": penalty.milestone_hours("attempt", "reported", rules, 4),
             "outcomes": F.when(F.col("attempt").isNotNull(), 1),

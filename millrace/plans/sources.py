@@ -104,10 +104,10 @@ def detail_and_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "s8_ingestion_by_day",
-    "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events WHERE event_type IN ('signup', 'view', 'purchase') GROUP BY 1, 2",
+    "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2",
 )
 def ingestion_by_day(spark: SparkSession, folder: str) -> DataFrame:
-    return readers.ingestion_by_day(load(spark, folder, "events"), "ts", "event_type", ["signup", "view", "purchase"])
+    return readers.ingestion_by_day(load(spark, folder, "events"), "ts", "event_type", ["click", "error", "purchase", "signup", "view"])
 
 
 @query(
