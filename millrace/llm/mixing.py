@@ -23,6 +23,8 @@ USE_COSTS = (0, 1, 3)
 MOST_PATTERNS = 100_000
 #: Slots of the seeded order in which the documents of a pattern are added up.
 SLOTS = 4096
+#: Documents added to a pattern one by one behind the seeded order.
+FINISHING = 4
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -100,8 +102,8 @@ def mix(df: DataFrame, sources, size, weights: tuple[int, ...] = (1, 2, 3), id_c
     order has the weight ``weights[i % len(weights)]``. The plan is a dict of
     source -> (size, target as float, words routed). A pattern takes every
     document a whole number of times and, in seeded order, some once more,
-    until its words are reached; one further document is added where that comes
-    nearer. Equal seeds give equal mixes; rows alike in id, size and sources
+    until its words are reached; up to ``FINISHING`` further documents that fit
+    bring the sum nearer. Equal seeds give equal mixes; rows alike in id, size and sources
     are told apart by their place only.
     """
     rows = df.select(
@@ -137,14 +139,23 @@ def mix(df: DataFrame, sources, size, weights: tuple[int, ...] = (1, 2, 3), id_c
     inside = placed.where(F.col("slot__") == F.col("edge__"))
     running = F.sum("size").over(Window.partitionBy("key__").orderBy("size", "order__", "doc_id", "row__"))
     chosen = written(inside.select("row__", "key__", "size", (F.col("before__") + running).alias("sum__"), "rest__").where("sum__ <= rest__").select("row__", "key__", "size"), "mix-edge")
-    reached = edge.join(chosen.groupBy("key__").agg(F.sum("size").alias("n")), "key__", "left").select("key__", (F.col("before__") + F.coalesce("n", F.lit(0))).alias("sum__"))
+    reached = written(edge.join(chosen.groupBy("key__").agg(F.sum("size").alias("n")), "key__", "left").select("key__", (F.col("before__") + F.coalesce("n", F.lit(0))).alias("sum__")), "mix-sums")
     picked = placed.join(chosen.select("row__", F.lit(True).alias("picked__")), "row__", "left")
     picked = picked.withColumn("more__", (F.col("rest__") > 0) & (F.col("edge__").isNull() | (F.col("slot__") < F.col("edge__")) | F.coalesce("picked__", F.lit(False))))
-    # One more document where the sum comes nearer to the words with it.
-    gap = picked.join(F.broadcast(reached), "key__").where(~F.col("more__") & (F.col("size") > 0))
-    gap = gap.withColumn("off__", F.abs(F.col("rest__") - F.col("sum__") - F.col("size"))).where(F.col("off__") < F.col("rest__") - F.col("sum__"))
-    last = gap.groupBy("key__").agg(F.min(F.struct("off__", "order__", "doc_id", "row__")).alias("best")).select(F.col("best.row__").alias("row__"), F.lit(True).alias("last__"))
-    last = F.broadcast(written(last, "mix-last"))  # a row per pattern at most
+    # Further documents that still fit, the largest first, and at last one that brings the sum nearer.
+    last = None
+    for step in range(FINISHING):
+        open_ = picked.join(F.broadcast(reached), "key__").where(~F.col("more__") & (F.col("size") > 0))
+        if last is not None:
+            open_ = open_.join(last.select("row__"), "row__", "left_anti")
+        gap = F.col("rest__") - F.col("sum__")
+        open_ = open_.withColumn("off__", gap - F.col("size"))
+        fit = open_.where("off__ >= 0") if step + 1 < FINISHING else open_.withColumn("off__", F.abs("off__")).where(F.col("off__") < gap)
+        best = fit.groupBy("key__").agg(F.min(F.struct("off__", "order__", "doc_id", "row__", "size")).alias("best"))
+        best = written(best.select("key__", "best.row__", "best.size"), "mix-last")
+        reached = written(reached.join(best.select("key__", F.col("size").alias("n")), "key__", "left").select("key__", (F.col("sum__") + F.coalesce("n", F.lit(0))).alias("sum__")), "mix-sums")
+        last = best if last is None else last.union(best)
+    last = F.broadcast(last.select("row__", F.lit(True).alias("last__")))  # FINISHING rows per pattern at most
     times = F.coalesce("whole__", F.lit(0)) + F.when(F.col("more__") | F.coalesce("last__", F.lit(False)), 1).otherwise(0)
     mixed = picked.join(last, "row__", "left").select("doc_id", "size", "sources", (F.col("size") * times).alias("taken"), times.alias("times"), *(F.col(f"passed {c}").alias(c) for c in passing))
     return mixed, {s: (sizes[i], float(targets[i]), routed[i]) for s, i in number.items()}
