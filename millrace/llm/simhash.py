@@ -252,11 +252,15 @@ def _differing(similarity: float, deviations: float) -> int:
 
 
 def wide_prints(df: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, same, print as bytes) of the rows with words; ``same`` is a hash of the text."""
+    """(doc_id, same, print as bytes, set) of the rows with words; ``same`` is a hash of the text.
+
+    A print is the majority over the distinct shingles, so a repeated one has one
+    vote; ``set`` is a hash of all of them.
+    """
 
     def run(batches):
         for rows, texts in slices(batches, "text"):
-            hashes = [shingle_hashes(t, size) for t in texts]
+            hashes = [np.unique(shingle_hashes(t, size)) for t in texts]
             some = np.flatnonzero([len(h) > 0 for h in hashes])
             if not len(some):
                 continue
@@ -270,11 +274,12 @@ def wide_prints(df: DataFrame, size: int, id_col: str, text_col: str) -> DataFra
                     else:
                         words.append(majority_bits(hashes))
             prints = np.column_stack(words).astype("<u8")
+            sets = np.array([xxhash.xxh64_intdigest(h.tobytes(), 7) for h in hashes], np.uint64).view(np.int64)
             at = pa.array(some)
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id").take(at), rows.column("same").take(at), pa.array([p.tobytes() for p in prints], pa.binary())], ["doc_id", "same", "print"])
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id").take(at), rows.column("same").take(at), pa.array([p.tobytes() for p in prints], pa.binary()), pa.array(sets)], ["doc_id", "same", "print", "set"])
 
     slim = df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("same"), F.col(text_col).alias("text"))
-    return slim.mapInArrow(run, "doc_id bigint, same bigint, print binary")
+    return slim.mapInArrow(run, "doc_id bigint, same bigint, print binary, set bigint")
 
 
 def _candidates(nodes: DataFrame, radius: int, key_bits: int, tables: int, seed: int) -> DataFrame:
@@ -331,7 +336,7 @@ def _candidates(nodes: DataFrame, radius: int, key_bits: int, tables: int, seed:
 
 
 def _verified(df: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
-    """The pairs (a, b, ca, cb) whose sets of shingles have the Jaccard similarity or more."""
+    """The pairs (a, b, and what else they hold) whose sets of shingles have the Jaccard similarity or more."""
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes, "node").select("node", "doc_id", "same")
     texts = df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("text"))
     texts = texts.join(ends, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("same")))
@@ -341,25 +346,26 @@ def _verified(df: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, simi
             sets = [np.unique(shingle_hashes(t, size)).view(np.int64) for t in data]
             yield pa.RecordBatch.from_arrays([rows.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "set"])
 
-    sets = texts.select("node", "text").mapInArrow(shingles, "node bigint, set array<bigint>").dropDuplicates(["node"])
+    sets = written(texts.select("node", "text").mapInArrow(shingles, "node bigint, set array<bigint>").dropDuplicates(["node"]), "shingle-sets")
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b")
     shared = F.size(F.array_intersect("sa", "sb"))
-    return both.where(shared >= similarity * (F.size("sa") + F.size("sb") - shared)).select("a", "b", "ca", "cb")
+    return both.where(shared >= similarity * (F.size("sa") + F.size("sb") - shared)).select(*pairs.columns)
 
 
 def similar_groups(df: DataFrame, size: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", tables: int = SIMILAR_TABLES, seed: int = 2) -> DataFrame:
     """(doc_id, same, root) of the rows with words: the group of documents linked by a Jaccard similarity of their shingles.
 
-    Wide prints within the distance that the similarity would give are compared
-    bit-sliced. Those well inside it are links; of the others, one pair per two
-    groups is checked on the sets of shingles themselves.
+    Texts with equal sets of shingles are one node. Wide prints within the
+    distance that the similarity would give are compared bit-sliced, and every
+    link is checked on the sets of shingles themselves: first those well inside
+    the distance, then one pair per two groups of the others.
     """
     docs = written(wide_prints(df, size, id_col, text_col), "wide-prints")
-    nodes = written(docs.withColumn("node", F.monotonically_increasing_id()).groupBy("print").agg(F.min(F.struct("node", "doc_id", "same")).alias("m")).select("print", "m.*"), "wide-nodes")
+    nodes = written(docs.withColumn("node", F.monotonically_increasing_id()).groupBy("print", "set").agg(F.min(F.struct("node", "doc_id", "same")).alias("m")).select("print", "set", "m.*"), "wide-nodes")
     key_bits = max(KEY_BITS, math.ceil(math.log2(max(1, nodes.count() / PER_KEY))))
     far, near = _differing(similarity, 2.5), _differing(similarity, -2)
     links = written(_candidates(nodes, far, key_bits, tables, seed), "candidates")
-    sure = components(links.where(F.col("distance") <= near).select("a", "b"))
+    sure = components(_verified(df, nodes, links.where(F.col("distance") <= near), size, similarity, id_col, text_col))
     rooted = written(nodes.select("node").join(sure, "node", "left").select("node", F.coalesce("root", "node").alias("root")), "sure-groups")
     open_ = links.where(F.col("distance") > near)
     open_ = open_.join(rooted.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a").join(rooted.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b").where("ra <> rb")
@@ -367,7 +373,7 @@ def similar_groups(df: DataFrame, size: int = 5, similarity: float = 0.8, id_col
     proven = _verified(df, nodes, written(open_, "open-pairs"), size, similarity, id_col, text_col)
     joined = components(proven.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
     final = rooted.join(joined.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
-    return docs.join(nodes.select("print", "node"), "print").join(final, "node").select("doc_id", "same", "root")
+    return docs.join(nodes.select("print", "set", "node"), ["print", "set"]).join(final, "node").select("doc_id", "same", "root")
 
 
 def drop_similar(df: DataFrame, size: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -127,6 +127,26 @@ def test_similar_documents(spark, near, odd, none):
     assert simhash.drop_similar(none).count() == 0
 
 
+def test_repeated_shingles_do_not_join_documents(spark):
+    rnd = random.Random(11)
+    run = " ".join(["0"] * 44)  # 40 times the same shingle
+    rows = [(i, " ".join(f"u{rnd.randrange(10**6)}" for _ in range(230)) + f" {run} " + " ".join(f"u{rnd.randrange(10**6)}" for _ in range(230))) for i in range(20)]
+    rows += [(100 + i, " ".join(["0"] * 100 + [f"v{rnd.randrange(10**6)}" for _ in range(150)])) for i in range(20)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert simhash.drop_similar(frame).count() == len(rows)
+
+
+def test_sure_links_are_checked(spark):
+    rows = [(i, " ".join(f"u{i}x{k}" for k in range(40))) for i in range(6)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    same = simhash.wide_prints(frame, 5, "doc_id", "text").withColumn("print", F.lit(bytes(32)))
+    prints, simhash.wide_prints = simhash.wide_prints, lambda *a: same  # unrelated documents with one and the same print
+    try:
+        assert simhash.drop_similar(frame).count() == len(rows)
+    finally:
+        simhash.wide_prints = prints
+
+
 # -- substrings ---------------------------------------------------------------
 
 
