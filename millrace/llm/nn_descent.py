@@ -3,7 +3,8 @@
 A neighbour graph starts from random hyperplane groups and is refined by
 joining the neighbours of each vector with one another. Lists that are full of
 near-duplicates are saturated; they are enlarged to their whole component,
-which is compared in blocks. A sample compared with every vector audits the
+which is compared in blocks. Components with saturated lists are compared with
+one another, as such lists have no room for links to another dense group. A sample compared with every vector audits the
 recall; the graph is started wider until that is reached. Only links whose
 cosine in double precision reaches the threshold are kept.
 """
@@ -150,15 +151,15 @@ def _flat(lists: DataFrame) -> DataFrame:
     return lists.select("node", F.explode("list").alias("x")).select("node", F.col("x.other").alias("other"), F.col("x.cosine").alias("cosine"))
 
 
-def _joined_neighbours(nodes: DataFrame, lists: DataFrame, most: int, enough: float) -> DataFrame:
+def _joined_neighbours(nodes: DataFrame, lists: DataFrame, most: int, full: float) -> DataFrame:
     """Better neighbours found among the neighbours, either way, of every vector.
 
-    A list that is full of cosines from ``enough`` on is saturated and gets no more here.
+    A list that is full of cosines from ``full`` on is saturated and gets no more here.
     """
     edges = _flat(lists).select("node", "other")
     around = edges.select(F.col("node").alias("centre"), F.col("other").alias("node")).union(edges.select(F.col("other").alias("centre"), "node")).distinct()
     last = F.element_at("list", -1)["cosine"]
-    last = F.when(last >= enough, F.lit(2.0)).otherwise(last)
+    last = F.when(last >= full, F.lit(2.0)).otherwise(last)
     known = nodes.select("node", "half").join(lists, "node", "left")
     known = known.select("node", "half", F.col("list.other").alias("known"), F.when(F.size("list") >= most, last).otherwise(F.lit(-1.5)).cast("float").alias("least"))
     members = around.join(known, "node")
@@ -181,7 +182,7 @@ def neighbour_graph(nodes: DataFrame, dim: int, count: int, enough: float, table
     """Written lists (node, list), refined until a round gains no neighbour with a cosine from ``enough`` on."""
     lists = written(_lists(_start(nodes, dim, count, tables, seed, most), most), "neighbours")
     for _ in range(rounds):
-        better = written(_joined_neighbours(nodes, lists, most, enough), "better")
+        better = written(_joined_neighbours(nodes, lists, most, enough + 2 * SLACK), "better")
         lists = written(_lists(_flat(lists).unionByName(better), most), "neighbours")
         if better.where(F.col("cosine") >= enough).isEmpty():
             break
@@ -206,58 +207,135 @@ def threshold_links(nodes: DataFrame, lists: DataFrame, threshold: float) -> Dat
     return both.select("a", "b", "ua", "ub").mapInArrow(run, "a bigint, b bigint")
 
 
+def _whole_groups(batches, keys: list[str]):
+    """(key, rows as a dict of lists) of each group of a sorted stream."""
+    held, now = None, None
+    for batch in batches:
+        rows = batch.to_pydict()
+        group = list(zip(*(rows[k] for k in keys)))
+        cuts = [0, *(i for i in range(1, len(group)) if group[i] != group[i - 1]), len(group)]
+        for begin, end in zip(cuts, cuts[1:]):
+            if begin == end:
+                continue
+            part = {k: v[begin:end] for k, v in rows.items()}
+            if held is not None and group[begin] == now:
+                for k, v in part.items():
+                    held[k] += v
+                continue
+            if held is not None:
+                yield now, held
+            held, now = part, group[begin]
+    if held is not None:
+        yield now, held
+
+
+def _block_pairs(rows: DataFrame, blocks, key: str, *columns: str) -> DataFrame:
+    """Rows by every pair (i, j) of blocks that their block is in: (i, j, block, columns)."""
+    dealt = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64(key), F.col("blocks")).cast("int"))
+    paired = dealt.withColumn("pair", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("block", o).alias("i"), F.greatest("block", o).alias("j")))))
+    return paired.select(F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), "block", *columns)
+
+
 def _component_counts(members: DataFrame, threshold: float) -> DataFrame:
     """(node, n): copies linked with each node among all of its component (root, node, unit, copies), in blocks."""
     sizes = members.groupBy("root").agg(F.count("*").alias("m"))
-    dealt = members.join(sizes, "root").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
-    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     # Every pair of blocks is a group of its own.
-    paired = dealt.withColumn("pair", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("block", o).alias("i"), F.greatest("block", o).alias("j")))))
-    rows = paired.select("root", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), "block", "node", "copies", "unit")
+    rows = _block_pairs(members.join(sizes, "root"), F.ceil(F.col("m") / BLOCK).cast("int"), "node", "root", "node", "copies", "unit")
 
     def run(batches):
-        held, now = None, None
-
-        def counted(rows):
+        for (_, i, j), rows in _whole_groups(batches, ["root", "i", "j"]):
             units, block, copies = _doubles(rows["unit"]), np.array(rows["block"]), np.array(rows["copies"])
             cosine = units @ units.T >= threshold
             np.fill_diagonal(cosine, False)
-            if now[1] != now[2]:
+            if i != j:
                 cosine &= block[:, None] != block[None, :]
-            return pa.RecordBatch.from_arrays([pa.array(rows["node"], pa.int64()), pa.array((cosine * copies[None, :]).sum(1))], ["node", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(rows["node"], pa.int64()), pa.array((cosine * copies[None, :]).sum(1))], ["node", "n"])
+
+    return rows.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "node").mapInArrow(run, "node bigint, n bigint").groupBy("node").agg(F.sum("n").alias("n"))
+
+
+def _angles(cosine: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(cosine, -1, 1))
+
+
+def _between(members: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): groups of ``members`` (root, node, unit) with a link from one to the other. Exact.
 
+    A group is represented by its root and the widest angle to a member. Two
+    groups are compared, member by member in blocks, unless the angles rule a
+    link out; of their members, those too far from the other root stay out.
+    """
+    reach, room = math.acos(threshold), 1e-6
+    centres = members.where("node = root").select("root", F.col("unit").alias("centre"))
+
+    def widths(batches):
         for batch in batches:
-            rows = batch.to_pydict()
-            keys = list(zip(rows["root"], rows["i"], rows["j"]))
-            cuts = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
-            for begin, end in zip(cuts, cuts[1:]):
-                if begin == end:
-                    continue
-                part = {k: v[begin:end] for k, v in rows.items()}
-                if held is not None and keys[begin] == now:
-                    held = {k: held[k] + v for k, v in part.items()}
-                    continue
-                if held is not None:
-                    yield counted(held)
-                held, now = part, keys[begin]
-        if held is not None:
-            yield counted(held)
+            if batch.num_rows:
+                cosine = np.einsum("ij,ij->i", _doubles(batch.column("unit").to_pylist()), _doubles(batch.column("centre").to_pylist()))
+                yield pa.RecordBatch.from_arrays([batch.column("root"), pa.array(_angles(cosine))], ["root", "width"])
+
+    width = members.join(centres, "root").select("root", "unit", "centre").mapInArrow(widths, "root bigint, width double").groupBy("root").agg(F.max("width").alias("width"))
+    groups = written(centres.join(width, "root"), "dense-groups")
+
+    def near(batches):
+        for (i, j), rows in _whole_groups(batches, ["i", "j"]):
+            root, block, width, units = np.array(rows["root"]), np.array(rows["block"]), np.array(rows["width"]), _doubles(rows["centre"])
+            hit = _angles(units @ units.T) <= width[:, None] + width[None, :] + reach + room
+            hit &= root[:, None] < root[None, :]
+            if i != j:
+                hit &= block[:, None] != block[None, :]
+            a, b = np.nonzero(hit)
+            yield pa.RecordBatch.from_arrays([pa.array(root[a], pa.int64()), pa.array(root[b], pa.int64())], ["a", "b"])
+
+    blocks = F.lit(max(1, -(-groups.count() // BLOCK)))
+    paired = _block_pairs(groups, blocks, "root", "root", "width", "centre").repartition("i", "j").sortWithinPartitions("i", "j", "root")
+    pairs = written(paired.mapInArrow(near, "a bigint, b bigint"), "near-groups")
+
+    def close(batches):
+        for batch in batches:
+            if batch.num_rows:
+                angle = _angles(np.einsum("ij,ij->i", _doubles(batch.column("unit").to_pylist()), _doubles(batch.column("centre").to_pylist())))
+                yield batch.select(["a", "b", "side", "node", "unit"]).filter(pa.array(angle <= np.asarray(batch.column("width")) + reach + room))
+
+    sides = None
+    for side, (own, other) in enumerate((("a", "b"), ("b", "a"))):
+        one = pairs.join(members.withColumnRenamed("root", own), own).join(groups.withColumnRenamed("root", other), other)
+        one = one.select("a", "b", F.lit(side).alias("side"), "node", "unit", "centre", "width").mapInArrow(close, "a bigint, b bigint, side int, node bigint, unit binary")
+        sides = one if sides is None else sides.union(one)
+    sides = written(sides, "group-sides")
+    parts = lambda side: F.ceil(F.sum((F.col("side") == side).cast("int")) / BLOCK).cast("int")
+    sizes = sides.groupBy("a", "b").agg(parts(0).alias("m0"), parts(1).alias("m1")).where("m0 > 0 and m1 > 0")
+    first = F.col("side") == 0
+    own = F.pmod(F.xxhash64("node"), F.when(first, F.col("m0")).otherwise(F.col("m1"))).cast("int")
+    dealt = sides.join(sizes, ["a", "b"]).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.when(first, F.col("m1")).otherwise(F.col("m0")) - 1)))
+    dealt = dealt.select("a", "b", F.when(first, F.col("own")).otherwise(F.col("other")).alias("i"), F.when(first, F.col("other")).otherwise(F.col("own")).alias("j"), "side", "unit")
 
-    return rows.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "node").mapInArrow(run, "node bigint, n bigint").groupBy("node").agg(F.sum("n").alias("n"))
+    def compare(batches):
+        for (a, b, _, _), rows in _whole_groups(batches, ["a", "b", "i", "j"]):
+            units, side = _doubles(rows["unit"]), np.array(rows["side"])
+            if (units[side == 0] @ units[side == 1].T >= threshold).any():
+                yield pa.RecordBatch.from_arrays([pa.array([a], pa.int64()), pa.array([b], pa.int64())], ["a", "b"])
+
+    return dealt.repartition("a", "b", "i", "j").sortWithinPartitions("a", "b", "i", "j").mapInArrow(compare, "a bigint, b bigint").distinct()
 
 
 def linked(nodes: DataFrame, lists: DataFrame, threshold: float, most: int) -> DataFrame:
     """Written (node, n, root): copies linked with a node that has links, and the smallest node it reaches."""
     links = written(threshold_links(nodes, lists, threshold), "vector-links")
-    roots = written(components(links), "vector-roots")
+    roots = components(links)
     full = lists.where((F.size("list") >= most) & (F.element_at("list", -1)["cosine"] >= threshold - SLACK)).select("node")
-    dense = roots.join(full, "node", "left_semi").select("root").distinct()
+    # A full list without a link is a group of its own.
+    roots = written(roots.union(full.join(roots, "node", "left_anti").select("node", F.col("node").alias("root"))), "vector-roots")
+    dense = written(roots.join(full, "node", "left_semi").select("root").distinct(), "dense-roots")
+    members = roots.join(dense, "root", "left_semi").join(nodes.select("node", "copies", "unit"), "node")
+    tops = written(components(_between(members.select("root", "node", "unit"), threshold)).select(F.col("node").alias("root"), F.col("root").alias("top")), "dense-tops")
+    topped = lambda x: x.join(tops, "root", "left").withColumn("root", F.coalesce("top", "root")).drop("top")
     weight = nodes.select(F.col("node").alias("other"), "copies")
     plain = links.union(links.select("b", "a")).toDF("node", "other").join(weight, "other").groupBy("node").agg(F.sum("copies").alias("n"))
-    inside = roots.join(dense, "root", "left_semi")
-    whole = _component_counts(inside.join(nodes.select("node", "copies", "unit"), "node").select("root", "node", "copies", "unit"), threshold)
-    n = plain.join(inside.select("node"), "node", "left_anti").union(whole)
-    return written(roots.join(n, "node"), "linked")
+    members = topped(members).select("root", "node", "copies", "unit")
+    whole = _component_counts(members, threshold)
+    n = plain.join(members.select("node"), "node", "left_anti").union(whole)
+    return written(topped(roots).join(n, "node").select("node", "n", "root"), "linked")
 
 
 def audited_recall(nodes: DataFrame, found: DataFrame, threshold: float, audited: int = AUDITED) -> float:

@@ -85,6 +85,18 @@ def test_embeddings(spark, block, monkeypatch):
     assert nn_descent.embedding_near_duplicates(frame.where("embedding is null")).collect()[0]["kept"]
 
 
+@pytest.mark.parametrize("block", [7, 1024])
+def test_links_between_dense_groups(spark, block, monkeypatch):
+    monkeypatch.setattr(nn_descent, "BLOCK", block)
+    monkeypatch.setattr(nn_descent, "WIDENINGS", 0)
+    rng = np.random.default_rng(4)
+    x, y, z = np.linalg.qr(rng.standard_normal((16, 3)))[0].T
+    centres = [x, 0.96 * x + np.sqrt(1 - 0.96**2) * y, z]  # the first two groups are linked, the third is not
+    vectors = [(c + 0.002 * rng.standard_normal(16)).tolist() for c in centres for _ in range(20)]
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<double>")
+    assert Counter(map(tuple, nn_descent.embedding_near_duplicates(frame).collect())) == brute(range(len(vectors)), vectors)
+
+
 def test_audit_sees_missing_links(spark):
     rng = np.random.default_rng(1)
     base = rng.standard_normal((20, 16))
