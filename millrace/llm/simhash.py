@@ -237,8 +237,8 @@ def near_duplicates(df: DataFrame, size: int = 3, radius: int = 2, id_col: str =
 
 # Similar documents: more bits, so that the distance tells the similarity of the shingles.
 
-#: 64-bit words of a wide fingerprint; tables of sampled bits in which similar ones meet, bits of a key at least.
-WORDS, SIMILAR_TABLES, KEY_BITS = 4, 30, 12
+#: 64-bit words of a wide fingerprint; bits of a key at least; share of the pairs at the similarity that no key may join.
+WORDS, KEY_BITS, MISSED = 4, 12, 0.01
 #: Prints aimed at per key; more bits are taken where there are more prints.
 PER_KEY = 64
 _MIX = [0, 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7]
@@ -251,6 +251,12 @@ def _differing(similarity: float, deviations: float) -> int:
     return round(bits * share + deviations * math.sqrt(bits * share * (1 - share)))
 
 
+def similar_tables(key_bits: int, similarity: float) -> int:
+    """Tables of sampled bits so that a pair at the similarity agrees in one of them, but for a share of MISSED."""
+    agree = (1 - math.acos(2 * similarity / (1 + similarity)) / math.pi) ** key_bits
+    return 1 if agree >= 1 else math.ceil(math.log(MISSED) / math.log1p(-agree))
+
+
 def wide_prints(df: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, same, print as bytes, set) of the rows with words; ``same`` is a hash of the text.
 
@@ -282,14 +288,10 @@ def wide_prints(df: DataFrame, size: int, id_col: str, text_col: str) -> DataFra
     return slim.mapInArrow(run, "doc_id bigint, same bigint, print binary, set bigint")
 
 
-def _candidates(nodes: DataFrame, radius: int, key_bits: int, tables: int, seed: int) -> DataFrame:
-    """Links (a, b, distance) of prints that agree in a table's sampled bits and differ in ``radius`` bits at most.
-
-    A key of very many prints is compared in overlapping pieces in an order of
-    further sampled bits, another order in every table.
-    """
+def _placed(nodes: DataFrame, key_bits: int, tables: int, seed: int) -> DataFrame:
+    """Rows of ``nodes`` (node, print) by the key of each table's sampled bits: (key, node, print)."""
     rng = np.random.default_rng(seed)
-    chosen = np.array([rng.permutation(WORDS * BITS) for _ in range(tables)])
+    chosen = np.array([rng.permutation(WORDS * BITS)[:key_bits] for _ in range(tables)])
 
     def place(batches):
         for batch in batches:
@@ -297,42 +299,57 @@ def _candidates(nodes: DataFrame, radius: int, key_bits: int, tables: int, seed:
                 continue
             bits = np.unpackbits(np.frombuffer(b"".join(batch.column("print").to_pylist()), np.uint8).reshape(batch.num_rows, -1), axis=1)
             for t in range(tables):
-                key = bits[:, chosen[t, :key_bits]].astype(np.int64) @ (1 << np.arange(key_bits))
-                rest = bits[:, chosen[t, key_bits : key_bits + 32]].astype(np.int64) @ (1 << np.arange(32))
-                yield pa.RecordBatch.from_arrays([pa.array(key * tables + t), pa.array(rest), batch.column("node"), batch.column("print")], ["key", "rest", "node", "print"])
+                key = bits[:, chosen[t]].astype(np.int64) @ (1 << np.arange(key_bits))
+                yield pa.RecordBatch.from_arrays([pa.array(key * tables + t), batch.column("node"), batch.column("print")], ["key", "node", "print"])
+
+    return nodes.select("node", "print").mapInArrow(place, "key bigint, node bigint, print binary")
+
+
+def _candidates(nodes: DataFrame, radius: int, key_bits: int, tables: int, seed: int) -> DataFrame:
+    """Links (a, b, distance) of prints that agree in a table's sampled bits and differ in ``radius`` bits at most.
+
+    A key of more than BUCKET prints is dealt in blocks, and every pair of them is compared.
+    """
+    placed = _placed(nodes, key_bits, tables, seed)
+    sizes = placed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > BUCKET)
+    hot = written(sizes.select("key", F.ceil(2 * F.col("n") / BUCKET).cast("int").alias("blocks")), "hot-keys")
+    none = F.lit(0)
+    dealt = placed.select("key", none.alias("i"), none.alias("j"), "node", "print")
+    if not hot.isEmpty():
+        block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+        each = F.explode(F.transform(F.sequence(none, F.col("blocks") - 1), lambda o: F.struct(F.least("block", o).alias("i"), F.greatest("block", o).alias("j"))))
+        cut = placed.join(hot, "key").withColumn("block", block).withColumn("pair", each)
+        dealt = dealt.join(hot, "key", "left_anti").unionByName(cut.select("key", "pair.i", "pair.j", "node", "print"))
 
     def compare(batches):
         def links(keys, nodes_, prints):
-            cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
+            cuts = [0, *(np.flatnonzero(np.any(keys[1:] != keys[:-1], axis=1)) + 1).tolist(), len(keys)]
             begin, found = 0, []
             for i, end in enumerate(cuts[1:], 1):
                 if i + 1 < len(cuts) and cuts[i + 1] - begin <= BLOCK:
                     continue
-                for low in range(begin, max(begin + 1, end - BUCKET // 2), BUCKET // 2):
-                    part = slice(low, min(low + BUCKET, end))
-                    raw = np.frombuffer(b"".join(prints[part]), "<u8").reshape(-1, WORDS)
-                    for a, b in within_radius(raw, radius):
-                        found.append((nodes_[part][a], nodes_[part][b], int(np.bitwise_count(raw[a] ^ raw[b]).sum())))
+                raw = np.frombuffer(b"".join(prints[begin:end]), "<u8").reshape(-1, WORDS)
+                for a, b in within_radius(raw, radius):
+                    found.append((nodes_[begin + a], nodes_[begin + b], int(np.bitwise_count(raw[a] ^ raw[b]).sum())))
                 begin = end
             found = [(min(a, b), max(a, b), d) for a, b, d in found if a != b]
             return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in range(3)], ["a", "b", "distance"])
 
         held = ([], [], [])
         for batch in batches:
-            for h, c in zip(held, ("key", "node", "print")):
-                h.extend(batch.column(c).to_pylist())
-            # Up to the last key, which may go on; a key that fills many batches is cut, with an overlap.
+            rows = batch.to_pydict()
+            for h, new in zip(held, (list(zip(rows["key"], rows["i"], rows["j"])), rows["node"], rows["print"])):
+                h.extend(new)
+            # Up to the last key, which may go on.
             end = next((i for i in range(len(held[0]) - 1, -1, -1) if held[0][i] != held[0][-1]), -1) + 1
-            if end or len(held[0]) >= 4 * BUCKET:
-                end, keep = (end, end) if end else (len(held[0]), len(held[0]) - BUCKET // 2)
+            if end:
                 yield links(np.array(held[0][:end]), held[1][:end], held[2][:end])
-                held = tuple(h[keep:] for h in held)
+                held = tuple(h[end:] for h in held)
         if held[0]:
             yield links(np.array(held[0]), held[1], held[2])
 
-    placed = nodes.select("node", "print").mapInArrow(place, "key bigint, rest bigint, node bigint, print binary")
-    dealt = placed.repartition("key").sortWithinPartitions("key", "rest", "node")
-    return dealt.select("key", "node", "print").mapInArrow(compare, "a bigint, b bigint, distance bigint").groupBy("a", "b").agg(F.min("distance").alias("distance"))
+    sorted_ = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
+    return sorted_.mapInArrow(compare, "a bigint, b bigint, distance bigint").groupBy("a", "b").agg(F.min("distance").alias("distance"))
 
 
 def _verified(df: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
@@ -352,7 +369,7 @@ def _verified(df: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, simi
     return both.where(shared >= similarity * (F.size("sa") + F.size("sb") - shared)).select(*pairs.columns)
 
 
-def similar_groups(df: DataFrame, size: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", tables: int = SIMILAR_TABLES, seed: int = 2) -> DataFrame:
+def similar_groups(df: DataFrame, size: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", tables: int | None = None, seed: int = 2) -> DataFrame:
     """(doc_id, same, root) of the rows with words: the group of documents linked by a Jaccard similarity of their shingles.
 
     Texts with equal sets of shingles are one node. Wide prints within the
@@ -362,7 +379,9 @@ def similar_groups(df: DataFrame, size: int = 5, similarity: float = 0.8, id_col
     """
     docs = written(wide_prints(df, size, id_col, text_col), "wide-prints")
     nodes = written(docs.withColumn("node", F.monotonically_increasing_id()).groupBy("print", "set").agg(F.min(F.struct("node", "doc_id", "same")).alias("m")).select("print", "set", "m.*"), "wide-nodes")
+    # Longer keys are rarer to agree in, so there are more tables of them: the share missed does not grow with the input.
     key_bits = max(KEY_BITS, math.ceil(math.log2(max(1, nodes.count() / PER_KEY))))
+    tables = tables or similar_tables(key_bits, similarity)
     far, near = _differing(similarity, 2.5), _differing(similarity, -2)
     links = written(_candidates(nodes, far, key_bits, tables, seed), "candidates")
     sure = components(_verified(df, nodes, links.where(F.col("distance") <= near), size, similarity, id_col, text_col))

@@ -147,6 +147,28 @@ def test_sure_links_are_checked(spark):
         simhash.wide_prints = prints
 
 
+def test_tables_grow_with_key_bits():
+    agree = 1 - np.arccos(1.6 / 1.8) / np.pi
+    for key_bits in (12, 14, 18, 21, 24):
+        assert (1 - agree**key_bits) ** simhash.similar_tables(key_bits, 0.8) <= 0.01
+
+
+def test_hot_keys_compare_every_pair_of_blocks(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BUCKET", 16)
+    monkeypatch.setattr(simhash, "BLOCK", 1)
+    rng = np.random.default_rng(12)
+    # All agree in the bits of the key, 40 pairs are near in all bits.
+    chosen = np.random.default_rng(2).permutation(256)[:12]
+    bits = rng.integers(0, 2, (80, 256), dtype=np.uint8)
+    bits[40:] = bits[:40]
+    bits[40:, np.setdiff1d(np.arange(256), chosen)[0]] ^= 1
+    bits[:, chosen] = 1
+    prints = np.packbits(bits, axis=1)
+    nodes = spark.createDataFrame([(i, bytearray(p.tobytes())) for i, p in enumerate(prints)], "node bigint, print binary")
+    got = {(r["a"], r["b"]) for r in simhash._candidates(nodes, 2, 12, 1, 2).collect()}
+    assert got == {(i, 40 + i) for i in range(40)}
+
+
 # -- substrings ---------------------------------------------------------------
 
 
