@@ -80,8 +80,8 @@ def fingerprints(df: DataFrame, size: int, id_col: str = "doc_id", text_col: str
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id bigint, print bigint")
 
 
-def within_radius(prints: np.ndarray, radius: int, asked: int = 256) -> list[tuple[int, int]]:
-    """Links that join the fingerprints at ``radius`` or fewer differing bits; each link is such a pair.
+def _near(prints: np.ndarray, radius: int, asked: int):
+    """(rows, words of bits of the fingerprints over ``radius`` differing bits from each), for rows with a near one.
 
     ``prints``: a row of one or more 64-bit words per fingerprint.
 
@@ -99,7 +99,6 @@ def within_radius(prints: np.ndarray, radius: int, asked: int = 256) -> list[tup
     real = np.packbits(np.arange(wide) < n, bitorder="little").view(np.uint64)
     size = max(1, radius.bit_length())
     begin = (1 << size) - 1 - radius
-    near: dict[int, int] = {}
     for low in range(0, n, asked):
         rows = np.arange(low, min(n, low + asked))
         counters = [np.full((len(rows), planes.shape[1]), np.uint64(0xFFFFFFFFFFFFFFFF if begin >> i & 1 else 0)) for i in range(size)]
@@ -116,8 +115,25 @@ def within_radius(prints: np.ndarray, radius: int, asked: int = 256) -> list[tup
                 if not alive.all():
                     rows, over, counters = rows[alive], over[alive], [c[alive] for c in counters]
         else:
-            near |= {r: int.from_bytes((~o).tobytes(), "little") for r, o in zip(rows.tolist(), over)}
-    links, left = [], (1 << n) - 1
+            yield rows, over
+
+
+def pairs_apart(prints: np.ndarray, radius: int, groups: np.ndarray, asked: int = 256) -> list[tuple[int, int]]:
+    """All pairs of fingerprints at ``radius`` or fewer differing bits that are in different groups."""
+    found, each = [], np.arange(len(prints))
+    for rows, over in _near(prints, radius, asked):
+        hit = np.unpackbits((~over).view(np.uint8), axis=1, bitorder="little")[:, : len(prints)].astype(bool)
+        a, b = np.nonzero(hit & (rows[:, None] < each[None, :]) & (groups[rows][:, None] != groups[None, :]))
+        found += zip(rows[a].tolist(), b.tolist())
+    return found
+
+
+def within_radius(prints: np.ndarray, radius: int, asked: int = 256) -> list[tuple[int, int]]:
+    """Links that join the fingerprints at ``radius`` or fewer differing bits; each link is such a pair."""
+    near: dict[int, int] = {}
+    for rows, over in _near(prints, radius, asked):
+        near |= {r: int.from_bytes((~o).tobytes(), "little") for r, o in zip(rows.tolist(), over)}
+    links, left = [], (1 << len(prints)) - 1
     for root in near:
         if not left >> root & 1:
             continue
@@ -239,6 +255,8 @@ def near_duplicates(df: DataFrame, size: int = 3, radius: int = 2, id_col: str =
 
 #: 64-bit words of a wide fingerprint; bits of a key at least; share of the pairs at the similarity that no key may join.
 WORDS, KEY_BITS, MISSED = 4, 12, 0.01
+#: Tables of the first links, which only save pairs: those that they miss come with the others.
+SURE_TABLES = 8
 #: Prints aimed at per key; more bits are taken where there are more prints.
 PER_KEY = 64
 _MIX = [0, 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7]
@@ -289,7 +307,7 @@ def wide_prints(df: DataFrame, size: int, id_col: str, text_col: str) -> DataFra
 
 
 def _placed(nodes: DataFrame, key_bits: int, tables: int, seed: int) -> DataFrame:
-    """Rows of ``nodes`` (node, print) by the key of each table's sampled bits: (key, node, print)."""
+    """Rows of ``nodes`` (node, root, print) by the key of each table's sampled bits: (key, node, root, print)."""
     rng = np.random.default_rng(seed)
     chosen = np.array([rng.permutation(WORDS * BITS)[:key_bits] for _ in range(tables)])
 
@@ -300,53 +318,60 @@ def _placed(nodes: DataFrame, key_bits: int, tables: int, seed: int) -> DataFram
             bits = np.unpackbits(np.frombuffer(b"".join(batch.column("print").to_pylist()), np.uint8).reshape(batch.num_rows, -1), axis=1)
             for t in range(tables):
                 key = bits[:, chosen[t]].astype(np.int64) @ (1 << np.arange(key_bits))
-                yield pa.RecordBatch.from_arrays([pa.array(key * tables + t), batch.column("node"), batch.column("print")], ["key", "node", "print"])
+                yield pa.RecordBatch.from_arrays([pa.array(key * tables + t), *(batch.column(c) for c in ("node", "root", "print"))], ["key", "node", "root", "print"])
 
-    return nodes.select("node", "print").mapInArrow(place, "key bigint, node bigint, print binary")
+    return nodes.select("node", "root", "print").mapInArrow(place, "key bigint, node bigint, root bigint, print binary")
 
 
-def _candidates(nodes: DataFrame, radius: int, key_bits: int, tables: int, seed: int) -> DataFrame:
-    """Links (a, b, distance) of prints that agree in a table's sampled bits and differ in ``radius`` bits at most.
+def _candidates(nodes: DataFrame, radius: int, key_bits: int, tables: int, seed: int, apart: bool = False) -> DataFrame:
+    """Pairs (a, b, distance) of prints that agree in a table's sampled bits and differ in ``radius`` bits at most.
 
-    A key of more than BUCKET prints is dealt in blocks, and every pair of them is compared.
+    Links that join the prints of each key, or, with ``apart``, all pairs of
+    different roots. A key of more than BUCKET prints is dealt in blocks, and
+    every pair of them is compared.
     """
+    if "root" not in nodes.columns:
+        nodes = nodes.withColumn("root", F.col("node"))
     placed = _placed(nodes, key_bits, tables, seed)
-    sizes = placed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > BUCKET)
-    hot = written(sizes.select("key", F.ceil(2 * F.col("n") / BUCKET).cast("int").alias("blocks")), "hot-keys")
+    sizes = placed.groupBy("key").agg(F.count("*").alias("n"), (F.min("root") < F.max("root")).alias("open")).where(F.col("n") > BUCKET)
+    hot = written(sizes.select("key", "open", F.ceil(2 * F.col("n") / BUCKET).cast("int").alias("blocks")), "hot-keys")
     none = F.lit(0)
-    dealt = placed.select("key", none.alias("i"), none.alias("j"), "node", "print")
+    dealt = placed.select("key", none.alias("i"), none.alias("j"), "node", "root", "print")
     if not hot.isEmpty():
         block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
         each = F.explode(F.transform(F.sequence(none, F.col("blocks") - 1), lambda o: F.struct(F.least("block", o).alias("i"), F.greatest("block", o).alias("j"))))
-        cut = placed.join(hot, "key").withColumn("block", block).withColumn("pair", each)
-        dealt = dealt.join(hot, "key", "left_anti").unionByName(cut.select("key", "pair.i", "pair.j", "node", "print"))
+        cut = placed.join(hot.where("open"), "key").withColumn("block", block).withColumn("pair", each)
+        dealt = dealt.join(hot, "key", "left_anti").unionByName(cut.select("key", "pair.i", "pair.j", "node", "root", "print"))
 
     def compare(batches):
-        def links(keys, nodes_, prints):
+        def links(keys, nodes_, roots, prints):
             cuts = [0, *(np.flatnonzero(np.any(keys[1:] != keys[:-1], axis=1)) + 1).tolist(), len(keys)]
             begin, found = 0, []
             for i, end in enumerate(cuts[1:], 1):
                 if i + 1 < len(cuts) and cuts[i + 1] - begin <= BLOCK:
                     continue
-                raw = np.frombuffer(b"".join(prints[begin:end]), "<u8").reshape(-1, WORDS)
-                for a, b in within_radius(raw, radius):
+                raw, groups = np.frombuffer(b"".join(prints[begin:end]), "<u8").reshape(-1, WORDS), np.array(roots[begin:end])
+                if apart and (groups == groups[0]).all():
+                    begin = end
+                    continue
+                for a, b in pairs_apart(raw, radius, groups) if apart else within_radius(raw, radius):
                     found.append((nodes_[begin + a], nodes_[begin + b], int(np.bitwise_count(raw[a] ^ raw[b]).sum())))
                 begin = end
             found = [(min(a, b), max(a, b), d) for a, b, d in found if a != b]
             return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in range(3)], ["a", "b", "distance"])
 
-        held = ([], [], [])
+        held = ([], [], [], [])
         for batch in batches:
             rows = batch.to_pydict()
-            for h, new in zip(held, (list(zip(rows["key"], rows["i"], rows["j"])), rows["node"], rows["print"])):
+            for h, new in zip(held, (list(zip(rows["key"], rows["i"], rows["j"])), rows["node"], rows["root"], rows["print"])):
                 h.extend(new)
             # Up to the last key, which may go on.
             end = next((i for i in range(len(held[0]) - 1, -1, -1) if held[0][i] != held[0][-1]), -1) + 1
             if end:
-                yield links(np.array(held[0][:end]), held[1][:end], held[2][:end])
+                yield links(np.array(held[0][:end]), *(h[:end] for h in held[1:]))
                 held = tuple(h[end:] for h in held)
         if held[0]:
-            yield links(np.array(held[0]), held[1], held[2])
+            yield links(np.array(held[0]), *held[1:])
 
     sorted_ = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
     return sorted_.mapInArrow(compare, "a bigint, b bigint, distance bigint").groupBy("a", "b").agg(F.min("distance").alias("distance"))
@@ -374,8 +399,9 @@ def similar_groups(df: DataFrame, size: int = 5, similarity: float = 0.8, id_col
 
     Texts with equal sets of shingles are one node. Wide prints within the
     distance that the similarity would give are compared bit-sliced, and every
-    link is checked on the sets of shingles themselves: first those well inside
-    the distance, then one pair per two groups of the others.
+    link is checked on the sets of shingles themselves: first links well inside
+    the distance, which join most of each group, then the nearest pair of every
+    two groups, then all other pairs of groups that are still apart.
     """
     docs = written(wide_prints(df, size, id_col, text_col), "wide-prints")
     nodes = written(docs.withColumn("node", F.monotonically_increasing_id()).groupBy("print", "set").agg(F.min(F.struct("node", "doc_id", "same")).alias("m")).select("print", "set", "m.*"), "wide-nodes")
@@ -383,16 +409,28 @@ def similar_groups(df: DataFrame, size: int = 5, similarity: float = 0.8, id_col
     key_bits = max(KEY_BITS, math.ceil(math.log2(max(1, nodes.count() / PER_KEY))))
     tables = tables or similar_tables(key_bits, similarity)
     far, near = _differing(similarity, 2.5), _differing(similarity, -2)
-    links = written(_candidates(nodes, far, key_bits, tables, seed), "candidates")
-    sure = components(_verified(df, nodes, links.where(F.col("distance") <= near), size, similarity, id_col, text_col))
+
+    def proven(pairs):
+        return _verified(df, nodes, pairs, size, similarity, id_col, text_col)
+
+    def still_apart(pairs, rooted):
+        """Pairs with their roots, which differ."""
+        pairs = pairs.join(rooted.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a").join(rooted.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b").where("ra <> rb")
+        return pairs.select("a", "b", "distance", F.least("ra", "rb").alias("ca"), F.greatest("ra", "rb").alias("cb"))
+
+    def merged(rooted, pairs):
+        tops = components(pairs.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+        return written(rooted.join(tops.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left").select("node", F.coalesce("top", "root").alias("root")), "groups")
+
+    sure = components(proven(written(_candidates(nodes, near, key_bits, min(tables, SURE_TABLES), seed), "sure-links")))
     rooted = written(nodes.select("node").join(sure, "node", "left").select("node", F.coalesce("root", "node").alias("root")), "sure-groups")
-    open_ = links.where(F.col("distance") > near)
-    open_ = open_.join(rooted.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a").join(rooted.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b").where("ra <> rb")
-    open_ = open_.groupBy(F.least("ra", "rb").alias("ca"), F.greatest("ra", "rb").alias("cb")).agg(F.min(F.struct("distance", "a", "b")).alias("m")).select("m.a", "m.b", "ca", "cb")
-    proven = _verified(df, nodes, written(open_, "open-pairs"), size, similarity, id_col, text_col)
-    joined = components(proven.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-    final = rooted.join(joined.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
-    return docs.join(nodes.select("print", "set", "node"), ["print", "set"]).join(final, "node").select("doc_id", "same", "root")
+    pairs = written(_candidates(nodes.join(rooted, "node"), far, key_bits, tables, seed, apart=True), "open-pairs")
+    first = written(still_apart(pairs, rooted).groupBy("ca", "cb").agg(F.min(F.struct("distance", "a", "b")).alias("m")).select("m.a", "m.b", "ca", "cb"), "first-pairs")
+    rooted = merged(rooted, proven(first))
+    rest = written(still_apart(pairs.join(first, ["a", "b"], "left_anti"), rooted), "other-pairs")
+    if not rest.isEmpty():
+        rooted = merged(rooted, proven(rest))
+    return docs.join(nodes.select("print", "set", "node"), ["print", "set"]).join(rooted, "node").select("doc_id", "same", "root")
 
 
 def drop_similar(df: DataFrame, size: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

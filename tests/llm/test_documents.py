@@ -169,6 +169,19 @@ def test_hot_keys_compare_every_pair_of_blocks(spark, monkeypatch):
     assert got == {(i, 40 + i) for i in range(40)}
 
 
+def test_all_open_pairs_of_two_groups_are_checked(spark, monkeypatch):
+    core, more, ends = (" ".join(f"{c}{k}" for k in range(n)) for c, n in (("c", 104), ("d", 20), ("e", 20)))
+    # Linked: 0-1, 2-3 by near prints, 1-2 at 50 bits; the nearest pair of the two groups, 0-3, is not.
+    texts = [f"{more} {core}", core, f"{core} {ends}", f"{core} {ends} " + " ".join(f"f{k}" for k in range(20))]
+    bits = [[], [*range(10)], [*range(20, 30), *range(100, 130)], [*range(100, 130)]]
+    raw = [sum(1 << b for b in x).to_bytes(32, "little") for x in bits]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    forced = F.element_at(F.array(*[F.lit(r) for r in raw]), (F.col("doc_id") + 1).cast("int"))
+    same = simhash.wide_prints(frame, 5, "doc_id", "text").withColumn("print", forced)
+    monkeypatch.setattr(simhash, "wide_prints", lambda *a: same)
+    assert [r["doc_id"] for r in simhash.drop_similar(frame).collect()] == [0]
+
+
 # -- substrings ---------------------------------------------------------------
 
 
