@@ -5,7 +5,8 @@ joining the neighbours of each vector with one another. Lists that are full of
 near-duplicates are saturated; they are enlarged to their whole component,
 which is compared in blocks. Components with saturated lists are compared with
 one another, as such lists have no room for links to another dense group. A sample compared with every vector audits the
-recall; the graph is started wider until that is reached. Only links whose
+recall; the graph is started wider until that is reached, and if it never is,
+all vectors are compared in blocks. Only links whose
 cosine in double precision reaches the threshold are kept.
 """
 
@@ -339,22 +340,60 @@ def linked(nodes: DataFrame, lists: DataFrame, threshold: float, most: int) -> D
 
 
 def audited_recall(nodes: DataFrame, found: DataFrame, threshold: float, audited: int = AUDITED) -> float:
-    """Share of the true links of a hashed sample of vectors, compared with every vector, that were found."""
+    """Share of the linked vectors of a hashed sample, compared with every vector, whose links were all found.
+
+    Vectors with fewer links than a list holds and the others are measured on
+    their own, so that a dense group cannot hide them; the lesser share counts.
+    """
     sample = nodes.orderBy(F.xxhash64("node"), "node").limit(audited).select("node", "unit").toPandas()
     units, own = _doubles(sample["unit"].tolist()), sample["node"].to_numpy()
 
     def run(batches):
-        total = np.zeros(len(own), np.int64)
+        total, others = np.zeros(len(own), np.int64), np.zeros(len(own), np.int64)
         for batch in batches:
             if batch.num_rows:
                 hit = units @ _doubles(batch.column("unit").to_pylist()).T >= threshold
                 hit &= own[:, None] != np.asarray(batch.column("node"))[None, :]
+                others += hit.sum(1)
                 total += (hit * np.asarray(batch.column("copies"))[None, :]).sum(1)
-        yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(total)], ["node", "true"])
+        yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(total), pa.array(others)], ["node", "true", "others"])
+
+    true = nodes.select("node", "copies", "unit").mapInArrow(run, "node bigint, true bigint, others bigint").groupBy("node").agg(F.sum("true").alias("true"), F.sum("others").alias("others")).where(F.col("true") > 0)
+    whole = F.avg((F.coalesce("n", F.lit(0)) == F.col("true")).cast("int")).alias("whole")
+    shares = true.join(found.select("node", "n"), "node", "left").groupBy(F.col("others") < NEIGHBOURS).agg(whole).collect()  # at most two rows
+    return min((r["whole"] for r in shares), default=1.0)
+
+
+def _all_linked(nodes: DataFrame, threshold: float) -> DataFrame:
+    """Written (node, n, root) like ``linked``, by comparing all vectors in blocks. Exact; the work grows with the square."""
+    blocks = F.lit(max(1, -(-nodes.count() // BLOCK)))
+    rows = _block_pairs(nodes, blocks, "node", "node", "copies", "unit")
 
-    true = nodes.select("node", "copies", "unit").mapInArrow(run, "node bigint, true bigint").groupBy("node").agg(F.sum("true").alias("true"))
-    row = true.join(found.select("node", "n"), "node", "left").agg(F.sum(F.least("true", F.coalesce("n", F.lit(0)))).alias("hit"), F.sum("true").alias("true")).first()
-    return row["hit"] / row["true"] if row["true"] else 1.0
+    def run(batches):
+        for (i, j), rows in _whole_groups(batches, ["i", "j"]):
+            units, block, copies, node = _doubles(rows["unit"]), np.array(rows["block"]), np.array(rows["copies"]), np.array(rows["node"])
+            hit = units @ units.T >= threshold
+            np.fill_diagonal(hit, False)
+            if i != j:
+                hit &= block[:, None] != block[None, :]
+            n, left, links = (hit * copies[None, :]).sum(1), np.ones(len(node), bool), []
+            for start in np.flatnonzero(n).tolist():  # links that join what is linked here
+                stack = [start] if left[start] else []
+                left[start] = False
+                while stack:
+                    at = stack.pop()
+                    new = np.flatnonzero(hit[at] & left)
+                    left[new] = False
+                    links += [(at, x) for x in new.tolist()]
+                    stack += new.tolist()
+            a, b = (node[[x[k] for x in links]] if links else node[:0] for k in (0, 1))
+            some = n > 0
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([node[some], a]), pa.int64()), pa.array(np.concatenate([n[some], np.zeros(len(a), np.int64)])), pa.array([None] * int(some.sum()) + b.tolist(), pa.int64())], ["node", "n", "other"])
+
+    dealt = rows.repartition("i", "j").sortWithinPartitions("i", "j", "node").mapInArrow(run, "node bigint, n bigint, other bigint")
+    dealt = written(dealt, "all-links")
+    roots = components(dealt.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
+    return written(dealt.groupBy("node").agg(F.sum("n").alias("n")).join(roots, "node"), "linked")
 
 
 def embedding_near_duplicates(df: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -381,12 +420,14 @@ def embedding_near_duplicates(df: DataFrame, threshold: float = 0.95, id_col: st
 
     nodes = written(grouped.mapInArrow(half, "unit binary, node bigint, copies bigint, least bigint, half binary"), "vector-nodes")
     count, tables = nodes.count(), TABLES
-    for attempt in range(WIDENINGS + 1):
+    for _ in range(WIDENINGS + 1):
         lists = neighbour_graph(nodes, usual["size"] // 8, count, threshold - SLACK, tables)
         found = linked(nodes, lists, threshold, NEIGHBOURS)
-        if attempt == WIDENINGS or audited_recall(nodes, found, threshold) >= RECALL:
+        if audited_recall(nodes, found, threshold) >= RECALL:
             break
         tables *= 2
+    else:
+        found = _all_linked(nodes, threshold)
     each = nodes.join(found, "node", "left").select("node", "unit", "copies", "least", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("root", "node").alias("root"))
     classes = each.groupBy("root").agg(F.min("least").alias("component_id"))
     each = each.join(classes, "root").select("unit", (F.col("n") + F.col("copies") - 1).alias("n_links"), "component_id")

@@ -106,6 +106,29 @@ def test_audit_sees_missing_links(spark):
     assert nn_descent.audited_recall(nodes, found, 0.95) == 0.5
 
 
+def test_audit_counts_vectors_not_links(spark):
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal(16)
+    base = rng.standard_normal((10, 16))
+    units = [v / np.linalg.norm(v) for v in np.concatenate([x + 1e-3 * rng.standard_normal((80, 16)), base, base + 1e-3])]
+    nodes = spark.createDataFrame([(i, 1, bytearray(u.astype("<f8").tobytes())) for i, u in enumerate(units)], "node bigint, copies bigint, unit binary")
+    found = spark.createDataFrame([(i, 79) for i in range(80)], "node bigint, n bigint")  # nothing of the pairs
+    assert nn_descent.audited_recall(nodes, found, 0.95) == 0
+
+
+@pytest.mark.parametrize("block", [9, 1024])
+def test_all_are_compared_if_the_graph_falls_short(spark, block, monkeypatch):
+    monkeypatch.setattr(nn_descent, "BLOCK", block)
+    monkeypatch.setattr(nn_descent, "WIDENINGS", 0)
+    empty = spark.createDataFrame([], "node bigint, list array<struct<cosine: float, other: bigint>>")
+    monkeypatch.setattr(nn_descent, "neighbour_graph", lambda *a: empty)
+    rng = np.random.default_rng(6)
+    base = rng.standard_normal((15, 16))
+    vectors = [v.tolist() for v in np.concatenate([base, base[:10] + 0.1 * rng.standard_normal((10, 16)), base[:3]])]
+    frame = spark.createDataFrame(list(enumerate(vectors)), "vec_id bigint, embedding array<double>")
+    assert Counter(map(tuple, nn_descent.embedding_near_duplicates(frame).collect())) == brute(range(len(vectors)), vectors)
+
+
 def test_classifier(spark, odd, odd_rows):
     rnd = random.Random(10)
     rows, labels = [], []
