@@ -9,6 +9,7 @@ rejects it.
 from __future__ import annotations
 
 import time
+from collections import Counter
 from collections.abc import Callable
 
 import numpy as np
@@ -68,7 +69,7 @@ def _cut_lines(t: Text) -> bool:
 
 def _one_word(t: Text) -> bool:
     """At least ten words, more than half of which are one and the same."""
-    return len(t.words) >= 10 and 2 * max(map(t.words.count, set(t.words[:: max(1, len(t.words) // 20)]))) > len(t.words)
+    return len(t.words) >= 10 and 2 * max(Counter(t.words).values()) > len(t.words)
 
 
 def _stutter(t: Text) -> bool:

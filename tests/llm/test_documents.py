@@ -274,6 +274,13 @@ def test_order_of_rules(spark):
     assert quality_rules.rule_order(frame)[0] == "symbols"
 
 
+def test_one_word_counts_all_words():
+    words = b" ".join(b"id_%d spam x_%d spam spam" % (i, i) for i in range(20)).split()
+    text = quality_rules.Text(b" ".join(words), words, 0, sum(map(len, words)))
+    assert quality_rules.RULES["one_word"](text)
+    assert not quality_rules.RULES["one_word"](quality_rules.Text(b"", [b"a", b"b"] * 10, 0, 20))
+
+
 def test_repeated_words_of_any_size():
     texts = [b"", b"a a a a a a a", b"a b c d e a b c d e f", b"x y"]
     for size in (2, 5):
