@@ -12,6 +12,7 @@ from millrace.llm import classifier
 from millrace.llm.batches import read, written
 from millrace.llm.best_fit import pack_documents
 from millrace.llm.chat import chat_round_trip
+from millrace.llm.chat_repair import repair_report
 from millrace.llm.huffman_ids import encode_ids, read_ids, write_ids
 from millrace.llm.mixing import mix_by_source
 from millrace.llm.nn_descent import embedding_near_duplicates
@@ -19,6 +20,8 @@ from millrace.llm.piece_counts import piece_counts
 from millrace.llm.quality_rules import quality_rules
 from millrace.llm.simhash import near_duplicates
 from millrace.llm.substrings import remove_repeats
+from millrace.llm.vector_codes import compress_vectors
+from millrace.llm.warc import pages_to_warc, read_pages
 from millrace.session import scratch_root
 
 
@@ -73,8 +76,23 @@ def op10_quality_classifier(spark, folder):
     return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", F.when(F.col("score") >= classifier.THRESHOLD, 1).otherwise(0).alias("predicted"))
 
 
+def op11_vector_codes(spark, folder):
+    return compress_vectors(read(spark, folder, "embeddings"))
+
+
+def op12_conversation_repair(spark, folder):
+    return repair_report(read(spark, folder, "conversations"))
+
+
+def op13_warc(spark, folder):
+    path = f"{scratch_root(spark).rstrip('/')}/llm-warc-{uuid.uuid4().hex}"
+    pages_to_warc(read(spark, folder, "pages"), path)
+    return read_pages(spark, path)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_huffman_ids, op2_simhash_near_dedup, op3_piece_counts, op4_best_fit_packing, op5_chat_formatting,
     op6_source_mixing, op7_substring_dedup, op8_quality_rules, op9_embedding_near_dedup, op10_quality_classifier,
+    op11_vector_codes, op12_conversation_repair, op13_warc,
 )}
 SQL: dict[str, str] = {}
