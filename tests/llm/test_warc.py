@@ -74,7 +74,7 @@ def test_many_files_and_appending(spark, monkeypatch):
     assert spark.read.format("warc").load(path).count() == 80
 
 
-def test_predicates_reach_the_reader_and_spark_agrees(spark):
+def test_predicates_reach_the_reader_and_spark_agrees(spark, capsys):
     path = new_path(spark)
     pages_to_warc(spark.createDataFrame(ODD, SCHEMA), path)
     register(spark)
@@ -90,8 +90,10 @@ def test_predicates_reach_the_reader_and_spark_agrees(spark):
     ):
         got = sorted(r["record_id"] for r in spark.read.format("warc").load(path).where(where).collect())
         assert got == sorted(r["record_id"] for r in all_rows if test(r)), where
-    plan = spark.read.format("warc").load(path).where("record_type = 'revisit'")._jdf.queryExecution().executedPlan().toString()
-    assert "EqualTo(record_type,revisit)" in plan and "Filter (" not in plan
+    capsys.readouterr()
+    spark.read.format("warc").load(path).where("record_type = 'revisit'").explain("formatted")
+    plan = capsys.readouterr().out
+    assert "PushedFilters: [IsNotNull(record_type), EqualTo(record_type,revisit)]" in plan and "Condition :" not in plan
 
 
 def archive(items):
