@@ -208,3 +208,69 @@ TEN_DAY_CLASSES = [(0, 10), (11, 20), (21, 30), (31, 40), (41, 50), (51, 60), (6
 
 # Far end of an open validity interval.
 OPEN_END = "2999-12-31 00:00:00"
+
+# Older tender, states of an attempt that is timed, and of one that is registered only.
+TENDER_ATTEMPTS = ["RECRN010", "RECRS010", "RECAG010"]
+TENDER_REGISTERED_ATTEMPTS = ["RECRSI001", "RECRI001"]
+# Older tender, outcomes that are reported without any scan.
+TENDER_UNSCANNED = ["RECRS001C", "RECRS003C", "RECRSI003C"]
+
+# Older tender, days to the first late day: (product, lots, days).
+TENDER_GRID = [
+    ("890", ["1", "3", "4", "6", "8", "12", "13", "14", "15", "17", "18", "19", "20"], 6),
+    ("890", ["2", "5", "7", "9", "10", "11", "16", "99"], 8),
+    ("RS", ["21", "22", "23", "24"], 11),
+    ("RS", ["25", "97"], 16),
+    ("AR", ["26", "28", "29", "30BIS", "98"], 8),
+    ("AR", ["27", "30"], 6),
+    ("RIR", ["26"], 16),
+    ("RIS", ["21"], 16),
+]
+# Older tender, products whose attempts are never late in a lot outside the grid.
+TENDER_ATTEMPT_PRODUCTS = ["890", "RS", "AR"]
+# Older tender, days to the first late day of a packet.
+TENDER_PACKET_DAYS = 22
+# Older tender, start-up of the national carrier: carriers, window of the hand-over, days.
+TENDER_START_UP = (["Poste", "FSU", "FSU - AR", "FSU - RS", "FSU - 890"], "2023-07-15", "2024-05-01", 16)
+# Older tender, relaxations of the national carrier by acceptance:
+# (milestones, lots or none for all, from, until, days).
+TENDER_RELAXED_NATIONAL = [
+    (["attempt", "storage"], ["27"], "2024-06-01", "2024-08-01", 31),
+    (["attempt"], ["27"], "2024-09-01", "2024-10-01", 31),
+    (["notice"], ["27", "22"], "2024-06-01", "2024-08-01", 31),
+    (["storage", "notice"], [], "2024-09-01", "2024-10-01", 31),
+    (["closing", "packet"], ["27", "22"], "2024-06-01", "2024-11-01", 31),
+]
+# Older tender, relaxations of the other carriers in working days by acceptance:
+# (lots, column and values that must hold, from, until, until included, days).
+TENDER_RELAXED_OTHERS = [
+    (["27", "22"], None, "2024-06-01", "2024-11-01", False, 30),
+    (["27", "22"], None, "2024-12-01", "2025-01-01", True, 30),
+    (["27", "22"], ("regione", ["Campania"]), "2025-06-01", "2025-08-08", False, 10),
+    (["27", "22"], ("provincia", ["Siracusa"]), "2025-06-30", "2025-07-21", False, 10),
+]
+# Older tender, rates by outcome kind, product and lots: euro per
+# thousandth of violations beyond the quota, or euro a thousand days of delay.
+TENDER_RATES = [
+    ("no_packet", "890", [str(n) for n in range(1, 21)], "share", "500"),
+    ("no_packet", "RS", ["21", "22", "23", "24", "25"], "share", "300"),
+    ("no_packet", "AR", ["26", "27", "28", "29", "30", "30BIS"], "share", "500"),
+    ("no_packet", "RIR", ["21", "26"], "share", "300"),
+    ("no_packet", "RIS", ["21", "26"], "share", "300"),
+    ("packet", "890", [str(n) for n in range(1, 21)], "share", "300"),
+    ("packet", "RS", ["21", "22", "23", "24", "25"], "share", "300"),
+    ("packet", "AR", ["26", "27", "28", "29", "30", "30BIS"], "share", "300"),
+    ("packet", "RIR", ["21", "26"], "share", "300"),
+    ("packet", "RIS", ["21", "26"], "share", "300"),
+    ("no_packet", "RS", ["97"], "per_day", "0.0678"),
+    ("no_packet", "AR", ["98"], "per_day", "0.0225"),
+    ("no_packet", "890", ["99"], "per_day", "0.19"),
+    ("packet", "RS", ["97"], "per_day", "0.0678"),
+    ("packet", "AR", ["98"], "per_day", "0.0225"),
+    ("packet", "890", ["99"], "per_day", "0.19"),
+]
+# Older tender, the carrier whose lots are one pool, and its rates.
+TENDER_POOLED = ["RTI Sailpost-Snem"]
+TENDER_POOLED_RATES = [("no_packet", None, [None], "share", "500"), ("packet", None, [None], "share", "300")]
+# Older tender, products and lots whose mean delay is reported.
+TENDER_MEAN_DELAY = [("890", [str(n) for n in range(1, 21)]), ("AR", ["26", "27", "28", "29", "30", "30BIS"])]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["sources", "scalars", "joins", "aggregates", "windows", "incremental", "penalties", "domain", "contracts"]
+MODULES = ["sources", "scalars", "joins", "aggregates", "windows", "incremental", "penalties", "domain", "contracts", "tender"]
 
 
 def load_all() -> None:
