@@ -18,7 +18,7 @@ The number of summary rows is at most pieces + hot groups, never the data.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -30,6 +30,8 @@ from millrace.session import materialise
 
 # Rows one task may sort for a single group before the group counts as hot.
 HOT_ROWS = 5_000_000
+# Rows of a table of groups that may be broadcast.
+BROADCAST_GROUPS = 100_000
 _PIECE = "__piece"
 _POS = "__pos"
 _CARRY = "__carry_"
@@ -294,6 +296,87 @@ def ranked_share(
     return plain(ordinary).unionByName(dealt) if group else dealt
 
 
+def quota_flags(
+    df: DataFrame,
+    group: Sequence[str],
+    value: str,
+    tie: Sequence[str],
+    quotas: Mapping[str, float],
+    *,
+    counted: Column | None = None,
+    idle: int | None = None,
+    hot_rows: int | None = HOT_ROWS,
+) -> DataFrame:
+    """Whether a row's rank by (value, tie) over the group total lies below each quota, found by counting.
+
+    Adds a boolean per quota: what ``ranked_share(...).share < quota`` gives,
+    false where ``value`` is NULL, without ranking the rows. The rows are written
+    once. Counts per group and value (combined before they are dealt) give the
+    last value whose rows all lie below the quota and the one value that the
+    quota cuts through. Only rows tied on that value are ordered, to find the
+    last of them that still fits; every other row is compared with its group's
+    values. Values up to ``idle`` are not cut: their rows are all flagged, for
+    callers to whom they make no difference. ``tie`` must tell rows of a group
+    and value apart, else tied rows stand or fall together. ``counted`` narrows
+    the total as in :func:`ranked_share`.
+    """
+    group, names = list(group), list(df.columns)
+    base = materialise(df.withColumn("__c", F.lit(True) if counted is None else F.coalesce(counted, F.lit(False))), "quota-rows")
+    counts = base.groupBy(*group, value).agg(F.count(F.lit(1)).alias("__n"), F.count_if("__c").alias("__t"))
+    whole = Window.partitionBy(*group)
+    upto = whole.orderBy(F.col(value).asc_nulls_first())
+    real = F.when(F.col(value).isNotNull(), F.col("__n")).otherwise(F.lit(0))
+    summed = counts.withColumns({"__all": F.sum("__t").over(whole), "__end": F.sum(real).over(upto), "__own": real})
+    cuts, n = [], F.col("__all")
+    for i, quota in enumerate(quotas.values()):
+        # The largest rank whose share, as a double, lies below the quota.
+        near = F.floor(n * F.lit(float(quota)))
+        last = F.when((near + 1) / n < quota, near + 1).when(near / n < quota, near).otherwise(near - 1)
+        inside = F.col(value).isNotNull() & (F.col("__end") <= last)
+        cut = (F.col("__own") > 0) & (F.col("__end") > last) & (F.col("__end") - F.col("__own") < last)
+        if idle is not None:
+            inside, cut = inside | (F.col(value) <= idle), cut & (F.col(value) > idle)
+        cuts += [
+            F.max(F.when(inside, F.col(value))).alias(f"__full{i}"),
+            F.max(F.when(cut, F.col(value))).alias(f"__edge{i}"),
+            F.max(F.when(cut, last - (F.col("__end") - F.col("__own")))).alias(f"__need{i}"),
+            F.max(F.when(cut, F.col("__own"))).alias(f"__ties{i}"),
+        ]
+    limits = summed.groupBy(*group).agg(*cuts).select(*[F.col(g).alias(f"__g_{g}") for g in group], *[f"__{x}{i}" for i in range(len(quotas)) for x in ("full", "edge", "need", "ties")])
+    limits = materialise(limits, "quota-limits")
+    number = range(len(quotas))
+    groups, *most = limits.agg(F.count(F.lit(1)), *[F.coalesce(F.max(f"__ties{i}"), F.lit(0)) for i in number]).first()
+    on = all_equal(group, "__g_")
+    if any(most):
+        # The ties of all quotas in one pass; a row can be tied for several.
+        fits = F.array_compact(F.array(*[F.when(F.col(value) == F.col(f"__edge{i}"), F.struct(F.lit(i).alias("i"), F.col(f"__need{i}").alias("need"))) for i in number]))
+        tied = base.join(_sized(limits, groups), on).select(*dict.fromkeys([*group, *tie]), F.explode(fits).alias("__q"))
+        order = [F.col(t).asc_nulls_first() for t in tie]
+        tied = tied.select("*", F.col("__q.i").alias("__i"), F.col("__q.need").alias("__need")).drop("__q")
+        ranked = row_number(tied, [*group, "__i"], order, "__r", hot_rows=None if hot_rows is None or max(most) <= hot_rows else hot_rows)
+        last = ranked.where("__r = __need").groupBy(*[F.col(g).alias(f"__h_{g}") for g in group]).agg(*[F.max(F.when(F.col("__i") == i, F.struct(*tie))).alias(f"__last{i}") for i in number])
+        same = reduce(lambda a, b: a & b, [F.col(f"__g_{g}").eqNullSafe(F.col(f"__h_{g}")) for g in group], F.lit(True))
+        limits = limits.join(_sized(last, groups), same, "left")
+    joined = base.join(_sized(limits, groups), on, "left")
+    flags = {}
+    for i, name in enumerate(quotas):
+        flag = F.coalesce(F.col(value) <= F.col(f"__full{i}"), F.lit(False))
+        if most[i]:
+            flag = flag | F.coalesce((F.col(value) == F.col(f"__edge{i}")) & (F.struct(*tie) <= F.col(f"__last{i}")), F.lit(False))
+        flags[name] = flag
+    return joined.withColumns(flags).select(*names, *flags)
+
+
+def all_equal(columns: Sequence[str], prefix: str) -> Column:
+    """Columns equal to their prefixed namesakes, nulls together; true without columns."""
+    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(prefix + c)) for c in columns], F.lit(True))
+
+
+def _sized(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast a frame known to have at most ``rows`` rows where those are few; else the optimiser decides."""
+    return F.broadcast(df) if rows <= BROADCAST_GROUPS else df
+
+
 def top_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], keep: str = "last", columns: Sequence[str] | None = None) -> DataFrame:
     """One row per key: the greatest (or smallest) by ``order``.
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from millrace.functions import dates, money, presets
 from millrace.functions.calendar import WorkCalendar
 from millrace.functions.rules import first_match
-from millrace.operators.ordered import ranked_share
+from millrace.operators.ordered import quota_flags, ranked_share
 
 
 def _c(col: Column | str) -> Column:
@@ -144,6 +144,7 @@ def delivery_penalty(
     quota_other: float = 0.98,
     weight_divisor: int = 2,
     counted: Column | None = None,
+    ranks: bool = True,
     **ranking,
 ) -> DataFrame:
     """Rank items by lateness within ``group`` and charge those inside the quota.
@@ -151,19 +152,26 @@ def delivery_penalty(
     The least late items come first; an item pays while its share of the group
     (rank / group size) is below the quota. Items without a measured lateness
     are counted in the size but not ranked. ``group`` may be one pool per
-    carrier or one per lot, as the contract says.
+    carrier or one per lot, as the contract says. Without ``ranks`` the columns
+    rank, total and share are left out and the quotas are found by counting.
     """
-    order = [F.col(late).asc(), *[F.col(t).asc_nulls_first() for t in tie]]
-    ranked = ranked_share(df, group, order, measured=F.col(late).isNotNull(), counted=counted, **ranking)
+    if ranks:
+        order = [F.col(late).asc(), *[F.col(t).asc_nulls_first() for t in tie]]
+        ranked = ranked_share(df, group, order, measured=F.col(late).isNotNull(), counted=counted, **ranking)
+        below_standard, below_other = F.col("share") < quota_standard, F.col("share") < quota_other
+    else:
+        # An item that is not late pays nothing, whatever its share.
+        ranked = quota_flags(df, group, late, tie, {"__standard": quota_standard, "__other": quota_other}, counted=counted, idle=0, **ranking)
+        below_standard, below_other = F.col("__standard"), F.col("__other")
     fee = F.coalesce(money.proportional_fee(F.col(cost), F.col(late), span, cap_at, cap_times), F.lit(0))
     charged = first_match(
         [
-            (F.col(in_standard) & ~F.col(in_improved) & (F.col("share") < quota_standard), fee),
-            (~F.col(in_standard) & (F.col("share") < quota_other), fee),
+            (F.col(in_standard) & ~F.col(in_improved) & below_standard, fee),
+            (~F.col(in_standard) & below_other, fee),
         ],
         F.lit(0).cast("bigint"),
     )
-    return ranked.withColumn("fee_cents", charged).withColumn(
+    return ranked.withColumn("fee_cents", charged).drop("__standard", "__other").withColumn(
         "weighted_cents", money.half_up_div(F.col("fee_cents"), weight_divisor)
     )
 
@@ -179,24 +187,33 @@ def reporting_penalty(
     quota: float = 0.979,
     weight_divisor: int = 2,
     counted: Column | None = None,
+    ranks: bool = True,
     **ranking,
 ) -> DataFrame:
-    """Same ranking on reporting lateness; only late items inside the quota pay."""
-    order = [F.col(late).asc(), *[F.col(t).asc_nulls_first() for t in tie]]
-    ranked = ranked_share(
-        df,
-        group,
-        order,
-        measured=F.col(late).isNotNull(),
-        counted=counted,
-        rank="report_rank",
-        total="report_total",
-        share="report_share",
-        **ranking,
-    )
+    """Same ranking on reporting lateness; only late items inside the quota pay.
+
+    Without ``ranks`` the rank columns are left out and the quota is found by counting.
+    """
+    if ranks:
+        order = [F.col(late).asc(), *[F.col(t).asc_nulls_first() for t in tie]]
+        ranked = ranked_share(
+            df,
+            group,
+            order,
+            measured=F.col(late).isNotNull(),
+            counted=counted,
+            rank="report_rank",
+            total="report_total",
+            share="report_share",
+            **ranking,
+        )
+        below = F.col("report_share") < quota
+    else:
+        ranked = quota_flags(df, group, late, tie, {"__below": quota}, counted=counted, idle=0, **ranking)
+        below = F.col("__below")
     fee = money.proportional_fee(F.col(cost), F.col(late), span)
-    charged = F.when((F.col(late) > 0) & (F.col("report_share") < quota), fee).otherwise(F.lit(0).cast("bigint"))
-    return ranked.withColumn("report_fee_cents", charged).withColumn(
+    charged = F.when((F.col(late) > 0) & below, fee).otherwise(F.lit(0).cast("bigint"))
+    return ranked.withColumn("report_fee_cents", charged).drop("__below").withColumn(
         "report_weighted_cents", money.half_up_div(F.col("report_fee_cents"), weight_divisor)
     )
 
@@ -433,15 +450,23 @@ def sender_analogue(
     tie: Sequence[str],
     allowed: int = 70,
     quota: float = 0.97,
+    ranks: bool = True,
     **ranking,
 ) -> DataFrame:
-    """Global rank of completion lateness; late items inside the quota pay."""
+    """Global rank of completion lateness; late items inside the quota pay.
+
+    Without ``ranks`` the rank columns are left out and the quota is found by counting.
+    """
     days = calendar.days_between(start, end)
     timed = df.withColumn("completion_days", days).withColumn("late_days", lateness("completion_days", F.lit(allowed)))
-    order = [F.col("late_days").asc(), F.col(end).asc_nulls_first(), *[F.col(t).asc_nulls_first() for t in tie]]
-    ranked = ranked_share(timed, [], order, measured=F.col("late_days").isNotNull(), **ranking)
-    hit = (F.col("share") < quota) & (F.col("late_days") > 0)
-    return ranked.withColumn("charged", F.when(hit, 1).otherwise(0))
+    if ranks:
+        order = [F.col("late_days").asc(), F.col(end).asc_nulls_first(), *[F.col(t).asc_nulls_first() for t in tie]]
+        ranked = ranked_share(timed, [], order, measured=F.col("late_days").isNotNull(), **ranking)
+        below = F.col("share") < quota
+    else:
+        ranked = quota_flags(timed, [], "late_days", [end, *tie], {"__below": quota}, idle=0, **ranking)
+        below = F.col("__below")
+    return ranked.withColumn("charged", F.when(below & (F.col("late_days") > 0), 1).otherwise(0)).drop("__below")
 
 
 def sender_analogue_summary(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -31,7 +31,7 @@ TIE_SQL = "print_day, order_key, line, part_key, cost, ship"
 
 def entrusted(spark: SparkSession, folder: str) -> DataFrame:
     """Pieces with entry day (cut-off applied) and print day."""
-    df = lines(spark, folder)
+    df = lines(spark, folder, spread_out=True)
     clock = F.col("ship") + F.make_dt_interval(hours=(F.col("order_key") % 24).cast("int"), mins=(F.col("part_key") % 60).cast("int"))
     entry = dates.cut_off_date(clock, "22:30")
     gap = (F.col("order_key") % 4).cast("int")

@@ -215,7 +215,7 @@ def delivery_penalty(spark: SparkSession, folder: str) -> DataFrame:
 )
 def delivery_penalty_earlier(spark: SparkSession, folder: str) -> DataFrame:
     """Earlier terms: a thirtieth of the cost per day, twice the cost from 60 days."""
-    charged = charged_pieces(spark, folder, span=30, cap_at=60, cap_times=2)
+    charged = charged_pieces(spark, folder, span=30, cap_at=60, cap_times=2, ranks=False)
     return charged.groupBy("lot", "product").agg(
         F.count(F.lit(1)).alias("items"), F.sum("fee_cents").alias("fee_cents"), F.sum("weighted_cents").alias("weighted_cents")
     )
@@ -229,8 +229,8 @@ def delivery_penalty_earlier(spark: SparkSession, folder: str) -> DataFrame:
 )
 def rank_group_choice(spark: SparkSession, folder: str) -> DataFrame:
     """Charged amounts with one pool per carrier and with one pool per lot."""
-    pool = charged_pieces(spark, folder, ["supp_key"]).groupBy("supp_key").agg(F.sum("fee_cents").alias("pool_cents"))
-    by_lot = charged_pieces(spark, folder, ["lot"]).groupBy("supp_key").agg(F.sum("fee_cents").alias("lot_cents"))
+    pool = charged_pieces(spark, folder, ["supp_key"], ranks=False).groupBy("supp_key").agg(F.sum("fee_cents").alias("pool_cents"))
+    by_lot = charged_pieces(spark, folder, ["lot"], ranks=False).groupBy("supp_key").agg(F.sum("fee_cents").alias("lot_cents"))
     return pool.join(by_lot, "supp_key")
 
 
@@ -426,6 +426,7 @@ def reporting_penalty(spark: SparkSession, folder: str) -> DataFrame:
         tie=["reported", "order_key", "line", "part_key", "supp_key", "cost", "ship"],
         late="report_late",
         cost="cost",
+        ranks=False,
     )
     return charged.groupBy("lot", "product").agg(
         F.count(F.lit(1)).alias("items"),
@@ -445,7 +446,7 @@ def _summary_sql(period: str) -> str:
 
 def _summary(spark: SparkSession, folder: str, period: str) -> DataFrame:
     return penalty.penalty_summary(
-        charged_pieces(spark, folder), ["supp_key", "lot", "product"], period=period, weighted={"delivery": "weighted_cents"}
+        charged_pieces(spark, folder, ranks=False), ["supp_key", "lot", "product"], period=period, weighted={"delivery": "weighted_cents"}
     )
 
 
@@ -523,12 +524,13 @@ c AS (SELECT *, CASE WHEN share < 0.97 AND late_days > 0 THEN 1 ELSE 0 END AS ch
 def sender_penalty_analogue(spark: SparkSession, folder: str) -> DataFrame:
     """Globally ranked completion lateness with a 97 percent quota, summarised."""
     ranked = penalty.sender_analogue(
-        lines(spark, folder).withColumn("yq", dates.year_quarter("ship")),
+        lines(spark, folder).withColumn("yq", dates.year_quarter("ship")).select(*PIECE_KEY, "reported", "yq", "state"),
         CALENDAR,
         start="ship",
         end="reported",
         tie=["order_key", "line", "part_key", "supp_key", "cost", "ship"],
         allowed=30,
+        ranks=False,
     )
     return penalty.sender_analogue_summary(ranked, ["yq", "state"])
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from millrace.functions.calendar import WorkCalendar
 from millrace.functions.dates import plus_days
 from millrace.functions.money import cents
-from millrace.sources.readers import table
+from millrace.sources.readers import spread, table
 
 CALENDAR = WorkCalendar.national(1994, 2003)
 CALENDAR_2024 = WorkCalendar.national(2023, 2025)
@@ -26,9 +26,11 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return table(spark, f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Mail pieces with milestones; no join."""
+def lines(spark: SparkSession, folder: str, spread_out: bool = False) -> DataFrame:
+    """Mail pieces with milestones; no join. ``spread_out``: over all cores first, for long expressions."""
     li = load(spark, folder, "lineitem")
+    if spread_out:
+        li = spread(li, "l_orderkey")
     ship, pages = F.col("l_shipdate"), F.col("l_quantity").cast("int")
     accepted = F.when(F.col("l_returnflag") != "N", plus_days(ship, 0) + F.make_dt_interval(days=F.col("l_linenumber") - 3))
     attempt = F.when(F.col("l_discount") > 0, ship + F.make_dt_interval(days=pages))
@@ -49,7 +51,7 @@ def lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def pieces(spark: SparkSession, folder: str) -> DataFrame:
+def pieces(spark: SparkSession, folder: str, spread_out: bool = True) -> DataFrame:
     """Mail pieces with lot, zone (part) and product, notification date (order)."""
     parts = load(spark, folder, "part").select(
         F.col("p_partkey").alias("part_key"), F.col("p_brand").alias("lot"), F.col("p_type").alias("zone")
@@ -60,7 +62,7 @@ def pieces(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_orderdate").alias("sent"),
         F.col("o_custkey").alias("sender"),
     )
-    return lines(spark, folder).join(parts, "part_key").join(orders, "order_key")
+    return lines(spark, folder, spread_out).join(parts, "part_key").join(orders, "order_key")
 
 
 def days_since(col: str) -> str:

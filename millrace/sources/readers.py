@@ -14,6 +14,19 @@ def table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(name) if "/" in name else spark.table(name)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt over the cores by ``keys`` where it arrives in fewer pieces than there are cores.
+
+    A table in a few files that cannot be split would run everything up to the
+    first exchange on a few cores. A table in many pieces stays as it is, so
+    this costs nothing where tables are large.
+    """
+    context = df.sparkSession.sparkContext
+    if df.rdd.getNumPartitions() >= context.defaultParallelism:
+        return df
+    return df.repartition(context.defaultParallelism, *keys)
+
+
 def csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, sep: str = ";") -> DataFrame:
     """Delimited file with a header; without a schema the types are inferred."""
     reader = spark.read.option("header", True).option("sep", sep)

@@ -79,3 +79,33 @@ def test_top_row(rows):
     want = rows.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(F.col("k").desc(), F.col("id").desc())))
     want = want.filter("rn = 1").drop("rn")
     assert collect(ordered.top_row(rows, ["g"], ["k", "id"])) == collect(want)
+
+
+@pytest.mark.parametrize("group", [["g"], []])
+@pytest.mark.parametrize("hot_rows", [None, 20])
+@pytest.mark.parametrize("idle", [None, 2])
+def test_quota_flags_equal_ranked_shares(rows, group, hot_rows, idle):
+    quotas = {"none": 0.0, "first": 0.001, "half": 0.5, "most": 0.9, "all": 1.0, "over": 1.5}
+    data = rows.withColumn("k", F.when(F.col("v") < -15, None).otherwise(F.col("k")))
+    order = [F.col("k").asc(), F.col("v").asc_nulls_first(), F.col("id").asc()]
+    ranked = ordered.ranked_share(data, group, order, measured=F.col("k").isNotNull(), counted=F.col("v") != 0, hot_rows=None)
+    relevant = F.lit(True) if idle is None else F.coalesce(F.col("k") > idle, F.lit(True))
+    want = ranked.where(relevant).select(*data.columns, *[F.coalesce(F.col("share") < q, F.lit(False)).alias(n) for n, q in quotas.items()])
+    got = ordered.quota_flags(data, group, "k", ["v", "id"], quotas, counted=F.col("v") != 0, idle=idle, hot_rows=hot_rows)
+    assert got.columns == [*data.columns, *quotas] and got.count() == data.count()
+    assert collect(got.where(relevant)) == collect(want)
+
+
+def test_quota_flags_of_nothing(rows):
+    assert ordered.quota_flags(rows.limit(0), ["g"], "k", ["id"], {"q": 0.5}).collect() == []
+    assert ordered.quota_flags(rows.limit(0), [], "k", ["id"], {"q": 0.5}).collect() == []
+    assert not any(r["q"] for r in ordered.quota_flags(rows.withColumn("k", F.lit(None).cast("int")), ["g"], "k", ["id"], {"q": 0.5}).collect())
+
+
+def test_quota_flags_sort_ties_only(rows):
+    """Where the quota cuts no value there is no sort; else its input is what the cut value joins."""
+    uncut = ordered.quota_flags(rows, ["g"], "k", ["id"], {"q": 0.5}, idle=9)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in uncut and "Sort [" not in uncut
+    cut = ordered.quota_flags(rows, ["g"], "k", ["id"], {"q": 0.5})._jdf.queryExecution().executedPlan().toString()
+    below = cut[cut.index("Window [") :]
+    assert "__edge0" in below and cut.count("Window [") == 1
