@@ -9,6 +9,7 @@ without holidays.
 
 from __future__ import annotations
 
+import bisect
 import datetime as dt
 from collections.abc import Iterable
 from dataclasses import dataclass, field
@@ -165,13 +166,13 @@ class WorkCalendar:
         before the number is reached are found in the table of the holidays.
         """
         n = F.col(index) if isinstance(index, str) else index
-        zero = F.lit(0)
         if not self._weekday_holidays:
             return self._weekday_of(n)
-        # Each holiday at or before the day found pushes it on by one weekday.
+        # Each holiday at or before the day found pushes it on by one weekday: a table of
+        # how many did by the time a number is reached.
         keys = [self._weekday_number(d) - i for i, d in enumerate(self._weekday_holidays)]
-        table = F.split(F.lit(",".join(map(str, keys))), ",").cast("array<int>")
-        passed = F.aggregate(table, zero, lambda so_far, key: so_far + (key <= n).cast("int"))
+        table = [bisect.bisect_right(keys, number) for number in range(keys[0] - 1, keys[-1] + 1)]
+        passed = self._lookup(n, keys[0] - 1, table)
         return self._weekday_of(n + passed)
 
     @staticmethod

@@ -21,18 +21,22 @@ The chain is sequential, but it need not run in one task:
   every entry fill, how many days are opened and how full the last one ends.
   The fill is a whole number of pages, so this step function has at most
   capacity + 1 steps, and chains that start at different items soon meet, so
-  it is usually a handful of rows. Walking the transfers in order is cheap (a
-  few numbers per chunk, streamed) and gives every chunk its entry state; a
-  last parallel pass deals out the days.
+  it is usually a handful of rows. Transfers compose to transfers: where the
+  queue drains inside a stretch, what comes out does not depend on what went in
+  (a fuller entry never leads to an earlier exit, so all entries that drain
+  leave alike), else days and fills add up. They are composed in a tree of
+  bounded fan-in and entry states are handed down the same tree, so no task
+  reads all chunks of a segment; a last parallel pass deals out the days.
 """
 
 from __future__ import annotations
 
+import bisect
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -47,6 +51,8 @@ from millrace.session import materialise
 
 # Items one task folds; a pack or chunk holds at most about twice as many.
 CHUNK_ITEMS = 1_000_000
+# Transfers that one task composes.
+FAN_IN = 256
 _CHUNK = "__chunk"
 _SEGMENT = "__segment"
 _PACK = "__pack"
@@ -124,6 +130,48 @@ def _transfer(pages: np.ndarray, capacity: int) -> list[tuple[int, int, int, int
     return rows
 
 
+# A transfer of a stretch of chunks: rows (from fill, least day, opened, end fill, slope)
+# and the (day, fill) that comes out if the queue drains inside. A row applies to entry
+# fills from its first number on if the entry day is not below its least day; below it
+# the queue drains.
+Transfer = tuple[list[tuple[int, int, int, int, int]], tuple[int, int]]
+
+
+def _stretch(steps: Sequence[tuple[int, int, int, int]], eligible: int) -> Transfer:
+    """Transfer of one chunk, whose items are eligible from one day on."""
+    _, opened, fill, _ = steps[0]
+    return [(low, eligible, o, f, s) for low, o, f, s in steps], (eligible + opened, fill)
+
+
+def _through(transfer: Transfer, at: int, used: int) -> tuple[int, int]:
+    """(day, fill) behind a stretch for an entry day and fill."""
+    rows, drained = transfer
+    _, least, opened, fill, slope = rows[bisect.bisect_right(rows, (used, math.inf)) - 1]
+    return (at + opened, fill + slope * used) if at >= least else drained
+
+
+def _then(first: Transfer, second: Transfer) -> Transfer:
+    """Transfer of two stretches, one after the other."""
+    out: list[tuple[int, int, int, int, int]] = []
+
+    def add(low, least, opened, fill, slope):
+        if not out or out[-1][1:] != (least, opened, fill, slope):
+            out.append((low, least, opened, fill, slope))
+
+    rows, later = first[0], second[0]
+    for i, (low, least, opened, fill, slope) in enumerate(rows):
+        if not slope:
+            _, t, o, f, s = later[bisect.bisect_right(later, (fill, math.inf)) - 1]
+            add(low, max(least, t - opened), opened + o, f + s * fill, 0)
+            continue
+        end = rows[i + 1][0] + fill if i + 1 < len(rows) else math.inf
+        for j, (start, t, o, f, s) in enumerate(later):
+            stop = later[j + 1][0] if j + 1 < len(later) else math.inf
+            if start < end and stop > low + fill:
+                add(max(low, start - fill), max(least, t - opened), opened + o, f + s * fill, s)
+    return out, _through(second, *first[1])
+
+
 def _step(rows: Sequence[tuple[int, int, int, int]], used: int) -> tuple[int, int]:
     """(days opened, fill at the end) for an entry fill."""
     _, opened, fill, slope = [row for row in rows if row[0] <= used][-1]
@@ -196,9 +244,14 @@ def assign_days(
     rank: str = "rank",
     chunk_items: int = CHUNK_ITEMS,
     null_pages: int | None = 0,
+    key: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add the assigned working day and the rank of every item.
 
+    With ``key``, columns that identify an item in its lane, only lane, key, order,
+    eligible day and pages go through the Python workers, and the results are
+    joined back by lane and key; without it every column of ``df`` goes through.
+
     ``order`` must identify an item within its eligible day. ``state`` is the
     result of :func:`last_state` of an earlier run (lane columns, ``last_day``,
     ``used_pages``, ``last_rank``); new items then continue that day and rank.
@@ -209,6 +262,12 @@ def assign_days(
     pages are taken as ``null_pages`` (0 by default) where that is a number and
     fail the job where it is None.
     """
+    if key is not None:
+        keys = [*lane, *[k for k in key if k not in lane]]
+        slim = df.select(*dict.fromkeys([*keys, *order, eligible, pages]))
+        dealt = assign_days(slim, calendar, eligible=eligible, order=order, pages=pages, capacity=capacity, lane=lane, state=state, day=day, rank=rank, chunk_items=chunk_items, null_pages=null_pages)
+        found = dealt.select(*[F.col(k).alias(f"__k_{k}") for k in keys], day, rank)
+        return df.join(found, all_of([F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys])).select(*df.columns, day, rank)
     lane, names = list(lane), list(df.columns)
     p = F.col(pages).cast("bigint")
     counted = F.coalesce(p, F.lit(null_pages).cast("bigint")) if null_pages is not None else F.coalesce(p, F.raise_error(F.lit(f"an item has no {pages}")).cast("bigint"))
@@ -360,67 +419,16 @@ def _deal_chunks(
     keys = [*lane, _SEGMENT, _ELIGIBLE]
     chunks = _chunks(items, keys, order, chunk_items)
     by_chunk = [*keys, _CHUNK]
-    key_fields = [chunks.schema[c] for c in by_chunk]
-    extra = ["__base", "__day0", "__used0"]
-    transfer_schema = T.StructType(
-        [
-            *key_fields,
-            *[chunks.schema[c] for c in extra],
-            *[T.StructField(c, T.LongType()) for c in ("items", "from_fill", "opened", "end_fill", "slope")],
-        ]
-    )
 
     def summarise(table: pa.Table) -> pa.Table:
         table = _sorted(table, order)
-        steps = np.array(_transfer(_numbers(table, pages), capacity), dtype=np.int64)
-        out = table.select([*by_chunk, *extra]).take(pa.array(np.zeros(len(steps), dtype=np.int64)))
-        out = out.append_column("items", pa.array(np.full(len(steps), table.num_rows), pa.int64()))
-        for i, name in enumerate(("from_fill", "opened", "end_fill", "slope")):
-            out = out.append_column(name, pa.array(steps[:, i], pa.int64()))
-        return out
+        eligible = int(table.column(_ELIGIBLE)[0].as_py())
+        stretch = _stretch(_transfer(_numbers(table, pages), capacity), eligible)
+        return _packed(table.select([*by_chunk, *_CARRIED]).slice(0, 1), [stretch], [table.num_rows], [eligible])
 
-    slim = chunks.select(*dict.fromkeys([*by_chunk, *extra, *order, pages]))
-    transfers = slim.groupBy(*by_chunk).applyInArrow(summarise, transfer_schema)
-    entry_schema = T.StructType(
-        [
-            *key_fields,
-            T.StructField("__day", T.IntegerType()),
-            T.StructField("__used", T.LongType()),
-            T.StructField("__before", T.LongType()),
-        ]
-    )
-    width, lead = len(by_chunk), len(lane) + 1
-
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # Rows come chunk by chunk, steps by rising fill; the last step at or
-        # below the entry fill is the one that applies.
-        segment, chunk, at, used, before = None, None, 0, 0, 0
-        step, items_n = None, 0
-        for pdf in batches:
-            out = []
-            for row in pdf.itertuples(index=False, name=None):
-                key = tuple(None if pd.isna(v) else v for v in row[:width])
-                base, day0, used0, n, low, opened, fill, slope = row[width:]
-                if key != chunk:
-                    if chunk is not None:
-                        at, before = at + step[0], before + items_n
-                        used = step[1] + (used if step[2] else 0)
-                    if key[:lead] != segment:
-                        segment, before = key[:lead], int(base)
-                        at, used = (int(key[lead]), 0) if pd.isna(day0) else (int(day0), int(used0))
-                    if key[lead] > at:
-                        at, used = int(key[lead]), 0
-                    chunk, items_n = key, int(n)
-                    out.append([*key, at, used, before])
-                if low <= used:
-                    step = (int(opened), int(fill), int(slope))
-            yield pd.DataFrame(out, columns=entry_schema.names)
-
-    # A few rows per chunk; segments spread over tasks, rows streamed in batches.
-    spread = transfers.repartition(*lane, _SEGMENT).sortWithinPartitions(*by_chunk, "from_fill")
-    entries = spread.mapInPandas(walk, entry_schema).select(
-        *[F.col(c).alias(f"__e_{c}") for c in by_chunk], "__day", "__used", "__before"
-    )
+    slim = chunks.select(*dict.fromkeys([*by_chunk, *_CARRIED, *order, pages]))
+    transfers = materialise(slim.groupBy(*by_chunk).applyInArrow(summarise, _packed_schema([chunks.schema[c] for c in [*by_chunk, *_CARRIED]])), "transfers")
+    entries = _entry_states(transfers, lane, by_chunk).select(*[F.col(c).alias(f"__e_{c}") for c in by_chunk], "__day", "__used", "__before")
     on = all_of([F.col(c).eqNullSafe(F.col(f"__e_{c}")) for c in by_chunk])
     ready = chunks.join(entries, on, "inner")
 
@@ -433,6 +441,93 @@ def _deal_chunks(
     return ready.groupBy(*by_chunk).applyInArrow(deal, _result_schema(items, names))
 
 
+# Start of the segment, the same in all its chunks.
+_CARRIED = ["__base", "__day0", "__used0"]
+_STEPS = ("low", "least", "opened", "fill", "slope")
+
+
+def _packed_schema(fields: Sequence[T.StructField]) -> T.StructType:
+    lists = [T.StructField(n, T.ArrayType(T.LongType())) for n in _STEPS]
+    return T.StructType([*fields, *lists, *[T.StructField(n, T.LongType()) for n in ("drained_at", "drained_fill", "items", "first")]])
+
+
+def _packed(keys: pa.Table, transfers: Sequence[Transfer], items: Sequence[int], first: Sequence[int]) -> pa.Table:
+    """Transfers as rows beside their keys."""
+    for i, name in enumerate(_STEPS):
+        keys = keys.append_column(name, pa.array([[row[i] for row in rows] for rows, _ in transfers], pa.list_(pa.int64())))
+    for name, values in (("drained_at", [d[0] for _, d in transfers]), ("drained_fill", [d[1] for _, d in transfers]), ("items", items), ("first", first)):
+        keys = keys.append_column(name, pa.array(values, pa.int64()))
+    return keys
+
+
+def _unpacked(table: pa.Table) -> list[Transfer]:
+    steps = zip(*[table.column(n).to_pylist() for n in _STEPS])
+    return [(list(zip(*lists)), (at, fill)) for lists, at, fill in zip(steps, table.column("drained_at").to_pylist(), table.column("drained_fill").to_pylist())]
+
+
+def _handing_down(names: Sequence[str]):
+    """Entry states of a node's children from its own, which stands in every row."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = _sorted(table, ["first", _CHUNK])
+        at, used, before = (int(table.column(c)[0].as_py()) for c in ("__day", "__used", "__before"))
+        states = []
+        for transfer, first, n in zip(_unpacked(table), table.column("first").to_pylist(), table.column("items").to_pylist()):
+            # Items that become eligible later open their own day.
+            states.append((first, 0, before) if first > at else (at, used, before))
+            (at, used), before = _through(transfer, at, used), before + n
+        out = table.select(list(names))
+        for i, (name, kind) in enumerate((("__day", pa.int32()), ("__used", pa.int64()), ("__before", pa.int64()))):
+            out = out.append_column(name, pa.array([s[i] for s in states], kind))
+        return out
+
+    return run
+
+
+def _entry_states(transfers: DataFrame, lane: list[str], by_chunk: list[str]) -> DataFrame:
+    """(chunk keys, __day, __used, __before): the state in which each chunk is entered.
+
+    Transfers are composed by number of the range piece, then by ``FAN_IN`` of
+    those and so on up to one per segment; from its start the entry states are
+    handed down again. A task holds the transfers of one node's children.
+    """
+    segment, widest = [*lane, _SEGMENT], transfers.agg(F.max(_CHUNK)).first()[0] or 0
+    nodes, width = [transfers], 1
+    while True:
+        children = nodes[-1].withColumn("__node", F.floor(F.col(_CHUNK) / width).cast("int"))
+        keys = [children.schema[c] for c in [*segment, "__node", *_CARRIED]]
+
+        def compose(table: pa.Table) -> pa.Table:
+            table = _sorted(table, ["first", _CHUNK])
+            together = _unpacked(table)
+            whole = reduce(_then, together)
+            head = table.select([*segment, "__node", *_CARRIED]).slice(0, 1)
+            return _packed(head, [whole], [sum(table.column("items").to_pylist())], [table.column("first")[0].as_py()])
+
+        parents = children.groupBy(*segment, "__node").applyInArrow(compose, _packed_schema(keys))
+        # A parent stands where its first chunk would.
+        nodes.append(materialise(parents.withColumn(_CHUNK, F.col("__node") * width), "transfers"))
+        if widest < width:
+            break
+        width *= FAN_IN
+    began = F.col("__day0").isNotNull()
+    entered = nodes[-1].select(
+        *segment, "__node", F.coalesce("__day0", "first").cast("int").alias("__day"), F.when(began, F.col("__used0")).otherwise(F.lit(0)).cast("bigint").alias("__used"),
+        F.col("__base").cast("bigint").alias("__before"),
+    )
+    for children in reversed(nodes[:-1]):
+        names = by_chunk if children is transfers else [*segment, "__node"]
+        grouped = children.withColumn("__in", F.floor(F.col(_CHUNK) / width).cast("int"))
+        above = entered.select(*[F.col(c).alias(f"__a_{c}") for c in [*segment, "__node"]], "__day", "__used", "__before")
+        on = all_of([F.col(c).eqNullSafe(F.col(f"__a_{c}")) for c in segment] + [F.col("__in") == F.col("__a___node")])
+        joined = grouped.join(above, on).drop(*[f"__a_{c}" for c in [*segment, "__node"]])
+        fields = [children.schema[c] for c in names] + [T.StructField("__day", T.IntegerType()), T.StructField("__used", T.LongType()), T.StructField("__before", T.LongType())]
+
+        entered = joined.groupBy(*segment, "__in").applyInArrow(_handing_down(names), T.StructType(fields))
+        width = max(1, width // FAN_IN)
+    return entered
+
+
 def _chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_items: int) -> DataFrame:
     """Number the chunks of every (lane, segment, eligible day).
 

@@ -76,12 +76,18 @@ ASSIGNED_SQL = "RECURSIVE " + ASSIGNED_SQL
 )
 def daily_capacity(spark: SparkSession, folder: str) -> DataFrame:
     """Working day assigned to every piece, one queue per supplier."""
-    return assigned(spark, folder).select("supp_key", "order_key", "line", "part_key", "cost", "pages", "rank", "assigned_day")
+    slim = entrusted(spark, folder).select("supp_key", "pages", "entry_day", *TIE)
+    dealt = capacity.assign_days(slim, CALENDAR, eligible="entry_day", order=TIE, pages="pages", capacity=CAPACITY, lane=["supp_key"])
+    return dealt.select("supp_key", "order_key", "line", "part_key", "cost", "pages", "rank", "assigned_day")
 
 
-def _one_lane_sql(limit: int) -> str:
-    """Load per day of one queue: the recursion jumps from a day's first item to the next day's by prefix sums."""
-    return f"""WITH RECURSIVE {CAL_SQL}, {ENTRUSTED_SQL},
+def _one_lane_sql(limit: int, until: str = "2003-12-31") -> str:
+    """Load per day of one queue: the recursion jumps from a day's first item to the next day's by prefix sums.
+
+    ``until``: end of the calendar, behind the day by which the queue has drained.
+    """
+    days = CAL_SQL.replace("TIMESTAMP '2003-12-31'", f"TIMESTAMP '{until}'")
+    return f"""WITH RECURSIVE {days}, {ENTRUSTED_SQL},
     wd AS (SELECT d, idx FROM cal WHERE is_work),
     queue AS MATERIALIZED (
       SELECT row_number() OVER o AS rank, CAST(w AS BIGINT) AS w, CAST(sum(pages) OVER o AS BIGINT) AS upto, CAST(sum(pages) OVER o - pages AS BIGINT) AS base
@@ -120,7 +126,7 @@ def daily_capacity_in_packs(spark: SparkSession, folder: str) -> DataFrame:
     return capacity.daily_load(assigned(spark, folder, (), CAPACITY * 200, chunk_items=500), pages="pages")
 
 
-@query("k14_daily_capacity_in_chunks", _one_lane_sql(CAPACITY * 5))
+@query("k14_daily_capacity_in_chunks", _one_lane_sql(CAPACITY * 5, "2299-12-31"))
 def daily_capacity_in_chunks(spark: SparkSession, folder: str) -> DataFrame:
     """One overloaded queue, cut into chunks inside days."""
     return capacity.daily_load(assigned(spark, folder, (), CAPACITY * 5, chunk_items=2000), pages="pages")

@@ -147,3 +147,56 @@ def test_no_last_day(spark):
     rows = [(dt.date(2100, 12, 30), i, 100) for i in range(5)]
     got = capacity.assign_days(frame(spark, rows), CAL, eligible="eligible", order=["key"], pages="pages", capacity=100)
     assert max(result(got).values()) == dt.date(2101, 1, 5)
+
+
+def test_transfers_compose():
+    rng = np.random.default_rng(8)
+    limit = 20
+    for _ in range(60):
+        chunks, day = [], 0
+        for _ in range(rng.integers(2, 7)):
+            day += int(rng.integers(0, 4))
+            pages = rng.integers(0, 15, rng.integers(1, 25))
+            if rng.random() < 0.2:
+                pages[rng.integers(0, len(pages))] = 31
+            chunks.append((day, pages))
+        parts = [capacity._stretch(capacity._transfer(p, limit), d) for d, p in chunks]
+        cut = int(rng.integers(1, len(parts)))
+        whole = capacity._then(capacity.reduce(capacity._then, parts[:cut]), capacity.reduce(capacity._then, parts[cut:]))
+        assert whole == capacity.reduce(capacity._then, parts)
+        for at in range(-1, day + 4):
+            for used in [*range(0, limit + 1), 31]:
+                a, u = at, used
+                for d, pages in chunks:
+                    if d > a:
+                        a, u = d, 0
+                    got = capacity._fold(np.zeros(len(pages), dtype=np.int64), pages, limit, 0, u)
+                    u = int(pages[got == got[-1]].sum()) + (u if got[-1] == 0 else 0)
+                    a += int(got[-1])
+                assert capacity._through(whole, at, used) == (a, u)
+
+
+@pytest.mark.parametrize("fan_in", [2, 3, 256])
+@pytest.mark.parametrize("days,resumed", [(0, False), (25, True)])
+def test_tree_of_transfers(spark, monkeypatch, fan_in, days, resumed):
+    monkeypatch.setattr(capacity, "FAN_IN", fan_in)
+    rows = make(400, days, seed=fan_in + days, big=0.03, zero=0.05)
+    state = None
+    last, used = None, 0
+    if resumed:
+        last, used = dt.date(2024, 12, 23), 35
+        state = spark.createDataFrame([(last, used, 9)], "last_day date, used_pages bigint, last_rank bigint")
+    got = capacity.assign_days(frame(spark, rows), CAL, eligible="eligible", order=["key"], pages="pages", capacity=100, chunk_items=15, state=state)
+    assert result(got) == brute(rows, 100, last, used)[0]
+
+
+def test_only_key_order_and_pages_go_through(spark):
+    rows = make(200, 9, 4)
+    wide = frame(spark, rows).selectExpr("*", "concat('x', key) as text", "array(key) as list")
+    how = dict(eligible="eligible", order=["key"], pages="pages", capacity=100)
+    slim = capacity.assign_days(wide, CAL, key=["key"], **how)
+    assert result(slim) == brute(rows, 100)[0] and slim.columns == [*wide.columns, "assigned_day", "rank"]
+    assert all(r["text"] == f"x{r['key']}" and r["list"] == [r["key"]] for r in slim.collect())
+    plan = slim._jdf.queryExecution().optimizedPlan().toString()
+    through = next(line for line in plan.split("\n") if "FlatMapGroupsInArrow" in line)
+    assert "text" not in through and "list" not in through
