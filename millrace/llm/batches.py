@@ -26,11 +26,8 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return materialise(df, f"llm-{label}")
 
 
-def slices(batches, column: str, limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Row slices of about ``limit`` text bytes, each with its texts as UTF-8 (null: empty).
-
-    A single longer text is a slice of its own, never cut.
-    """
+def row_slices(batches, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Row slices of about ``limit`` bytes of a text column; a single longer text is a slice of its own, never cut."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -39,8 +36,13 @@ def slices(batches, column: str, limit: int = SLICE_BYTES) -> Iterator[tuple[pa.
         piece = (np.cumsum(sizes) - sizes) // limit
         cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
         for begin, end in zip(cuts, cuts[1:]):
-            rows = batch.slice(begin, end - begin)
-            yield rows, [t or b"" for t in rows.column(column).cast(pa.binary()).to_pylist()]
+            yield batch.slice(begin, end - begin)
+
+
+def slices(batches, column: str, limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Row slices as :func:`row_slices` cuts them, each with its texts as UTF-8 (null: empty)."""
+    for rows in row_slices(batches, column, limit):
+        yield rows, [t or b"" for t in rows.column(column).cast(pa.binary()).to_pylist()]
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -16,11 +16,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from millrace.llm.batches import slices, written
-from millrace.llm.tokens import text_ids
+from millrace.llm.batches import row_slices, written
+from millrace.llm.tokens import ENCODED_BYTES, text_ids
 
-#: Lots in which the pieces of one length are numbered.
-LOTS = 64
+#: Pieces of one length that are numbered together.
+LOT_ROWS = 1_000_000
 
 
 def _times(have: np.ndarray, parts: tuple[int, ...]) -> int:
@@ -103,8 +103,8 @@ def pieces(df: DataFrame, tokenizer: str, end_id: int, cap: int, id_col: str = "
     """
 
     def run(batches):
-        for rows, texts in slices(batches, "text"):
-            ids, counts = text_ids(tokenizer).encode(texts)
+        for rows in row_slices(batches, "text", ENCODED_BYTES):
+            ids, counts = text_ids(tokenizer).encode(rows.column("text"))
             data = np.insert(ids, np.cumsum(counts), end_id).astype("<u4").tobytes()
             counts = counts + 1
             many = -(-counts // cap)
@@ -114,8 +114,8 @@ def pieces(df: DataFrame, tokenizer: str, end_id: int, cap: int, id_col: str = "
             start = np.where(number == 0, 0, np.repeat(first, many) + (number - 1) * cap)
             cuts = [0, *np.cumsum(length * 4).tolist()]
             crc = [zlib.crc32(data[b:e]) for b, e in zip(cuts, cuts[1:])]
-            docs = rows.column("doc_id").take(pa.array(np.repeat(np.arange(len(texts)), many)))
-            row = rows.column("row").take(pa.array(np.repeat(np.arange(len(texts)), many)))
+            docs = rows.column("doc_id").take(pa.array(np.repeat(np.arange(len(counts)), many)))
+            row = rows.column("row").take(pa.array(np.repeat(np.arange(len(counts)), many)))
             yield pa.RecordBatch.from_arrays([row, docs, pa.array(number, pa.int32()), pa.array(start), pa.array(length), pa.array(crc, pa.int64())], ["row", "doc_id", "piece", "start", "length", "ids_crc32"])
 
     slim = df.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -128,16 +128,27 @@ def pack(table: DataFrame, cap: int, length_col: str = "length", keys: tuple[str
     ``table`` is read several times: pass a written one. ``keys`` tell its rows
     apart. Lengths run from 1 to ``cap``; others raise. An empty table stays empty.
     """
-    lots = table.withColumn("lot__", F.pmod(F.xxhash64(*keys), F.lit(LOTS)).cast("int"))
-    sizes = lots.groupBy("lot__", F.col(length_col).alias("l")).agg(F.count("*").alias("n"))
-    counted = sizes.toPandas()  # at most LOTS rows per length
+    sizes = table.groupBy(F.col(length_col).alias("l")).agg(F.count("*").alias("n"))
+    counted = sizes.toPandas()  # a row per length
     if len(counted) and not counted["l"].between(1, cap).all():
         raise ValueError(f"lengths must lie between 1 and {cap}")
-    lot, length, n = (counted[c].to_numpy(np.int64) for c in ("lot__", "l", "n"))
-    grid = np.zeros((cap + 1, LOTS), np.int64)
-    grid[length, lot] = n
-    before = np.cumsum(grid, axis=1) - grid
-    made = plan(grid.sum(1))
+    counts = np.zeros(cap + 1, np.int64)
+    counts[counted["l"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
+    whole, counts[cap] = int(counts[cap]), 0
+    dealt = np.maximum(1, -(-counts // LOT_ROWS))
+    lot, first = F.lit(0), np.concatenate([[0], np.cumsum(dealt)])
+    before = np.zeros(int(first[-1]), np.int64)
+    pieces_left = table.where(F.col(length_col) < cap)
+    if (dealt > 1).any():
+        many = F.get(F.split(F.lit(",".join(map(str, dealt.tolist()))), ",").cast("array<int>"), F.col(length_col).cast("int"))
+        lot = F.pmod(F.xxhash64(*keys), many).cast("int")
+        each = np.zeros(len(before), np.int64)
+        for row in pieces_left.groupBy(F.col(length_col).alias("l"), lot.alias("lot")).agg(F.count("*").alias("n")).collect():  # a row per lot
+            each[first[row["l"]] + row["lot"]] = row["n"]
+        before = np.cumsum(each) - each
+        before -= np.repeat(before[first[:-1]], dealt)
+    lots = pieces_left.withColumn("lot__", lot)
+    made = plan(counts)
     used, sequence, slots = np.zeros(cap + 1, np.int64), 0, []
     for parts, times in made:
         offset = 0
@@ -153,14 +164,19 @@ def pack(table: DataFrame, cap: int, length_col: str = "length", keys: tuple[str
     def run(batches):
         for batch in batches:
             size, lot, rank = (np.asarray(batch.column(c)).astype(np.int64) for c in (length_col, "lot__", "rank__"))
-            rank = rank - 1 + before[size, lot]
+            rank = rank - 1 + before[first[size] + lot]
             at = np.searchsorted(key, size << 44 | rank, "right") - 1
             kept = [c for c in batch.schema.names if c not in ("lot__", "rank__")]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(slot[at, 2] + rank - slot[at, 1]), pa.array(slot[at, 3])], [*kept, "sequence_id", "offset"])
 
     ranked = lots.withColumn("rank__", F.row_number().over(Window.partitionBy("lot__", length_col).orderBy(*keys)))
     schema = table.drop("sequence_id", "offset").schema.add("sequence_id", "long").add("offset", "long")
-    return ranked.drop("sequence_id", "offset").mapInArrow(run, schema)
+    placed = ranked.drop("sequence_id", "offset").mapInArrow(run, schema)
+    if not whole:
+        return placed
+    # A piece as long as a sequence has one of its own; no order is needed for that.
+    alone = table.drop("sequence_id", "offset").where(F.col(length_col) == cap)
+    return placed.union(alone.withColumns({"sequence_id": F.lit(sequence) + F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")}))
 
 
 def pack_documents(df: DataFrame, tokenizer: str, end_id: int, cap: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

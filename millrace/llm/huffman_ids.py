@@ -15,8 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.batches import part_of, ragged, range_parts, slices, written
-from millrace.llm.tokens import text_ids
+from millrace.llm.batches import part_of, ragged, range_parts, row_slices, slices, written
+from millrace.llm.tokens import ENCODED_BYTES, text_ids
 
 #: Longest code in bits, ids between two bit-offset checkpoints, coded bytes of a block.
 LIMIT, STEP, BLOCK_BYTES = 18, 256, 1 << 18
@@ -119,8 +119,8 @@ def encode_ids(df: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id
     """(doc_id, n_tokens, ids as little-endian unsigned 32-bit): every text with ``end_id`` appended. Null text: empty."""
 
     def run(batches):
-        for rows, texts in slices(batches, "text"):
-            ids, counts = text_ids(tokenizer).encode(texts)
+        for rows in row_slices(batches, "text", ENCODED_BYTES):
+            ids, counts = text_ids(tokenizer).encode(rows.column("text"))
             ends = np.cumsum(counts)
             ids = np.insert(ids, ends, end_id).astype("<u4")
             counts = counts + 1

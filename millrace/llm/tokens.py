@@ -1,28 +1,35 @@
 """Token ids of whole texts by way of their distinct words.
 
 White space never lies inside a token of these vocabularies except before a
-word, so the ids of a text are those of its words in a row. A worker keeps a
-bounded table of the words it has seen; the tokenizer runs once per word in it.
-Texts whose white space is not plain go through the tokenizer whole.
+word, so the ids of a text are those of its words in a row. Arrow cuts a slice
+of texts into words and numbers the distinct ones; only those are cut further
+into pieces. A worker keeps bounded tables of pieces, and of words of unusual
+signs; the tokenizer runs once per entry. Texts whose white space is not plain
+are cut one by one.
 """
 
 from __future__ import annotations
 
 import gc
 import re
-from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer, pre_tokenizers
 
 from millrace.llm.batches import ragged
 
-#: Words kept by a worker; the table starts anew beyond it.
+#: Pieces and words kept by a worker; the tables start anew beyond it.
 KEPT_WORDS = 700_000
 
+#: Text bytes that are cut into words at once.
+ENCODED_BYTES = 8 << 20
+
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+#: White space other than a blank and a line end, as Arrow's expressions write it.
+_UNPLAIN = r"[\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _ODD_SPACE = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
-_TABS = re.compile(rb"[\t\r\x0b\x0c]")
 _CHUNK = re.compile(rb"[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+")
 
 
@@ -42,14 +49,35 @@ _BYTE_LETTERS = _byte_letters()
 class _Words(dict):
     """Numbers words in the order in which they come."""
 
+    def numbers(self, words: list) -> tuple[np.ndarray, list]:
+        """Numbers of some distinct words, and those of them that are new, in order."""
+        new = [w for w in words if w not in self]
+        self.update(zip(new, range(len(self), len(self) + len(new))))
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words)), new
+
+
+class _Table:
+    """Ids of numbered words, side by side."""
+
     def __init__(self):
-        super().__init__()
-        self.order: list = []
+        self.words, self.new = _Words(), []
+        self.ids, self.starts, self.lengths = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def numbers(self, words: list) -> np.ndarray:
+        out, new = self.words.numbers(words)
+        self.new += new
+        return out
+
+    def add(self, ids: np.ndarray, lengths: np.ndarray):
+        """Ids of the new words, in order."""
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
+        self.ids, self.lengths = np.concatenate([self.ids, ids]), np.concatenate([self.lengths, lengths])
+        self.new = []
 
-    def __missing__(self, word):
-        self[word] = n = len(self.order)
-        self.order.append(word)
-        return n
+    def gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of numbered words in a row, and how many each has."""
+        lengths = self.lengths[numbers]
+        return self.ids[ragged(self.starts[numbers], lengths)], lengths
 
 
 class TextIds:
@@ -67,94 +95,123 @@ class TextIds:
         self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.spaces = self.full.normalizer is None
         self.kept = kept
-        simple = rf"[{_LETTERS}0-9!-&(-/:-@\[-`{{-~]+"
+        # Words of other letters or signs go through the whole tokenizer.
+        self.hard = rf"[^{_LETTERS}0-9!-&(-/:-@\[-`{{-~]|<\|"
         if self.spaces:
-            self.simple = re.compile(rf"[ \n]?{simple}")
-            self.pieces = re.compile(rf" ?[{_LETTERS}]+| ?[0-9]+| ?[^\s{_LETTERS}0-9]+|\n").findall
+            self.hard = rf"^\n?(?:$|.*(?:{self.hard}))"
+            self.pieces = re.compile(rf" ?[{_LETTERS}]+| ?[0-9]+| ?[^\s{_LETTERS}0-9]+|\n|\t").findall
         else:
-            self.simple = re.compile(simple)
-            self.pieces = re.compile(rf"[{_LETTERS}]+|[0-9]|[^\s{_LETTERS}0-9]+").findall
+            self.pieces = re.compile(rf"[{_LETTERS}]+|[0-9]|[^\s{_LETTERS}0-9]+|\t").findall
         self._reset()
 
     def _reset(self):
-        self.words, self.ids = _Words(), np.zeros(0, np.int32)
-        self.lengths, self.starts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.known, self.odd = _Table(), _Table()
 
-    def _chunks(self, text: bytes) -> list[bytes]:
-        if not self.spaces:
-            return text.split()
-        if _ODD_SPACE.search(text):
-            return [text]
-        return _CHUNK.findall(text)
+    def _cut(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray, list[str]]:
+        """Texts as numbers of their words in a row, and how many each has; the distinct words, which of them are used, and further texts.
 
-    def _numbers(self, text: bytes) -> list[int]:
-        """Numbers of the words of a text; keys hold the white space before the word where it counts."""
-        words = self.words
+        A distinct word has one blank before it, or the line end that it begins
+        with, where white space counts. The further texts, numbered behind the
+        words, stand for themselves.
+        """
         if not self.spaces:
-            return list(map(words.__getitem__, text.split()))
-        if not text:
-            return []
-        pieces = text.replace(b"\n", b" \n").split(b" ")
-        if b"" in pieces or b"\n" in pieces or _TABS.search(text) or _ODD_SPACE.search(text):
-            return [words[(c,)] for c in self._chunks(text)]
-        # Plain text: words behind one space or one line end. Keys leave the space out.
-        out = [words[(pieces[0],)]]
-        out.extend(map(words.__getitem__, pieces[1:]))
-        return out
+            lists = pc.ascii_split_whitespace(texts)
+            coded = lists.flatten().dictionary_encode()
+            return coded.indices.to_numpy(), np.diff(lists.offsets.to_numpy()), coded.dictionary, np.ones(len(coded.dictionary), bool), []
+        lists = pc.split_pattern(pc.replace_substring(texts, pattern="\n", replacement=" \n"), pattern=" ")
+        coded, ends = lists.flatten().dictionary_encode(), lists.offsets.to_numpy().astype(np.int64)
+        values, numbers, counts = coded.dictionary, coded.indices.to_numpy().astype(np.int64), np.diff(ends)
+        # Several blanks or line ends in a row show as empty words or bare line ends.
+        bare = np.asarray(pc.is_in(values, pa.array(["", "\n"], values.type)))
+        empty = np.asarray(pc.binary_length(texts)) == 0
+        odd = np.logical_or.reduceat(bare[numbers], ends[:-1]) | np.asarray(pc.match_substring_regex(texts, _UNPLAIN)) | empty
+        plain = np.repeat(~odd, counts)
+        firsts = ends[:-1][~odd]
+        plain[firsts] = False
+        used = np.zeros(len(values), bool)
+        used[numbers[plain]] = True
+        opening, back = np.unique(numbers[firsts], return_inverse=True)
+        further = {values[i].as_py(): len(values) + k for k, i in enumerate(opening.tolist())}
+        numbers[firsts] = len(values) + back
+        if odd.any():
+            rows, at = [], 0
+            for i in np.flatnonzero(odd).tolist():
+                rows.append(numbers[at : ends[i]])
+                own = [c.decode() for c in self._chunks(texts[i].as_py().encode())]
+                for c in own:
+                    further.setdefault(c, len(values) + len(further))
+                rows.append(np.array([further[c] for c in own], np.int64))
+                at, counts[i] = ends[i + 1], len(own)
+            numbers = np.concatenate([*rows, numbers[at:]])
+        return numbers, counts, values, used, list(further)
 
-    def _text_of(self, key) -> str:
-        if isinstance(key, tuple):
-            return key[0].decode()
-        if not self.spaces or key[:1] == b"\n":
-            return key.decode()
-        return " " + key.decode()
+    def _chunks(self, text: bytes) -> list[bytes]:
+        if not text or _ODD_SPACE.search(text):
+            return [text] if text else []
+        return _CHUNK.findall(text)
 
-    def _learn(self):
-        """Ids of the words numbered since the last call."""
-        new = [self._text_of(k) for k in self.words.order[len(self.lengths) :]]
+    def _word_ids(self, values: pa.Array, used: np.ndarray, further: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids side by side, and where those of each word and each further text begin and how many they are."""
+        hard = np.asarray(pc.match_substring_regex(values, self.hard)) | (np.asarray(pc.binary_length(values)) == 0)
+        lengths = np.zeros(len(values) + len(further), np.int64)
+        soft = np.flatnonzero(used & ~hard)
+        ids = np.zeros(0, np.int32)
+        if len(soft):
+            text = pc.binary_join(pa.ListArray.from_arrays([0, len(soft)], values.take(pa.array(soft))), "\t")[0].as_py()
+            text = (" " + text.replace("\t", "\t ")).replace(" \n", "\n") if self.spaces else text.lower()
+            coded = pa.array(self.pieces(text + "\t"), pa.string()).dictionary_encode()
+            numbers = self.known.numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+            self._learn_pieces()
+            ids, each = self.known.gather(numbers)
+            upto = np.concatenate([[0], np.cumsum(each)])
+            lengths[soft] = np.diff(upto[np.flatnonzero(numbers == self.known.words["\t"])], prepend=0)
+        rest = np.flatnonzero(used & hard)
+        texts = values.take(pa.array(rest)).to_pylist()
+        if self.spaces:
+            texts = [w if w[:1] == "\n" else " " + w for w in texts]
+        self.odd.numbers(list(dict.fromkeys(texts + further)))
+        if new := self.odd.new:
+            got = [np.asarray(x.ids, np.int32) for x in self.full.encode_batch_fast(new, add_special_tokens=False)]
+            self.odd.add(np.concatenate(got), np.array([len(x) for x in got], np.int64))
+        of = self.odd.words
+        more, each = self.odd.gather(np.fromiter((of[t] for t in texts + further), np.int64, len(texts) + len(further)))
+        rest = np.concatenate([rest, np.arange(len(values), len(lengths))])
+        lengths[rest] = each
+        order = np.concatenate([soft, rest])
+        starts = np.zeros(len(lengths), np.int64)
+        starts[order] = np.cumsum(lengths[order]) - lengths[order]
+        return np.concatenate([ids, more]), starts, lengths
+
+    def _learn_pieces(self):
+        """Ids of the pieces numbered since the last call; the mark between words has none."""
+        new = self.known.new
         if not new:
             return
-        simple, split = self.simple.fullmatch, self.pieces
-        fit = np.fromiter(("<|" not in w and simple(w) is not None for w in new), bool, len(new))
-        lengths, starts = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
-        base, flat = len(self.ids), []
-        plain, rest = np.flatnonzero(fit), np.flatnonzero(~fit).tolist()
-        if len(plain):
-            pieces = [split(new[i] if self.spaces else new[i].lower()) for i in plain.tolist()]
-            counts = np.fromiter(map(len, pieces), np.int64, len(pieces))
-            mapped = "\t".join(chain.from_iterable(pieces)).encode().decode("latin-1").translate(_MAP)
-            got = self.bare.encode(mapped, add_special_tokens=False)
-            per_piece = np.bincount(np.asarray(got.word_ids, np.int64), minlength=int(counts.sum()))
-            lengths[plain] = per_word = np.add.reduceat(per_piece, np.cumsum(counts) - counts)
-            starts[plain] = base + np.cumsum(per_word) - per_word
-            flat.append(np.asarray(got.ids, np.int32))
-            base += len(flat[0])
-        for i, got in zip(rest, self.full.encode_batch_fast([new[i] for i in rest], add_special_tokens=False)):
-            flat.append(np.asarray(got.ids, np.int32))
-            lengths[i], starts[i] = len(flat[-1]), base
-            base += len(flat[-1])
-        self.starts = np.concatenate([self.starts, starts])
-        self.ids = np.concatenate([self.ids, *flat])
-        self.lengths = np.concatenate([self.lengths, lengths])
-
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in a row, and how many each text has."""
-        if len(self.words) > self.kept:
+        real = np.array([w != "\t" for w in new])
+        got = self.bare.encode("\t".join(new).encode().decode("latin-1").translate(_MAP), add_special_tokens=False)
+        lengths = np.zeros(len(new), np.int64)
+        lengths[real] = np.bincount(np.asarray(got.word_ids, np.int64), minlength=int(real.sum()))
+        self.known.add(np.asarray(got.ids, np.int32), lengths)
+
+    def encode(self, texts: list[bytes] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row, and how many each text has; nulls are empty."""
+        if len(self.known.words) + len(self.odd.words) > self.kept:
             self._reset()
+        column = pa.array(texts, pa.binary()).cast(pa.string()) if isinstance(texts, list) else texts
+        if not len(column):
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
         # Millions of small objects that hold no cycles: the collector would only walk over them.
         collecting = gc.isenabled()
         gc.disable()
         try:
-            rows = [self._numbers(t) for t in texts]
-            self._learn()
-            words = np.fromiter(chain.from_iterable(rows), np.int64)
+            words, counts, values, used, further = self._cut(pc.fill_null(column, ""))
+            ids, starts, lengths = self._word_ids(values, used, further)
         finally:
             if collecting:
                 gc.enable()
-        lengths = self.lengths[words]
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        cuts = np.concatenate([[0], np.cumsum([len(row) for row in rows], dtype=np.int64)])
-        return self.ids[ragged(self.starts[words], lengths)], np.diff(ends[cuts])
+        each = lengths[words]
+        ends, cuts = (np.concatenate([[0], np.cumsum(x)]) for x in (each, counts))
+        return ids[ragged(starts[words], each)], np.diff(ends[cuts])
 
 
 #: Byte letters for a text read as latin-1; the tab between pieces stays white space.

@@ -31,6 +31,21 @@ def test_ids_equal_the_library(path, kept, odd_rows):
         want = want[len(part) :]
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_ids_of_random_texts_equal_the_library(path):
+    rng = np.random.default_rng(4)
+    signs = [*"ab Zé\n\t.,'%*#<|>0", "\u2003", "日", "ß", "  ", "\n\n", "\r\n", "word", "Word ", "</s>", "ﬁ", "\x1c"]
+    texts = ["".join(rng.choice(signs, rng.integers(0, 40))) for _ in range(1500)]
+    plain = [" ".join(rng.choice(["Étion", "dans", "aipa%%%", "ierç,", "99", "x\ny"], rng.integers(1, 12))) for _ in range(300)]
+    table, whole = TextIds(path), Tokenizer.from_file(path)
+    texts = [t for pair in zip(texts, plain * 5) for t in pair]
+    for begin in range(0, len(texts), 400):
+        part = texts[begin : begin + 400]
+        ids, counts = table.encode([t.encode() for t in part])
+        ends = np.cumsum(counts)
+        assert [ids[e - n : e].tolist() for e, n in zip(ends, counts)] == [x.ids for x in whole.encode_batch(part, add_special_tokens=False)]
+
+
 @pytest.mark.parametrize("limit", [6, 9, 18])
 def test_code_lengths(limit):
     rng = np.random.default_rng(limit)
@@ -110,7 +125,9 @@ def test_plan_takes_exact_complements():
     assert full >= 2 and sum(t for _, t in made) <= 4
 
 
-def test_packing(spark, odd, odd_rows):
+@pytest.mark.parametrize("lot_rows", [10**6, 2])
+def test_packing(spark, odd, odd_rows, lot_rows, monkeypatch):
+    monkeypatch.setattr(best_fit, "LOT_ROWS", lot_rows)
     cap = 64
     got = best_fit.pack_documents(odd, BYTE, 0, cap).toPandas()
     whole = Tokenizer.from_file(BYTE)
