@@ -21,6 +21,14 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or the name with underscores behind it that no column of ``df`` has, in any letter case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder and read back."""
     return materialise(df, f"llm-{label}")

@@ -9,7 +9,6 @@ as soon as every counter has passed r.
 
 from __future__ import annotations
 
-import math
 from itertools import combinations
 
 import numpy as np
@@ -18,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.batches import slices, written
+from millrace.llm.batches import free_name, slices, written
 from millrace.llm.components import components
 
 BITS = 64
@@ -69,15 +68,17 @@ def majority_bits(hashes: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def fingerprints(df: DataFrame, size: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, print as signed long) of every row; null text has no words."""
+def fingerprints(df: DataFrame, size: int, id_col: str = "doc_id", text_col: str = "text", sign: str | None = None) -> DataFrame:
+    """(doc_id, print as signed long[, sign]) of every row; null text has no words. ``sign`` names a long to carry along."""
 
     def run(batches):
         for rows, texts in slices(batches, "text"):
             found = majority_bits([shingle_hashes(t, size) for t in texts])
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "print"])
+            carried = [rows.column("sign")] if sign else []
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(found.view(np.int64)), *carried], ["doc_id", "print", "sign"][: 2 + len(carried)])
 
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id bigint, print bigint")
+    slim = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *([F.col(sign).alias("sign")] if sign else []))
+    return slim.mapInArrow(run, "doc_id bigint, print bigint" + (", sign bigint" if sign else ""))
 
 
 def _near(prints: np.ndarray, radius: int, asked: int):
@@ -118,16 +119,6 @@ def _near(prints: np.ndarray, radius: int, asked: int):
             yield rows, over
 
 
-def pairs_apart(prints: np.ndarray, radius: int, groups: np.ndarray, asked: int = 256) -> list[tuple[int, int]]:
-    """All pairs of fingerprints at ``radius`` or fewer differing bits that are in different groups."""
-    found, each = [], np.arange(len(prints))
-    for rows, over in _near(prints, radius, asked):
-        hit = np.unpackbits((~over).view(np.uint8), axis=1, bitorder="little")[:, : len(prints)].astype(bool)
-        a, b = np.nonzero(hit & (rows[:, None] < each[None, :]) & (groups[rows][:, None] != groups[None, :]))
-        found += zip(rows[a].tolist(), b.tolist())
-    return found
-
-
 def within_radius(prints: np.ndarray, radius: int, asked: int = 256) -> list[tuple[int, int]]:
     """Links that join the fingerprints at ``radius`` or fewer differing bits; each link is such a pair."""
     near: dict[int, int] = {}
@@ -240,7 +231,8 @@ def near_duplicates(df: DataFrame, size: int = 3, radius: int = 2, id_col: str =
     Equal fingerprints are one node, so copies are never paired. Texts without
     words have the fingerprint zero and link like any other; null text is empty.
     component_id is the smallest doc_id reachable (null ids do not count: null
-    if there is no other). Repeated doc_ids stay rows of their own.
+    if there is no other). Repeated doc_ids stay rows of their own. An empty table
+    gives no rows. Other columns are not read.
     """
     docs = written(fingerprints(df, size, id_col, text_col), "prints")
     nodes = written(docs.groupBy("print").agg(F.min("doc_id").alias("least")), "nodes")
@@ -251,199 +243,27 @@ def near_duplicates(df: DataFrame, size: int = 3, radius: int = 2, id_col: str =
     return docs.join(classes, "print").select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-# Similar documents: more bits, so that the distance tells the similarity of the shingles.
-
-#: 64-bit words of a wide fingerprint; bits of a key at least; share of the pairs at the similarity that no key may join.
-WORDS, KEY_BITS, MISSED = 4, 12, 0.01
-#: Tables of the first links, which only save pairs: those that they miss come with the others.
-SURE_TABLES = 8
-#: Prints aimed at per key; more bits are taken where there are more prints.
-PER_KEY = 64
-_MIX = [0, 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7]
-
-
-def _differing(similarity: float, deviations: float) -> int:
-    """Bits of a wide print that texts of a Jaccard similarity differ in, plus so many standard deviations."""
-    bits = WORDS * BITS
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return round(bits * share + deviations * math.sqrt(bits * share * (1 - share)))
-
+def drop_similar(df: DataFrame, size: int = 3, radius: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` with one document of each component of :func:`near_duplicates`, the one with the smallest id.
 
-def similar_tables(key_bits: int, similarity: float) -> int:
-    """Tables of sampled bits so that a pair at the similarity agrees in one of them, but for a share of MISSED."""
-    agree = (1 - math.acos(2 * similarity / (1 + similarity)) / math.pi) ** key_bits
-    return 1 if agree >= 1 else math.ceil(math.log(MISSED) / math.log1p(-agree))
-
-
-def wide_prints(df: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, same, print as bytes, set) of the rows with words; ``same`` is a hash of the text.
-
-    A print is the majority over the distinct shingles, so a repeated one has one
-    vote; ``set`` is a hash of all of them.
+    Null ids come last, then the smaller hash of the text decides. Texts without
+    words are one component, so one of them stays. Of rows alike in id and text
+    one is kept. An empty table stays empty. All columns stay, whatever their
+    names.
     """
-
-    def run(batches):
-        for rows, texts in slices(batches, "text"):
-            hashes = [np.unique(shingle_hashes(t, size)) for t in texts]
-            some = np.flatnonzero([len(h) > 0 for h in hashes])
-            if not len(some):
-                continue
-            hashes = [hashes[i] for i in some.tolist()]
-            words = []
-            with np.errstate(over="ignore"):
-                for c in _MIX[:WORDS]:
-                    if c:
-                        mixed = [((h ^ np.uint64(c)) * np.uint64(0xBF58476D1CE4E5B9)) for h in hashes]
-                        words.append(majority_bits([(h ^ (h >> np.uint64(31))) * np.uint64(0x94D049BB133111EB) for h in mixed]))
-                    else:
-                        words.append(majority_bits(hashes))
-            prints = np.column_stack(words).astype("<u8")
-            sets = np.array([xxhash.xxh64_intdigest(h.tobytes(), 7) for h in hashes], np.uint64).view(np.int64)
-            at = pa.array(some)
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id").take(at), rows.column("same").take(at), pa.array([p.tobytes() for p in prints], pa.binary()), pa.array(sets)], ["doc_id", "same", "print", "set"])
-
-    slim = df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("same"), F.col(text_col).alias("text"))
-    return slim.mapInArrow(run, "doc_id bigint, same bigint, print binary, set bigint")
-
-
-def _placed(nodes: DataFrame, key_bits: int, tables: int, seed: int) -> DataFrame:
-    """Rows of ``nodes`` (node, root, print) by the key of each table's sampled bits: (key, node, root, print)."""
-    rng = np.random.default_rng(seed)
-    chosen = np.array([rng.permutation(WORDS * BITS)[:key_bits] for _ in range(tables)])
-
-    def place(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            bits = np.unpackbits(np.frombuffer(b"".join(batch.column("print").to_pylist()), np.uint8).reshape(batch.num_rows, -1), axis=1)
-            for t in range(tables):
-                key = bits[:, chosen[t]].astype(np.int64) @ (1 << np.arange(key_bits))
-                yield pa.RecordBatch.from_arrays([pa.array(key * tables + t), *(batch.column(c) for c in ("node", "root", "print"))], ["key", "node", "root", "print"])
-
-    return nodes.select("node", "root", "print").mapInArrow(place, "key bigint, node bigint, root bigint, print binary")
-
-
-def _candidates(nodes: DataFrame, radius: int, key_bits: int, tables: int, seed: int, apart: bool = False) -> DataFrame:
-    """Pairs (a, b, distance) of prints that agree in a table's sampled bits and differ in ``radius`` bits at most.
-
-    Links that join the prints of each key, or, with ``apart``, all pairs of
-    different roots. A key of more than BUCKET prints is dealt in blocks, and
-    every pair of them is compared.
-    """
-    if "root" not in nodes.columns:
-        nodes = nodes.withColumn("root", F.col("node"))
-    placed = _placed(nodes, key_bits, tables, seed)
-    sizes = placed.groupBy("key").agg(F.count("*").alias("n"), (F.min("root") < F.max("root")).alias("open")).where(F.col("n") > BUCKET)
-    hot = written(sizes.select("key", "open", F.ceil(2 * F.col("n") / BUCKET).cast("int").alias("blocks")), "hot-keys")
-    none = F.lit(0)
-    dealt = placed.select("key", none.alias("i"), none.alias("j"), "node", "root", "print")
-    if not hot.isEmpty():
-        block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-        each = F.explode(F.transform(F.sequence(none, F.col("blocks") - 1), lambda o: F.struct(F.least("block", o).alias("i"), F.greatest("block", o).alias("j"))))
-        cut = placed.join(hot.where("open"), "key").withColumn("block", block).withColumn("pair", each)
-        dealt = dealt.join(hot, "key", "left_anti").unionByName(cut.select("key", "pair.i", "pair.j", "node", "root", "print"))
-
-    def compare(batches):
-        def links(keys, nodes_, roots, prints):
-            cuts = [0, *(np.flatnonzero(np.any(keys[1:] != keys[:-1], axis=1)) + 1).tolist(), len(keys)]
-            begin, found = 0, []
-            for i, end in enumerate(cuts[1:], 1):
-                if i + 1 < len(cuts) and cuts[i + 1] - begin <= BLOCK:
-                    continue
-                raw, groups = np.frombuffer(b"".join(prints[begin:end]), "<u8").reshape(-1, WORDS), np.array(roots[begin:end])
-                if apart and (groups == groups[0]).all():
-                    begin = end
-                    continue
-                for a, b in pairs_apart(raw, radius, groups) if apart else within_radius(raw, radius):
-                    found.append((nodes_[begin + a], nodes_[begin + b], int(np.bitwise_count(raw[a] ^ raw[b]).sum())))
-                begin = end
-            found = [(min(a, b), max(a, b), d) for a, b, d in found if a != b]
-            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in range(3)], ["a", "b", "distance"])
-
-        held = ([], [], [], [])
-        for batch in batches:
-            rows = batch.to_pydict()
-            for h, new in zip(held, (list(zip(rows["key"], rows["i"], rows["j"])), rows["node"], rows["root"], rows["print"])):
-                h.extend(new)
-            # Up to the last key, which may go on.
-            end = next((i for i in range(len(held[0]) - 1, -1, -1) if held[0][i] != held[0][-1]), -1) + 1
-            if end:
-                yield links(np.array(held[0][:end]), *(h[:end] for h in held[1:]))
-                held = tuple(h[end:] for h in held)
-        if held[0]:
-            yield links(np.array(held[0]), *held[1:])
-
-    sorted_ = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
-    return sorted_.mapInArrow(compare, "a bigint, b bigint, distance bigint").groupBy("a", "b").agg(F.min("distance").alias("distance"))
-
-
-def _verified(df: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
-    """The pairs (a, b, and what else they hold) whose sets of shingles have the Jaccard similarity or more."""
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes, "node").select("node", "doc_id", "same")
-    texts = df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("text"))
-    texts = texts.join(ends, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("same")))
-
-    def shingles(batches):
-        for rows, data in slices(batches, "text"):
-            sets = [np.unique(shingle_hashes(t, size)).view(np.int64) for t in data]
-            yield pa.RecordBatch.from_arrays([rows.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "set"])
-
-    sets = written(texts.select("node", "text").mapInArrow(shingles, "node bigint, set array<bigint>").dropDuplicates(["node"]), "shingle-sets")
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b")
-    shared = F.size(F.array_intersect("sa", "sb"))
-    return both.where(shared >= similarity * (F.size("sa") + F.size("sb") - shared)).select(*pairs.columns)
-
-
-def similar_groups(df: DataFrame, size: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", tables: int | None = None, seed: int = 2) -> DataFrame:
-    """(doc_id, same, root) of the rows with words: the group of documents linked by a Jaccard similarity of their shingles.
-
-    Texts with equal sets of shingles are one node. Wide prints within the
-    distance that the similarity would give are compared bit-sliced, and every
-    link is checked on the sets of shingles themselves: first links well inside
-    the distance, which join most of each group, then the nearest pair of every
-    two groups, then all other pairs of groups that are still apart.
-    """
-    docs = written(wide_prints(df, size, id_col, text_col), "wide-prints")
-    nodes = written(docs.withColumn("node", F.monotonically_increasing_id()).groupBy("print", "set").agg(F.min(F.struct("node", "doc_id", "same")).alias("m")).select("print", "set", "m.*"), "wide-nodes")
-    # Longer keys are rarer to agree in, so there are more tables of them: the share missed does not grow with the input.
-    key_bits = max(KEY_BITS, math.ceil(math.log2(max(1, nodes.count() / PER_KEY))))
-    tables = tables or similar_tables(key_bits, similarity)
-    far, near = _differing(similarity, 2.5), _differing(similarity, -2)
-
-    def proven(pairs):
-        return _verified(df, nodes, pairs, size, similarity, id_col, text_col)
-
-    def still_apart(pairs, rooted):
-        """Pairs with their roots, which differ."""
-        pairs = pairs.join(rooted.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a").join(rooted.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b").where("ra <> rb")
-        return pairs.select("a", "b", "distance", F.least("ra", "rb").alias("ca"), F.greatest("ra", "rb").alias("cb"))
-
-    def merged(rooted, pairs):
-        tops = components(pairs.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-        return written(rooted.join(tops.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left").select("node", F.coalesce("top", "root").alias("root")), "groups")
-
-    sure = components(proven(written(_candidates(nodes, near, key_bits, min(tables, SURE_TABLES), seed), "sure-links")))
-    rooted = written(nodes.select("node").join(sure, "node", "left").select("node", F.coalesce("root", "node").alias("root")), "sure-groups")
-    pairs = written(_candidates(nodes.join(rooted, "node"), far, key_bits, tables, seed, apart=True), "open-pairs")
-    first = written(still_apart(pairs, rooted).groupBy("ca", "cb").agg(F.min(F.struct("distance", "a", "b")).alias("m")).select("m.a", "m.b", "ca", "cb"), "first-pairs")
-    rooted = merged(rooted, proven(first))
-    rest = written(still_apart(pairs.join(first, ["a", "b"], "left_anti"), rooted), "other-pairs")
-    if not rest.isEmpty():
-        rooted = merged(rooted, proven(rest))
-    return docs.join(nodes.select("print", "set", "node"), ["print", "set"]).join(rooted, "node").select("doc_id", "same", "root")
-
-
-def drop_similar(df: DataFrame, size: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` with one document of each similar group, the one with the smallest id (null ids last).
-
-    Rows without words are all kept. Of rows alike in id and text one is kept.
-    """
-    groups = written(similar_groups(df, size, similarity, id_col, text_col), "similar")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "same"))
-    kept = groups.groupBy("root").agg(first.alias("m")).select(F.col("m.doc_id").alias("__id"), F.col("m.same").alias("__same"))
-    marked = df.withColumn("__hash", F.xxhash64(text_col))
-    wordless = ~F.coalesce(F.regexp_like(F.col(text_col), F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
-    with_words = marked.where(~wordless).join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__same")), "left_semi")
-    if not groups.groupBy("doc_id", "same").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
-        with_words = with_words.dropDuplicates([id_col, "__hash"])
-    return with_words.drop("__hash").unionByName(df.where(wordless))
+    sign = free_name(df, "sign")
+    marked = df.withColumn(sign, F.xxhash64(F.col(text_col)))
+    docs = written(fingerprints(marked, size, id_col, text_col, sign), "prints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sign")).alias("first")
+    nodes = written(docs.groupBy("print").agg(first), "nodes")
+    roots = components(links_within(nodes.select("print"), radius))
+    rooted = nodes.join(roots.withColumnRenamed("node", "print"), "print", "left")
+    kept = rooted.groupBy(F.coalesce("root", "print").alias("root")).agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("kept_id"), F.col("first.sign").alias("kept_sign"))
+    kept = written(kept, "kept")
+    keep = kept.select(*[F.col(c).alias(free_name(df, c)) for c in kept.columns])
+    on = marked[id_col].cast("long").eqNullSafe(keep[keep.columns[0]]) & (marked[sign] == keep[keep.columns[1]])
+    out = marked.join(keep, on, "left_semi")
+    repeats = docs.groupBy("doc_id", "sign").agg(F.count("*").alias("n")).where("n > 1")
+    if not repeats.isEmpty():
+        out = out.dropDuplicates([id_col, sign])
+    return out.select(*df.columns)

@@ -9,6 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from millrace.llm.batches import free_name
 from millrace.llm.best_fit import pack_documents
 from millrace.llm.mixing import mix, word_count
 from millrace.llm.quality_rules import keep_good
@@ -22,8 +23,8 @@ def quality(spark, docs, folder):
 
 
 def near_dedup(spark, docs, folder):
-    """One document of each group with similarity 0.8 or more on five-word shingles stays, the smallest id."""
-    return drop_similar(docs, 5, 0.8)
+    """One document of each component at 2 or fewer differing bits over three-word shingles stays, the smallest id."""
+    return drop_similar(docs, 3, 2)
 
 
 def substring_dedup(spark, docs, folder):
@@ -36,10 +37,11 @@ def mixing(spark, docs, folder):
 
     Rows alike in id and text share their number of uses, rounded.
     """
-    keyed = docs.withColumn("__key", F.xxhash64("doc_id", "text"))
-    taken, _ = mix(keyed, F.array("source"), word_count(F.col("text")), passing=("__key",))
-    times = taken.groupBy("__key").agg(F.round(F.avg("times")).cast("int").alias("__times")).where("__times > 0")
-    return keyed.join(times, "__key").withColumn("__use", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*docs.columns)
+    key, times, use = (free_name(docs, n) for n in ("key", "times", "use"))
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
+    taken, _ = mix(keyed, F.array("source"), word_count(F.col("text")), passing=(key,))
+    counted = taken.groupBy(key).agg(F.round(F.avg("times")).cast("int").alias(times)).where(F.col(times) > 0)
+    return keyed.join(counted, key).withColumn(use, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)
 
 
 def packing(spark, docs, folder):

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.batches import slices, written
+from millrace.llm.batches import free_name, slices, written
 
 #: Words in the runs whose least hash is the anchor of a window.
 GRAM = 8
@@ -296,17 +296,19 @@ def remove_repeats(df: DataFrame, window: int = 50, id_col: str = "doc_id", text
     document with a smaller id; windows are judged on the input. A text that
     loses words keeps the white space before each kept word; others stay as
     they are. Null text has no words and stays null. Columns of ``df`` named
-    like the three new ones are replaced.
+    like the three new ones are replaced; others stay, whatever their names. An
+    empty table stays empty.
     """
     spans = repeated_spans(df, window, id_col, text_col, most)
     plain = df.drop("n_words", "n_removed", "kept_sha256")
     names = plain.columns
-    keyed = plain.withColumn("__key", document_key(id_col, text_col)).join(spans.select(F.col("key").alias("__key"), F.col("spans").alias("__spans")), "__key", "left").drop("__key")
+    key, cut = free_name(plain, "key"), free_name(plain, "spans")
+    keyed = plain.withColumn(key, document_key(id_col, text_col)).join(spans.select(F.col("key").alias(key), F.col("spans").alias(cut)), key, "left").drop(key)
 
     def run(batches):
         for rows, texts in slices(batches, text_col):
             counts, gone, digests, kept = [], [], [], []
-            for data, cuts, old in zip(texts, rows.column("__spans").to_pylist(), rows.column(text_col).to_pylist()):
+            for data, cuts, old in zip(texts, rows.column(cut).to_pylist(), rows.column(text_col).to_pylist()):
                 words = data.split()
                 counts.append(len(words))
                 if not cuts:

@@ -112,74 +112,41 @@ def test_components(spark):
     assert got == classes({x for e in links for x in e}, links)
 
 
-def test_similar_documents(spark, near, odd, none):
+def test_one_document_of_each_component_stays(spark, near, odd, odd_rows, none):
     rows, frame = near
-    sets = [set(shingles(t, 5)) for _, t in rows]
-    links = [(i, j) for i in range(len(rows)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
-    want = classes(range(len(rows)), links)
-    groups = simhash.similar_groups(frame).toPandas()
-    least = groups.groupby("root").doc_id.min()
-    assert {d: least[r] for d, r in zip(groups.doc_id, groups.root)} == want
-    kept = sorted(r["doc_id"] for r in simhash.drop_similar(frame).collect())
-    assert kept == sorted(set(want.values()))
+    prints = [fingerprint(t) for _, t in rows]
+    links = [(i, j) for i in range(len(rows)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 2]
+    roots = classes(range(len(rows)), links)
+    least = defaultdict(lambda: 10**9)
+    for i, r in roots.items():
+        least[r] = min(least[r], rows[i][0])
+    left = simhash.drop_similar(frame)
+    assert sorted(r["doc_id"] for r in left.collect()) == sorted(least.values()) and len(least) < len(rows)
     left = simhash.drop_similar(odd)
-    assert left.columns == odd.columns and sorted(r["doc_id"] or 0 for r in left.collect()) == [0, 1, 2, 3, 4, 6, 7, 10, 11, 12]  # the passage makes 7, 8, 9 and the one without id alike
+    assert left.columns == odd.columns and left.count() == len({r["component_id"] for r in simhash.near_duplicates(odd).collect()})
+    ids = [r["doc_id"] for r in left.collect()]
+    assert 4 in ids and 5 not in ids  # 4 and both rows of 5 are one text
     assert simhash.drop_similar(none).count() == 0
 
 
-def test_repeated_shingles_do_not_join_documents(spark):
-    rnd = random.Random(11)
-    run = " ".join(["0"] * 44)  # 40 times the same shingle
-    rows = [(i, " ".join(f"u{rnd.randrange(10**6)}" for _ in range(230)) + f" {run} " + " ".join(f"u{rnd.randrange(10**6)}" for _ in range(230))) for i in range(20)]
-    rows += [(100 + i, " ".join(["0"] * 100 + [f"v{rnd.randrange(10**6)}" for _ in range(150)])) for i in range(20)]
-    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
-    assert simhash.drop_similar(frame).count() == len(rows)
+def test_dropping_with_clashing_names_and_null_ids(spark):
+    rows = [(None, "a b c d e"), (None, "a b c d e"), (None, "x y z u v"), (3, "x y z u v"), (None, None), (None, "")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "1 as sign", "2 as kept_id", "'k' as kept_sign", "3 as SIGN_", "4 as print", "5 as __hash", "6 as __id", "7 as __same")
+    left = simhash.drop_similar(frame)
+    assert left.columns == frame.columns
+    got = Counter((r["doc_id"], r["text"] or "") for r in left.collect())
+    assert got == Counter([(None, "a b c d e"), (3, "x y z u v"), (None, "")])
 
 
-def test_sure_links_are_checked(spark):
-    rows = [(i, " ".join(f"u{i}x{k}" for k in range(40))) for i in range(6)]
-    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
-    same = simhash.wide_prints(frame, 5, "doc_id", "text").withColumn("print", F.lit(bytes(32)))
-    prints, simhash.wide_prints = simhash.wide_prints, lambda *a: same  # unrelated documents with one and the same print
-    try:
-        assert simhash.drop_similar(frame).count() == len(rows)
-    finally:
-        simhash.wide_prints = prints
-
-
-def test_tables_grow_with_key_bits():
-    agree = 1 - np.arccos(1.6 / 1.8) / np.pi
-    for key_bits in (12, 14, 18, 21, 24):
-        assert (1 - agree**key_bits) ** simhash.similar_tables(key_bits, 0.8) <= 0.01
-
-
-def test_hot_keys_compare_every_pair_of_blocks(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "BUCKET", 16)
-    monkeypatch.setattr(simhash, "BLOCK", 1)
-    rng = np.random.default_rng(12)
-    # All agree in the bits of the key, 40 pairs are near in all bits.
-    chosen = np.random.default_rng(2).permutation(256)[:12]
-    bits = rng.integers(0, 2, (80, 256), dtype=np.uint8)
-    bits[40:] = bits[:40]
-    bits[40:, np.setdiff1d(np.arange(256), chosen)[0]] ^= 1
-    bits[:, chosen] = 1
-    prints = np.packbits(bits, axis=1)
-    nodes = spark.createDataFrame([(i, bytearray(p.tobytes())) for i, p in enumerate(prints)], "node bigint, print binary")
-    got = {(r["a"], r["b"]) for r in simhash._candidates(nodes, 2, 12, 1, 2).collect()}
-    assert got == {(i, 40 + i) for i in range(40)}
-
-
-def test_all_open_pairs_of_two_groups_are_checked(spark, monkeypatch):
-    core, more, ends = (" ".join(f"{c}{k}" for k in range(n)) for c, n in (("c", 104), ("d", 20), ("e", 20)))
-    # Linked: 0-1, 2-3 by near prints, 1-2 at 50 bits; the nearest pair of the two groups, 0-3, is not.
-    texts = [f"{more} {core}", core, f"{core} {ends}", f"{core} {ends} " + " ".join(f"f{k}" for k in range(20))]
-    bits = [[], [*range(10)], [*range(20, 30), *range(100, 130)], [*range(100, 130)]]
-    raw = [sum(1 << b for b in x).to_bytes(32, "little") for x in bits]
-    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    forced = F.element_at(F.array(*[F.lit(r) for r in raw]), (F.col("doc_id") + 1).cast("int"))
-    same = simhash.wide_prints(frame, 5, "doc_id", "text").withColumn("print", forced)
-    monkeypatch.setattr(simhash, "wide_prints", lambda *a: same)
-    assert [r["doc_id"] for r in simhash.drop_similar(frame).collect()] == [0]
+def test_stages_with_clashing_names(spark, odd):
+    from millrace.llm import stages
+
+    names = "key times use spans sign kept_id __key __spans __times __use row__ order__".split()
+    wide = odd.select("doc_id", "text", "lang", "source", "n_chars", *[F.lit("q").alias(n) for n in names])
+    for stage in (stages.quality, stages.near_dedup, stages.substring_dedup, stages.mixing):
+        out = stage(spark, wide, None)
+        assert out.columns == wide.columns
+        out.count()
 
 
 # -- substrings ---------------------------------------------------------------
