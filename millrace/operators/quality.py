@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import presets
-from millrace.functions.rules import any_flag, error_list, first_match, flag
+from millrace.functions.decisions import DecisionTable, all_of, any_of, listed
+from millrace.functions.rules import any_flag, first_match, flag
 
 
 def excluded(final: str, needs: Sequence[tuple[Sequence[str], str, Column | None]]) -> Column:
@@ -144,60 +145,98 @@ def control_flags(df: DataFrame) -> DataFrame:
     )
 
 
-def progress_state(df: DataFrame, out: str = "stato_avanzamento_oggetti") -> DataFrame:
+MISSING_FLAGS = [
+    "assenza_inesito",
+    "assenza_messa_in_giacenza",
+    "assenza_pre_esito",
+    "assenza_dematerializzazione_23l_ar_plico",
+    "assenza_demat_arcad",
+    "assenza_recag012",
+]
+_LATE = any_of(["flag_wi7_report_postalizzazioni_incomplete", "flag_wi7_consolidatore"])
+_WRONG = any_of([*CONTROL_FLAGS, "flag_esiti_mancanti"])
+_CLOSED = "fine_recapito_stato IS NOT NULL"
+_DEAD = "certificazione_recapito_dettagli = 'M02'"
+_CLEAN = all_of([*CONTROL_FLAGS, *MISSING_FLAGS]) + f" AND NOT coalesce({_DEAD}, false)"
+
+# State texts in order of precedence, by report.
+PROGRESS_STATES = DecisionTable(
+    "progress_state",
+    "weekly",
+    (
+        ("Oggetto perfezionato", "tms_perfezionamento_notification IS NOT NULL"),
+        ("Oggetto cancellato", "tms_cancelled IS NOT NULL"),
+        ("Oggetto in previsione di perfezionamento", "flag_schedule_refinement = 1"),
+        (
+            "Oggetto bloccato con PN998 / PN999",
+            " OR ".join(listed(f"coalesce({c}, '')", presets.BLOCKED) for c in ("statusrequest", "fine_recapito_stato", "tentativo_recapito_stato", "certificazione_recapito_stato")),
+        ),
+        ("Oggetto scartato con P008 / P010 / P011", listed("ultimo_evento_stato", ["P008", "P010", "P011"])),
+        ("Oggetto scartato dal Consolidatore", "scarto_consolidatore_stato IS NOT NULL"),
+        ("Oggetto rientrante in tavolo Duplicati 23i/23l Poste", "flag_tavolo_duplicati_poste = 1"),
+        ("Oggetto rientrante in tavolo Non Rendicontabili Poste", "flag_tavolo_non_rendicontabili_poste = 1"),
+        ("Oggetto fuori sla", f"{_LATE} AND flag_oggetto_tavoli_poste = 0"),
+        ("Oggetto restituito al mittente (esito destinatario deceduto)", _DEAD),
+        (
+            "Oggetto esitato per Furto / Non Rendicontabile",
+            " OR ".join(listed(f"coalesce({c}, '')", presets.STOLEN_OR_UNREPORTABLE) for c in ("certificazione_recapito_stato", "fine_recapito_stato")),
+        ),
+        ("Errore rendicontazione/assenza eventi intermedi", f"{_WRONG} AND {_CLOSED}"),
+        ("Oggetto con rendicontazione corretta in analisi Team Prodotto", _CLOSED),
+    ),
+    "Oggetto in corso di postalizzazione",
+)
+REFINEMENT_STATES = DecisionTable(
+    "progress_state",
+    "refinement",
+    (
+        ("Oggetto fuori sla", _LATE),
+        ("Oggetto restituito al mittente (esito destinatario deceduto)", _DEAD),
+        ("Errore rendicontazione/assenza eventi intermedi", f"{_WRONG} AND {_CLOSED}"),
+        ("Oggetto con rendicontazione corretta in analisi Team Prodotto", _CLEAN),
+    ),
+    "Oggetto in corso di postalizzazione",
+)
+
+# Error texts by flag, in report order.
+_ERROR_TEXTS = [
+    ("errore rend. causale", "controllo_causale"),
+    ("errore rend. date business", "controllo_date_business"),
+    ("errore rend. tripletta", "controllo_tripletta"),
+    ("errore rend. tempistiche compiuta giacenza", "controllo_tempistiche_compiuta_giacenza"),
+    ("errore rend. inesito casi giacenza", "controllo_inesito_casi_giacenza"),
+    ("assenza inesito", "assenza_inesito"),
+    ("assenza messa in giacenza", "assenza_messa_in_giacenza"),
+    ("assenza pre-esito", "assenza_pre_esito"),
+    ("assenza demat 23l_ar / plico", "assenza_dematerializzazione_23l_ar_plico"),
+    ("assenza demat ARCAD", "assenza_demat_arcad"),
+    ("assenza RECAG012", "assenza_recag012"),
+    ("errore documentType", "controllo_documenttype"),
+]
+ERROR_DETAILS = DecisionTable("error_detail", "weekly", tuple((text, f"{c} = 1") for text, c in _ERROR_TEXTS))
+# Errors count for closed items only; clean ones are told apart by the first attempt's feedback.
+REFINEMENT_DETAILS = DecisionTable(
+    "error_detail",
+    "refinement",
+    (
+        *((text, f"{c} = 1 AND {_CLOSED}") for text, c in _ERROR_TEXTS),
+        ("da perfezionare", f"{_CLEAN} AND flag_feedback_attempt_0 = 0"),
+        ("bloccato al primo attempt", f"{_CLEAN} AND flag_feedback_attempt_0 = 1"),
+    ),
+)
+
+
+def progress_state(df: DataFrame, out: str = "stato_avanzamento_oggetti", table: DecisionTable = PROGRESS_STATES) -> DataFrame:
     """First matching progress state of an item, on the flagged item table.
 
     Needs the columns of :func:`control_flags` and :func:`missing_events`.
     """
-    final = F.col("fine_recapito_stato")
-    states = [F.col(c) for c in ("statusrequest", "fine_recapito_stato", "tentativo_recapito_stato", "certificazione_recapito_stato")]
-    blocked = reduce(lambda a, b: a | b, [s.isin(presets.BLOCKED) for s in states])
-    stolen = F.col("certificazione_recapito_stato").isin(presets.STOLEN_OR_UNREPORTABLE) | final.isin(
-        presets.STOLEN_OR_UNREPORTABLE
-    )
-    wrong = reduce(lambda a, b: a | b, [F.col(c) == 1 for c in [*CONTROL_FLAGS, "flag_esiti_mancanti"]])
-    late = (F.col("flag_wi7_report_postalizzazioni_incomplete") == 1) | (F.col("flag_wi7_consolidatore") == 1)
-    # State texts, in order of precedence.
-    rules = [
-        (F.col("tms_perfezionamento_notification").isNotNull(), "Oggetto perfezionato"),
-        (F.col("tms_cancelled").isNotNull(), "Oggetto cancellato"),
-        (F.col("flag_schedule_refinement") == 1, "Oggetto in previsione di perfezionamento"),
-        (blocked, "Oggetto bloccato con PN998 / PN999"),
-        (F.col("ultimo_evento_stato").isin("P008", "P010", "P011"), "Oggetto scartato con P008 / P010 / P011"),
-        (F.col("scarto_consolidatore_stato").isNotNull(), "Oggetto scartato dal Consolidatore"),
-        (F.col("flag_tavolo_duplicati_poste") == 1, "Oggetto rientrante in tavolo Duplicati 23i/23l Poste"),
-        (F.col("flag_tavolo_non_rendicontabili_poste") == 1, "Oggetto rientrante in tavolo Non Rendicontabili Poste"),
-        (late & (F.col("flag_oggetto_tavoli_poste") == 0), "Oggetto fuori sla"),
-        (
-            F.col("certificazione_recapito_dettagli") == "M02",
-            "Oggetto restituito al mittente (esito destinatario deceduto)",
-        ),
-        (stolen, "Oggetto esitato per Furto / Non Rendicontabile"),
-        (wrong & final.isNotNull(), "Errore rendicontazione/assenza eventi intermedi"),
-        (final.isNotNull(), "Oggetto con rendicontazione corretta in analisi Team Prodotto"),
-    ]
-    return df.withColumn(out, first_match(rules, "Oggetto in corso di postalizzazione"))
+    return df.withColumn(out, table.decide())
 
 
-def error_detail() -> Column:
+def error_detail(table: DecisionTable = ERROR_DETAILS) -> Column:
     """Comma-separated texts of the raised flags, in report order."""
-    # Error texts by flag.
-    return error_list(
-        {
-            "controllo_causale": "errore rend. causale",
-            "controllo_date_business": "errore rend. date business",
-            "controllo_tripletta": "errore rend. tripletta",
-            "controllo_tempistiche_compiuta_giacenza": "errore rend. tempistiche compiuta giacenza",
-            "controllo_inesito_casi_giacenza": "errore rend. inesito casi giacenza",
-            "assenza_inesito": "assenza inesito",
-            "assenza_messa_in_giacenza": "assenza messa in giacenza",
-            "assenza_pre_esito": "assenza pre-esito",
-            "assenza_dematerializzazione_23l_ar_plico": "assenza demat 23l_ar / plico",
-            "assenza_demat_arcad": "assenza demat ARCAD",
-            "assenza_recag012": "assenza RECAG012",
-            "controllo_documenttype": "errore documentType",
-        }
-    )
+    return table.texts()
 
 
 def cluster_summary(df: DataFrame, cluster: str, item: str, paid: str) -> DataFrame:

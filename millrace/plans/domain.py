@@ -822,13 +822,18 @@ def area_coverage(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def item_table(spark: SparkSession, folder: str) -> DataFrame:
-    df = lines(spark, folder)
+    df = lines(spark, folder, spread_out=True)
     line, flag = F.col("line"), F.col("flag")
-    df = df.withColumn("stem", F.concat(F.when(flag == "A", "RECAG00").otherwise("RECRN00"), line.cast("string")))
+    eighth = ((flag == "A") & (line == 7) & (F.col("supp_key") % 2 == 0)).cast("int")
+    df = df.withColumn("stem", F.concat(F.when(flag == "A", "RECAG00").otherwise("RECRN00"), (line + eighth).cast("string")))
     stem = F.col("stem")
     scanned = F.when(F.col("part_key") % 4 > 0, F.concat(stem, F.lit("B")))
     final = F.when(F.col("attempt").isNotNull(), F.concat(stem, F.lit("C")))
-    certified = F.when(F.col("supp_key") % 9 > 0, F.concat(stem, F.lit("A")))
+    stolen = F.when(flag == "A", "RECAG004").otherwise("RECRN006")
+    certified = F.when(F.col("cost") % 41 == 0, stolen).when(F.col("supp_key") % 9 > 0, F.concat(stem, F.lit("A")))
+    packet = F.when(F.col("part_key") % 8 == 0, F.concat(stem, F.lit("B")))
+    notice = F.when(F.col("part_key") % 3 == 0, F.col("reported"))
+    tables = [F.when(F.col("cost") % n == 0, 1).otherwise(0) for n in (31, 37)]
     attempt = first_match([(F.col("part_key") % 6 == 0, F.lit(None).cast("string")), (flag == "A", F.lit("RECAG010"))], F.lit("RECRN010"))
     return df.select(
         F.concat_ws("-", "order_key", "line", "part_key", "supp_key", "cost").alias("requestid"),
@@ -843,22 +848,26 @@ def item_table(spark: SparkSession, folder: str) -> DataFrame:
         F.col("ship").alias("tentativo_recapito_data"),
         F.when(F.col("part_key") % 5 > 0, F.lit("GIAC")).alias("messaingiacenza_recapito_stato"),
         scanned.alias("demat_23l_ar_stato"),
-        F.when(F.col("part_key") % 8 == 0, F.concat(stem, F.lit("B"))).alias("demat_plico_stato"),
-        F.lit(None).cast("string").alias("demat_arcad_stato"),
+        F.when(scanned.isNotNull(), F.col("reported")).alias("demat_23l_ar_data_rendicontazione"),
+        packet.alias("demat_plico_stato"),
+        F.when(packet.isNotNull(), F.col("reported")).alias("demat_plico_data_rendicontazione"),
+        F.when(F.col("part_key") % 9 == 0, F.concat(stem, F.lit("B"))).alias("demat_arcad_stato"),
         F.when(F.col("part_key") % 2 == 0, F.col("reported")).alias("demat_arcad_data_rendicontazione"),
-        F.when(F.col("part_key") % 3 == 0, F.col("reported")).alias("accettazione_23l_recag012_data"),
+        notice.alias("accettazione_23l_recag012_data"),
+        dates.plus_days(notice, 1).alias("accettazione_23l_recag012_data_rendicontazione"),
         F.when(F.col("part_key") % 7 == 0, F.lit("23L")).when(F.col("part_key") % 7 == 1, F.lit("AR")).alias("documenttype"),
-        F.lit("ok").alias("statusrequest"),
-        F.lit("R").alias("ultimo_evento_stato"),
+        F.when(F.col("cost") % 23 == 0, "PN999").otherwise("ok").alias("statusrequest"),
+        F.when(F.col("cost") % 29 == 0, "P010").otherwise("R").alias("ultimo_evento_stato"),
         F.when(F.col("supp_key") % 13 == 0, "CON995").alias("scarto_consolidatore_stato"),
         F.when(F.col("cost") % 11 == 0, F.col("reported")).alias("tms_perfezionamento_notification"),
         F.when(F.col("cost") % 13 == 0, F.col("reported")).alias("tms_cancelled"),
         F.when(F.col("cost") % 17 == 0, 1).otherwise(0).alias("flag_schedule_refinement"),
-        F.lit(0).alias("flag_tavolo_duplicati_poste"),
-        F.lit(0).alias("flag_tavolo_non_rendicontabili_poste"),
-        F.lit(0).alias("flag_oggetto_tavoli_poste"),
+        tables[0].alias("flag_tavolo_duplicati_poste"),
+        tables[1].alias("flag_tavolo_non_rendicontabili_poste"),
+        F.greatest(*tables).alias("flag_oggetto_tavoli_poste"),
         F.when(F.col("cost") % 19 == 0, 1).otherwise(0).alias("flag_wi7_report_postalizzazioni_incomplete"),
-        F.lit(0).alias("flag_wi7_consolidatore"),
+        F.when(F.col("cost") % 43 == 0, 1).otherwise(0).alias("flag_wi7_consolidatore"),
+        (F.col("cost") % 2).cast("int").alias("flag_feedback_attempt_0"),
         F.when(F.col("cost") % 3 == 0, F.col("reported")).alias("tms_date_payment"),
     )
 
@@ -868,7 +877,7 @@ def _in(values) -> str:
 
 
 _TRIPLETS = " ".join(
-    f"WHEN cert = '{a}' AND (scan IN {_in(b)} OR packet IN {_in(b)}) AND fin = '{c}' THEN 0" for a, b, c in presets.CODE_TRIPLETS
+    f"WHEN cert = '{a}' AND (scan IN {_in(b)} OR packet IN {_in(b)} OR third IN {_in(b)}) AND fin = '{c}' THEN 0" for a, b, c in presets.CODE_TRIPLETS
 )
 _STORED = _in(presets.STORAGE_AR_RS_CLOSED + presets.STORAGE_890_CLOSED)
 _STORED_890 = _in(presets.STORAGE_890_CLOSED)
@@ -877,13 +886,13 @@ _ATTEMPTED = [c for codes, _ in presets.ATTEMPT_CODES for c in codes]
 _ATTEMPT_WHEN = " ".join(f"WHEN cert IN {_in(codes)} AND (att = '{a}' OR att IS NULL) THEN 0" for codes, a in presets.ATTEMPT_CODES)
 
 ITEMS_SQL = LINES_SQL + f""",
-stem AS (SELECT *, CASE WHEN flag = 'A' THEN 'RECAG00' || line ELSE 'RECRN00' || line END AS stem FROM lines),
+stem AS (SELECT *, CASE WHEN flag = 'A' THEN 'RECAG00' || (line + (line = 7 AND supp_key % 2 = 0)::INT) ELSE 'RECRN00' || line END AS stem FROM lines),
 item AS (
   SELECT concat_ws('-', order_key, line, part_key, supp_key, cost) AS requestid, supp_key, cost, CASE WHEN flag = 'A' THEN '890' ELSE 'AR' END AS prod,
-    CASE WHEN supp_key % 9 > 0 THEN stem || 'A' END AS cert, CASE WHEN line % 5 = 0 THEN 'M02' WHEN line = 2 THEN 'M05' END AS reason,
+    CASE WHEN cost % 41 = 0 THEN CASE WHEN flag = 'A' THEN 'RECAG004' ELSE 'RECRN006' END WHEN supp_key % 9 > 0 THEN stem || 'A' END AS cert, CASE WHEN line % 5 = 0 THEN 'M02' WHEN line = 2 THEN 'M05' END AS reason,
     CASE WHEN order_key % 7 > 0 THEN reported ELSE attempt END AS cert_day, reported AS fin_day, CASE WHEN attempt IS NOT NULL THEN stem || 'C' END AS fin,
     CASE WHEN part_key % 6 = 0 THEN NULL WHEN flag = 'A' THEN 'RECAG010' ELSE 'RECRN010' END AS att, ship AS att_day,
-    CASE WHEN part_key % 5 > 0 THEN 'GIAC' END AS held, CASE WHEN part_key % 4 > 0 THEN stem || 'B' END AS scan, CASE WHEN part_key % 8 = 0 THEN stem || 'B' END AS packet,
+    CASE WHEN part_key % 5 > 0 THEN 'GIAC' END AS held, CASE WHEN part_key % 4 > 0 THEN stem || 'B' END AS scan, CASE WHEN part_key % 8 = 0 THEN stem || 'B' END AS packet, CASE WHEN part_key % 9 = 0 THEN stem || 'B' END AS third,
     CASE WHEN part_key % 2 = 0 THEN reported END AS arcad, CASE WHEN part_key % 3 = 0 THEN reported END AS notice,
     CASE WHEN part_key % 7 = 0 THEN '23L' WHEN part_key % 7 = 1 THEN 'AR' END AS doc, CASE WHEN cost % 3 = 0 THEN reported END AS paid,
     CASE WHEN supp_key % 13 = 0 THEN 1 END AS scrapped, CASE WHEN cost % 11 = 0 THEN reported END AS perfected, CASE WHEN cost % 13 = 0 THEN reported END AS cancelled
@@ -908,12 +917,18 @@ flagged AS (
 missing AS (SELECT *, greatest(assenza_inesito, assenza_messa_in_giacenza, assenza_pre_esito, assenza_dematerializzazione_23l_ar_plico, assenza_demat_arcad, assenza_recag012) AS flag_esiti_mancanti FROM flagged),
 stated AS (
   SELECT *, CASE WHEN perfected IS NOT NULL THEN 'Oggetto perfezionato' WHEN cancelled IS NOT NULL THEN 'Oggetto cancellato'
-    WHEN cost % 17 = 0 THEN 'Oggetto in previsione di perfezionamento' WHEN scrapped IS NOT NULL THEN 'Oggetto scartato dal Consolidatore'
-    WHEN cost % 19 = 0 THEN 'Oggetto fuori sla' WHEN reason = 'M02' THEN 'Oggetto restituito al mittente (esito destinatario deceduto)'
-    WHEN fin IS NOT NULL AND (controllo_causale = 1 OR controllo_date_business = 1 OR controllo_tripletta = 1 OR controllo_tempistiche_compiuta_giacenza = 1
-      OR controllo_inesito_casi_giacenza = 1 OR controllo_documenttype = 1 OR flag_esiti_mancanti = 1) THEN 'Errore rendicontazione/assenza eventi intermedi'
-    WHEN fin IS NOT NULL THEN 'Oggetto con rendicontazione corretta in analisi Team Prodotto' ELSE 'Oggetto in corso di postalizzazione' END AS state_text
-  FROM missing)"""
+    WHEN cost % 17 = 0 THEN 'Oggetto in previsione di perfezionamento' WHEN cost % 23 = 0 THEN 'Oggetto bloccato con PN998 / PN999'
+    WHEN cost % 29 = 0 THEN 'Oggetto scartato con P008 / P010 / P011' WHEN scrapped IS NOT NULL THEN 'Oggetto scartato dal Consolidatore'
+    WHEN cost % 31 = 0 THEN 'Oggetto rientrante in tavolo Duplicati 23i/23l Poste' WHEN cost % 37 = 0 THEN 'Oggetto rientrante in tavolo Non Rendicontabili Poste'
+    WHEN cost % 19 = 0 OR cost % 43 = 0 THEN 'Oggetto fuori sla' WHEN reason = 'M02' THEN 'Oggetto restituito al mittente (esito destinatario deceduto)'
+    WHEN cost % 41 = 0 THEN 'Oggetto esitato per Furto / Non Rendicontabile'
+    WHEN fin IS NOT NULL AND wrong THEN 'Errore rendicontazione/assenza eventi intermedi'
+    WHEN fin IS NOT NULL THEN 'Oggetto con rendicontazione corretta in analisi Team Prodotto' ELSE 'Oggetto in corso di postalizzazione' END AS state_text,
+  CASE WHEN cost % 19 = 0 OR cost % 43 = 0 THEN 'Oggetto fuori sla' WHEN reason = 'M02' THEN 'Oggetto restituito al mittente (esito destinatario deceduto)'
+    WHEN fin IS NOT NULL AND wrong THEN 'Errore rendicontazione/assenza eventi intermedi'
+    WHEN NOT wrong THEN 'Oggetto con rendicontazione corretta in analisi Team Prodotto' ELSE 'Oggetto in corso di postalizzazione' END AS refinement_text
+  FROM (SELECT *, (controllo_causale = 1 OR controllo_date_business = 1 OR controllo_tripletta = 1 OR controllo_tempistiche_compiuta_giacenza = 1
+      OR controllo_inesito_casi_giacenza = 1 OR controllo_documenttype = 1 OR flag_esiti_mancanti = 1) AS wrong FROM missing))"""
 _CONTROLS = ", ".join(quality.CONTROL_FLAGS)
 _MISSING = [
     "assenza_inesito", "assenza_messa_in_giacenza", "assenza_pre_esito", "assenza_dematerializzazione_23l_ar_plico", "assenza_demat_arcad", "assenza_recag012", "flag_esiti_mancanti",
@@ -931,7 +946,7 @@ def quality_flags(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "p7_triplet_rule_table",
-    f"WITH {ITEMS_SQL} SELECT controllo AS controllo, count(*) AS items FROM (SELECT CASE {_TRIPLETS.replace(' OR packet IN', ' OR NULL IN')} ELSE 1 END::BIGINT AS controllo FROM item) GROUP BY 1",
+    f"WITH {ITEMS_SQL} SELECT controllo AS controllo, count(*) AS items FROM (SELECT CASE {_TRIPLETS.replace(' OR packet IN', ' OR NULL IN').replace(' OR third IN', ' OR NULL IN')} ELSE 1 END::BIGINT AS controllo FROM item) GROUP BY 1",
 )
 def triplet_rule_table(spark: SparkSession, folder: str) -> DataFrame:
     """The triplet control with the allowed triplets as a table."""
@@ -947,6 +962,34 @@ def missing_events(spark: SparkSession, folder: str) -> DataFrame:
     return quality.missing_events(item_table(spark, folder)).select("requestid", *_MISSING)
 
 
+_STATE_CONDITIONS = [
+    ("Oggetto perfezionato", "perfected IS NOT NULL"), ("Oggetto cancellato", "cancelled IS NOT NULL"), ("Oggetto in previsione di perfezionamento", "cost % 17 = 0"),
+    ("Oggetto bloccato con PN998 / PN999", "cost % 23 = 0"), ("Oggetto scartato con P008 / P010 / P011", "cost % 29 = 0"), ("Oggetto scartato dal Consolidatore", "scrapped IS NOT NULL"),
+    ("Oggetto rientrante in tavolo Duplicati 23i/23l Poste", "cost % 31 = 0"), ("Oggetto rientrante in tavolo Non Rendicontabili Poste", "cost % 37 = 0"),
+    ("Oggetto fuori sla", "(cost % 19 = 0 OR cost % 43 = 0) AND cost % 31 > 0 AND cost % 37 > 0"), ("Oggetto restituito al mittente (esito destinatario deceduto)", "reason = 'M02'"),
+    ("Oggetto esitato per Furto / Non Rendicontabile", "cost % 41 = 0"), ("Errore rendicontazione/assenza eventi intermedi", "fin IS NOT NULL AND wrong"),
+    ("Oggetto con rendicontazione corretta in analisi Team Prodotto", "fin IS NOT NULL"), ("Oggetto in corso di postalizzazione", "true"),
+]
+
+
+@query(
+    "p9_rule_coverage",
+    f"WITH {ITEMS_SQL}, counts AS ("
+    + " UNION ALL ".join(f"SELECT 'progress_state' AS name, 'weekly' AS version, {i + 1} AS position, '{label}' AS label, count(*) FILTER ({test}) AS held, count(*) FILTER (state_text = '{label}') AS decided FROM stated" for i, (label, test) in enumerate(_STATE_CONDITIONS))
+    + ") SELECT name, version, CAST(position AS BIGINT) AS position, label, held, decided, CASE WHEN decided > 0 THEN 'decides' WHEN held = 0 THEN 'never reached' ELSE 'always covered' END AS verdict FROM counts",
+)
+def rule_coverage(spark: SparkSession, folder: str) -> DataFrame:
+    """How often each rule of the weekly state table holds and decides."""
+    return quality.PROGRESS_STATES.coverage(quality.missing_events(quality.control_flags(item_table(spark, folder))))
+
+
+@query("p9_refinement_state", f"WITH {ITEMS_SQL} SELECT requestid, refinement_text AS state_text FROM stated")
+def refinement_state(spark: SparkSession, folder: str) -> DataFrame:
+    """The second state list, of the refinement report."""
+    items = quality.missing_events(quality.control_flags(item_table(spark, folder)))
+    return quality.progress_state(items, "state_text", quality.REFINEMENT_STATES).select("requestid", "state_text")
+
+
 @query("p9_progress_state", f"WITH {ITEMS_SQL} SELECT requestid, state_text FROM stated")
 def progress_state(spark: SparkSession, folder: str) -> DataFrame:
     return flagged_items(spark, folder).select("requestid", F.col("stato_avanzamento_oggetti").alias("state_text"))
@@ -969,6 +1012,18 @@ def error_detail(spark: SparkSession, folder: str) -> DataFrame:
     return flagged_items(spark, folder).groupBy(quality.error_detail().alias("detail")).agg(F.count(F.lit(1)).alias("items"))
 
 
+@query(
+    "p10_refinement_detail",
+    f"""WITH {ITEMS_SQL} SELECT concat_ws(', ', {', '.join(f'CASE WHEN {c} = 1 AND fin IS NOT NULL THEN {chr(39)}{t}{chr(39)} END' for c, t in _TEXTS)},
+      CASE WHEN NOT wrong AND coalesce(reason, '') <> 'M02' AND cost % 2 = 0 THEN 'da perfezionare' END,
+      CASE WHEN NOT wrong AND coalesce(reason, '') <> 'M02' AND cost % 2 = 1 THEN 'bloccato al primo attempt' END) AS detail, count(*) AS items FROM stated GROUP BY 1""",
+)
+def refinement_detail(spark: SparkSession, folder: str) -> DataFrame:
+    """Error texts of closed items, and the two texts of clean ones."""
+    items = quality.missing_events(quality.control_flags(item_table(spark, folder)))
+    return items.groupBy(quality.error_detail(quality.REFINEMENT_DETAILS).alias("detail")).agg(F.count(F.lit(1)).alias("items"))
+
+
 @query(
     "k34_not_completed_by_cluster",
     f"""WITH {ITEMS_SQL} SELECT state_text AS cluster, count(DISTINCT requestid) AS items, count(DISTINCT CASE WHEN paid IS NOT NULL THEN requestid END) AS paid_items
@@ -980,12 +1035,35 @@ def not_completed_by_cluster(spark: SparkSession, folder: str) -> DataFrame:
     return quality.cluster_summary(clustered, "cluster", "requestid", "tms_date_payment")
 
 
+_SCANNED_PACKET = _in(presets.PACKET_SCAN_REQUIRED)
+_SCANNED_RECEIPT = _in(presets.RECEIPT_SCAN_REQUIRED)
+# The six companions by name: a final state that lacks what it requires.
+_EXCLUSIONS = {
+    "notice_after_ten_days": f"fin IN {_in(presets.STORAGE_890_CLOSED[:3])} AND notice IS NULL AND date_diff('day', CAST(att_day AS DATE), CAST(fin_day AS DATE)) > 10",
+    "notice": "fin = 'RECAG008C' AND notice IS NULL",
+    "storage_document": f"fin IN {_STORED_890} AND arcad IS NULL",
+    "packet_scan": f"fin IN {_SCANNED_PACKET} AND (packet IS NULL OR fin_day IS NULL)",
+    "receipt_scan": f"fin IN {_SCANNED_RECEIPT} AND (scan IS NULL OR fin_day IS NULL)",
+    "storage": f"fin IN {_STORED} AND held IS NULL",
+}
+
+
 @query(
     "p6_consistency_exclusion",
-    f"WITH {ITEMS_SQL} SELECT supp_key, count(*) AS items FROM item WHERE NOT coalesce((fin IN {_STORED_890} AND arcad IS NULL) OR (fin IN {_STORED} AND held IS NULL), false) GROUP BY 1",
+    f"WITH {ITEMS_SQL} SELECT supp_key, count(*) AS items FROM item WHERE NOT coalesce({' OR '.join(f'({test})' for test in _EXCLUSIONS.values())}, false) GROUP BY 1",
 )
 def consistency_exclusion(spark: SparkSession, folder: str) -> DataFrame:
-    """Items that carry the companion events their final state requires."""
-    needs = [n for n in quality.delivery_exclusions() if n[1] in ("demat_arcad_data_rendicontazione", "messaingiacenza_recapito_stato")]
-    kept = item_table(spark, folder).filter(~quality.excluded("fine_recapito_stato", needs))
+    """Items that carry every companion event their final state requires."""
+    kept = item_table(spark, folder).filter(~quality.excluded("fine_recapito_stato", quality.delivery_exclusions()))
     return kept.groupBy("supp_key").agg(F.count(F.lit(1)).alias("items"))
+
+
+@query(
+    "p6_exclusion_reasons",
+    f"WITH {ITEMS_SQL} " + " UNION ALL ".join(f"SELECT '{name}' AS reason, count(*) FILTER ({test}) AS items FROM item" for name, test in _EXCLUSIONS.items()),
+)
+def exclusion_reasons(spark: SparkSession, folder: str) -> DataFrame:
+    """Items that each of the six exclusions would take."""
+    tests = [F.count_if(quality.excluded("fine_recapito_stato", [need])) for need in quality.delivery_exclusions()]
+    rows = F.array(*[F.struct(F.lit(name).alias("reason"), n.alias("items")) for name, n in zip(_EXCLUSIONS, tests)])
+    return item_table(spark, folder).agg(rows.alias("rows")).select(F.inline("rows"))
