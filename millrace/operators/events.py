@@ -37,6 +37,54 @@ def last_attachment(events: DataFrame, key: str, types: Sequence[str]) -> DataFr
     return wanted.groupBy(key).agg(F.max(by)["documenttype"].alias("documenttype"))
 
 
+def collapse_nested(
+    df: DataFrame,
+    key: str,
+    events: str,
+    kinds: Sequence[str],
+    *,
+    keep: Mapping[str, str],
+    attachments: Sequence[str] = (),
+    prefix: str = "",
+) -> DataFrame:
+    """Per key: number of events, and per kind their number and the last one's ``keep`` fields; last attachment type.
+
+    ``events`` is an array of structs as in :func:`explode_events`. Each stored
+    array is reduced where it stands, by functions on arrays, so no event
+    becomes a row; what meets per key is one narrow row per stored array,
+    combined before it is dealt. The last event of a kind is the one with the
+    greatest repaired ``statusdatetime``, then by the kept fields. Null or empty
+    arrays count no events; columns are ``events``, ``<kind>_events``,
+    ``<kind>_<output>`` and ``documenttype``.
+    """
+    log = F.coalesce(F.transform(events, lambda e: e["paperprogrstatus"]), F.array().cast(df.schema[events].dataType).getField("paperprogrstatus"))
+
+    def of_kind(kind: str) -> Column:
+        return F.filter(log, lambda e: e["statuscode"] == kind)
+
+    def stamped(e: Column) -> Column:
+        return F.struct(repair_timestamp(e["statusdatetime"]).alias("at"), *[e[c].alias(o) for o, c in keep.items()])
+
+    def reported(e: Column) -> Column:
+        listed = F.filter(F.coalesce(e["attachments"]["documenttype"], F.array().cast("array<string>")), lambda d: d.isin(list(attachments)))
+        return F.transform(listed, lambda d: F.struct(repair_timestamp(e["clientrequesttimestamp"]).alias("at"), d.alias("type")))
+
+    own = {"__n": F.size(log)}
+    for i, kind in enumerate(kinds):
+        own |= {f"__n{i}": F.size(of_kind(kind)), f"__last{i}": F.array_max(F.transform(of_kind(kind), stamped))}
+    if attachments:
+        own["__doc"] = F.array_max(F.flatten(F.transform(log, reported)))
+    reduced = df.select(strip_prefix(key, prefix).alias(key), *[c.alias(n) for n, c in own.items()])
+    aggs = [F.sum("__n").alias("events")]
+    for i, kind in enumerate(kinds):
+        aggs += [F.sum(f"__n{i}").alias(f"{kind.lower()}_events"), F.max(f"__last{i}").alias(f"__last{i}")]
+    if attachments:
+        aggs.append(F.max("__doc").alias("__doc"))
+    wide = reduced.groupBy(key).agg(*aggs)
+    lasts = [F.col(f"__last{i}")[o].alias(f"{kind.lower()}_{o}") for i, kind in enumerate(kinds) for o in ("at", *keep)]
+    return wide.select(key, "events", *[f"{kind.lower()}_events" for kind in kinds], *lasts, *([F.col("__doc.type").alias("documenttype")] if attachments else []))
+
+
 def collapse(
     events: DataFrame, keys: Sequence[str], kind: Column, kinds: Sequence[str], *, order: Sequence[str], keep: Mapping[str, str]
 ) -> DataFrame:

@@ -282,18 +282,11 @@ def nested_event_log(spark: SparkSession, folder: str) -> DataFrame:
         docs.alias("attachments"),
     )
     # The log arrives nested, a few events per stored row.
-    nested = load(spark, folder, "lineitem").select(
-        F.concat(F.lit("item-000~"), F.col("l_orderkey").cast("string")).alias("requestid"),
-        F.array(F.struct(event.alias("paperprogrstatus"))).alias("eventslist"),
-    )
-    log = ev.explode_events(nested, "requestid", "eventslist", "item-000~")
-    counts = log.groupBy("requestid").agg(
-        F.count(F.lit(1)).alias("events"),
-        F.count_if(F.col("statuscode") == "R").alias("returned"),
-        F.max(F.when(F.col("statuscode") == "R", F.col("statusdatetime"))).isNotNull().alias("has_return"),
-    )
-    last = ev.last_attachment(log, "requestid", ["23L", "AR"])
-    return counts.join(last, "requestid", "left").withColumn("requestid", F.col("requestid").cast("bigint"))
+    stored = load(spark, folder, "lineitem").groupBy("l_orderkey", (F.col("l_linenumber") > 3).alias("late"))
+    nested = stored.agg(F.collect_list(F.struct(event.alias("paperprogrstatus"))).alias("eventslist"))
+    nested = nested.select(F.concat(F.lit("item-000~"), F.col("l_orderkey").cast("string")).alias("requestid"), "eventslist")
+    log = ev.collapse_nested(nested, "requestid", "eventslist", ["R"], keep={}, attachments=["23L", "AR"], prefix="item-000~")
+    return log.select(F.col("requestid").cast("bigint"), "events", F.col("r_events").alias("returned"), F.col("r_at").isNotNull().alias("has_return"), "documenttype")
 
 
 @query(
