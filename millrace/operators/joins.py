@@ -7,13 +7,18 @@ rule tables are broadcast only below an explicit row bound.
 
 from __future__ import annotations
 
+import heapq
+import math
 from collections.abc import Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.operators.ordered import HOT_ROWS, Running, running
+from millrace.session import materialise
 
 # A rule or interval table above this many rows is joined by shuffle instead.
 BROADCAST_ROWS = 100_000
@@ -125,12 +130,19 @@ def rule_join(
     filled wildcard columns wins, then the smallest ``rule_id``.
 
     A join condition with OR would compare every fact with every rule and
-    repeat facts that match several. Instead the rules become one list per
-    equality key, sorted from best to worst; facts equi-join that list (the
-    rule table is small, so it is broadcast below a checked size) and take the
-    first entry that fits. Facts are read once and stay one row each.
+    repeat facts that match several. Where no equality key has more than
+    ``RULES_PER_KEY`` rules they become one list per key, sorted from best to
+    worst, and a fact takes the first entry that fits. Beyond that the rules are
+    indexed, see :func:`rule_index`, and a fact looks up a few short lists by
+    equality. Either way facts are read once and stay one row each, and the
+    optimiser decides how the rule side travels.
     """
     tagged = rules.select(*[F.col(c).alias(f"__r_{c}") for c in rules.columns])
+    keys = [f"__r_{r}" for r in equal.values()]
+    per_key = tagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    widest, number = per_key.agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    if widest > RULES_PER_KEY:
+        return _indexed_rules(df, tagged, equal, wildcard, between, values, rule_id)
     filled = [F.when(F.col(f"__r_{r}").isNotNull(), 1).otherwise(0) for r in wildcard.values()]
     score = reduce(lambda a, b: a + b, filled, F.lit(0))
     entry = [(-score).alias("__score"), F.col(f"__r_{rule_id}").alias("__id")]
@@ -138,11 +150,10 @@ def rule_join(
     if between:
         entry += [F.col(f"__r_{between[1]}").alias("__lo"), F.col(f"__r_{between[2]}").alias("__hi")]
     entry += [F.col(f"__r_{v}").alias(v) for v in values]
-    lists = tagged.groupBy(*[f"__r_{r}" for r in equal.values()]).agg(
-        F.array_sort(F.collect_list(F.struct(*entry))).alias("__rules")
-    )
+    # RULES_PER_KEY entries at most.
+    lists = tagged.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*entry))).alias("__rules"))
     cond = all_of([F.col(f) == F.col(f"__r_{r}") for f, r in equal.items()])
-    joined = df.join(hinted(lists) if is_small(tagged) else lists, cond, "left")
+    joined = df.join(F.broadcast(lists) if number <= BROADCAST_ROWS else lists, cond, "left")
 
     def fits(rule: Column) -> Column:
         tests = [rule[f"__w_{r}"].isNull() | (rule[f"__w_{r}"] == F.col(f)) for f, r in wildcard.items()]
@@ -155,10 +166,98 @@ def rule_join(
     return (
         joined.withColumn("__best", best)
         .withColumns({v: F.col(f"__best.{v}") for v in values})
-        .drop("__best", "__rules", *[f"__r_{r}" for r in equal.values()])
+        .drop("__best", "__rules", *keys)
     )
 
 
+# Rules of one equality key that a fact may compare one by one.
+RULES_PER_KEY = 64
+
+
+def rule_index(tagged: DataFrame, keys: Sequence[str], wildcard: Sequence[str], between: tuple[str, str] | None, rule_id: str) -> DataFrame:
+    """Rules as a search tree: (pattern, keys, wildcards, start, end, chunk, columns of the rule).
+
+    A rule's pattern says which wildcard columns it fills, so inside a pattern
+    a rule matches by equality alone, but for its time span. Per pattern and key
+    the spans, both ends included, become disjoint segments that carry the
+    smallest ``rule_id`` in force, found in one sweep; in one task per key, as
+    rules are written by people. A key's segments are numbered in chunks of
+    about the square root of their number.
+    """
+    pattern = reduce(lambda a, b: a + b, [F.when(F.col(w).isNotNull(), 1 << i).otherwise(0) for i, w in enumerate(wildcard)], F.lit(0))
+    names = tagged.columns
+    marked = tagged.withColumn("__pattern", pattern.cast("int"))
+    if between:
+        lo, hi = (F.unix_micros(F.col(b).cast("timestamp")) for b in between)
+        marked = marked.withColumns({"__start": lo, "__end": hi + 1}).where("__start < __end")
+    else:
+        marked = marked.withColumns({"__start": F.lit(0).cast("bigint"), "__end": F.lit(1).cast("bigint")})
+
+    def sweep(table: pa.Table) -> pa.Table:
+        starts, ends = (table.column(c).to_pylist() for c in ("__start", "__end"))
+        order = sorted(range(table.num_rows), key=lambda i: _first_null(table.column(rule_id)[i].as_py()))
+        rank = {row: r for r, row in enumerate(order)}
+        edges = sorted({*starts, *ends})
+        opening = sorted(range(table.num_rows), key=starts.__getitem__)
+        heap, at, found = [], 0, []
+        for begin, end in zip(edges, edges[1:]):
+            while at < len(opening) and starts[opening[at]] <= begin:
+                heapq.heappush(heap, rank[opening[at]])
+                at += 1
+            while heap and ends[order[heap[0]]] <= begin:
+                heapq.heappop(heap)
+            if not heap:
+                continue
+            row = order[heap[0]]
+            if found and found[-1][0] == row and found[-1][2] == begin:
+                found[-1] = (row, found[-1][1], end)
+            else:
+                found.append((row, begin, end))
+        size = max(1, math.isqrt(len(found) - 1) + 1)
+        out = table.select([*names, "__pattern"]).take(pa.array([f[0] for f in found], pa.int64()))
+        for name, column in (("__start", [f[1] for f in found]), ("__end", [f[2] for f in found]), ("__chunk", [i // size for i in range(len(found))])):
+            out = out.append_column(name, pa.array(column, pa.int64()))
+        return out
+
+    fields = [marked.schema[n] for n in [*names, "__pattern"]] + [T.StructField(n, T.LongType()) for n in ("__start", "__end", "__chunk")]
+    return marked.groupBy("__pattern", *keys, *wildcard).applyInArrow(sweep, T.StructType(fields))
+
+
+def _first_null(value):
+    return (value is not None, value)
+
+
+def _indexed_rules(df, tagged, equal, wildcard, between, values, rule_id) -> DataFrame:
+    """Facts by way of :func:`rule_index`: per pattern two equality joins, of the chunk and of its segments."""
+    keys, wild = [f"__r_{r}" for r in equal.values()], [f"__r_{r}" for r in wildcard.values()]
+    spans = (f"__r_{between[1]}", f"__r_{between[2]}") if between else None
+    index = materialise(rule_index(tagged, keys, wild, spans, f"__r_{rule_id}"), "rule-index")
+    patterns = sorted((r[0] for r in index.select("__pattern").distinct().collect()), key=lambda p: -p.bit_count())
+    t = F.unix_micros(F.col(between[0]).cast("timestamp")) if between else F.lit(0).cast("bigint")
+    out, found = df.withColumn("__t", t), []
+    for p in patterns:
+        own = [*keys, *[w for i, w in enumerate(wild) if p >> i & 1]]
+        facts = [*equal, *[f for i, f in enumerate(wildcard) if p >> i & 1]]
+        rows = index.where(F.col("__pattern") == p)
+        entry = F.struct("__start", "__end", F.lit(-p.bit_count()).alias("score"), F.col(f"__r_{rule_id}").alias("id"), *[F.col(f"__r_{v}").alias(f"v_{v}") for v in values])
+        segments = rows.groupBy(*own, "__chunk").agg(F.array_sort(F.collect_list(entry)).alias(f"__segments{p}"), F.min("__start").alias("__from"))
+        tops = segments.groupBy(*own).agg(F.array_sort(F.collect_list("__from")).alias(f"__starts{p}"))
+        tops = tops.select(*[F.col(c).alias(f"__a{p}_{i}") for i, c in enumerate(own)], f"__starts{p}")
+        leaves = segments.select(*[F.col(c).alias(f"__b{p}_{i}") for i, c in enumerate(own)], F.col("__chunk").alias(f"__c{p}"), f"__segments{p}")
+        out = out.join(tops, all_of([F.col(f) == F.col(f"__a{p}_{i}") for i, f in enumerate(facts)]), "left")
+        out = out.withColumn(f"__at{p}", F.size(F.filter(f"__starts{p}", lambda s: s <= F.col("__t"))).cast("bigint") - 1)
+        out = out.join(leaves, all_of([F.col(f) == F.col(f"__b{p}_{i}") for i, f in enumerate(facts)] + [F.col(f"__at{p}") == F.col(f"__c{p}")]), "left")
+        hit = F.get(F.filter(f"__segments{p}", lambda s: (s["__start"] <= F.col("__t")) & (s["__end"] > F.col("__t"))), F.lit(0))
+        out = out.withColumn(f"__hit{p}", F.when(hit.isNotNull(), F.struct(hit["score"].alias("score"), hit["id"].alias("id"), *[hit[f"v_{v}"].alias(f"v_{v}") for v in values])))
+        out = out.drop(*[f"__{x}{p}_{i}" for x in "ab" for i in range(len(own))], f"__starts{p}", f"__segments{p}", f"__at{p}", f"__c{p}")
+        found.append(f"__hit{p}")
+    if not found:
+        return df.withColumns({v: F.lit(None).cast(tagged.schema[f"__r_{v}"].dataType) for v in values})
+    best = F.array_min(F.array_compact(F.array(*found)))
+    out = out.withColumn("__best", best).withColumns({v: F.col(f"__best.v_{v}") for v in values})
+    return out.drop("__best", "__t", *found)
+
+
 # Bits of the nested time block widths, from one second up to about 34 years.
 BLOCK_BITS = (0, 6, 12, 18, 24, 30)
 

@@ -292,6 +292,32 @@ def rule_join(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "j3_rule_join_large",
+    f"""WITH {LINES_SQL}, rules AS (
+      SELECT o_orderkey AS id, ['A', 'N', 'R'][CAST(o_orderkey % 3 AS INTEGER) + 1] AS flag, CASE WHEN o_custkey % 2 = 0 THEN o_orderstatus END AS state, CASE WHEN o_custkey % 5 < 2 THEN o_custkey % 7 + 1 END AS line,
+        o_orderdate - 20 * INTERVAL 1 DAY AS lo, o_orderdate + CAST(o_orderkey % 60 AS INTEGER) * INTERVAL 1 DAY AS hi, o_custkey % 40 AS relaxed FROM orders),
+    best AS (
+      SELECT order_key, l.line, part_key, supp_key, cost, ship, min(struct_pack(s := (r.state IS NULL)::INT + (r.line IS NULL)::INT, id := r.id, relaxed := r.relaxed)) AS b
+      FROM lines l JOIN rules r ON r.flag = l.flag AND (r.state IS NULL OR r.state = l.state) AND (r.line IS NULL OR r.line = l.line) AND l.ship BETWEEN r.lo AND r.hi GROUP BY ALL)
+    SELECT l.flag, l.state, b.relaxed AS relaxed, count(*) AS items, CAST(sum(b.id) AS BIGINT) AS rules
+    FROM lines l LEFT JOIN best USING (order_key, line, part_key, supp_key, cost, ship) GROUP BY ALL""",
+)
+def rule_join_large(spark: SparkSession, folder: str) -> DataFrame:
+    """Thousands of dated rules with wildcards on each of three keys: one rule per order."""
+    orders = load(spark, folder, "orders")
+    customer = F.col("o_custkey")
+    rules = orders.select(
+        F.col("o_orderkey").alias("id"), F.get(F.array(F.lit("A"), F.lit("N"), F.lit("R")), (F.col("o_orderkey") % 3).cast("int")).alias("flag"),
+        F.when(customer % 2 == 0, F.col("o_orderstatus")).alias("state"), F.when(customer % 5 < 2, customer % 7 + 1).alias("line"),
+        dates.plus_days("o_orderdate", -20).alias("lo"), (F.col("o_orderdate") + F.make_dt_interval(days=(F.col("o_orderkey") % 60).cast("int"))).alias("hi"), (customer % 40).alias("relaxed"),
+    )
+    found = joins.rule_join(
+        lines(spark, folder), rules, equal={"flag": "flag"}, wildcard={"state": "state", "line": "line"}, between=("ship", "lo", "hi"), values=["relaxed", "id"], rule_id="id"
+    )
+    return found.groupBy("flag", "state", "relaxed").agg(F.count(F.lit(1)).alias("items"), F.sum("id").alias("rules"))
+
+
 # Outcome codes of the stand-in: by return flag and line number.
 FINAL_CODES = {
     "A": ["RECAG005C", "RECAG006C", "RECAG007C", "RECAG008C", "RECAG001C", "RECAG002C", "RECAG008C"],

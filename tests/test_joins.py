@@ -103,3 +103,38 @@ def test_full_outer_coalesces(spark):
     b = spark.createDataFrame([(2, 5), (3, 6)], "k int, y int")
     got = joins.full_outer(a, b, ["k"], {"x": "x"}, {"y": "y"}).collect()
     assert sorted(map(tuple, got)) == [(1, 10, None), (2, 20, 5), (3, None, 6)]
+
+
+@pytest.mark.parametrize("timed", [True, False])
+def test_rule_index_equals_the_lists(spark, monkeypatch, timed):
+    rnd = random.Random(21)
+    rules = []
+    for i in range(300):
+        lo = rnd.randint(0, 900_000)
+        rules.append((rnd.randint(0, 10**6), rnd.choice("xxxxyz"), rnd.choice([None, "a", "b"]), rnd.choice([None, None, 1, 2]), at(lo), at(lo + rnd.choice([-5, 0, 1, 5000, 400_000])), i))
+    rules = list({r[0]: r for r in rules}.values()) + [(-1, "x", None, None, None, at(5), 999), (-2, None, None, None, at(0), at(900_000), 998)]
+    facts = [(i, rnd.choice(["x", "x", "y", "z", "w", None]), rnd.choice(["a", "b", "c", None]), rnd.choice([1, 2, 3, None]), None if i % 50 == 0 else at(rnd.randint(0, 1_300_000))) for i in range(400)]
+    facts += [(1000 + i, r[1], r[2] or "c", r[3] or 3, t) for i, r in enumerate(rules[:60]) for t in (r[4], r[5])]
+    table = spark.createDataFrame(rules, "id int, k string, a string, b int, lo timestamp, hi timestamp, value int")
+    points = spark.createDataFrame(facts, "fact int, k string, a string, b int, t timestamp")
+    how = dict(equal={"k": "k"}, wildcard={"a": "a", "b": "b"}, between=("t", "lo", "hi") if timed else None, values=["value"], rule_id="id")
+    results = []
+    for limit in (10**6, 0):
+        monkeypatch.setattr(joins, "RULES_PER_KEY", limit)
+        results.append(sorted(map(tuple, joins.rule_join(points, table, **how).collect()), key=str))
+    assert results[0] == results[1] and len(results[0]) == len(facts)
+
+    def best(fact):
+        _, k, a, b, t = fact
+        fit = [r for r in rules if r[1] == k and k is not None and r[2] in (None, a) and r[3] in (None, b) and (not timed or (t is not None and r[4] is not None and r[4] <= t <= r[5]))]
+        return min(fit, key=lambda r: ((r[2] is None) + (r[3] is None), r[0]))[6] if fit else None
+
+    assert results[0] == sorted(((*f, best(f)) for f in facts), key=str)
+
+
+def test_index_of_no_rules(spark, monkeypatch):
+    monkeypatch.setattr(joins, "RULES_PER_KEY", -1)
+    table = spark.createDataFrame([], "id int, k string, a string, value int")
+    points = spark.createDataFrame([("x", "a")], "k string, a string")
+    got = joins.rule_join(points, table, equal={"k": "k"}, wildcard={"a": "a"}, values=["value"], rule_id="id")
+    assert [tuple(r) for r in got.collect()] == [("x", "a", None)]
