@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,10 +35,10 @@ def pivot_with_total(
     """Sum of ``measure`` per key and listed value, plus one total row.
 
     The listed values are fixed columns (no extra pass to discover them) and
-    the total row comes from the same aggregation through grouping sets.
+    the total row adds up the rows of the keys.
     """
-    cols = [F.sum(F.when(F.col(by) == v, measure).otherwise(0)).alias(out) for out, v in values.items()]
-    out = df.groupingSets([[key], []], key).agg(*cols, F.sum(measure).alias("totale"), F.grouping(key).alias("__g"))
+    cols = {out: Measure("sum", F.when(F.col(by) == v, measure).otherwise(0)) for out, v in values.items()}
+    out = level_sets(df, [[key], []], {**cols, "totale": Measure("sum", measure)}, "__g")
     return out.withColumn(key, F.when(F.col("__g") == 1, F.lit(label)).otherwise(F.col(key))).drop("__g")
 
 
@@ -48,6 +49,42 @@ def grouping_sets(df: DataFrame, sets: Sequence[Sequence[str]], cols: Sequence[s
     return df.groupingSets([list(s) for s in sets], *cols).agg(*aggs)
 
 
+@dataclass(frozen=True)
+class Measure:
+    """A value that can be added up from parts: ``rows``, ``count``, ``sum``, ``min`` or ``max`` of a column.
+
+    ``rows`` counts the rows for which the column holds, or all without one.
+    """
+
+    kind: str
+    value: Column | str | None = None
+
+    def first(self) -> Column:
+        value = F.col(self.value) if isinstance(self.value, str) else self.value
+        if self.kind == "rows":
+            return F.count(F.lit(1)) if value is None else F.count_if(value)
+        return {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}[self.kind](value)
+
+    def again(self, part: str) -> Column:
+        return {"min": F.min, "max": F.max}.get(self.kind, F.sum)(part)
+
+
+def level_sets(df: DataFrame, sets: Sequence[Sequence[str]], measures: Mapping[str, Measure], level: str | None = None) -> DataFrame:
+    """Several groupings of the same rows, from the finest groups.
+
+    The rows are aggregated once by all columns of all sets; only these groups
+    are expanded to the sets, never the rows. ``level`` adds Spark's grouping id
+    (bits of the columns, in order of first mention, that a row leaves out),
+    which tells a total from a group whose key is NULL. The grand total of no
+    rows is a row of its own, as with grouping sets.
+    """
+    cols = list(dict.fromkeys(c for s in sets for c in s))
+    finest = df.groupBy(*cols).agg(*[m.first().alias(name) for name, m in measures.items()])
+    # Counts of no rows are 0, as if counted directly.
+    merged = [(F.coalesce(m.again(name), F.lit(0)) if m.kind in ("rows", "count") else m.again(name)).alias(name) for name, m in measures.items()]
+    return grouping_sets(finest, sets, cols, merged, level)
+
+
 def rounded(col: Column, digits: int | None) -> Column:
     return col if digits is None else F.round(col, digits)
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from millrace.functions import dates, money, presets
 from millrace.functions.calendar import WorkCalendar
 from millrace.functions.rules import first_match
+from millrace.operators.aggregates import Measure, level_sets
 from millrace.operators.ordered import quota_flags, ranked_share
 
 
@@ -472,13 +473,14 @@ def sender_analogue(
 def sender_analogue_summary(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Counts and shares per key, plus one total row with NULL keys."""
     late = F.col("late_days") > 0
-    counts = df.groupingSets([list(keys), []], *keys).agg(
-        F.count(F.lit(1)).alias("items"),
-        F.count_if(F.col("late_days") == 0).alias("in_time"),
-        F.count_if(late).alias("late"),
-        F.count_if(late & (F.col("charged") == 0)).alias("late_in_allowance"),
-        F.count_if(F.col("charged") == 1).alias("late_charged"),
-    )
+    measures = {
+        "items": Measure("rows"),
+        "in_time": Measure("rows", F.col("late_days") == 0),
+        "late": Measure("rows", late),
+        "late_in_allowance": Measure("rows", late & (F.col("charged") == 0)),
+        "late_charged": Measure("rows", F.col("charged") == 1),
+    }
+    counts = level_sets(df, [list(keys), []], measures)
     return counts.withColumns(
         {
             "in_time_share": F.col("in_time") / F.col("items"),

@@ -45,13 +45,8 @@ def pivot_with_total(spark: SparkSession, folder: str) -> DataFrame:
 def grouping_sets(spark: SparkSession, folder: str) -> DataFrame:
     """Detail, subtotal and grand total in one pass."""
     df = lines(spark, folder).withColumn("month", dates.month_bucket("ship"))
-    return ag.grouping_sets(
-        df,
-        [["supp_key", "month"], ["supp_key"], []],
-        ["supp_key", "month"],
-        [F.count("attempt").alias("completed"), F.count(F.lit(1)).alias("total")],
-        level="level",
-    )
+    measures = {"completed": ag.Measure("count", "attempt"), "total": ag.Measure("rows")}
+    return ag.level_sets(df, [["supp_key", "month"], ["supp_key"], []], measures, "level")
 
 
 @query(
@@ -130,12 +125,12 @@ def ratio_with_tolerance(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "a10_total_row",
-    f"WITH {LINES_SQL} SELECT flag, state, count(*) AS items, CAST(sum(cost) AS BIGINT) AS cost FROM lines GROUP BY GROUPING SETS ((flag, state), ())",
+    f"WITH {LINES_SQL} SELECT flag, state, count(*) AS items, CAST(sum(cost) AS BIGINT) AS cost, CAST(grouping(flag, state) AS BIGINT) AS level FROM lines GROUP BY GROUPING SETS ((flag, state), ())",
 )
 def total_row(spark: SparkSession, folder: str) -> DataFrame:
-    """Detail rows and one total row with NULL keys."""
-    aggs = [F.count(F.lit(1)).alias("items"), F.sum("cost").alias("cost")]
-    return ag.grouping_sets(lines(spark, folder), [["flag", "state"], []], ["flag", "state"], aggs)
+    """Detail rows and one total row, told apart by the grouping id."""
+    measures = {"items": ag.Measure("rows"), "cost": ag.Measure("sum", "cost")}
+    return ag.level_sets(lines(spark, folder), [["flag", "state"], []], measures, "level")
 
 
 @query(
@@ -263,12 +258,8 @@ def ageing(spark: SparkSession, folder: str) -> DataFrame:
 def counts_by_levels(spark: SparkSession, folder: str) -> DataFrame:
     """Counts by year, month, carrier and product in one pass over the items."""
     df = lines(spark, folder).withColumn("year", F.year("ship")).withColumn("month", F.month("ship"))
-    aggs = [
-        F.count(F.lit(1)).alias("total"), F.count("attempt").alias("completed"), F.count_if(F.col("attempt").isNull()).alias("delivering"),
-    ]
-    return ag.grouping_sets(
-        df, [["year"], ["year", "month"], ["year", "supp_key"], ["year", "flag"]], ["year", "month", "supp_key", "flag"], aggs
-    )
+    measures = {"total": ag.Measure("rows"), "completed": ag.Measure("count", "attempt"), "delivering": ag.Measure("rows", F.col("attempt").isNull())}
+    return ag.level_sets(df, [["year"], ["year", "month"], ["year", "supp_key"], ["year", "flag"]], measures)
 
 
 @query(
