@@ -16,15 +16,16 @@ import re
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from tokenizers import Tokenizer, pre_tokenizers
 
 from millrace.llm.batches import ragged
 
 #: Pieces and words kept by a worker; the tables start anew beyond it.
-KEPT_WORDS = 700_000
+KEPT_WORDS = 1_200_000
 
 #: Text bytes that are cut into words at once.
-ENCODED_BYTES = 8 << 20
+ENCODED_BYTES = 4 << 20
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: White space other than a blank and a line end, as Arrow's expressions write it.
@@ -46,26 +47,37 @@ def _byte_letters() -> dict[int, str]:
 _BYTE_LETTERS = _byte_letters()
 
 
-class _Words(dict):
-    """Numbers words in the order in which they come."""
-
-    def numbers(self, words: list) -> tuple[np.ndarray, list]:
-        """Numbers of some distinct words, and those of them that are new, in order."""
-        new = [w for w in words if w not in self]
-        self.update(zip(new, range(len(self), len(self) + len(new))))
-        return np.fromiter(map(self.__getitem__, words), np.int64, len(words)), new
-
-
 class _Table:
-    """Ids of numbered words, side by side."""
+    """Ids of numbered words, side by side.
+
+    Words are found by a 128-bit hash in sorted arrays, so an entry takes some
+    tens of bytes, not an object each.
+    """
 
     def __init__(self):
-        self.words, self.new = _Words(), []
+        self.high, self.low, self.number = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.ids, self.starts, self.lengths = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def numbers(self, words: list) -> np.ndarray:
-        out, new = self.words.numbers(words)
-        self.new += new
+        self.new: list[str] = []
+
+    def __len__(self):
+        return len(self.number)
+
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """Numbers of some distinct words, in the order in which they first came; ``new`` has those without ids yet."""
+        hashes = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), ">u8").reshape(-1, 2).astype(np.uint64)
+        out = np.full(len(words), -1, np.int64)
+        at = np.searchsorted(self.high, hashes[:, 0])
+        inside = np.flatnonzero(at < len(self.high))
+        hit = inside[(self.high[at[inside]] == hashes[inside, 0]) & (self.low[at[inside]] == hashes[inside, 1])]
+        out[hit] = self.number[at[hit]]
+        fresh = np.flatnonzero(out < 0)
+        out[fresh] = len(self.number) + np.arange(len(fresh))
+        if len(fresh):
+            self.new = [words[i] for i in fresh.tolist()]
+            order = fresh[np.argsort(hashes[fresh, 0], kind="stable")]
+            places = at[order]
+            self.high, self.low = (np.insert(old, places, hashes[order, k]) for k, old in enumerate((self.high, self.low)))
+            self.number = np.insert(self.number, places, out[order])
         return out
 
     def add(self, ids: np.ndarray, lengths: np.ndarray):
@@ -160,20 +172,21 @@ class TextIds:
             text = pc.binary_join(pa.ListArray.from_arrays([0, len(soft)], values.take(pa.array(soft))), "\t")[0].as_py()
             text = (" " + text.replace("\t", "\t ")).replace(" \n", "\n") if self.spaces else text.lower()
             coded = pa.array(self.pieces(text + "\t"), pa.string()).dictionary_encode()
-            numbers = self.known.numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+            distinct, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+            numbers = self.known.numbers(distinct)[at]
             self._learn_pieces()
             ids, each = self.known.gather(numbers)
             upto = np.concatenate([[0], np.cumsum(each)])
-            lengths[soft] = np.diff(upto[np.flatnonzero(numbers == self.known.words["\t"])], prepend=0)
+            lengths[soft] = np.diff(upto[np.flatnonzero(at == distinct.index("\t"))], prepend=0)
         rest = np.flatnonzero(used & hard)
         texts = values.take(pa.array(rest)).to_pylist()
         if self.spaces:
             texts = [w if w[:1] == "\n" else " " + w for w in texts]
-        self.odd.numbers(list(dict.fromkeys(texts + further)))
+        distinct = list(dict.fromkeys(texts + further))
+        of = dict(zip(distinct, self.odd.numbers(distinct).tolist()))
         if new := self.odd.new:
             got = [np.asarray(x.ids, np.int32) for x in self.full.encode_batch_fast(new, add_special_tokens=False)]
             self.odd.add(np.concatenate(got), np.array([len(x) for x in got], np.int64))
-        of = self.odd.words
         more, each = self.odd.gather(np.fromiter((of[t] for t in texts + further), np.int64, len(texts) + len(further)))
         rest = np.concatenate([rest, np.arange(len(values), len(lengths))])
         lengths[rest] = each
@@ -195,7 +208,7 @@ class TextIds:
 
     def encode(self, texts: list[bytes] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and how many each text has; nulls are empty."""
-        if len(self.known.words) + len(self.odd.words) > self.kept:
+        if len(self.known) + len(self.odd) > self.kept:
             self._reset()
         column = pa.array(texts, pa.binary()).cast(pa.string()) if isinstance(texts, list) else texts
         if not len(column):
