@@ -305,11 +305,6 @@ def _blocks(level: int, start: Column, stop: Column) -> Column:
     return F.when(start < stop, made.cast("array<struct<level:int,block:bigint>>")).otherwise(none)
 
 
-def _widest(df: DataFrame, keys: Sequence[str]) -> int:
-    """Most rows any key has."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-
-
 def interval_join(
     points: DataFrame,
     spans: DataFrame,
@@ -326,15 +321,18 @@ def interval_join(
     fly. Any other is cut into disjoint time blocks of a few fixed widths; a point looks up the one
     block per width that holds it. That turns the range condition into an
     equality, so a key with many points and many spans never compares all
-    pairs: a row pair meets once, in the block that both share.
+    pairs: a row pair meets once, in the block that both share. The spans are
+    written once, as their size is looked at before they are joined.
     """
     span_cols = spans.columns
-    tagged = spans.select(*[F.col(c).alias(f"__s_{c}") for c in span_cols])
+    tagged = materialise(spans.select(*[F.col(c).alias(f"__s_{c}") for c in span_cols]), "spans")
     cond = [F.col(p) == F.col(f"__s_{s}") for p, s in on.items()]
     inside = (F.col(at) >= F.col(f"__s_{start}")) & (F.col(at) < F.col(f"__s_{end}"))
     shared = [c for c in span_cols if c not in points.columns]
     keep = [*[F.col(c) for c in points.columns], *[F.col(f"__s_{c}").alias(c) for c in shared]]
-    if is_small(tagged, broadcast_rows) and _widest(tagged, [f"__s_{s}" for s in on.values()]) <= SPANS_PER_KEY:
+    per_key = tagged.groupBy(*[f"__s_{s}" for s in on.values()]).agg(F.count(F.lit(1)).alias("n"))
+    widest, number = per_key.agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    if number <= broadcast_rows and widest <= SPANS_PER_KEY:
         return points.join(F.broadcast(tagged), all_of(cond) & inside, "inner").select(*keep)
     # Whole seconds decide the block; the exact condition settles the rest.
     lo = F.unix_seconds(F.col(f"__s_{start}").cast("timestamp"))
@@ -369,10 +367,12 @@ def coverage(
     Points and span starts share one ordering per key. A point is covered when
     the latest end among the spans started so far lies after it, so overlapping
     spans need no pairing and each point stays one row. ``registered`` lists
-    every known key (by default the keys of ``spans``).
+    every known key (by default the keys of ``spans``). The spans are written
+    once, as the sweep looks at the size of its groups first.
     """
     keys = list(on)
     cols = points.columns
+    spans = materialise(spans.select(*dict.fromkeys([*on.values(), start, end])), "spans")
     known = (spans if registered is None else registered).select(*[F.col(s).alias(p) for p, s in on.items()])
     data = points.select(
         *[F.col(k) for k in keys],

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from millrace.functions import dates, presets
 from millrace.functions.rules import first_match
 from millrace.operators import aggregates, capacity, events as ev, quality, rates, reports, stages
+from millrace.operators.interval_table import IntervalTable
 from millrace.plans.penalties import AS_OF
 from millrace.plans.registry import query
 from millrace.plans.standin import (
@@ -22,6 +24,7 @@ from millrace.plans.standin import (
     pieces,
     workdays_sql,
 )
+from millrace.session import scratch_root
 
 WD = workdays_sql
 CAPACITY = 60
@@ -379,6 +382,22 @@ def validity_intervals(spark: SparkSession, folder: str) -> DataFrame:
     return spans(spark, folder)
 
 
+@query(
+    "k22_interval_table_two_runs",
+    f"""WITH {INTERVALS_SQL}
+    SELECT event_id AS span_id, user_id, strftime(valid_from, '%Y-%m-%d %H:%M:%S') AS valid_from, strftime(valid_to, '%Y-%m-%d %H:%M:%S') AS valid_to FROM spans""",
+)
+def interval_table_two_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """The same intervals from a table on disk: a first run, then the events that came late, out of order, some of them again."""
+    log = change_log(spark, folder)
+    path = f"{scratch_root(spark).rstrip('/')}/intervals-{uuid.uuid4().hex}"
+    kept = IntervalTable(spark, path, ["user_id"], time="ts", tie=["event_id"], active="active", start="own_start", end="own_end", buckets=16)
+    came_late = F.col("event_id") % 7 == 0
+    kept.create(log.filter(~came_late))
+    kept.extend(log.filter(came_late | (F.col("event_id") % 50 == 1)))
+    return kept.spans().select(F.col("event_id").alias("span_id"), "user_id", "valid_from", "valid_to")
+
+
 # -- rate cards ---------------------------------------------------------------
 
 BAND_SQL = "(VALUES (1, 1, 20), (2, 21, 50), (3, 51, 100), (4, 101, 250), (5, 251, 350), (6, 351, 1000), (7, 1001, 2000)) b(code, lo, hi)"
