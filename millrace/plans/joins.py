@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators import joins
+from millrace.operators import joins, rates
 from millrace.operators.reports import latest_contract
 from millrace.plans.domain import INTERVALS_SQL, change_log, spans
 from millrace.plans.registry import query
@@ -176,8 +176,7 @@ def two_source_check(spark: SparkSession, folder: str) -> DataFrame:
     part = load(spark, folder, "part").withColumn("c", (F.col("p_retailprice").cast("decimal(10,2)") * 100).cast("bigint"))
     card = part.groupBy(F.col("p_brand").alias("brand"), F.col("p_size").alias("size")).agg(F.max("c").alias("price"))
     test = part.filter(F.col("p_type") != "PROMO").groupBy(F.col("p_brand").alias("brand"), F.col("p_size").alias("size")).agg(F.min("c").alias("measured"))
-    joined = card.join(test, ["brand", "size"], "left")
-    return joined.select("brand", "size", "price", (F.col("price") == F.col("measured")).alias("correct"))
+    return rates.check_card(card, test, ["brand", "size"], {"correct": ("price", "measured")}).select("brand", "size", "price", "correct")
 
 
 @query(
