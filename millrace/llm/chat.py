@@ -12,6 +12,7 @@ its control strings and backslashes are escaped, which always does.
 from __future__ import annotations
 
 import hashlib
+import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,23 +33,28 @@ def _escaped(text: str, controls: tuple[str, ...]) -> str:
     return text
 
 
-def _field(text: str, at: int, end: str, controls: tuple[str, ...]) -> tuple[str, int]:
-    """The unescaped text up to ``end``, and the place behind it."""
+def _stops(*controls: str) -> re.Pattern:
+    """The escape sign or a control string, whichever comes first."""
+    return re.compile("|".join(map(re.escape, (ESCAPE, *controls))))
+
+
+_IN_ROLE, _IN_TEXT = _stops(OPEN, END, COLON), _stops(OPEN, END)
+
+
+def _field(text: str, at: int, end: str, stops: re.Pattern) -> tuple[str, int]:
+    """The unescaped text up to ``end``, and the place behind it; every sign is looked at once."""
     out = []
-    while True:
-        stops = [x for x in (text.find(c, at) for c in (ESCAPE, *controls)) if x >= 0]
-        if not stops:
-            raise Malformed(f"no {end!r}")
-        stop = min(stops)
-        out.append(text[at:stop])
-        if text[stop] == ESCAPE:
-            known = next((c for c in (ESCAPE, *controls) if text.startswith(c, stop + 1)), "")
-            out.append(known or ESCAPE)
-            at = stop + 1 + len(known)
-        elif text.startswith(end, stop):
-            return "".join(out), stop + len(end)
+    while stop := stops.search(text, at):
+        out.append(text[at : stop.start()])
+        if stop[0] == ESCAPE:
+            known = stops.match(text, stop.end())
+            out.append(known[0] if known else ESCAPE)
+            at = known.end() if known else stop.end()
+        elif stop[0] == end:
+            return "".join(out), stop.end()
         else:
-            raise Malformed(f"a control string inside a field at {stop}")
+            raise Malformed(f"a control string inside a field at {stop.start()}")
+    raise Malformed(f"no {end!r}")
 
 
 def parse(text: str) -> list[tuple[str, str]]:
@@ -57,8 +63,8 @@ def parse(text: str) -> list[tuple[str, str]]:
     while at < len(text):
         if not text.startswith(OPEN, at):
             raise Malformed(f"no turn at {at}")
-        role, at = _field(text, at + len(OPEN), COLON, (OPEN, END, COLON))
-        said, at = _field(text, at, END, (OPEN, END))
+        role, at = _field(text, at + len(OPEN), COLON, _IN_ROLE)
+        said, at = _field(text, at, END, _IN_TEXT)
         if text[at : at + 1] != "\n":
             raise Malformed(f"no line end at {at}")
         out.append((role, said))

@@ -86,18 +86,21 @@ def fit_pairs(x: np.ndarray, label: np.ndarray, pairs: int = PAIRS, rounds: int
 def train(df: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality"):
     """Fit on at most ``train_rows`` labelled rows, those with the smallest hash of their id.
 
-    Null ids and labels are left out; of several labels of an id the smallest counts.
+    Null ids and labels are left out; of several labels of an id the smallest
+    counts, of several texts the smallest. No labelled rows: every score is the
+    same. Other columns are not read.
     """
     some = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("doc_id")).agg(F.min(label_col).cast("int").alias("label"))
     some = some.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(some), "doc_id")  # train_rows at most
+    # One row per id, before anything comes to the driver.
+    rows = rows.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
     def run(batches):
         for part, texts in slices(batches, "text"):
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), pa.array(features(texts).tolist(), pa.list_(pa.float64()))], ["doc_id", "label", "x"])
 
-    found = rows.select("doc_id", "label", "text").mapInArrow(run, "doc_id bigint, label int, x array<double>").toPandas()
-    found = found.drop_duplicates("doc_id").sort_values("doc_id")
+    found = rows.select("doc_id", "label", "text").mapInArrow(run, "doc_id bigint, label int, x array<double>").toPandas().sort_values("doc_id")
     x = np.array(found["x"].tolist(), np.float64).reshape(len(found), -1 if len(found) else features([b""]).shape[1])
     return fit_pairs(x, found["label"].to_numpy())
 

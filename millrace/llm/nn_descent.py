@@ -400,18 +400,25 @@ def embedding_near_duplicates(df: DataFrame, threshold: float = 0.95, id_col: st
     """(vec_id, n_links, component_id, kept) for every row.
 
     Vectors that are null, empty, zero or hold null or non-finite components
-    link with nothing and are kept; so do vectors of another length than the
-    most frequent one (ties: the shorter). Equal vectors are one node with a
-    number of copies, all linked. Null ids do not count as smallest; other
-    columns are not read.
+    link with nothing and are kept. Vectors of different lengths do not link;
+    those of each length are compared with one another. Equal vectors are one
+    node with a number of copies, all linked. Null ids do not count as smallest;
+    an empty table gives no rows; other columns are not read.
     """
     vectors = written(unit_vectors(df, id_col, vector_col).withColumn("row", F.monotonically_increasing_id()), "vectors")
-    usual = vectors.where("unit is not null").groupBy(F.octet_length("unit").alias("size")).count().orderBy(F.desc("count"), "size").first()
-    alone = lambda x: x.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    if usual is None:
-        return alone(vectors)
-    fits = F.coalesce(F.octet_length("unit") == usual["size"], F.lit(False))
-    grouped = vectors.where(fits).groupBy("unit").agg(F.min("row").alias("node"), F.count("*").alias("copies"), F.min("vec_id").alias("least"))
+    sizes = vectors.where("unit is not null").groupBy(F.octet_length("unit").alias("size")).count().orderBy(F.desc("count"), "size").collect()  # a row per length
+    alone = vectors.where("unit is null")
+    out = alone.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    for k, r in enumerate(sizes):
+        own = vectors.where(F.octet_length("unit") == r["size"])
+        # What is rare and no larger than the audit's sample is compared as a whole at once.
+        out = _of_one_length(own, r["size"], threshold, k > 0 and r["count"] <= AUDITED).union(out)
+    return out
+
+
+def _of_one_length(vectors: DataFrame, size: int, threshold: float, whole: bool) -> DataFrame:
+    """The result rows for vectors of ``size`` bytes; ``whole``: all are compared in blocks, without a graph."""
+    grouped = vectors.groupBy("unit").agg(F.min("row").alias("node"), F.count("*").alias("copies"), F.min("vec_id").alias("least"))
 
     def half(batches):
         for batch in batches:
@@ -420,8 +427,8 @@ def embedding_near_duplicates(df: DataFrame, threshold: float = 0.95, id_col: st
 
     nodes = written(grouped.mapInArrow(half, "unit binary, node bigint, copies bigint, least bigint, half binary"), "vector-nodes")
     count, tables = nodes.count(), TABLES
-    for _ in range(WIDENINGS + 1):
-        lists = neighbour_graph(nodes, usual["size"] // 8, count, threshold - SLACK, tables)
+    for _ in range(0 if whole else WIDENINGS + 1):
+        lists = neighbour_graph(nodes, size // 8, count, threshold - SLACK, tables)
         found = linked(nodes, lists, threshold, NEIGHBOURS)
         if audited_recall(nodes, found, threshold) >= RECALL:
             break
@@ -431,5 +438,4 @@ def embedding_near_duplicates(df: DataFrame, threshold: float = 0.95, id_col: st
     each = nodes.join(found, "node", "left").select("node", "unit", "copies", "least", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("root", "node").alias("root"))
     classes = each.groupBy("root").agg(F.min("least").alias("component_id"))
     each = each.join(classes, "root").select("unit", (F.col("n") + F.col("copies") - 1).alias("n_links"), "component_id")
-    joined = vectors.where(fits).select("vec_id", "unit").join(each, "unit").select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))
-    return joined.union(alone(vectors.where(~fits)))
+    return vectors.select("vec_id", "unit").join(each, "unit").select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -14,6 +15,13 @@ from millrace.llm import chat, classifier, nn_descent
 PARTS = ["### ", "</turn>", "\\", ": ", "x", "\n", "assistant", "### Assistant: ", "<", "#", "/turn>", "é"]
 
 
+def test_long_runs_of_control_strings_take_linear_time():
+    for text in ("\\" * 400_000 + "x" * 200_000, "### " * 100_000, "\\### </turn>\\" * 50_000, ": " * 200_000):
+        began = time.process_time()
+        assert chat.parse(chat.render("user", text)) == [("user", text)]
+        assert time.process_time() - began < 20
+
+
 def test_turns_come_back():
     rnd = random.Random(5)
     for _ in range(5000):
@@ -51,11 +59,11 @@ def test_conversations(spark):
 def brute(ids, vectors):
     units = []
     for v in vectors:
-        good = v is not None and len(v) == 16 and all(x is not None and np.isfinite(x) for x in v) and any(v)
-        units.append(np.array(v, float) / np.linalg.norm(v) if good else np.full(16, np.nan))
-    units = np.array(units)
-    with np.errstate(invalid="ignore"):
-        hit = units @ units.T >= 0.95
+        good = v is not None and len(v) > 0 and all(x is not None and np.isfinite(x) for x in v) and any(v)
+        units.append(np.array(v, float) / np.linalg.norm(v) if good else np.full(0, np.nan))
+    lengths, wide = np.array([len(u) for u in units]), max(map(len, units), default=0)
+    units = np.array([np.pad(u, (0, wide - len(u))) for u in units])
+    hit = (units @ units.T >= 0.95) & (lengths[:, None] == lengths[None, :]) & (lengths[:, None] > 0)
     np.fill_diagonal(hit, False)
     root = list(range(len(ids)))
     for _ in range(len(ids)):
@@ -77,6 +85,7 @@ def test_embeddings(spark, block, monkeypatch):
     dense = rng.standard_normal(16)
     vectors += [(dense + 0.08 * rng.standard_normal(16)).tolist() for _ in range(60)]  # more links than a list holds
     vectors += [(np.array(vectors[i]) + 0.15 * rng.standard_normal(16)).tolist() for i in range(30)] + vectors[:10] + [(2 * np.array(vectors[3])).tolist()]
+    vectors += [[1.0, 2.0, 3.0], [2.0, 4.0, 6.0], [1.1, 2.0, 3.0], [-1.0, 0.0, 0.5], [3.0] * 20, [3.0] * 19 + [2.9], [1.0]]  # rarer lengths
     vectors += [None, [0.0] * 16, [None] + [1.0] * 15, [float("nan")] * 16, [float("inf")] + [1.0] * 15, [], [1.0] * 15]
     ids = rng.permutation(len(vectors)).tolist()
     frame = spark.createDataFrame([(i, v, 1, "q") for i, v in zip(ids, vectors)], "vec_id bigint, embedding array<double>, label int, node string")
@@ -141,6 +150,8 @@ def test_classifier(spark, odd, odd_rows):
     marks = spark.createDataFrame(labels + [(None, 1), (3, None)], "doc_id bigint, quality int")
     held = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
     model = classifier.train(frame, marks.where(~held))
+    twice = classifier.train(frame.union(frame).union(frame.limit(5)), marks.where(~held))
+    assert np.allclose(model[2], twice[2])  # repeated documents count once
     got = {r["doc_id"]: r["score"] for r in classifier.score(frame, model).collect()}
     out = [(got[i] >= classifier.THRESHOLD) == bool(q) for i, q in labels if zlib.crc32(str(i).encode()) % 5 == 0]
     assert len(out) > 50 and sum(out) / len(out) > 0.97
