@@ -145,7 +145,7 @@ _FINES_SQL = """rated AS (SELECT *, violations * 1000 - outcomes * 21 AS above,
     CASE WHEN (product IS NULL OR (product = '890' AND try_cast(lot AS INTEGER) BETWEEN 1 AND 20) OR (product = 'AR' AND lot IN ('26','27','28','29','30','30BIS')))
       AND delays > 0 AND delay_hours > 0 THEN round(delay_hours / delays, 2) ELSE 0.0 END AS mean_delay_hours,
     CASE WHEN by_share IS NOT NULL THEN 'share' WHEN by_day IS NOT NULL THEN 'per_day' ELSE 'none' END AS basis,
-    CAST(CASE WHEN above > 0 AND by_share IS NOT NULL THEN (2 * above * by_share + outcomes * 100) // (outcomes * 200)
+    CAST(CASE WHEN outcomes = 0 THEN 0 WHEN above > 0 AND by_share IS NOT NULL THEN (2 * above * by_share + outcomes * 100) // nullif(outcomes * 200, 0)
       WHEN above > 0 AND by_day IS NOT NULL THEN (2 * (CASE kind WHEN 'packet' THEN delay_hours // 24 * 24 ELSE delay_hours END) * by_day + 2400000) // 4800000 ELSE 0 END AS BIGINT) AS fine_cents FROM rated)"""
 
 _SQL = f"WITH {ITEMS_SQL}, {_DAYS_SQL}, {_CLOCKS_SQL}, {_KINDS_SQL}, {_FINES_SQL}"
