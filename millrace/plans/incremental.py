@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from millrace.operators import joins
 from millrace.operators.ordered import top_row
 from millrace.plans.registry import query
 from millrace.plans.standin import load
+from millrace.session import scratch_root
 from millrace.streaming import incremental as inc
 
 RUN = "2024-02-01 08:00:00"
@@ -79,6 +81,37 @@ def snapshot_diff(spark: SparkSession, folder: str) -> DataFrame:
     return inc.snapshot_diff(_previous(spark, folder), _current(spark, folder), ["o_orderkey"])
 
 
+BUCKETS = 16
+
+
+def _kept(spark: SparkSession, df: DataFrame, keys: list[str]) -> str:
+    """The earlier run's snapshot as a table of its own."""
+    name = f"snapshot_{uuid.uuid4().hex}"
+    inc.write_snapshot(df, name, keys, BUCKETS, f"{scratch_root(spark).rstrip('/')}/{name}")
+    return name
+
+
+@query(
+    "o4_snapshot_diff_stored",
+    f"""WITH {PREV_SQL}, {CURR_SQL} SELECT coalesce(c.o_orderkey, p.o_orderkey) AS o_orderkey, CASE WHEN p.o_orderkey IS NULL THEN 'new' WHEN c.o_orderkey IS NULL THEN 'left' ELSE 'kept' END AS status
+    FROM curr c FULL JOIN prev p ON p.o_orderkey = c.o_orderkey""",
+)
+def snapshot_diff_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """The same against a snapshot kept in buckets, which is not shuffled again."""
+    table = _kept(spark, _previous(spark, folder).select("o_orderkey"), ["o_orderkey"])
+    return inc.diff_to_snapshot(_current(spark, folder), table, ["o_orderkey"], BUCKETS)
+
+
+@query(
+    "o6_new_since_snapshot",
+    f"""WITH {PREV_SQL}, {CURR_SQL} SELECT o_orderkey, o_custkey FROM curr WHERE o_orderkey NOT IN (SELECT o_orderkey FROM prev)""",
+)
+def new_since_snapshot(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of the extraction that the kept snapshot does not have."""
+    table = _kept(spark, _previous(spark, folder).select("o_orderkey"), ["o_orderkey"])
+    return inc.not_in_snapshot(_current(spark, folder), table, ["o_orderkey"], BUCKETS).select("o_orderkey", "o_custkey")
+
+
 def _stock(spark: SparkSession, folder: str) -> DataFrame:
     return _previous(spark, folder).select("o_orderkey", "o_custkey", F.col("o_orderdate").alias("first_seen"), F.lit(0).alias("is_new"))
 

@@ -25,6 +25,41 @@ def snapshot_diff(previous: DataFrame, current: DataFrame, keys: Sequence[str],
     return joined.select(*[F.coalesce(k, f"__p_{k}").alias(k) for k in keys], status.alias(out))
 
 
+def write_snapshot(df: DataFrame, table: str, keys: Sequence[str], buckets: int, path: str | None = None) -> None:
+    """Keep a snapshot as a catalog table dealt into ``buckets`` by its keys and sorted by them.
+
+    Later runs join it on the keys without shuffling it again, however large
+    the stock has grown. One file per bucket; ``path`` names a folder outside
+    the warehouse.
+    """
+    writer = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
+def _dealt_alike(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Distinct keys, dealt like a snapshot of so many buckets: the only exchange that meeting it needs."""
+    return df.select(*keys).repartition(buckets, *keys).distinct()
+
+
+def diff_to_snapshot(current: DataFrame, table: str, keys: Sequence[str], buckets: int, out: str = "status") -> DataFrame:
+    """:func:`snapshot_diff` against a table of :func:`write_snapshot`: the older side is read where it lies.
+
+    ``buckets`` is that of the table. NULL keys match nothing, as there.
+    """
+    previous = current.sparkSession.table(table).select(*[F.col(k).alias(f"__p_{k}") for k in keys]).distinct().withColumn("__in_p", F.lit(True))
+    c = _dealt_alike(current, keys, buckets).withColumn("__in_c", F.lit(True))
+    joined = c.join(previous, all_of([F.col(k) == F.col(f"__p_{k}") for k in keys]), "full")
+    status = F.when(F.col("__in_p").isNull(), "new").when(F.col("__in_c").isNull(), "left").otherwise("kept")
+    return joined.select(*[F.coalesce(k, f"__p_{k}").alias(k) for k in keys], status.alias(out))
+
+
+def not_in_snapshot(current: DataFrame, table: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Rows of ``current`` whose keys the snapshot does not have; rows with NULL keys stay."""
+    previous = current.sparkSession.table(table).select(*[F.col(k).alias(f"__p_{k}") for k in keys])
+    on = all_of([F.col(k) == F.col(f"__p_{k}") for k in keys])
+    return current.repartition(buckets, *keys).join(previous, on, "left_anti")
+
+
 def refresh_stock(
     stock: DataFrame, extract: DataFrame, *, key: str, order: Sequence[str], run_time: Column, first_seen: str, is_new: str
 ) -> DataFrame:

@@ -66,3 +66,25 @@ def test_overlay_and_restart(spark):
     assert str(start.first()[0]) == "2024-01-05"
     never = inc.restart_from(log.filter("state = 'KO'"), ended="ended", state="state", done="OK", default=F.lit("2024-01-01").cast("date"))
     assert str(never.first()[0]) == "2024-01-01"
+
+
+def test_stored_snapshots_are_not_shuffled(spark, tmp_path):
+    from millrace.streaming import incremental
+
+    before = spark.createDataFrame([(i % 90, f"a{i % 90}", i) for i in range(200)] + [(None, "x", 0)], "k int, t string, v int")
+    now = spark.createDataFrame([(i, f"a{i}", i) for i in range(40, 140)] * 2 + [(None, "x", 0)], "k int, t string, v int")
+    keys = ["k", "t"]
+    incremental.write_snapshot(before, "kept_before", keys, 4, str(tmp_path / "kept"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = incremental.diff_to_snapshot(now, "kept_before", keys, 4)
+        want = incremental.snapshot_diff(before, now, keys)
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        final = plan.split("== Initial Plan ==")[0]
+        assert final.count("Exchange hashpartitioning") == 1 and "SelectedBucketsCount" in plan
+        new = incremental.not_in_snapshot(now, "kept_before", keys, 4)
+        assert sorted((r["k"] is None, r["k"] or 0) for r in new.collect()) == sorted([(False, k) for k in range(90, 140)] * 2 + [(True, 0)])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE kept_before")
