@@ -131,7 +131,13 @@ def _plain(df: DataFrame, group: Sequence[str], order: Sequence[Column], outs: d
     return df.withColumns(cols)
 
 
-def _pieced(pieces: DataFrame, group: Sequence[str], order: Sequence[Column], outs: dict[str, Running]) -> DataFrame:
+def _summary_rows(rows: int, hot_rows: int, piece_rows: int) -> int:
+    """Most (group, piece) pairs of so many hot rows: a group more than fills its pieces but for the two at its ends."""
+    return 2 * math.ceil(rows / piece_rows) + 2 + rows // max(hot_rows, 1)
+
+
+def _pieced(pieces: DataFrame, group: Sequence[str], order: Sequence[Column], outs: dict[str, Running], most: int) -> DataFrame:
+    """``most`` bounds the rows of the summary; it is broadcast where that is few."""
     names = list(outs)
     # "last" needs the ordering inside the aggregate, everything else is free
     # of order and combines map-side.
@@ -163,7 +169,7 @@ def _pieced(pieces: DataFrame, group: Sequence[str], order: Sequence[Column], ou
     on = F.col(_PIECE) == F.col("__p")
     for g in group:
         on = on & F.col(g).eqNullSafe(F.col(f"__g_{g}"))
-    joined = pieces.join(F.broadcast(summary), on, "left")
+    joined = pieces.join(_sized(summary, most), on, "left")
     local_spec = Window.partitionBy(_PIECE, *group).orderBy(*order)
     results = {}
     for name in names:
@@ -196,7 +202,7 @@ def running(
     if hot is None:
         return _plain(df, group, order, outs)
     pieces = range_pieces(hot, group, order, rows, piece_rows or hot_rows)
-    dealt = _pieced(pieces, group, order, outs)
+    dealt = _pieced(pieces, group, order, outs, _summary_rows(rows, hot_rows, piece_rows or hot_rows))
     if not group:
         return dealt
     return _plain(ordinary, group, order, outs).unionByName(dealt)
@@ -242,7 +248,7 @@ def lag_lead(
     for names, ordering in ((lag, forward), (lead, backward)):
         if names:
             outs = {o: Running("last", F.col(c), exclusive=True) for o, c in names.items()}
-            hot = _pieced(range_pieces(hot, group, ordering, rows, piece_rows or hot_rows), group, ordering, outs)
+            hot = _pieced(range_pieces(hot, group, ordering, rows, piece_rows or hot_rows), group, ordering, outs, _summary_rows(rows, hot_rows, piece_rows or hot_rows))
     return plain(ordinary).unionByName(hot) if group else hot
 
 
@@ -289,9 +295,11 @@ def ranked_share(
         return plain(flagged)
     pieces = range_pieces(hot, group, full, rows, piece_rows or hot_rows)
     totals = pieces.groupBy(*group).agg(size.alias(total))
-    totals = F.broadcast(totals.select(*[F.col(g).alias(f"__t_{g}") for g in group], total))
+    most = _summary_rows(rows, hot_rows, piece_rows or hot_rows)
+    totals = totals.select(*[F.col(g).alias(f"__t_{g}") for g in group], total)
+    totals = _sized(totals, most) if group else F.broadcast(totals)
     on = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"__t_{g}")) for g in group], F.lit(True))
-    dealt = _pieced(pieces, group, full, outs).join(totals, on, "left").drop(*[f"__t_{g}" for g in group])
+    dealt = _pieced(pieces, group, full, outs, most).join(totals, on, "left").drop(*[f"__t_{g}" for g in group])
     dealt = finish(dealt)
     return plain(ordinary).unionByName(dealt) if group else dealt
 
