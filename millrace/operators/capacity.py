@@ -49,8 +49,10 @@ from millrace.operators.joins import all_of
 from millrace.operators.ordered import split_hot
 from millrace.session import materialise
 
-# Items one task folds; a pack or chunk holds at most about twice as many.
+# Items one task folds; a pack or chunk holds at most about twice as many, chunks more where MAX_PIECES binds.
 CHUNK_ITEMS = 1_000_000
+# Range pieces of the overloaded segments beyond which pieces grow, up to CHUNK_ITEMS each.
+MAX_PIECES = 2_000
 # Transfers that one task composes.
 FAN_IN = 256
 _CHUNK = "__chunk"
@@ -271,9 +273,12 @@ def assign_days(
     lane, names = list(lane), list(df.columns)
     p = F.col(pages).cast("bigint")
     counted = F.coalesce(p, F.lit(null_pages).cast("bigint")) if null_pages is not None else F.coalesce(p, F.raise_error(F.lit(f"an item has no {pages}")).cast("bigint"))
-    every = df.withColumn(_ELIGIBLE, calendar.index(calendar.next_workday(eligible)).cast("int"))
-    undated = every.filter(F.col(_ELIGIBLE).isNull()).select(*names, F.lit(None).cast("date").alias(day), F.lit(None).cast("bigint").alias(rank))
-    base = every.filter(F.col(_ELIGIBLE).isNotNull()).withColumn(_PAGES, counted)
+    # Every date has a number. The filter tests the date, as the optimiser would repeat the
+    # whole calendar expression in a filter on the number: one method too long to be compiled.
+    dated = F.col(eligible).cast("date").isNotNull()
+    undated = df.filter(~dated).select(*names, F.lit(None).cast("date").alias(day), F.lit(None).cast("bigint").alias(rank))
+    numbered = {_ELIGIBLE: calendar.index(calendar.next_workday(eligible)).cast("int"), _PAGES: counted}
+    base = df.filter(dated).withColumns(numbered)
     pages = _PAGES
     entry = None
     if state is not None:
@@ -536,11 +541,21 @@ def _chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_item
     a sample and both passes must see the same ones.
     """
     cols = [F.col(c).asc_nulls_first() for c in order]
-    pieces = max(2, math.ceil(df.count() / chunk_items) * 2)
+    pieces = _pieces(df.count(), chunk_items)
     ranged = df.repartitionByRange(pieces, *[F.col(k).asc_nulls_first() for k in keys], *cols)
     return materialise(ranged.withColumn(_CHUNK, F.spark_partition_id()), "chunks")
 
 
+def _pieces(items: int, chunk_items: int) -> int:
+    """Number of range pieces: two per ``chunk_items``, but beyond ``MAX_PIECES`` only what keeps a piece within ``CHUNK_ITEMS``.
+
+    An exchange has files and messages per pair of tasks, so small chunks of a
+    large table would cost its square.
+    """
+    wanted, least = (math.ceil(items / size) * 2 for size in (chunk_items, max(chunk_items, CHUNK_ITEMS)))
+    return max(2, least, min(wanted, MAX_PIECES))
+
+
 def last_state(assigned: DataFrame, *, pages: str, lane: Sequence[str] = (), day: str = "assigned_day", rank: str = "rank") -> DataFrame:
     """State to resume from: last used day, pages used on it and last rank."""
     per_day = assigned.groupBy(*lane, day).agg(F.sum(pages).cast("bigint").alias("p"), F.max(rank).alias("r"))
