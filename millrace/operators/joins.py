@@ -259,7 +259,7 @@ def _indexed_rules(df, tagged, equal, wildcard, between, values, rule_id) -> Dat
 
 
 # Bits of the nested time block widths, from one second up to about 34 years.
-BLOCK_BITS = (0, 6, 12, 18, 24, 30)
+BLOCK_BITS = tuple(range(0, 31, 2))
 
 
 def _point_blocks(seconds: Column) -> Column:
@@ -276,7 +276,7 @@ def _span_blocks(lo: Column, hi: Column) -> Column:
     """Disjoint blocks that together cover the instants ``lo <= t < hi``.
 
     At every width the aligned middle is left to the next width and only the
-    two ragged ends stay, so an interval becomes at most 126 blocks per width
+    two ragged ends stay, so an interval becomes at most 6 blocks per width
     whatever its length, and no instant is covered twice.
     """
 
@@ -318,34 +318,43 @@ def interval_join(
     """Inner join of ``points`` with the spans valid at ``at``: start <= at < end.
 
     A small span table with few spans per key is broadcast and filtered on the
-    fly. Any other is cut into disjoint time blocks of a few fixed widths; a point looks up the one
-    block per width that holds it. That turns the range condition into an
-    equality, so a key with many points and many spans never compares all
-    pairs: a row pair meets once, in the block that both share. The spans are
-    written once, as their size is looked at before they are joined.
+    fly. In a larger one the keys with few spans are joined by key: a point
+    compares at most ``SPANS_PER_KEY`` of them and no row is repeated. Only the
+    spans of the other keys are cut into disjoint time blocks of a few fixed
+    widths; a point of such a key looks up the one block per width that holds
+    it. That turns the range condition into an equality, so a key with many
+    points and many spans never compares all pairs: a row pair meets once, in
+    the block that both share. The spans are written once, as their size is
+    looked at before they are joined.
     """
-    span_cols = spans.columns
+    span_cols, per_key_cols = spans.columns, [f"__s_{s}" for s in on.values()]
     tagged = materialise(spans.select(*[F.col(c).alias(f"__s_{c}") for c in span_cols]), "spans")
     cond = [F.col(p) == F.col(f"__s_{s}") for p, s in on.items()]
     inside = (F.col(at) >= F.col(f"__s_{start}")) & (F.col(at) < F.col(f"__s_{end}"))
     shared = [c for c in span_cols if c not in points.columns]
     keep = [*[F.col(c) for c in points.columns], *[F.col(f"__s_{c}").alias(c) for c in shared]]
-    per_key = tagged.groupBy(*[f"__s_{s}" for s in on.values()]).agg(F.count(F.lit(1)).alias("n"))
-    widest, number = per_key.agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    if number <= broadcast_rows and widest <= SPANS_PER_KEY:
-        return points.join(F.broadcast(tagged), all_of(cond) & inside, "inner").select(*keep)
+    per_key = tagged.groupBy(*per_key_cols).agg(F.count(F.lit(1)).alias("__n"))
+    widest, number = per_key.agg(F.coalesce(F.max("__n"), F.lit(0)), F.coalesce(F.sum("__n"), F.lit(0))).first()
+    if widest <= SPANS_PER_KEY:
+        few = F.broadcast(tagged) if number <= broadcast_rows else tagged
+        return points.join(few, all_of(cond) & inside, "inner").select(*keep)
+    wide = materialise(per_key.filter(F.col("__n") > SPANS_PER_KEY).select(*[F.col(c).alias(f"__w{c}") for c in per_key_cols]), "wide-keys")
+    in_wide = all_of([F.col(c) == F.col(f"__w{c}") for c in per_key_cols])
+    probing = all_of([F.col(p) == F.col(f"__w__s_{s}") for p, s in on.items()])
+    # A point finds the spans of a key by key, whatever their number, so only spans need the split here.
+    by_key = points.join(tagged.join(wide, in_wide, "left_anti"), all_of(cond) & inside, "inner").select(*keep)
     # Whole seconds decide the block; the exact condition settles the rest.
     lo = F.unix_seconds(F.col(f"__s_{start}").cast("timestamp"))
     hi = F.unix_seconds(F.col(f"__s_{end}").cast("timestamp")) + 1
-    blocked = tagged.filter(F.col(f"__s_{start}") < F.col(f"__s_{end}"))
+    blocked = tagged.join(wide, in_wide, "left_semi").filter(F.col(f"__s_{start}") < F.col(f"__s_{end}"))
     blocked = blocked.withColumn("__b", F.explode(_span_blocks(lo, hi)))
     widths = [r[0] for r in blocked.select("__b.level").distinct().collect()]
     probes = F.filter(
         _point_blocks(F.unix_seconds(F.col(at).cast("timestamp"))), lambda b: b["level"].isin(widths or [-1])
     )
-    probed = points.withColumn("__q", F.explode(probes))
+    probed = points.join(wide, probing, "left_semi").withColumn("__q", F.explode(probes))
     cond += [F.col("__q.level") == F.col("__b.level"), F.col("__q.block") == F.col("__b.block")]
-    return probed.join(blocked, all_of(cond) & inside, "inner").select(*keep)
+    return by_key.unionByName(probed.join(blocked, all_of(cond) & inside, "inner").select(*keep))
 
 
 def coverage(

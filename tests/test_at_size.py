@@ -41,3 +41,28 @@ def test_no_calendar_in_the_filters_of_the_capacity_queries(spark, folder):
     out = capacity.assign_days(domain.entrusted(spark, folder), domain.CALENDAR, eligible="entry_day", order=domain.TIE, pages="pages", capacity=60, lane=["supp_key"])
     filters = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter " in line]
     assert filters and not any("unix_date" in line for line in filters)
+
+
+def test_keys_with_few_spans_are_not_cut_into_blocks(spark, monkeypatch):
+    spans = spark.createDataFrame([(i, i % 10, T0, T0 + dt.timedelta(days=30)) for i in range(50)], "sid int, k int, lo timestamp, hi timestamp")
+    points = spark.createDataFrame([(i, i % 10, T0 + dt.timedelta(days=i)) for i in range(40)], "id int, k int, t timestamp")
+    monkeypatch.setattr(joins, "_span_blocks", lambda *a: pytest.fail("cut"))
+    assert joins.interval_join(points, spans, on={"k": "k"}, at="t", start="lo", end="hi", broadcast_rows=0).count() == 30 * 5
+
+
+def test_keys_with_few_and_many_spans(spark, monkeypatch):
+    monkeypatch.setattr(joins, "SPANS_PER_KEY", 5)
+    at = lambda s: T0 + dt.timedelta(seconds=s)
+    spans = [(i, i % 4 if i < 12 else 7, at(i * 311), at(i * 311 + 3 ** (i % 15))) for i in range(90)] + [(900, None, at(0), at(9)), (901, 7, at(0), at(10**9))]
+    points = [(i, i % 9, at(i * 97)) for i in range(400)] + [(900, None, at(5))]
+    got = joins.interval_join(
+        spark.createDataFrame(points, "id int, k int, t timestamp"), spark.createDataFrame(spans, "sid int, k int, lo timestamp, hi timestamp"),
+        on={"k": "k"}, at="t", start="lo", end="hi", broadcast_rows=0,
+    )
+    want = sorted((p[0], s[0]) for p in points for s in spans if p[1] is not None and p[1] == s[1] and s[2] <= p[2] < s[3])
+    assert sorted((r["id"], r["sid"]) for r in got.collect()) == want
+
+
+def test_an_interval_has_few_blocks(spark):
+    row = spark.range(1).select(F.size(joins._span_blocks(F.lit(1_700_000_001).cast("bigint"), F.lit(1_720_000_003).cast("bigint"))).alias("n")).first()
+    assert row["n"] <= 6 * 13
