@@ -156,7 +156,11 @@ def trend(df: DataFrame, dim: DataFrame, *, on: dict[str, str], area: dict[str,
 def active_purposes(
     purposes: DataFrame, agreements: DataFrame, tenants: DataFrame, services: DataFrame, *, producers: Sequence[str]
 ) -> DataFrame:
-    """Active purpose versions with their agreement, service descriptor and consumer."""
+    """Active purpose versions with their agreement, service descriptor and consumer, each once.
+
+    The result holds every column of the four sides, so it repeats a row only
+    where a side does: the sides are made distinct, not the far longer result.
+    """
     versions = (
         purposes.select(
             F.col("id").alias("purpose_id"), "eserviceid", "consumerid", F.explode("versions").alias("v")
@@ -179,10 +183,10 @@ def active_purposes(
     )
     named = tenants.select(F.col("id").alias("consumerid"), F.col("name").alias("consumer_name"))
     return (
-        versions.join(agreed, ["eserviceid", "consumerid"])
-        .join(described, ["eserviceid", "producerid", "descriptorid"])
-        .join(named, "consumerid")
-        .distinct()
+        versions.distinct()
+        .join(agreed.distinct(), ["eserviceid", "consumerid"])
+        .join(described.distinct(), ["eserviceid", "producerid", "descriptorid"])
+        .join(named.distinct(), "consumerid")
     )
 
 

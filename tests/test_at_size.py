@@ -66,3 +66,15 @@ def test_keys_with_few_and_many_spans(spark, monkeypatch):
 def test_an_interval_has_few_blocks(spark):
     row = spark.range(1).select(F.size(joins._span_blocks(F.lit(1_700_000_001).cast("bigint"), F.lit(1_720_000_003).cast("bigint"))).alias("n")).first()
     assert row["n"] <= 6 * 13
+
+
+def test_active_purposes_are_made_distinct_before_they_meet(spark):
+    p = spark.createDataFrame([(1, 5, 3, [(0, "Active", 10), (0, "Active", 10), (1, "Archived", 10)])] * 2, "id int, eserviceid int, consumerid int, versions array<struct<id:int,state:string,dailycalls:int>>")
+    a = spark.createDataFrame([(8, 1, 5, 3, 0, "active"), (8, 1, 5, 3, 0, "SUSPENDED"), (9, 1, 5, 3, 0, "active")], "id int, producerid int, eserviceid int, consumerid int, descriptorid int, state string")
+    t = spark.createDataFrame([(3, "t"), (3, "t")], "id int, name string")
+    s = spark.createDataFrame([(5, "svc", 1, [(0, 1, 5, 50)] * 2)], "id int, name string, producerid int, descriptors array<struct<id:int,version:int,dailycallsperconsumer:int,dailycallstotal:int>>")
+    out = reports.active_purposes(p, a, t, s, producers=[1])
+    assert sorted((r["purpose_id"], r["version_id"], r["agreement_id"]) for r in out.collect()) == [(1, 0, 8), (1, 0, 9)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    first = next(i for i, line in enumerate(plan) if "Join" in line)
+    assert not any("Aggregate" in line for line in plan[:first])
