@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,8 @@ from millrace.operators.joins import all_of
 
 NO_PACKET, PACKET = "no_packet", "packet"
 SHARE, PER_DAY = "share", "per_day"
+#: Grace rules whose fits share one number.
+RULES_PER_WORD = 60
 #: Days of a grace rule under which a report is never late.
 NEVER = -1
 
@@ -69,7 +72,8 @@ class Grace:
     working: bool = False
 
     def test(self, c: Mapping[str, Column]) -> Column:
-        tests = [F.col("milestone").isin(list(self.milestones))]
+        """The rule's test of an item, whatever the milestone."""
+        tests = []
         for name, values in (("lot", self.lots), ("product", self.products), ("carrier", self.carriers)):
             if values:
                 tests.append(c[name].isin(list(values)))
@@ -154,20 +158,34 @@ def milestones(
         ("closing", c["certified"], F.when(unscanned, c["final_reported"]).otherwise(scanned), closed & ~packet, closed & ~packet, ~packet),
         ("packet", c["certified"], scanned, packet, packet, packet),
     ]
+    # A bit per rule that fits the item, found once per item. A milestone takes the lowest
+    # bit among its rules; days and clock then come from short arrays.
+    words = range(0, len(grace), RULES_PER_WORD)
+    fits = {f"__fits{w}": reduce(lambda a, b: a + b, [F.when(g.test(c), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint") for i, g in enumerate(grace[w : w + RULES_PER_WORD])]) for w in words}
+
+    def masks(name: str) -> list[Column]:
+        return [F.lit(sum(1 << i for i, g in enumerate(grace[w : w + RULES_PER_WORD]) if name in g.milestones)).cast("bigint").alias(f"__mask{w}") for w in words]
+
     long = F.array(
         *[
             F.struct(
-                F.lit(name).alias("milestone"), event.cast("timestamp").alias("event"), reported.cast("timestamp").alias("reported"),
+                F.lit(name).alias("milestone"), *masks(name), event.cast("timestamp").alias("event"), reported.cast("timestamp").alias("reported"),
                 measured.alias("measured"), F.coalesce(outcome, F.lit(False)).alias("outcome"), counts.alias("counts"),
             )
             for name, event, reported, measured, outcome, counts in rows
         ]
     )
-    used = dict.fromkeys([names[k] for k in ("carrier", "product", "lot", "entrusted", "accepted")])
-    used |= dict.fromkeys([names.get(n, n) for g in grace for n, _ in g.equals])
-    each = df.select(*dict.fromkeys([*keep, *used]), F.inline(long))
-    rule = first_match([(g.test(c), F.struct(F.lit(g.days).alias("days"), F.lit(g.working).alias("working"))) for g in grace])
-    ruled = each.withColumn("rule", rule).withColumns({"days": F.col("rule.days"), "working": F.col("rule.working")})
+    used = dict.fromkeys([names[k] for k in ("carrier", "product", "lot")])
+    each = df.withColumns(fits).select(*dict.fromkeys([*keep, *used, *fits]), F.inline(long))
+
+    def first_bit(w: int) -> Column:
+        met = F.col(f"__fits{w}").bitwiseAND(F.col(f"__mask{w}"))
+        return F.when(met != 0, F.bit_count(met.bitwiseAND(-met) - F.lit(1)) + F.lit(w))
+
+    rule = F.coalesce(*[first_bit(w) for w in words], F.lit(None).cast("int"))
+    ruled = each.withColumn("rule", rule).withColumns(
+        {"days": F.get(F.lit([g.days for g in grace]).cast("array<int>"), F.col("rule")), "working": F.get(F.lit([g.working for g in grace]).cast("array<boolean>"), F.col("rule"))}
+    )
     boundary = F.date_add(F.col("event").cast("date"), F.col("days"))
     late = F.unix_seconds("reported") - F.unix_seconds(boundary.cast("timestamp"))
     hours = F.when(F.col("reported").cast("date") >= boundary, F.floor(late / F.lit(3600)).cast("int"))

@@ -35,6 +35,13 @@ def build_session(app: str = "millrace", master: str | None = None, **conf: str)
     return spark
 
 
+def limit_methods(spark: SparkSession) -> None:
+    """Hold whole-stage code to what the JIT compiles, in a session that has Spark's own limit."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    if spark.conf.get(name) == "65535":
+        spark.conf.set(name, DEFAULTS[name])
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers once per application.
 

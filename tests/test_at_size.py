@@ -78,3 +78,18 @@ def test_active_purposes_are_made_distinct_before_they_meet(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
     first = next(i for i, line in enumerate(plan) if "Join" in line)
     assert not any("Aggregate" in line for line in plan[:first])
+
+
+def test_tender_clocks_fit_the_compiler(spark, folder):
+    timed = older_tender.milestones(tender.items(spark, folder), older_tender.national_grace(), cols=tender.COLUMNS)
+    assert max(methods(timed)) <= 8000
+
+
+def test_more_grace_rules_than_one_number_holds(spark):
+    rows = [(str(lot), dt.datetime(2024, 1, 1), dt.datetime(2024, 3, 1)) for lot in (0, 59, 60, 130, 999)]
+    blank = {n: F.lit(None).cast("timestamp" if n.endswith(("accepted", "entrusted", "reported", "scanned", "notice", "certified")) else "string").alias(n) for n in tender.COLUMNS}
+    frame = spark.createDataFrame(rows, "lot string, storage timestamp, storage_reported timestamp")
+    df = frame.select(*frame.columns, *[c for n, c in blank.items() if n not in frame.columns])
+    grace = [older_tender.Grace(n, ("storage",), lots=(str(n),)) for n in range(131)]
+    got = older_tender.milestones(df, grace, cols=tender.COLUMNS).where("milestone = 'storage'")
+    assert {r["lot"]: r["hours"] for r in got.collect()} == {"0": 60 * 24, "59": 24, "60": 0, "130": None, "999": 0}
