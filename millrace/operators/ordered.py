@@ -314,12 +314,13 @@ def quota_flags(
     counted: Column | None = None,
     idle: int | None = None,
     hot_rows: int | None = HOT_ROWS,
+    written: bool = False,
 ) -> DataFrame:
     """Whether a row's rank by (value, tie) over the group total lies below each quota, found by counting.
 
     Adds a boolean per quota: what ``ranked_share(...).share < quota`` gives,
     false where ``value`` is NULL, without ranking the rows. The rows are written
-    once. Counts per group and value (combined before they are dealt) give the
+    once, unless the caller says that ``df`` is ``written``. Counts per group and value (combined before they are dealt) give the
     last value whose rows all lie below the quota and the one value that the
     quota cuts through. Only rows tied on that value are ordered, to find the
     last of them that still fits; every other row is compared with its group's
@@ -329,7 +330,8 @@ def quota_flags(
     the total as in :func:`ranked_share`.
     """
     group, names = list(group), list(df.columns)
-    base = materialise(df.withColumn("__c", F.lit(True) if counted is None else F.coalesce(counted, F.lit(False))), "quota-rows")
+    base = df.withColumn("__c", F.lit(True) if counted is None else F.coalesce(counted, F.lit(False)))
+    base = base if written else materialise(base, "quota-rows")
     counts = base.groupBy(*group, value).agg(F.count(F.lit(1)).alias("__n"), F.count_if("__c").alias("__t"))
     whole = Window.partitionBy(*group)
     upto = whole.orderBy(F.col(value).asc_nulls_first())

@@ -12,6 +12,7 @@ from millrace.functions.rules import first_match
 from millrace.operators import joins, penalty
 from millrace.plans.registry import query
 from millrace.plans.standin import CAL_SQL, CALENDAR, LINES_SQL, PIECE_KEY, PIECES_SQL, lines, load, pieces, workdays_sql
+from millrace.session import materialise
 
 WD = workdays_sql
 
@@ -166,11 +167,17 @@ def service_level(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Only what the ranking and the reports need: with hot groups it is written.
+CHARGED_COLUMNS = [*PIECE_KEY, "lot", "product", "reported", "days", "late", "in_standard", "in_improved"]
+
+
 def charged_pieces(spark: SparkSession, folder: str, group=("lot", "product"), **terms) -> DataFrame:
-    # Only what the ranking and the reports need: with hot groups it is written.
-    cols = [*PIECE_KEY, "lot", "product", "reported", "days", "late", "in_standard", "in_improved"]
+    return charged(timed_pieces(spark, folder).select(*CHARGED_COLUMNS), group, **terms)
+
+
+def charged(timed: DataFrame, group=("lot", "product"), **terms) -> DataFrame:
     return penalty.delivery_penalty(
-        timed_pieces(spark, folder).select(*cols),
+        timed,
         group=list(group),
         tie=["reported", "order_key", "line", "part_key", "supp_key", "cost", "ship"],
         late="late",
@@ -229,8 +236,10 @@ def delivery_penalty_earlier(spark: SparkSession, folder: str) -> DataFrame:
 )
 def rank_group_choice(spark: SparkSession, folder: str) -> DataFrame:
     """Charged amounts with one pool per carrier and with one pool per lot."""
-    pool = charged_pieces(spark, folder, ["supp_key"], ranks=False).groupBy("supp_key").agg(F.sum("fee_cents").alias("pool_cents"))
-    by_lot = charged_pieces(spark, folder, ["lot"], ranks=False).groupBy("supp_key").agg(F.sum("fee_cents").alias("lot_cents"))
+    # Both poolings read the same pieces, joined and timed once.
+    timed = materialise(timed_pieces(spark, folder).select(*CHARGED_COLUMNS), "timed")
+    pool = charged(timed, ["supp_key"], ranks=False, written=True).groupBy("supp_key").agg(F.sum("fee_cents").alias("pool_cents"))
+    by_lot = charged(timed, ["lot"], ranks=False, written=True).groupBy("supp_key").agg(F.sum("fee_cents").alias("lot_cents"))
     return pool.join(by_lot, "supp_key")
 
 

@@ -93,3 +93,11 @@ def test_more_grace_rules_than_one_number_holds(spark):
     grace = [older_tender.Grace(n, ("storage",), lots=(str(n),)) for n in range(131)]
     got = older_tender.milestones(df, grace, cols=tender.COLUMNS).where("milestone = 'storage'")
     assert {r["lot"]: r["hours"] for r in got.collect()} == {"0": 60 * 24, "59": 24, "60": 0, "130": None, "999": 0}
+
+
+def test_both_poolings_read_pieces_written_once(spark, folder, monkeypatch):
+    labels, real = [], penalties.materialise
+    for module in (penalties, ordered):
+        monkeypatch.setattr(module, "materialise", lambda df, label: labels.append(label) or real(df, label))
+    penalties.rank_group_choice(spark, folder)
+    assert labels.count("timed") == 1 and "quota-rows" not in labels
