@@ -24,6 +24,11 @@ def latest_row(spark: SparkSession, folder: str) -> DataFrame:
     return ordered.top_row(rows, ["user_id"], ["ts", "event_id"]).drop("ts")
 
 
+def ranked_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """What ranks by page count need of a line: hot groups are written and dealt with all their columns."""
+    return lines(spark, folder).select(*TIE, "pages", "flag", F.col("attempt").isNotNull().alias("tried"))
+
+
 @query(
     "w2_ranked_share",
     f"""WITH {LINES_SQL} SELECT order_key, line, part_key, supp_key, cost, CASE WHEN attempt IS NOT NULL THEN row_number() OVER w END AS rank,
@@ -33,7 +38,7 @@ def latest_row(spark: SparkSession, folder: str) -> DataFrame:
 def ranked_share(spark: SparkSession, folder: str) -> DataFrame:
     """Rank and share in three groups that each hold a third of all rows."""
     order = [F.col("pages").asc(), *[F.col(t).asc_nulls_first() for t in TIE]]
-    out = ordered.ranked_share(lines(spark, folder), ["flag"], order, measured=F.col("attempt").isNotNull())
+    out = ordered.ranked_share(ranked_lines(spark, folder), ["flag"], order, measured=F.col("tried"))
     return out.select("order_key", "line", "part_key", "supp_key", "cost", "rank", "total", "share")
 
 
@@ -47,7 +52,7 @@ def ranked_share_in_pieces(spark: SparkSession, folder: str) -> DataFrame:
     """The same with the limit for hot groups set low, so that they are cut."""
     order = [F.col("pages").asc(), *[F.col(t).asc_nulls_first() for t in TIE]]
     out = ordered.ranked_share(
-        lines(spark, folder), ["flag"], order, measured=F.col("attempt").isNotNull(), hot_rows=1000, piece_rows=50_000
+        ranked_lines(spark, folder), ["flag"], order, measured=F.col("tried"), hot_rows=1000, piece_rows=50_000
     )
     return out.select("order_key", "line", "part_key", "supp_key", "cost", "rank", "total", "share")
 
@@ -59,7 +64,7 @@ def ranked_share_in_pieces(spark: SparkSession, folder: str) -> DataFrame:
 def global_rank(spark: SparkSession, folder: str) -> DataFrame:
     """Rank over the whole table; large tables are ranked in pieces."""
     order = [F.col("pages").asc(), *[F.col(t).asc_nulls_first() for t in TIE]]
-    out = ordered.row_number(lines(spark, folder), [], order)
+    out = ordered.row_number(lines(spark, folder).select(*TIE, "pages"), [], order)
     return out.select("order_key", "line", "part_key", "supp_key", "cost", "rank")
 
 
@@ -70,7 +75,7 @@ def global_rank(spark: SparkSession, folder: str) -> DataFrame:
 def global_rank_in_pieces(spark: SparkSession, folder: str) -> DataFrame:
     """The same with the limit set low, by range pieces and offsets."""
     order = [F.col("pages").asc(), *[F.col(t).asc_nulls_first() for t in TIE]]
-    out = ordered.row_number(lines(spark, folder), [], order, hot_rows=0, piece_rows=500_000)
+    out = ordered.row_number(lines(spark, folder).select(*TIE, "pages"), [], order, hot_rows=0, piece_rows=500_000)
     return out.select("order_key", "line", "part_key", "supp_key", "cost", "rank")
 
 

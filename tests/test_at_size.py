@@ -101,3 +101,11 @@ def test_both_poolings_read_pieces_written_once(spark, folder, monkeypatch):
         monkeypatch.setattr(module, "materialise", lambda df, label: labels.append(label) or real(df, label))
     penalties.rank_group_choice(spark, folder)
     assert labels.count("timed") == 1 and "quota-rows" not in labels
+
+
+@pytest.mark.parametrize("query,function", [("global_rank", "row_number"), ("ranked_share", "ranked_share")])
+def test_ranked_lines_carry_what_the_rank_needs(spark, folder, monkeypatch, query, function):
+    seen, real = [], getattr(ordered, function)
+    monkeypatch.setattr(ordered, function, lambda df, *a, **k: seen.append(df.columns) or real(df, *a, **k))
+    getattr(windows, query)(spark, folder)
+    assert not {"state", "accepted", "reported", "attempt"} & set(seen[0])
