@@ -25,6 +25,7 @@ from millrace.plans.standin import (
     workdays_sql,
 )
 from millrace.session import scratch_root
+from millrace.sources.readers import spread
 
 WD = workdays_sql
 CAPACITY = 60
@@ -423,7 +424,8 @@ def rate_card(spark: SparkSession, folder: str) -> DataFrame:
             # One header of the delivered card ends with a blank.
             name = f"{product}_{suffix}" + (" " if product == "RS" and suffix == "351_1000" else "")
             cols.append(comma(price + 10 * i + j).alias(name))
-    return load(spark, folder, "part").select(*cols)
+    # The card's many price texts are long work per part, and parts come in few files.
+    return spread(load(spark, folder, "part"), "p_partkey").select(*cols)
 
 
 def zones(spark: SparkSession, folder: str) -> DataFrame:

@@ -109,3 +109,7 @@ def test_ranked_lines_carry_what_the_rank_needs(spark, folder, monkeypatch, quer
     monkeypatch.setattr(ordered, function, lambda df, *a, **k: seen.append(df.columns) or real(df, *a, **k))
     getattr(windows, query)(spark, folder)
     assert not {"state", "accepted", "reported", "attempt"} & set(seen[0])
+
+
+def test_rate_cards_are_made_on_all_cores(spark, folder):
+    assert domain.rate_card(spark, folder).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
