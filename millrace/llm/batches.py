@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +35,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return materialise(df, f"llm-{label}")
 
 
+def release() -> None:
+    """Give memory that is no longer used back to the system: workers are kept for later stages, where it would count beside theirs."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def row_slices(batches, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Row slices of about ``limit`` bytes of a text column; a single longer text is a slice of its own, never cut."""
     for batch in batches:
@@ -45,6 +54,7 @@ def row_slices(batches, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.Re
         cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
         for begin, end in zip(cuts, cuts[1:]):
             yield batch.slice(begin, end - begin)
+    release()
 
 
 def slices(batches, column: str, limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
