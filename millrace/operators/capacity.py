@@ -52,7 +52,7 @@ from millrace.session import materialise
 # Items one task folds; a pack or chunk holds at most about twice as many, chunks more where MAX_PIECES binds.
 CHUNK_ITEMS = 1_000_000
 # Range pieces of the overloaded segments beyond which pieces grow, up to CHUNK_ITEMS each.
-MAX_PIECES = 2_000
+MAX_PIECES = 500
 # Transfers that one task composes.
 FAN_IN = 256
 _CHUNK = "__chunk"

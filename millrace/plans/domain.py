@@ -50,9 +50,14 @@ entrusted AS (
 )"""
 
 
+def queued(spark: SparkSession, folder: str) -> DataFrame:
+    """What the queues need of a piece: every column of theirs is written, dealt and passed through the workers."""
+    return entrusted(spark, folder).select("supp_key", "pages", "entry_day", *TIE)
+
+
 def assigned(spark: SparkSession, folder: str, lane=("supp_key",), limit: int = CAPACITY, **size) -> DataFrame:
     return capacity.assign_days(
-        entrusted(spark, folder), CALENDAR, eligible="entry_day", order=TIE, pages="pages", capacity=limit, lane=list(lane), **size
+        queued(spark, folder), CALENDAR, eligible="entry_day", order=TIE, pages="pages", capacity=limit, lane=list(lane), **size
     )
 
 
@@ -80,9 +85,7 @@ ASSIGNED_SQL = "RECURSIVE " + ASSIGNED_SQL
 )
 def daily_capacity(spark: SparkSession, folder: str) -> DataFrame:
     """Working day assigned to every piece, one queue per supplier."""
-    slim = entrusted(spark, folder).select("supp_key", "pages", "entry_day", *TIE)
-    dealt = capacity.assign_days(slim, CALENDAR, eligible="entry_day", order=TIE, pages="pages", capacity=CAPACITY, lane=["supp_key"])
-    return dealt.select("supp_key", "order_key", "line", "part_key", "cost", "pages", "rank", "assigned_day")
+    return assigned(spark, folder).select("supp_key", "order_key", "line", "part_key", "cost", "pages", "rank", "assigned_day")
 
 
 def _one_lane_sql(limit: int, until: str = "2003-12-31") -> str:
